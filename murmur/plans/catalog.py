@@ -157,3 +157,53 @@ def q_contents_with_opinions(spark, d):
 def q_unified_feed(spark, d):
     return an.unified_feed(fx.opinions(spark, d), fx.contents(spark, d)).select(
         "source_id", "source", "keyword", "kind", "content_id")
+
+
+# ============================================================ candidate selection (v_candidates)
+
+from murmur.operators import candidates as cd  # noqa: E402
+
+CUTOFF = datetime(2024, 1, 22, 12, 0, 0)
+
+
+@register("first_seen_candidates")
+def q_first_seen_candidates(spark, d):
+    return cd.first_seen(fx.candidates(spark, d))
+
+
+@register("limit_per_job")
+def q_limit_per_job(spark, d):
+    return cd.limit_per_list(cd.first_seen(fx.candidates(spark, d)), limit=cd.DEFAULT_LIMIT).select(
+        "keyword", "source", "content_id", "pos", "rank")
+
+
+@register("takewhile_cutoff")
+def q_takewhile_cutoff(spark, d):
+    return cd.take_while_newer(fx.candidates(spark, d), CUTOFF).select(
+        "keyword", "source", "content_id", "pos", "page")
+
+
+@register("stop_on_repeat_page")
+def q_stop_on_repeat_page(spark, d):
+    return cd.stop_on_repeat_page(fx.candidates(spark, d), max_pages=cd.MAX_PAGES).select(
+        "keyword", "source", "content_id", "pos", "page")
+
+
+@register("cap_comments")
+def q_cap_comments(spark, d):
+    return cd.cap_per_content(fx.comments(spark, d), page_size=10, pages=cd.COMMENT_PAGES).select(
+        "source_id", "source", "content_id", "turn", "rank")
+
+
+@register("uncached_candidates")
+def q_uncached_candidates(spark, d):
+    return cd.uncached(fx.raw_pages(spark, d).select("ingest_seq", "url"), fx.url_cache(spark, d),
+                       now_day=TODAY.date())
+
+
+@register("ttl_dedupe")
+def q_ttl_dedupe(spark, d):
+    from murmur.sources.tables import read_table
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts")
+    out = cd.ttl_dedupe(ev, key="user_id", ts="ts", ttl_days=7, tiebreak="event_id")
+    return out.select("user_id", "event_id", iso_ts("ts").alias("accepted_at"))

@@ -187,3 +187,47 @@ WHERE EXISTS (SELECT 1 FROM v_opinions o WHERE o.content_id = c.content_id AND o
 ORACLE["unified_feed"] = f"""{W('v_opinions', 'v_contents')}
 SELECT source_id, source, keyword, kind, content_id FROM v_opinions
 UNION ALL SELECT source_id, source, keyword, 'context' AS kind, content_id FROM v_contents"""
+
+# ============================================================ candidate selection (v_candidates)
+
+ORACLE["first_seen_candidates"] = f"""{W('v_candidates')},
+r AS (SELECT *, row_number() OVER (PARTITION BY keyword, source, content_id ORDER BY page, pos) AS rn FROM v_candidates)
+SELECT keyword, source, content_id, page, pos FROM r WHERE rn = 1"""
+
+ORACLE["limit_per_job"] = f"""{W('v_candidates')},
+r AS (SELECT *, row_number() OVER (PARTITION BY keyword, source, content_id ORDER BY page, pos) AS rn FROM v_candidates),
+f AS (SELECT keyword, source, content_id, pos FROM r WHERE rn = 1),
+l AS (SELECT *, CAST(row_number() OVER (PARTITION BY keyword, source ORDER BY pos) AS INTEGER) AS rank FROM f)
+SELECT keyword, source, content_id, pos, rank FROM l WHERE rank <= 50"""
+
+ORACLE["takewhile_cutoff"] = f"""{W('v_candidates')},
+s AS (SELECT *, sum(CASE WHEN published_ts < TIMESTAMP '2024-01-22 12:00:00' THEN 1 ELSE 0 END)
+        OVER (PARTITION BY keyword, source ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS n_old
+      FROM v_candidates)
+SELECT keyword, source, content_id, pos, page FROM s WHERE n_old = 0"""
+
+ORACLE["stop_on_repeat_page"] = f"""{W('v_candidates')},
+r AS (SELECT *, row_number() OVER (PARTITION BY keyword, source, content_id ORDER BY pos) AS rn FROM v_candidates),
+p AS (SELECT keyword, source, page, sum(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS n_new FROM r GROUP BY keyword, source, page),
+s AS (SELECT keyword, source, min(CASE WHEN n_new = 0 THEN page END) AS stop_page FROM p WHERE page <= 50 GROUP BY keyword, source)
+SELECT c.keyword, c.source, c.content_id, c.pos, c.page FROM v_candidates c JOIN s USING (keyword, source)
+WHERE c.page <= 50 AND (s.stop_page IS NULL OR c.page < s.stop_page)"""
+
+ORACLE["cap_comments"] = f"""{W('v_comments')},
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY source, content_id ORDER BY turn) AS INTEGER) AS rank FROM v_comments)
+SELECT source_id, source, content_id, turn, rank FROM r WHERE rank <= 100"""
+
+ORACLE["uncached_candidates"] = f"""{W('v_raw_pages', 'v_cache')}
+SELECT p.ingest_seq, p.url, md5(p.url) AS cache_key FROM v_raw_pages p
+WHERE NOT EXISTS (SELECT 1 FROM v_cache c WHERE c.cache_key = md5(p.url) AND c.expires_on > DATE '2024-01-30')"""
+
+ORACLE["ttl_dedupe"] = """WITH RECURSIVE acc(user_id, ts, event_id) AS (
+  SELECT user_id, ts, event_id FROM (
+    SELECT user_id, ts, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) f
+  WHERE rn = 1
+  UNION ALL
+  SELECT n.user_id, n.ts, n.event_id FROM acc,
+    LATERAL (SELECT e.user_id, e.ts, e.event_id FROM events e
+             WHERE e.user_id = acc.user_id AND e.ts >= acc.ts + INTERVAL 7 DAY
+             ORDER BY e.ts, e.event_id LIMIT 1) n)
+SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS accepted_at FROM acc"""
