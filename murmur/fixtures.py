@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from murmur.functions.times import epoch_to_ntz
 from murmur.sources.tables import read_table
 
 NOW = "2024-01-30 00:00:00"
@@ -132,3 +133,176 @@ def url_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("page_id") % 2 == 0, F.to_date(F.lit("2024-02-15")))
         .otherwise(F.to_date(F.lit("2024-01-10"))).alias("expires_on"),
     )
+
+
+# ---------------------------------------------------------------- raw zone (schema R)
+
+CONTENT_SOURCES = ("detik", "cnn", "liputan6", "merdeka", "youtube", "reddit", "kompas")
+COMMENT_SOURCES = ("detik", "cnn", "youtube", "reddit", "kompas")
+NEWS_SOURCES = ("detik", "cnn", "liputan6", "merdeka")
+
+
+def _pick(values: tuple[str, ...], idx: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (idx % len(values)).cast("int") + 1)
+
+
+def _article_html(doc_id: Column, lang: Column, text: Column) -> Column:
+    """A news page around a document body: head metadata plus one body block per news layout."""
+    i = doc_id.cast("string")
+    return F.concat(
+        F.lit('<!DOCTYPE html><html lang="'), lang, F.lit('"><head><meta charset="utf-8">'),
+        F.lit('<meta name="author" content="Desk '), (doc_id % 9).cast("string"), F.lit('">'),
+        F.lit('<meta property="og:title" content="Story '), i, F.lit('">'),
+        F.lit("<title>Story "), i, F.lit(" - News</title>"),
+        F.lit('<script>var s="</div>";</script></head><body><nav><a href="/x">x</a></nav>'),
+        F.lit('<div class="detail__author">Reporter '), (doc_id % 5).cast("string"), F.lit("</div>"),
+        F.lit('<div class="detail__body-text detail-text article-content-body article-body-content">'),
+        F.lit("<p>"), F.regexp_replace(text, "\n", "</p><p>"), F.lit("</p></div>"),
+        F.lit('<div class="ad">Advertisement</div></body></html>'))
+
+
+def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_raw_documents: the raw zone (schema R) with contents and comments of six sources plus one
+    unknown source ('kompas').
+
+    contents: one per document; news sources carry article HTML, video/forum carry a JSON payload;
+      every 13th has an empty payload, every 11th an empty content_id (url is the key).
+    comments: news sources carry one threaded payload per conversation (turn 0 is the parent, later
+      turns are `child`), video/forum carry one flat payload per turn.
+    ingest_seq: contents 2*doc_id, comments 2*(8*conv_id + turn) + 1 (the parent's turn for threads).
+    """
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    src = _pick(CONTENT_SOURCES, F.col("doc_id"))
+    day = F.date_add(F.to_date(F.lit("2024-01-01")), (F.col("doc_id") % 29).cast("int"))
+    epoch = F.datediff(day, F.to_date(F.lit("1970-01-01"))).cast("long") * 86400 + (F.col("doc_id") % 86400)
+    payload = F.to_json(F.struct(
+        F.concat(F.lit("p"), F.col("doc_id").cast("string")).alias("id"),
+        F.concat(F.lit("Post "), F.col("doc_id").cast("string")).alias("title"),
+        F.concat(F.lit("channel"), (F.col("doc_id") % 17).cast("string")).alias("uploader"),
+        F.concat(F.lit("user"), (F.col("doc_id") % 23).cast("string")).alias("author"),
+        F.col("text").alias("description"), F.col("text").alias("selftext"),
+        F.date_format(day, "yyyy-MM-dd").alias("uploadDate"), epoch.alias("created_utc")))
+    raw = (F.when(F.col("doc_id") % 13 == 0, F.lit(""))
+           .when(src.isin("youtube", "reddit"), payload)
+           .otherwise(_article_html(F.col("doc_id"), F.col("lang"), F.col("text"))))
+    contents_r = d.select(
+        (F.col("doc_id") * 2).alias("ingest_seq"), F.lit("content").alias("type"), src.alias("source"),
+        F.col("lang").alias("keyword"),
+        F.concat(F.lit("https://"), src, F.lit(".example/read/"), F.col("doc_id").cast("string")).alias("url"),
+        F.when(F.col("doc_id") % 11 == 0, F.lit("")).otherwise(F.col("doc_id").cast("string")).alias("content_id"),
+        F.when(src.isin("youtube", "reddit"), F.lit("")).otherwise(
+            F.concat(F.lit("Card "), F.col("doc_id").cast("string"))).alias("title"),
+        F.lit("").alias("media"), F.lit("").alias("desc"),
+        F.when(F.col("doc_id") % 3 == 0, F.lit("")).otherwise(F.date_format(day, "yyyy-MM-dd HH:mm:ss")).alias("published_at"),
+        F.lit(None).cast("string").alias("content_url"), F.lit(None).cast("string").alias("parent_id"),
+        raw.alias("raw"))
+
+    c = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    csrc = _pick(COMMENT_SOURCES, F.col("conv_id"))
+    cid = F.concat(F.col("conv_id").cast("string"), F.lit("-"), F.col("turn").cast("string"))
+    csecs = F.lit(1704067200) + F.col("conv_id") * 3600 + F.col("turn") * 60
+    cts = epoch_to_ntz(csecs)
+    item = F.struct(
+        cid.alias("id"), F.col("turn"), F.col("role"),
+        F.col("text").alias("content"),
+        F.when(F.col("turn") % 3 == 0, F.lit("pro")).alias("prokontra"),
+        F.date_format(cts, "yyyy-MM-dd HH:mm:ss").alias("create_date"))
+
+    def author(it: Column) -> Column:
+        # an object {name} on even turns and a plain string on odd ones (both shapes occur upstream)
+        return F.when(it["turn"] % 2 == 0, F.parse_json(F.to_json(F.struct(it["role"].alias("name"))))) \
+            .otherwise(F.parse_json(F.concat(F.lit('"'), it["role"], F.lit('"'))))
+
+    flat = c.where(~csrc.isin(*NEWS_SOURCES)).select(
+        (2 * (8 * F.col("conv_id") + F.col("turn")) + 1).alias("ingest_seq"), csrc.alias("source"),
+        F.col("conv_id"),
+        F.to_json(F.struct(
+            cid.alias("id"), cid.alias("commentId"), F.col("role").alias("author"),
+            F.col("text").alias("body"), F.col("text").alias("commentText"),
+            csecs.alias("created_utc"),
+            F.date_format(cts, "yyyy-MM-dd HH:mm:ss").alias("commentedTime"))).alias("raw"))
+    # A thread is one API item (a comment and its replies), so its size is bounded by the source.
+    threads = (c.where(csrc.isin(*NEWS_SOURCES))
+               .groupBy("conv_id")
+               .agg(F.min_by(item, F.col("turn")).alias("parent"),
+                    F.sort_array(F.collect_list(F.when(F.col("turn") > 0, item))).alias("kids")))
+    threads = threads.select(
+        (2 * (8 * F.col("conv_id")) + 1).alias("ingest_seq"), _pick(COMMENT_SOURCES, F.col("conv_id")).alias("source"),
+        "conv_id",
+        F.to_json(F.struct(
+            F.col("parent.id").alias("id"), author(F.col("parent")).alias("author"),
+            F.col("parent.content").alias("content"), F.col("parent.prokontra").alias("prokontra"),
+            F.col("parent.create_date").alias("create_date"),
+            F.transform("kids", lambda k: F.struct(
+                k["id"].alias("id"), author(k).alias("author"), k["content"].alias("content"),
+                k["create_date"].alias("create_date"))).alias("child"))).alias("raw"))
+    comments_r = flat.unionByName(threads).select(
+        "ingest_seq", F.lit("comment").alias("type"), "source", F.lit("thread").alias("keyword"),
+        F.lit(None).cast("string").alias("url"), F.col("conv_id").cast("string").alias("content_id"),
+        F.lit(None).cast("string").alias("title"), F.lit(None).cast("string").alias("media"),
+        F.lit(None).cast("string").alias("desc"), F.lit(None).cast("string").alias("published_at"),
+        F.concat(F.lit("https://"), F.col("source"), F.lit(".example/read/c"), F.col("conv_id").cast("string"))
+        .alias("content_url"),
+        F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("parent_id"), "raw")
+    return contents_r.unionByName(comments_r)
+
+
+def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_feed: Atom feed documents from events, one per (event_type, block of 100 ids) — a feed page
+    holds at most 100 entries upstream, so each group is bounded. Every 10th id is a `t5_` entry."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    pref = F.when(F.col("event_id") % 10 == 0, F.lit("t5_")).otherwise(F.lit("t3_"))
+    entry = F.concat(
+        F.lit("<entry><id>"), pref, F.col("event_id").cast("string"), F.lit("</id><published>"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+00:00</published>"),
+        F.lit('<link href="https://forum.example/r/'), F.col("event_type"), F.lit("/comments/"),
+        F.col("event_id").cast("string"), F.lit('"/><title>Post '), F.col("event_id").cast("string"),
+        F.lit("</title><author><name>/u/user"), F.col("user_id").cast("string"),
+        F.lit('</name></author><category term="'), F.col("event_type"), F.lit('"/></entry>'))
+    g = (ev.groupBy("event_type", F.floor(F.col("event_id") / 100).alias("blk"))
+         .agg(F.sort_array(F.collect_list(F.struct("event_id", entry.alias("x")))).alias("es")))
+    return g.select(
+        F.col("event_type").alias("keyword"), "blk",
+        F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom"><title>search</title>'),
+                 F.array_join(F.transform("es", lambda e: e["x"]), ""), F.lit("</feed>")).alias("raw"))
+
+
+def json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_json_pages: one search-result JSON per candidate page (20 items, bounded): news lists as
+    `{"data": [...]}`, the other lists as video search `{"items": [...]}` where every item whose
+    id is a multiple of 7 is a channel, not a stream."""
+    c = candidates(spark, sf_dir)
+    item = F.struct(
+        "pos",
+        F.when(F.col("source") == "cnn", F.to_json(F.struct(
+            F.col("content_id").alias("id"), F.concat(F.lit("Title "), F.col("content_id")).alias("title"),
+            F.concat(F.lit("https://cnn.example/read/"), F.col("content_id")).alias("url"))))
+        .otherwise(F.to_json(F.struct(
+            F.when(F.col("content_id").cast("int") % 7 == 0, F.lit("channel")).otherwise(F.lit("stream")).alias("type"),
+            F.concat(F.lit("/watch?v=v"), F.col("content_id")).alias("url"),
+            F.concat(F.lit("Video "), F.col("content_id")).alias("title"),
+            F.lit("uploader").alias("uploaderName")))).alias("j"))
+    g = c.groupBy("keyword", "source", "page").agg(F.sort_array(F.collect_list(item)).alias("its"))
+    body = F.concat(F.lit("["), F.array_join(F.transform("its", lambda i: i["j"]), ","), F.lit("]"))
+    return g.select("keyword", "source", "page",
+                    F.when(F.col("source") == "cnn", F.concat(F.lit('{"data":'), body, F.lit("}")))
+                    .otherwise(F.concat(F.lit('{"items":'), body, F.lit("}"))).alias("raw"))
+
+
+# Indonesian month names used in day-month-year publish dates.
+MONTHS_ID = ("Januari", "Februari", "Maret", "April", "Mei", "Juni", "Juli", "Agustus", "September",
+             "Oktober", "November", "Desember")
+
+
+def times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_times: events.ts printed in one of four publish-time formats by event_id % 4: ISO,
+    'yyyy-MM-dd HH:mm:ss', 'd <Indonesian month> yyyy', epoch seconds (UTC)."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts")
+    k = (F.col("event_id") % 4).cast("int")
+    month = F.element_at(F.array(*[F.lit(m) for m in MONTHS_ID]), F.month("ts"))
+    epoch = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("ts"))
+    text = (F.when(k == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+            .when(k == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+            .when(k == 2, F.concat_ws(" ", F.dayofmonth("ts").cast("string"), month, F.year("ts").cast("string")))
+            .otherwise(epoch.cast("string")))
+    return ev.select("event_id", "ts", text.alias("published_at"))

@@ -113,11 +113,15 @@ def parse_publish_time(text: Column | str) -> Column:
     canon = F.concat_ws("-", F.regexp_extract(t, dmy, 3), month.cast("string"), F.regexp_extract(t, dmy, 1))
     named = F.when(t.rlike(dmy), F.try_to_timestamp(canon, F.lit("yyyy-M-d")).cast("timestamp_ntz"))
     secs = F.when(t.rlike(r"^\d+(\.\d+)?$"), t.cast("double"))
-    epoch = F.when(secs > 0, F.convert_timezone(F.current_timezone(), F.lit("UTC"),
-                                                 F.timestamp_seconds(secs).cast("timestamp_ntz")))
+    epoch = F.when(secs > 0, epoch_to_ntz(secs))
     return F.coalesce(iso, plain, named, epoch)
 
 
+def epoch_to_ntz(secs: Column) -> Column:
+    """Epoch seconds -> TIMESTAMP_NTZ wall time in UTC, whatever the session time zone."""
+    return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds(secs).cast("timestamp_ntz"))
+
+
 def iso_day(c: Column | str) -> Column:
     """DATE -> 'yyyy-MM-dd' (serving format)."""
     return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd")

@@ -207,3 +207,215 @@ def q_ttl_dedupe(spark, d):
     ev = read_table(spark, d, "events").select("event_id", "user_id", "ts")
     out = cd.ttl_dedupe(ev, key="user_id", ts="ts", ttl_days=7, tiebreak="event_id")
     return out.select("user_id", "event_id", iso_ts("ts").alias("accepted_at"))
+
+
+# ============================================================ raw zone, warehouse, cleaner
+
+from datetime import date  # noqa: E402
+
+from murmur.functions.times import parse_publish_time  # noqa: E402
+from murmur.operators import cleaner as cl  # noqa: E402
+from murmur.operators import extract as X  # noqa: E402
+from murmur.operators import warehouse as wh  # noqa: E402
+from murmur.functions.text import first_nonblank  # noqa: E402
+
+HWM = 100   # the stored checkpoint of the incremental scan
+
+
+@register("raw_incremental_scan")
+def q_raw_incremental_scan(spark, d):
+    return wh.incremental_scan(fx.raw_pages(spark, d).select("ingest_seq", "type", "source", "url"), HWM)
+
+
+@register("late_rows")
+def q_late_rows(spark, d):
+    return wh.late_rows(fx.raw_pages(spark, d).select("ingest_seq", "url"), HWM)
+
+
+@register("find_page")
+def q_find_page(spark, d):
+    return wh.find_page(fx.contents(spark, d), F.col("keyword") == "en", ["source_id", "url", "ingest_seq"],
+                        ["ingest_seq"], skip=20, limit=10)
+
+
+@register("find_first")
+def q_find_first(spark, d):
+    return wh.find_first(fx.contents(spark, d).select("source_id", "keyword", "url", "ingest_seq"),
+                         F.col("keyword") == "fr", [F.col("ingest_seq").desc()])
+
+
+@register("count_where")
+def q_count_where(spark, d):
+    return wh.count_where(fx.contents(spark, d), (F.col("keyword") == "en") & (F.col("content_id") != ""))
+
+
+@register("match_group_sort")
+def q_match_group_sort(spark, d):
+    return wh.match_group_sort(
+        fx.contents(spark, d), F.col("content_id") != "", ["keyword"],
+        [F.count(F.lit(1)).alias("n"), F.min("ingest_seq").alias("min_seq"), F.max("ingest_seq").alias("max_seq")],
+        [F.col("n").desc(), "keyword"])
+
+
+@register("warehouse_param_sql")
+def q_warehouse_param_sql(spark, d):
+    return wh.param_sql(
+        spark,
+        "SELECT source, count(*) AS n, round(avg(confidence), 6) AS avg_confidence FROM {op} "
+        "WHERE keyword = :kw AND day >= :start GROUP BY source",
+        args={"kw": "click", "start": date(2024, 1, 15)}, op=fx.opinions(spark, d))
+
+
+@register("raw_append")
+def q_raw_append(spark, d):
+    rows = wh.with_ingest_timestamps(fx.raw_pages(spark, d).select("ingest_seq", "type", "source", "url"), TODAY)
+    return rows.select("ingest_seq", "type", "source", "url", iso_ts("created_at").alias("created_at"))
+
+
+def _keyed_contents(spark, d):
+    c = fx.contents(spark, d)
+    return c.select("source", first_nonblank("content_id", "url").alias("source_id"), "keyword", "url", "ingest_seq")
+
+
+@register("insert_contents_new")
+def q_insert_contents_new(spark, d):
+    inc = _keyed_contents(spark, d)
+    existing = inc.where(F.col("ingest_seq") % 5 == 0)
+    return wh.new_rows(inc, existing, order_col="ingest_seq").select("source", "source_id", "keyword", "url")
+
+
+@register("insert_comments_new")
+def q_insert_comments_new(spark, d):
+    inc = fx.comments(spark, d)
+    existing = inc.where(F.col("content_id").cast("long") % 5 == 0)
+    return wh.new_rows(inc, existing, order_col="turn").select("source", "source_id", "content_id", "author")
+
+
+@register("upsert_rows")
+def q_upsert_rows(spark, d):
+    c = _keyed_contents(spark, d)
+    target = c.where(F.col("ingest_seq") % 2 == 0).select("source", "source_id", "keyword", "url")
+    updates = c.where(F.col("ingest_seq") % 3 == 0).select("source", "source_id", F.lit("updated").alias("keyword"), "url")
+    return wh.keyed_update(target, updates, set_cols=("keyword",), upsert=True)
+
+
+@register("delete_where")
+def q_delete_where(spark, d):
+    return wh.delete_where(fx.contents(spark, d), F.col("keyword") == "es").select("source_id", "keyword")
+
+
+@register("route_by_type_source")
+def q_route_by_type_source(spark, d):
+    return cl.route(fx.raw_documents(spark, d)).select("ingest_seq", "type", "source", "parser")
+
+
+@register("clean_rejects")
+def q_clean_rejects(spark, d):
+    return cl.rejects(fx.raw_documents(spark, d))
+
+
+@register("source_registry_union")
+def q_source_registry_union(spark, d):
+    contents, _, _ = cl.clean(fx.raw_documents(spark, d))
+    return contents.select("source", "source_id", "keyword", "title")
+
+
+@register("run_totals")
+def q_run_totals(spark, d):
+    contents, comments, _ = cl.clean(fx.raw_documents(spark, d))
+    return an.run_totals({"contents": contents, "comments": comments})
+
+
+@register("extract_articles")
+def q_extract_articles(spark, d):
+    raw = fx.raw_documents(spark, d).where(F.col("type") == "content")
+    return X.extract_articles(raw).select("source_id", "source", "title", "author", "content", "published_at")
+
+
+# ============================================================ extraction
+
+def _raw_comments(spark, d, *sources):
+    return fx.raw_documents(spark, d).where((F.col("type") == "comment") & F.col("source").isin(*sources))
+
+
+@register("flatten_comment_threads")
+def q_flatten_comment_threads(spark, d):
+    return X.flatten_comment_threads(_raw_comments(spark, d, "detik", "cnn")).select(
+        "source", "content_id", "raw_parent_id", "source_id", "author", "content", "prokontra", "published_at")
+
+
+@register("flat_comments")
+def q_flat_comments(spark, d):
+    yt = X.flat_comments(_raw_comments(spark, d, "youtube"), "youtube")
+    rd = X.flat_comments(_raw_comments(spark, d, "reddit"), "reddit")
+    return yt.unionByName(rd).select("source", "source_id", "author", "content", "published_at")
+
+
+@register("json_contents")
+def q_json_contents(spark, d):
+    raw = fx.raw_documents(spark, d).where(F.col("type") == "content")
+    yt = X.json_contents(raw.where(F.col("source") == "youtube"), "youtube")
+    rd = X.json_contents(raw.where(F.col("source") == "reddit"), "reddit")
+    return yt.unionByName(rd).select("source_id", "source", "title", "author", "media", "content", "published_at")
+
+
+@register("normalise_payload")
+def q_normalise_payload(spark, d):
+    from murmur.sources.tables import read_table
+    ev = read_table(spark, d, "events").select(F.col("event_id").alias("ingest_seq"), F.col("props").alias("raw"))
+    pg = read_table(spark, d, "pages").select((-F.col("page_id") - 1).alias("ingest_seq"), F.col("html").alias("raw"))
+    return X.normalise_payload(ev.unionByName(pg))
+
+
+@register("extract_page_meta")
+def q_extract_page_meta(spark, d):
+    return X.page_meta(fx.raw_pages(spark, d))
+
+
+@register("extract_cards")
+def q_extract_cards(spark, d):
+    return X.extract_cards(fx.raw_pages(spark, d))
+
+
+@register("url_parts")
+def q_url_parts(spark, d):
+    return X.url_parts(fx.raw_pages(spark, d))
+
+
+@register("stable_ids")
+def q_stable_ids(spark, d):
+    from murmur.functions.hashing import make_id
+    p = fx.raw_pages(spark, d)
+    return p.select("ingest_seq", make_id("source", "content_id").alias("row_id"),
+                    F.sha2("url", 256).alias("url_sha256"), F.sha1("url").alias("url_sha1"),
+                    F.md5("url").alias("cache_key"))
+
+
+@register("json_path")
+def q_json_path(spark, d):
+    from murmur.functions.json import json_path
+    from murmur.sources.tables import read_table
+    ev = read_table(spark, d, "events").select("event_id", "props")
+    return ev.select("event_id", json_path("props", "$.k", default="0").alias("k"))
+
+
+@register("json_deep_find")
+def q_json_deep_find(spark, d):
+    hits = X.json_deep_find(_raw_comments(spark, d, "detik", "cnn").select("ingest_seq", "raw"), "id")
+    return hits.select("ingest_seq", "depth", "value", "first")
+
+
+@register("extract_feed_entries")
+def q_extract_feed_entries(spark, d):
+    return X.extract_feed_entries(fx.feeds(spark, d))
+
+
+@register("extract_json_items")
+def q_extract_json_items(spark, d):
+    return X.extract_json_items(fx.json_pages(spark, d))
+
+
+@register("normalise_timestamps")
+def q_normalise_timestamps(spark, d):
+    t = fx.times(spark, d)
+    return t.select("event_id", "published_at", iso_ts(parse_publish_time(F.col("published_at"))).alias("published_ts"))

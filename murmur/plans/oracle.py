@@ -231,3 +231,219 @@ ORACLE["ttl_dedupe"] = """WITH RECURSIVE acc(user_id, ts, event_id) AS (
              WHERE e.user_id = acc.user_id AND e.ts >= acc.ts + INTERVAL 7 DAY
              ORDER BY e.ts, e.event_id LIMIT 1) n)
 SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS accepted_at FROM acc"""
+
+# ============================================================ raw zone, warehouse, cleaner
+
+_CSRC = "['detik','cnn','liputan6','merdeka','youtube','reddit','kompas']"
+_MSRC = "['detik','cnn','youtube','reddit','kompas']"
+
+# raw-zone envelope of murmur.fixtures.raw_documents (payloads are not needed by these oracles)
+VIEWS["v_raw_env"] = f"""
+  SELECT 2 * doc_id AS ingest_seq, 'content' AS type, {_CSRC}[doc_id % 7 + 1] AS source, doc_id, NULL AS conv_id
+  FROM documents
+  UNION ALL
+  SELECT 2 * (8 * conv_id + turn) + 1, 'comment', {_MSRC}[conv_id % 5 + 1], NULL, conv_id
+  FROM conversations WHERE conv_id % 5 >= 2
+  UNION ALL
+  SELECT DISTINCT 16 * conv_id + 1, 'comment', {_MSRC}[conv_id % 5 + 1], NULL, conv_id
+  FROM conversations WHERE conv_id % 5 < 2"""
+
+# contents the cleaner produces from murmur.fixtures.raw_documents
+VIEWS["v_clean_contents"] = f"""
+  SELECT source, lang AS keyword, doc_id,
+    CASE WHEN doc_id % 11 <> 0 THEN CAST(doc_id AS VARCHAR)
+         WHEN source = 'reddit' AND doc_id % 13 <> 0 THEN 'p' || CAST(doc_id AS VARCHAR)
+         ELSE 'https://' || source || '.example/read/' || CAST(doc_id AS VARCHAR) END AS source_id,
+    CASE WHEN source IN ('detik', 'cnn') THEN 'Card ' || CAST(doc_id AS VARCHAR)
+         WHEN source IN ('liputan6', 'merdeka') THEN 'Story ' || CAST(doc_id AS VARCHAR)
+         WHEN doc_id % 13 = 0 THEN '' ELSE 'Post ' || CAST(doc_id AS VARCHAR) END AS title
+  FROM (SELECT doc_id, lang, text, {_CSRC}[doc_id % 7 + 1] AS source FROM documents) d
+  WHERE source <> 'kompas' AND NOT (source IN ('detik', 'cnn', 'liputan6', 'merdeka') AND doc_id % 13 = 0)"""
+
+VIEWS["v_conv_ts"] = f"""
+  SELECT *, {_MSRC}[conv_id % 5 + 1] AS source,
+    make_timestamp(CAST(1704067200 + conv_id * 3600 + turn * 60 AS BIGINT) * 1000000) AS cts
+  FROM conversations"""
+
+ORACLE["raw_incremental_scan"] = f"""{W('v_raw_pages')}
+SELECT ingest_seq, type, source, url FROM v_raw_pages WHERE ingest_seq > 100 ORDER BY ingest_seq"""
+
+ORACLE["late_rows"] = f"""{W('v_raw_pages')}
+SELECT ingest_seq, url, 'late' AS reason FROM v_raw_pages WHERE ingest_seq <= 100"""
+
+ORACLE["find_page"] = f"""{W('v_contents')}
+SELECT source_id, url, ingest_seq FROM v_contents WHERE keyword = 'en' ORDER BY ingest_seq LIMIT 10 OFFSET 20"""
+
+ORACLE["find_first"] = f"""{W('v_contents')}
+SELECT source_id, keyword, url, ingest_seq FROM v_contents WHERE keyword = 'fr' ORDER BY ingest_seq DESC LIMIT 1"""
+
+ORACLE["count_where"] = f"""{W('v_contents')}
+SELECT count(*) AS n FROM v_contents WHERE keyword = 'en' AND content_id <> ''"""
+
+ORACLE["match_group_sort"] = f"""{W('v_contents')}
+SELECT keyword, count(*) AS n, min(ingest_seq) AS min_seq, max(ingest_seq) AS max_seq FROM v_contents
+WHERE content_id <> '' GROUP BY keyword ORDER BY n DESC, keyword"""
+
+ORACLE["warehouse_param_sql"] = f"""{W('v_opinions')}
+SELECT source, count(*) AS n, round(avg(confidence), 6) AS avg_confidence FROM v_opinions
+WHERE keyword = 'click' AND day >= DATE '2024-01-15' GROUP BY source"""
+
+ORACLE["raw_append"] = f"""{W('v_raw_pages')}
+SELECT ingest_seq, type, source, url, '2024-01-30 00:00:00' AS created_at FROM v_raw_pages"""
+
+_KEYED = """k AS (SELECT source, coalesce(nullif(content_id, ''), url) AS source_id, keyword, url, ingest_seq FROM v_contents)"""
+
+ORACLE["insert_contents_new"] = f"""{W('v_contents')}, {_KEYED},
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, source_id ORDER BY ingest_seq) AS rn FROM k) t WHERE rn = 1)
+SELECT source, source_id, keyword, url FROM f
+WHERE NOT EXISTS (SELECT 1 FROM k e WHERE e.ingest_seq % 5 = 0 AND e.source = f.source AND e.source_id = f.source_id)"""
+
+ORACLE["insert_comments_new"] = f"""{W('v_comments')},
+f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, source_id ORDER BY turn) AS rn FROM v_comments) t WHERE rn = 1)
+SELECT source, source_id, content_id, author FROM f
+WHERE NOT EXISTS (SELECT 1 FROM v_comments e WHERE CAST(e.content_id AS BIGINT) % 5 = 0
+                  AND e.source = f.source AND e.source_id = f.source_id)"""
+
+ORACLE["upsert_rows"] = f"""{W('v_contents')}, {_KEYED},
+t AS (SELECT source, source_id, keyword, url FROM k WHERE ingest_seq % 2 = 0),
+u AS (SELECT source, source_id, 'updated' AS keyword, url FROM k WHERE ingest_seq % 3 = 0)
+SELECT coalesce(t.source, u.source) AS source, coalesce(t.source_id, u.source_id) AS source_id,
+  CASE WHEN u.source IS NOT NULL THEN u.keyword ELSE t.keyword END AS keyword,
+  CASE WHEN t.source IS NULL THEN u.url ELSE t.url END AS url
+FROM t FULL JOIN u ON t.source = u.source AND t.source_id = u.source_id"""
+
+ORACLE["delete_where"] = f"""{W('v_contents')}
+SELECT source_id, keyword FROM v_contents WHERE NOT coalesce(keyword = 'es', FALSE)"""
+
+ORACLE["route_by_type_source"] = f"""{W('v_raw_env')}
+SELECT ingest_seq, type, source,
+  CASE WHEN type = 'content' AND source IN ('detik', 'cnn', 'liputan6', 'merdeka') THEN 'html_article'
+       WHEN type = 'content' AND source = 'youtube' THEN 'video_json'
+       WHEN type = 'content' AND source = 'reddit' THEN 'forum_json'
+       WHEN type = 'comment' AND source IN ('detik', 'cnn') THEN 'thread_json'
+       WHEN type = 'comment' AND source = 'youtube' THEN 'video_comment'
+       WHEN type = 'comment' AND source = 'reddit' THEN 'forum_comment'
+       ELSE 'none' END AS parser
+FROM v_raw_env"""
+
+ORACLE["clean_rejects"] = f"""{W('v_raw_env')},
+r AS (SELECT ingest_seq, type, source,
+  CASE WHEN source = 'kompas' THEN 'no parser'
+       WHEN type = 'content' AND source IN ('detik', 'cnn', 'liputan6', 'merdeka') AND doc_id % 13 = 0 THEN 'empty payload'
+  END AS reason FROM v_raw_env)
+SELECT * FROM r WHERE reason IS NOT NULL"""
+
+ORACLE["source_registry_union"] = f"""{W('v_clean_contents')}
+SELECT source, source_id, keyword, title FROM v_clean_contents"""
+
+ORACLE["run_totals"] = f"""{W('v_clean_contents', 'v_conv_ts')}
+SELECT 'contents' AS table_name, source, count(*) AS n FROM v_clean_contents GROUP BY source
+UNION ALL
+SELECT 'comments', source, count(*) FROM v_conv_ts WHERE source <> 'kompas' GROUP BY source"""
+
+# ============================================================ extraction
+
+ORACLE["flatten_comment_threads"] = f"""{W('v_conv_ts')}
+SELECT source, CAST(conv_id AS VARCHAR) AS content_id, 'c' || CAST(conv_id AS VARCHAR) AS raw_parent_id,
+  CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS source_id, role AS author, text AS content,
+  CASE WHEN turn = 0 THEN 'pro' END AS prokontra, strftime(cts, '%Y-%m-%d %H:%M:%S') AS published_at
+FROM v_conv_ts WHERE source IN ('detik', 'cnn')"""
+
+ORACLE["flat_comments"] = f"""{W('v_conv_ts')}
+SELECT source, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS source_id, role AS author, text AS content,
+  CASE WHEN source = 'youtube' THEN strftime(cts, '%Y-%m-%d %H:%M:%S') ELSE strftime(cts, '%Y-%m-%dT%H:%M:%S') END AS published_at
+FROM v_conv_ts WHERE source IN ('youtube', 'reddit')"""
+
+ORACLE["json_contents"] = f"""
+WITH d AS (SELECT doc_id, lang, text, {_CSRC}[doc_id % 7 + 1] AS source, DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER) AS day,
+                  doc_id % 13 = 0 AS blank FROM documents)
+SELECT
+  CASE WHEN doc_id % 11 <> 0 THEN CAST(doc_id AS VARCHAR)
+       WHEN source = 'reddit' AND NOT blank THEN 'p' || CAST(doc_id AS VARCHAR)
+       ELSE 'https://' || source || '.example/read/' || CAST(doc_id AS VARCHAR) END AS source_id,
+  source,
+  CASE WHEN blank THEN '' ELSE 'Post ' || CAST(doc_id AS VARCHAR) END AS title,
+  CASE WHEN blank THEN '' WHEN source = 'youtube' THEN 'channel' || CAST(doc_id % 17 AS VARCHAR)
+       ELSE 'user' || CAST(doc_id % 23 AS VARCHAR) END AS author,
+  CASE WHEN blank OR source = 'reddit' THEN '' ELSE 'channel' || CAST(doc_id % 17 AS VARCHAR) END AS media,
+  CASE WHEN blank THEN '' ELSE text END AS content,
+  CASE WHEN doc_id % 3 <> 0 THEN strftime(day, '%Y-%m-%d %H:%M:%S')
+       WHEN blank THEN ''
+       WHEN source = 'youtube' THEN strftime(day, '%Y-%m-%d')
+       ELSE strftime(CAST(day AS TIMESTAMP) + to_seconds(doc_id % 86400), '%Y-%m-%dT%H:%M:%S') END AS published_at
+FROM d WHERE source IN ('youtube', 'reddit')"""
+
+ORACLE["normalise_payload"] = """
+WITH r AS (SELECT event_id AS ingest_seq, props AS raw FROM events
+           UNION ALL SELECT -page_id - 1, html FROM pages),
+o AS (SELECT ingest_seq, raw, coalesce(json_valid(raw), FALSE) AND json_type(CASE WHEN json_valid(raw) THEN raw ELSE '0' END) = 'OBJECT' AS ok FROM r)
+SELECT ingest_seq, ok AS is_object,
+  CASE WHEN ok THEN array_to_string(list_sort(json_keys(raw)), ',') ELSE '' END AS top_keys FROM o"""
+
+def _unesc(x: str) -> str:
+    return (f"replace(replace(replace(replace(replace({x}, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), "
+            f"'&#39;', ''''), '&amp;', '&')")
+
+
+ORACLE["extract_page_meta"] = f"""{W('v_raw_pages')}
+SELECT ingest_seq,
+  coalesce(nullif({_unesc("regexp_extract(raw, '<meta\\s+property=\"og:title\"\\s+content=\"([^\"]*)\"', 1)")}, ''),
+           nullif({_unesc("regexp_extract(raw, '<title[^>]*>([^<]*)</title>', 1)")}, ''), '') AS title,
+  {_unesc("regexp_extract(raw, '<meta\\s+name=\"author\"\\s+content=\"([^\"]*)\"', 1)")} AS author,
+  regexp_extract(raw, '<html[^>]*\\slang=\"([^\"]*)\"', 1) AS lang
+FROM v_raw_pages"""
+
+ORACLE["extract_cards"] = f"""{W('v_raw_pages')},
+a AS (SELECT ingest_seq, regexp_extract_all(raw, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs,
+             regexp_extract_all(raw, '<a href="([^"]*)">([^<]*)</a>', 2) AS texts FROM v_raw_pages)
+SELECT ingest_seq, CAST(i AS INTEGER) AS pos, hrefs[i] AS href, {_unesc('texts[i]')} AS text,
+  split_part(regexp_replace(hrefs[i], '^(https?://[^/]+)?/+', ''), '/', 1) AS category
+FROM a, range(1, len(hrefs) + 1) t(i)"""
+
+ORACLE["url_parts"] = f"""{W('v_raw_pages')}
+SELECT ingest_seq, url,
+  regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS host,
+  regexp_extract(url, '^[a-z]+://[^/]+/([^/?#]*)', 1) AS segment,
+  nullif(regexp_extract(url, '/([0-9]+)(?:[/?#.]|$)', 1), '') AS article_id,
+  CASE WHEN regexp_matches(url, '[?&]page=') THEN regexp_extract(url, '[?&]page=([^&#]*)', 1) END AS page_param,
+  CASE WHEN regexp_matches(url, '[?&]ref=') THEN regexp_extract(url, '[?&]ref=([^&#]*)', 1) END AS ref_param
+FROM v_raw_pages"""
+
+ORACLE["stable_ids"] = f"""{W('v_raw_pages')}
+SELECT ingest_seq, md5(concat_ws(':', coalesce(source, ''), coalesce(content_id, ''))) AS row_id,
+  sha256(url) AS url_sha256, sha1(url) AS url_sha1, md5(url) AS cache_key FROM v_raw_pages"""
+
+ORACLE["json_path"] = """
+SELECT event_id, coalesce(json_extract_string(props, '$.k'), '0') AS k FROM events"""
+
+ORACLE["json_deep_find"] = """
+SELECT 16 * conv_id + 1 AS ingest_seq, CASE WHEN turn = 0 THEN 1 ELSE 3 END AS depth,
+  CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS value, turn = 0 AS first
+FROM conversations WHERE conv_id % 5 < 2"""
+
+ORACLE["extract_feed_entries"] = """
+SELECT event_type AS keyword, CAST(event_id AS VARCHAR) AS content_id,
+  'https://forum.example/r/' || event_type || '/comments/' || CAST(event_id AS VARCHAR) AS url,
+  'Post ' || CAST(event_id AS VARCHAR) AS title, 'user' || CAST(user_id AS VARCHAR) AS author,
+  'r/' || event_type AS media, strftime(ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS published_at
+FROM events WHERE event_id % 10 <> 0"""
+
+ORACLE["extract_json_items"] = f"""{W('v_candidates')},
+p AS (SELECT *, CAST(pos - (page - 1) * 20 AS INTEGER) AS ppos FROM v_candidates)
+SELECT keyword, source, page, ppos AS pos, content_id AS item_id, 'https://cnn.example/read/' || content_id AS url,
+  CAST(NULL AS VARCHAR) AS video_id FROM p WHERE source = 'cnn'
+UNION ALL
+SELECT keyword, source, page, ppos, CAST(NULL AS VARCHAR), '/watch?v=v' || content_id, 'v' || content_id
+FROM p WHERE source <> 'cnn' AND CAST(content_id AS INTEGER) % 7 <> 0"""
+
+ORACLE["normalise_timestamps"] = """
+WITH t AS (SELECT event_id, ts, CAST(event_id % 4 AS INTEGER) AS k FROM events)
+SELECT event_id,
+  CASE k WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+         WHEN 2 THEN CAST(day(ts) AS VARCHAR) || ' ' ||
+           ['Januari','Februari','Maret','April','Mei','Juni','Juli','Agustus','September','Oktober','November','Desember'][month(ts)]
+           || ' ' || CAST(year(ts) AS VARCHAR)
+         ELSE CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', ts) AS VARCHAR) END AS published_at,
+  CASE WHEN k = 2 THEN strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S')
+       ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS published_ts
+FROM t"""
