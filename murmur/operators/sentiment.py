@@ -1,15 +1,121 @@
-"""Sentiment stage: unprocessed selection (C21), cascade routing (K2), the two-tier classifier (K1),
-bulk-model training (K4), keyed label updates (B4) and the engine report input (E10).
+"""Sentiment stage: unprocessed selection (C21), cascade routing (K2), bulk-model training (K4),
+the two-tier classifier (K1), keyed label updates (B4/D5) and the engine report input (E10).
+
+Tier 1 is a Spark ML pipeline (tokenizer -> hashed term frequencies -> IDF -> multinomial logistic
+regression), trained and applied inside the JVM. Rows under the confidence threshold, and only
+those, go to tier 2, a pluggable vectorised scorer (a pandas UDF over Arrow batches). The default
+tier 2 is a small lexicon scorer standing in for an external model; it may return no label, in
+which case the row stays unprocessed and is picked up again on the next pass.
 """
 
 from __future__ import annotations
 
+import pandas as pd
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, StringIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from murmur.functions.text import WORD_SPLIT
+from murmur.operators.warehouse import keyed_update
 
 CONFIDENCE_THRESHOLD = 0.75
+BULK, FALLBACK = "bulk", "fallback"
+LABELS = ("negative", "neutral", "positive")
 
 
 def unprocessed(comments: DataFrame) -> DataFrame:
     """Rows still to label: not processed and with content (empty string counts, NULL does not)."""
     return comments.where(~F.col("ai_processed") & F.col("content").isNotNull())
+
+
+def cascade_routing(scored: DataFrame, threshold: float = CONFIDENCE_THRESHOLD) -> DataFrame:
+    """K2: which tier answers a row, given its tier-1 confidence."""
+    low = F.col("confidence") < threshold
+    return scored.withColumn("engine", F.when(low, FALLBACK).otherwise(BULK)) \
+        .withColumn("needs_fallback", F.coalesce(low, F.lit(True)))
+
+
+def train_bulk_model(labelled: DataFrame, text_col: str = "content", label_col: str = "sentiment",
+                     num_features: int = 1 << 18, max_iter: int = 30) -> PipelineModel:
+    """K4: fit the tier-1 model on labelled texts (distributed: treeAggregate gradient steps)."""
+    indexer = StringIndexer(inputCol=label_col, outputCol="label", stringOrderType="alphabetAsc",
+                            handleInvalid="skip")
+    stages = [
+        indexer,
+        RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=WORD_SPLIT, gaps=True, toLowercase=True),
+        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
+        IDF(inputCol="_tf", outputCol="_features", minDocFreq=2),
+        LogisticRegression(featuresCol="_features", labelCol="label", family="multinomial",
+                           maxIter=max_iter, regParam=0.01, probabilityCol="_prob", predictionCol="_pred",
+                           rawPredictionCol="_raw"),
+    ]
+    return Pipeline(stages=stages).fit(labelled)
+
+
+def score_bulk(model: PipelineModel, texts: DataFrame) -> DataFrame:
+    """Tier 1: label and confidence (the top class probability) for every row."""
+    labels = model.stages[0].labels
+    out = PipelineModel(stages=model.stages[1:]).transform(texts)   # the label indexer is for training only
+    out = IndexToString(inputCol="_pred", outputCol="_label", labels=labels).transform(out)
+    keep = [c for c in texts.columns]
+    return out.select(*keep, F.col("_label").alias("bulk_label"),
+                      F.array_max(vector_to_array("_prob")).alias("bulk_confidence"))
+
+
+# The default tier-2 lexicon (a stand-in for the external fallback model).
+POSITIVE_WORDS = ("good great love best happy thanks excellent agree bagus baik setuju suka mantap bon "
+                  "bien gut super bueno").split()
+NEGATIVE_WORDS = ("bad worst hate angry sad wrong terrible disagree buruk jelek benci marah salah tolak "
+                  "mal mauvais schlecht malo").split()
+
+
+@F.pandas_udf("struct<label: string, confidence: double>")
+def lexicon_fallback(texts: pd.Series) -> pd.DataFrame:
+    """Default tier 2: lexicon polarity; no label when the text has no lexicon word at all."""
+    pos, neg = set(POSITIVE_WORDS), set(NEGATIVE_WORDS)
+    toks = texts.fillna("").str.lower().str.findall(r"[^\W_]+")
+    p = toks.map(lambda ws: sum(w in pos for w in ws))
+    n = toks.map(lambda ws: sum(w in neg for w in ws))
+    hit = (p + n) > 0
+    label = pd.Series(None, index=texts.index, dtype="object")
+    label[hit & (p > n)] = "positive"
+    label[hit & (n > p)] = "negative"
+    label[hit & (n == p)] = "neutral"
+    conf = ((p - n).abs() / (p + n).where(hit)).astype("float64")
+    return pd.DataFrame({"label": label, "confidence": conf})
+
+
+def classify_cascade(model: PipelineModel, texts: DataFrame, text_col: str = "content",
+                     threshold: float = CONFIDENCE_THRESHOLD, fallback=lexicon_fallback) -> DataFrame:
+    """K1: tier 1 for every row; tier 2 only for the rows under the threshold.
+
+    Output adds sentiment, engine, confidence (NULL sentiment = no answer, row stays unprocessed).
+    Tier 1 is cheap JVM work, so the two branches recompute it instead of caching; the Python tier
+    sees only the filtered remainder.
+    """
+    scored = score_bulk(model, texts)
+    base = texts.columns
+    high = scored.where(F.col("bulk_confidence") >= threshold).select(
+        *base, F.col("bulk_label").alias("sentiment"), F.lit(BULK).alias("engine"),
+        F.col("bulk_confidence").alias("confidence"))
+    low = scored.where(~(F.col("bulk_confidence") >= threshold) | F.col("bulk_confidence").isNull())
+    low = low.withColumn("_t2", fallback(F.col(text_col))).select(
+        *base, F.col("_t2.label").alias("sentiment"), F.lit(FALLBACK).alias("engine"),
+        F.col("_t2.confidence").alias("confidence"))
+    return high.unionByName(low)
+
+
+def apply_labels(comments: DataFrame, labels: DataFrame, keys=("source", "source_id")) -> DataFrame:
+    """Write sentiment, engine, confidence and ai_processed=true for labelled keys; rows the
+    classifier answered nothing for keep ai_processed=false (Q16)."""
+    answered = labels.where(F.col("sentiment").isNotNull()).select(*keys, "sentiment", "engine", "confidence")
+    target = comments
+    for c, t in (("engine", T.StringType()), ("confidence", T.DoubleType()), ("sentiment", T.StringType())):
+        if c not in target.columns:
+            target = target.withColumn(c, F.lit(None).cast(t))
+    return keyed_update(target, answered, keys=keys, set_cols=("sentiment", "engine", "confidence"),
+                        flag=("ai_processed", True))

@@ -419,3 +419,68 @@ def q_extract_json_items(spark, d):
 def q_normalise_timestamps(spark, d):
     t = fx.times(spark, d)
     return t.select("event_id", "published_at", iso_ts(parse_publish_time(F.col("published_at"))).alias("published_ts"))
+
+
+# ============================================================ sentiment, privacy
+
+from murmur.operators import sentiment as se  # noqa: E402
+
+SECRET = "murmur-pseudonym-key"   # a deployment reads this from its secret store
+
+
+@register("cascade_routing")
+def q_cascade_routing(spark, d):
+    return se.cascade_routing(fx.opinions(spark, d)).select("source_id", "source", "engine", "needs_fallback")
+
+
+@register("engine_report")
+def q_engine_report(spark, d):
+    done = se.cascade_routing(fx.opinions(spark, d).where(F.col("ai_processed")))
+    return an.engine_report(done)
+
+
+def _classifier_answers(spark, d):
+    """Labels for the unprocessed opinions as a classifier would return them (derived from the
+    event payload; every 9th value gets no answer)."""
+    from murmur.sources.tables import read_table
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "props")
+    k = F.get_json_object("props", "$.k").cast("int")
+    u4 = (F.col("user_id") % 4).cast("int")
+    return ev.where(F.col("event_id") % 10 == 0).select(
+        F.when(u4 == 0, "reddit").when(u4 == 1, "youtube").when(u4 == 2, "detik").otherwise("cnn").alias("source"),
+        F.col("event_id").cast("string").alias("source_id"),
+        F.when(k % 9 == 0, F.lit(None)).when(k < 34, "negative").when(k < 67, "neutral")
+        .otherwise("positive").alias("sentiment"),
+        F.when(k / F.lit(100.0) >= se.CONFIDENCE_THRESHOLD, se.BULK).otherwise(se.FALLBACK).alias("engine"),
+        (k / F.lit(100.0)).alias("confidence"))
+
+
+@register("apply_sentiment_updates")
+def q_apply_sentiment_updates(spark, d):
+    op = fx.opinions(spark, d).select("source", "source_id", "sentiment", "confidence", "ai_processed")
+    out = se.apply_labels(op, _classifier_answers(spark, d))
+    return out.select("source_id", "source", "sentiment", "engine", F.round("confidence", 6).alias("confidence"),
+                      "ai_processed")
+
+
+@register("pseudonymise_authors")
+def q_pseudonymise_authors(spark, d):
+    from murmur.functions.hashing import hmac_sha256
+    op = fx.opinions(spark, d)
+    return op.select("source_id", "source", hmac_sha256("author", SECRET).alias("author_hash"))
+
+
+@register("train_bulk_model")
+def q_train_bulk_model(spark, d):
+    lab = fx.labelled(spark, d)
+    model = se.train_bulk_model(lab)
+    return se.score_bulk(model, lab.select("doc_id", "content", "sentiment")).select(
+        "doc_id", "sentiment", "bulk_label", F.round("bulk_confidence", 6).alias("bulk_confidence"))
+
+
+@register("classify_cascade")
+def q_classify_cascade(spark, d):
+    from murmur.sources.tables import read_table
+    model = se.train_bulk_model(fx.labelled(spark, d))
+    docs = read_table(spark, d, "documents").select("doc_id", F.col("text").alias("content"))
+    return se.classify_cascade(model, docs).select("doc_id", "sentiment", "engine", "confidence")

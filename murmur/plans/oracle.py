@@ -447,3 +447,36 @@ SELECT event_id,
   CASE WHEN k = 2 THEN strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S')
        ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS published_ts
 FROM t"""
+
+# ============================================================ sentiment, privacy
+
+ORACLE["cascade_routing"] = f"""{W('v_opinions')}
+SELECT source_id, source, CASE WHEN confidence < 0.75 THEN 'fallback' ELSE 'bulk' END AS engine,
+  coalesce(confidence < 0.75, TRUE) AS needs_fallback FROM v_opinions"""
+
+ORACLE["engine_report"] = f"""{W('v_opinions')},
+r AS (SELECT confidence, CASE WHEN confidence < 0.75 THEN 'fallback' ELSE 'bulk' END AS engine FROM v_opinions WHERE ai_processed)
+SELECT engine, count(*) AS n, round(avg(confidence), 6) AS avg_confidence,
+  round(count_if(confidence < 0.75) / count(*), 6) AS share_low FROM r GROUP BY engine"""
+
+ORACLE["apply_sentiment_updates"] = f"""{W('v_opinions')},
+a AS (SELECT CASE CAST(user_id % 4 AS INTEGER) WHEN 0 THEN 'reddit' WHEN 1 THEN 'youtube' WHEN 2 THEN 'detik' ELSE 'cnn' END AS source,
+        CAST(event_id AS VARCHAR) AS source_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+      FROM events WHERE event_id % 10 = 0),
+l AS (SELECT source, source_id,
+        CASE WHEN k < 34 THEN 'negative' WHEN k < 67 THEN 'neutral' ELSE 'positive' END AS sentiment,
+        CASE WHEN k / CAST(100 AS DOUBLE) >= 0.75 THEN 'bulk' ELSE 'fallback' END AS engine,
+        k / CAST(100 AS DOUBLE) AS confidence FROM a WHERE k % 9 <> 0)
+SELECT o.source_id, o.source,
+  CASE WHEN l.source IS NOT NULL THEN l.sentiment ELSE o.sentiment END AS sentiment,
+  CASE WHEN l.source IS NOT NULL THEN l.engine END AS engine,
+  round(CASE WHEN l.source IS NOT NULL THEN l.confidence ELSE o.confidence END, 6) AS confidence,
+  CASE WHEN l.source IS NOT NULL THEN TRUE ELSE o.ai_processed END AS ai_processed
+FROM v_opinions o LEFT JOIN l ON o.source = l.source AND o.source_id = l.source_id"""
+
+# HMAC-SHA256(author, key) from sha256 over bytes; the padded keys are derived from the key by the
+# standard construction (key XOR 0x36 / 0x5c, zero-padded to the 64-byte block).
+ORACLE["pseudonymise_authors"] = f"""{W('v_opinions')}
+SELECT source_id, source,
+  sha256(unhex('31292e31292e712c2f39293833322531713739255c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c') || unhex(sha256(unhex('5b43445b43441b464553435259584f5b1b5d534f3636363636363636363636363636363636363636363636363636363636363636363636363636363636363636') || encode(author)))) AS author_hash
+FROM v_opinions"""
