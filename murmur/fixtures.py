@@ -306,3 +306,21 @@ def times(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k == 2, F.concat_ws(" ", F.dayofmonth("ts").cast("string"), month, F.year("ts").cast("string")))
             .otherwise(epoch.cast("string")))
     return ev.select("event_id", "ts", text.alias("published_at"))
+
+
+def job_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyword job messages (JSON text) derived from events: every 50th keyword is blank and the
+    next one missing; interval, platforms, news_sources, force and limit vary, some absent."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
+    e50 = F.col("event_id") % 50
+    msg = F.struct(
+        F.when(e50 == 0, F.lit("   ")).when(e50 == 1, F.lit(None)).otherwise(F.col("event_type")).alias("keyword"),
+        F.element_at(F.array(F.lit("30d"), F.lit("7d"), F.lit("1m"), F.lit("2w"), F.lit(None).cast("string")),
+                     (F.col("event_id") % 5).cast("int") + 1).alias("interval"),
+        F.element_at(F.array(F.lit("all"), F.lit("news"), F.lit("socmed")), (F.col("user_id") % 3).cast("int") + 1)
+        .alias("platforms"),
+        F.when(F.col("user_id") % 2 == 0, F.lit("all")).otherwise(F.lit("detik,cnn")).alias("news_sources"),
+        F.when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("event_id") % 7 == 0).alias("force"),
+        F.when(F.col("event_id") % 13 == 0, F.lit(0)).when(F.col("event_id") % 4 == 0, F.lit(20))
+        .alias("limit"))
+    return ev.select(F.col("event_id").alias("job_id"), F.to_json(msg).alias("value"))

@@ -484,3 +484,27 @@ def q_classify_cascade(spark, d):
     model = se.train_bulk_model(fx.labelled(spark, d))
     docs = read_table(spark, d, "documents").select("doc_id", F.col("text").alias("content"))
     return se.classify_cascade(model, docs).select("doc_id", "sentiment", "engine", "confidence")
+
+
+# ============================================================ jobs
+
+from murmur.operators import jobs as jb  # noqa: E402
+
+
+def _valid_jobs(spark, d):
+    return jb.validate(jb.decode(fx.job_messages(spark, d)))
+
+
+@register("valid_jobs")
+def q_valid_jobs(spark, d):
+    return _valid_jobs(spark, d).select("job_id", "keyword", "interval", "platforms", "news_sources", "force", "limit")
+
+
+@register("job_source_fanout")
+def q_job_source_fanout(spark, d):
+    return jb.fan_out(_valid_jobs(spark, d)).select("job_id", "keyword", "source")
+
+
+@register("jobs_to_json")
+def q_jobs_to_json(spark, d):
+    return jb.to_messages(_valid_jobs(spark, d), key_col="job_id")

@@ -480,3 +480,32 @@ ORACLE["pseudonymise_authors"] = f"""{W('v_opinions')}
 SELECT source_id, source,
   sha256(unhex('31292e31292e712c2f39293833322531713739255c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c5c') || unhex(sha256(unhex('5b43445b43441b464553435259584f5b1b5d534f3636363636363636363636363636363636363636363636363636363636363636363636363636363636363636') || encode(author)))) AS author_hash
 FROM v_opinions"""
+
+# ============================================================ jobs
+
+VIEWS["v_jobs"] = """
+  SELECT job_id, keyword, coalesce(interval, '30d') AS interval, platforms, news_sources,
+    coalesce(force, FALSE) AS force, CAST(coalesce("limit", 50) AS INTEGER) AS "limit" FROM (
+    SELECT event_id AS job_id,
+      CASE WHEN event_id % 50 = 0 THEN '   ' WHEN event_id % 50 = 1 THEN NULL ELSE event_type END AS keyword,
+      ['30d', '7d', '1m', '2w', NULL][event_id % 5 + 1] AS interval,
+      ['all', 'news', 'socmed'][user_id % 3 + 1] AS platforms,
+      CASE WHEN user_id % 2 = 0 THEN 'all' ELSE 'detik,cnn' END AS news_sources,
+      CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 7 = 0 END AS force,
+      CASE WHEN event_id % 13 = 0 THEN 0 WHEN event_id % 4 = 0 THEN 20 END AS "limit"
+    FROM events) t
+  WHERE trim(keyword) <> ''"""
+
+ORACLE["valid_jobs"] = f"""{W('v_jobs')}
+SELECT job_id, keyword, interval, platforms, news_sources, force, "limit" FROM v_jobs"""
+
+ORACLE["job_source_fanout"] = f"""{W('v_jobs')},
+s(name, kind) AS (VALUES ('detik', 'news'), ('cnn', 'news'), ('liputan6', 'news'), ('merdeka', 'news'),
+                         ('youtube', 'socmed'), ('reddit', 'socmed'))
+SELECT j.job_id, j.keyword, s.name AS source FROM v_jobs j, s
+WHERE (j.platforms = 'all' OR j.platforms = s.kind)
+  AND (s.kind <> 'news' OR j.news_sources = 'all' OR list_contains(string_split(j.news_sources, ','), s.name))"""
+
+ORACLE["jobs_to_json"] = f"""{W('v_jobs')}
+SELECT job_id, CAST(to_json({{'keyword': keyword, 'interval': interval, 'platforms': platforms,
+  'news_sources': news_sources, 'force': force, 'limit': "limit"}}) AS VARCHAR) AS value FROM v_jobs"""
