@@ -26,7 +26,12 @@ def ts_ntz(text: str) -> Column:
 
 def opinions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """v_opinions: one row per event, mapped to an opinion (comment or post) with a sentiment label."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value", "props")
+    return opinions_from_events(read_table(spark, sf_dir, "events"))
+
+
+def opinions_from_events(events: DataFrame) -> DataFrame:
+    """The events -> opinions mapping (batch or streaming input)."""
+    ev = events.select("event_id", "ts", "user_id", "event_type", "value", "props")
     u4 = (F.col("user_id") % 4).cast("int")
     return ev.select(
         F.col("event_id").cast("string").alias("source_id"),

@@ -508,3 +508,49 @@ def q_job_source_fanout(spark, d):
 @register("jobs_to_json")
 def q_jobs_to_json(spark, d):
     return jb.to_messages(_valid_jobs(spark, d), key_col="job_id")
+
+
+# ============================================================ streaming (batch twins compared)
+
+@register("stream_daily_sentiment")
+def q_stream_daily_sentiment(spark, d):
+    from murmur.streaming.daily import run_daily_sentiment
+    return run_daily_sentiment(spark, d)
+
+
+@register("stream_ttl_dedupe")
+def q_stream_ttl_dedupe(spark, d):
+    from murmur.streaming.dedupe import run_ttl_dedupe
+    out = run_ttl_dedupe(spark, d, ttl_days=7)
+    ts = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("ts").cast("timestamp_ntz"))
+    return out.select("user_id", "event_id", iso_ts(ts).alias("accepted_at"))
+
+
+@register("stream_job_fanout")
+def q_stream_job_fanout(spark, d):
+    from murmur.streaming.jobs import run_fanout
+    return run_fanout(spark, d)
+
+
+@register("job_stream_decode")
+def q_job_stream_decode(spark, d):
+    from murmur.streaming.jobs import run_decode
+    return run_decode(spark, d).select("job_id", "keyword", "interval", "platforms", "news_sources", "force", "limit")
+
+
+@register("json_dir_to_messages")
+def q_json_dir_to_messages(spark, d):
+    from murmur.streaming.jobs import run_json_dir
+    return run_json_dir(spark, d)
+
+
+@register("stream_clean")
+def q_stream_clean(spark, d):
+    from murmur.streaming.clean import run_clean
+    from murmur.streaming.common import new_location
+    raw_path = new_location(spark, "raw", "raw_documents")
+    wh.append_raw(fx.raw_documents(spark, d), raw_path)
+    paths = run_clean(spark, raw_path, new_location(spark, "warehouse", "wh"))
+    contents = spark.read.parquet(paths["contents"])
+    comments = spark.read.parquet(paths["comments"])
+    return an.run_totals({"contents": contents, "comments": comments})

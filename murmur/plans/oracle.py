@@ -509,3 +509,12 @@ WHERE (j.platforms = 'all' OR j.platforms = s.kind)
 ORACLE["jobs_to_json"] = f"""{W('v_jobs')}
 SELECT job_id, CAST(to_json({{'keyword': keyword, 'interval': interval, 'platforms': platforms,
   'news_sources': news_sources, 'force': force, 'limit': "limit"}}) AS VARCHAR) AS value FROM v_jobs"""
+
+# ============================================================ streaming (same results as the batch twins)
+
+ORACLE["stream_daily_sentiment"] = f"""{W('v_opinions')}
+SELECT keyword, {_day()} AS day, sentiment, count(*) AS n FROM v_opinions GROUP BY keyword, day, sentiment"""
+ORACLE["stream_ttl_dedupe"] = ORACLE["ttl_dedupe"]
+ORACLE["stream_job_fanout"] = ORACLE["job_source_fanout"]
+ORACLE["job_stream_decode"] = ORACLE["valid_jobs"]
+ORACLE["stream_clean"] = ORACLE["run_totals"]
