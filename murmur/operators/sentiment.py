@@ -73,7 +73,7 @@ NEGATIVE_WORDS = ("bad worst hate angry sad wrong terrible disagree buruk jelek
                   "mal mauvais schlecht malo").split()
 
 
-@F.pandas_udf("struct<label: string, confidence: double>")
+@F.pandas_udf(T.StructType([T.StructField("label", T.StringType()), T.StructField("confidence", T.DoubleType())]))
 def lexicon_fallback(texts: pd.Series) -> pd.DataFrame:
     """Default tier 2: lexicon polarity; no label when the text has no lexicon word at all."""
     pos, neg = set(POSITIVE_WORDS), set(NEGATIVE_WORDS)
