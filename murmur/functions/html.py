@@ -145,13 +145,36 @@ def scoped_text(html: str | None, selector: str) -> str:
     return p.text()
 
 
-def scoped_text_and_metas(html: str | None, selector: str):
+def scoped_texts_and_metas(html: str | None, selectors: dict[str, str]):
+    """One parse of the page: text per named selector, plus the page's <meta> name/property values."""
     if not html:
-        return "", {}
-    p = _Scoped(parse_selector(selector))
+        return {k: "" for k in selectors}, {}
+    parsers = {k: _Scoped(parse_selector(v)) for k, v in selectors.items()}
+    first = next(iter(parsers.values()))
+    fan = _Fan(list(parsers.values()))
     try:
-        p.feed(html)
-        p.close()
-    except Exception:  # noqa: BLE001
+        fan.feed(html)
+        fan.close()
+    except Exception:  # noqa: BLE001 - malformed markup yields what was read so far
         pass
-    return p.text(), p.metas
+    return {k: p.text() for k, p in parsers.items()}, first.metas
+
+
+class _Fan(HTMLParser):
+    """Feeds one tokenisation of a page to several scoped collectors."""
+
+    def __init__(self, parsers):
+        super().__init__(convert_charrefs=True)
+        self.parsers = parsers
+
+    def handle_starttag(self, tag, attrs):
+        for p in self.parsers:
+            p.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        for p in self.parsers:
+            p.handle_endtag(tag)
+
+    def handle_data(self, data):
+        for p in self.parsers:
+            p.handle_data(data)

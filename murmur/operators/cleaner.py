@@ -61,15 +61,24 @@ def _union(frames: list[DataFrame]) -> DataFrame | None:
     return out
 
 
+def parser_groups() -> dict[tuple[str, str], list[str]]:
+    """(type, parser) -> the sources sharing that parser (e.g. the four news layouts share one
+    parameterised HTML job), so the cleaner runs one branch per parser, not per source."""
+    groups: dict[tuple[str, str], list[str]] = {}
+    for (t, s), p in sorted(routing_table().items()):
+        groups.setdefault((t, p), []).append(s)
+    return groups
+
+
 def clean(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Raw rows -> (contents, comments, rejects). Each source branch reads only its own rows."""
+    """Raw rows -> (contents, comments, rejects). One branch per parser; each reads only its rows."""
+    plugins = all_sources()
     contents, comments = [], []
-    for name, plugin in sorted(all_sources().items()):
-        src = raw.where(F.col("source") == name)
-        if plugin.content_parser != "none":
-            contents.append(plugin.contents(src.where(F.col("type") == "content")))
-        if plugin.comment_parser != "none":
-            comments.append(plugin.comments(src.where(F.col("type") == "comment")))
+    for (t, _parser), sources in parser_groups().items():
+        branch = raw.where((F.col("type") == t) & F.col("source").isin(*sources))
+        plugin = plugins[sources[0]]
+        (contents if t == "content" else comments).append(
+            plugin.contents(branch) if t == "content" else plugin.comments(branch))
     c = _union(contents).withColumn("published_ts", parse_publish_time(F.col("published_at")))
     m = _union(comments).withColumn("published_ts", parse_publish_time(F.col("published_at")))
     return c, m, rejects(raw)

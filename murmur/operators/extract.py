@@ -19,6 +19,7 @@ from murmur.functions import html as H
 from murmur.functions.json import name_or_text, payload, vget, vstr
 from murmur.functions.text import first_nonblank
 from murmur.functions.times import epoch_to_ntz
+from murmur.session import spread
 
 COMMENT_OUT = ["source", "keyword", "content_id", "content_url", "raw_parent_id", "raw_id", "source_id",
                "author", "content", "prokontra", "published_at"]
@@ -128,12 +129,14 @@ def _articles_batch(batches):
         out = []
         for r in pdf.itertuples(index=False):
             layout = ARTICLE_LAYOUT[r.source]
-            body, metas = H.scoped_text_and_metas(r.raw, layout["body"])
+            sel = {k: layout[k] for k in ("body", "author") if k in layout}
+            texts, metas = H.scoped_texts_and_metas(r.raw, sel)
+            body = texts["body"]
             title = r.title or ""
             if "title_meta" in layout:
                 title = metas.get(("property", layout["title_meta"])) or title
             if "author" in layout:
-                author = H.scoped_text(r.raw, layout["author"])
+                author = texts["author"]
             else:
                 author = ((r.author if "author" in pdf.columns else "") or "") if r.source != "cnn" else ""
                 author = author or metas.get(("name", layout["author_meta"])) or ""
@@ -150,7 +153,7 @@ def extract_articles(raw: DataFrame) -> DataFrame:
     """
     cols = ["ingest_seq", "source", "keyword", "url", "content_id", "title", "media", "published_at", "raw"]
     news = raw.where(F.col("source").isin(*ARTICLE_LAYOUT) & (F.coalesce(F.col("raw"), F.lit("")) != "")).select(*cols)
-    return news.mapInPandas(_articles_batch, ARTICLE_SCHEMA)
+    return spread(news).mapInPandas(_articles_batch, ARTICLE_SCHEMA)
 
 
 def normalise_payload(raw: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ which case the row stays unprocessed and is picked up again on the next pass.
 from __future__ import annotations
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, IDF, IndexToString, RegexTokenizer, StringIndexer
@@ -21,6 +22,7 @@ from pyspark.sql import types as T
 
 from murmur.functions.text import WORD_SPLIT
 from murmur.operators.warehouse import keyed_update
+from murmur.session import spread
 
 CONFIDENCE_THRESHOLD = 0.75
 BULK, FALLBACK = "bulk", "fallback"
@@ -40,7 +42,7 @@ def cascade_routing(scored: DataFrame, threshold: float = CONFIDENCE_THRESHOLD)
 
 
 def train_bulk_model(labelled: DataFrame, text_col: str = "content", label_col: str = "sentiment",
-                     num_features: int = 1 << 18, max_iter: int = 30) -> PipelineModel:
+                     num_features: int = 1 << 16, max_iter: int = 30) -> PipelineModel:
     """K4: fit the tier-1 model on labelled texts (distributed: treeAggregate gradient steps)."""
     indexer = StringIndexer(inputCol=label_col, outputCol="label", stringOrderType="alphabetAsc",
                             handleInvalid="skip")
@@ -53,7 +55,13 @@ def train_bulk_model(labelled: DataFrame, text_col: str = "content", label_col:
                            maxIter=max_iter, regParam=0.01, probabilityCol="_prob", predictionCol="_pred",
                            rawPredictionCol="_raw"),
     ]
-    return Pipeline(stages=stages).fit(labelled)
+    # The indexer, IDF and LR each pass over the input: keep the projected training set for the fit
+    # (MEMORY_AND_DISK, recomputed from lineage if an executor is lost) and release it afterwards.
+    data = spread(labelled.select(text_col, label_col)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return Pipeline(stages=stages).fit(data)
+    finally:
+        data.unpersist()
 
 
 def score_bulk(model: PipelineModel, texts: DataFrame) -> DataFrame:
@@ -97,6 +105,7 @@ def classify_cascade(model: PipelineModel, texts: DataFrame, text_col: str = "co
     Tier 1 is cheap JVM work, so the two branches recompute it instead of caching; the Python tier
     sees only the filtered remainder.
     """
+    texts = spread(texts)
     scored = score_bulk(model, texts)
     base = texts.columns
     high = scored.where(F.col("bulk_confidence") >= threshold).select(

@@ -58,3 +58,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a written intermediate table, under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+def spread(df, min_partitions: int | None = None):
+    """Give CPU-heavy stages (Python HTML parsing, model fitting) at least one partition per core.
+
+    A large input already has that many splits and is returned unchanged (no shuffle of raw
+    payloads); a small but heavy one (e.g. a single parquet row group) is redistributed
+    round-robin so the work is not serialised in one task.
+    """
+    spark = df.sparkSession
+    want = min_partitions or spark.sparkContext.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df if have >= want else df.repartition(want)

@@ -31,7 +31,7 @@ def clean_batch(spark: SparkSession, paths: dict[str, str]):
 
 
 def run_clean(spark: SparkSession, raw_path: str, warehouse: str, checkpoint: str | None = None,
-              max_files: int = 8) -> dict[str, str]:
+              max_files: int = 64) -> dict[str, str]:
     paths = wh.ensure_tables(spark, warehouse)
     paths["rejects"] = f"{warehouse.rstrip('/')}/rejects"
     stream = spark.readStream.schema(S.RAW).option("maxFilesPerTrigger", max_files).parquet(raw_path)
