@@ -8,12 +8,13 @@ a hot list is reduced map-side (partial aggregation) instead of being sorted ins
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.session import ensure_checkpoint_dir
+from murmur.session import ensure_checkpoint_dir, scratch_path
 
 LIST_KEYS = ("keyword", "source")
 DEFAULT_LIMIT = 50          # contents per source per job
@@ -104,40 +105,40 @@ def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: st
 
     Time is cut into TTL-wide blocks from the earliest event. At most one event per key can be
     accepted inside a block, and it is the first event of the block at or after the key's carried
-    threshold (last accepted + TTL). Each round is therefore one join with the carried thresholds
-    plus a `min` aggregate with partial aggregation, for all keys at once; no key's events are ever
-    gathered in one task. Rounds = number of blocks in the time span (span / TTL), not rows.
-    The carried state and each round's result are checkpointed to the shared checkpoint folder.
+    threshold (last accepted + TTL). So each round is one join with the carried thresholds plus a
+    `min` aggregate (partial aggregation map-side) for all keys at once; no key's events are ever
+    gathered in one task. Rounds = blocks in the time span (span / TTL), not rows.
+
+    IO stays linear: the events are written once, partitioned by block, to the shared checkpoint
+    folder, and round b reads only partition b. Accepted rows are appended per round to an output
+    table; the per-key carry (one row per key) is checkpointed each round to cut lineage.
     """
-    ensure_checkpoint_dir(events.sparkSession)
-    ttl = F.expr(f"INTERVAL {int(ttl_days)} DAYS")
+    spark = events.sparkSession
+    ensure_checkpoint_dir(spark)
     bounds = events.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
-        return events.limit(0)
+        return events.select(key, ts, tiebreak).limit(0)
     lo, hi = bounds["lo"], bounds["hi"]
     n_blocks = int((hi - lo).total_seconds() // (ttl_days * 86400)) + 1
     lo_lit = F.expr(f"TIMESTAMP_NTZ '{lo:%Y-%m-%d %H:%M:%S.%f}'")
-    ev = events.withColumn("_block", F.floor(
-        F.timestamp_diff("MICROSECOND", lo_lit, F.col(ts)) / F.lit(ttl_days * 86400 * 1_000_000)).cast("int"))
+    width_us = ttl_days * 86400 * 1_000_000
+    base = scratch_path(spark, f"ttl_dedupe/{uuid.uuid4().hex[:12]}")
+    (events.select(key, ts, tiebreak,
+                   F.floor(F.timestamp_diff("MICROSECOND", lo_lit, F.col(ts)) / F.lit(width_us)).cast("int").alias("_block"))
+     .write.partitionBy("_block").parquet(f"{base}/events"))
+    staged = spark.read.parquet(f"{base}/events")
+    ttl = F.expr(f"INTERVAL {int(ttl_days)} DAYS")
     carry = None            # key -> next acceptable time
-    accepted = []
     for b in range(n_blocks):
-        eb = ev.where(F.col("_block") == b)
+        eb = staged.where(F.col("_block") == b).drop("_block")           # partition pruning
         if carry is not None:
             eb = (eb.join(carry, key, "left")
                   .where(F.col("_thr").isNull() | (F.col(ts) >= F.col("_thr"))))
         acc = (eb.groupBy(key).agg(F.min(F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("tb"))).alias("_a"))
                .select(key, F.col("_a.t").alias(ts), F.col("_a.tb").alias(tiebreak)))
-        acc = acc.checkpoint(eager=True)
-        accepted.append(acc)
-        nxt = acc.select(key, (F.col(ts) + ttl).alias("_thr"))
-        if carry is None:
-            carry = nxt
-        else:
-            carry = (carry.join(nxt.withColumnRenamed("_thr", "_new"), key, "full")
-                     .select(key, F.coalesce("_new", "_thr").alias("_thr")))
+        acc.write.mode("overwrite").parquet(f"{base}/accepted/_round={b}")
+        nxt = spark.read.parquet(f"{base}/accepted/_round={b}").select(key, (F.col(ts) + ttl).alias("_new"))
+        carry = (nxt.withColumnRenamed("_new", "_thr") if carry is None else
+                 carry.join(nxt, key, "full").select(key, F.coalesce("_new", "_thr").alias("_thr")))
         carry = carry.checkpoint(eager=True)
-    out = accepted[0]
-    for a in accepted[1:]:
-        out = out.unionByName(a)
-    return out
+    return spark.read.parquet(f"{base}/accepted").drop("_round")
