@@ -243,31 +243,40 @@ def extract_json_items(pages: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- JSON search
 
+def _children(v: Column, path: Column, depth: int) -> Column:
+    """Direct children of a VARIANT as array<struct<path, key, depth, v>> (empty for scalars).
+    Object members come in VARIANT's sorted-key order, array items in index order."""
+    node = lambda p, k, x: F.struct(p.alias("path"), k.alias("key"), F.lit(depth).alias("depth"), x.alias("v"))
+    pos = lambda i: F.concat(path, F.lit("/"), F.lpad(i.cast("string"), 6, "0"))
+    members = F.transform(F.map_entries(vget(v, "$", "map<string,variant>")),
+                          lambda e, i: node(pos(i), e["key"], e["value"]))
+    items = F.transform(vget(v, "$", "array<variant>"), lambda x, i: node(pos(i), F.lit(None).cast("string"), x))
+    empty = F.array().cast("array<struct<path:string,key:string,depth:int,v:variant>>")
+    return F.coalesce(members, items, empty)
+
+
+def _descendants(v: Column, path: Column, depth: int, max_depth: int) -> Column:
+    kids = _children(v, path, depth)
+    if depth == max_depth:
+        return kids
+    return F.concat(kids, F.flatten(F.transform(kids, lambda c: _descendants(c["v"], c["path"], depth + 1, max_depth))))
+
+
 def json_deep_find(df: DataFrame, key: str, id_col: str = "ingest_seq", max_depth: int = 6) -> DataFrame:
     """C17: every non-empty value stored under `key` at any depth (<= max_depth) of a JSON payload.
 
-    The search unrolls `variant_explode` level by level (a lateral join per level, no recursion
-    limit), so its cost is the payload size times the depth bound. Each hit carries its depth and a
-    path of zero-padded positions; `first` marks the shallowest hit, ties broken by path (VARIANT
-    stores object keys sorted, so among siblings "first" is the smallest key, then array order).
+    One projection per row: the payload's nodes down to `max_depth` are listed by nested
+    higher-order functions over VARIANT (objects read as map<string, variant>, arrays as
+    array<variant>) and exploded once - no recursion limit, no join, no per-level re-reads. Each hit
+    carries its depth and a path of zero-padded positions; `first` marks the shallowest hit, ties
+    by path (VARIANT keeps object keys sorted, so among siblings the smallest key comes first).
     """
-    spark = df.sparkSession
-    level = df.select(F.col(id_col).alias("_id"), payload("raw").alias("v"), F.lit("").alias("path"))
-    level = level.where(F.col("v").isNotNull())
-    hits = []
-    for depth in range(1, max_depth + 1):
-        kids = (level.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-                .select("_id", F.concat("path", F.lit("/"), F.lpad(F.col("pos").cast("string"), 6, "0")).alias("path"),
-                        "key", F.col("value").alias("v")))
-        text = F.coalesce(vget(F.col("v"), "$", "string"), F.to_json("v"))
-        hits.append(kids.where((F.col("key") == key) & (text != ""))
-                    .select("_id", "path", F.lit(depth).alias("depth"), text.alias("value")))
-        shape = F.schema_of_variant("v")
-        level = kids.where(shape.startswith("OBJECT") | shape.startswith("ARRAY")).select("_id", "path", "v")
-    out = hits[0]
-    for h in hits[1:]:
-        out = out.unionByName(h)
-    firsts = out.groupBy("_id").agg(F.min(F.struct("depth", "path")).alias("m"))
-    return (out.join(firsts, "_id")
+    nodes = df.select(F.col(id_col).alias("_id"),
+                      F.explode(_descendants(payload("raw"), F.lit(""), 1, max_depth)).alias("n"))
+    text = F.coalesce(vget(F.col("n.v"), "$", "string"), F.to_json(F.col("n.v")))
+    hits = nodes.where(F.col("n.key") == key).select(
+        "_id", F.col("n.path").alias("path"), F.col("n.depth").alias("depth"), text.alias("value")).where(F.col("value") != "")
+    firsts = hits.groupBy("_id").agg(F.min(F.struct("depth", "path")).alias("m"))
+    return (hits.join(firsts, "_id")
             .select(F.col("_id").alias(id_col), "depth", "path", "value",
                     ((F.col("m.depth") == F.col("depth")) & (F.col("m.path") == F.col("path"))).alias("first")))
