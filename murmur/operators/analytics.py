@@ -85,8 +85,13 @@ def feed_with_parent(op: DataFrame, contents: DataFrame) -> DataFrame:
 
 
 def contents_with_opinions(contents: DataFrame, op: DataFrame) -> DataFrame:
-    """Context articles that have at least one opinion (left semi join)."""
-    return contents.join(op.select("content_id").where(F.col("content_id") != ""), "content_id", "left_semi")
+    """Context articles that have at least one opinion (left semi join).
+
+    The opinion side is reduced to distinct content ids first (partial aggregation map-side), so
+    a viral article's millions of comments become one row before the join's shuffle.
+    """
+    ids = op.select("content_id").where(F.col("content_id") != "").distinct()
+    return contents.join(ids, "content_id", "left_semi")
 
 
 # ---------------------------------------------------------------- E: aggregates

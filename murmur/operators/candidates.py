@@ -34,13 +34,14 @@ def first_seen(cands: DataFrame, keys=LIST_KEYS, id_col: str = "content_id") ->
 
 
 def limit_per_list(cands: DataFrame, limit: int = DEFAULT_LIMIT, keys=LIST_KEYS) -> DataFrame:
-    """the first `limit` candidates of each list (0 = unlimited).
+    """the first `limit` candidates of each list, with their rank (0 = unlimited: rows unchanged,
+    no rank, so no window over a whole list).
 
     `row_number() <= limit` is planned with a map-side WindowGroupLimit, so each task forwards at
     most `limit` rows per list to the final window.
     """
     if not limit:
-        return cands.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy("pos")))
+        return cands
     w = Window.partitionBy(*keys).orderBy("pos")
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
 

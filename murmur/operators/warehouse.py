@@ -102,8 +102,17 @@ def first_wins(incoming: DataFrame, keys=WAREHOUSE_KEYS, order_col: str = "raw_i
 def new_rows(incoming: DataFrame, existing_keys: DataFrame, keys=WAREHOUSE_KEYS,
              order_col: str = "raw_id") -> DataFrame:
     """`INSERT ... ON CONFLICT (source, source_id) DO NOTHING` as a DataFrame:
-    first-wins dedupe of the batch, then a left anti join on the key against the target."""
-    return first_wins(incoming, keys, order_col).join(existing_keys.select(*keys), list(keys), "left_anti")
+    first-wins dedupe of the batch, then a left anti join on the key against the target.
+
+    The target's keys are first semi-joined with the batch's keys: for a micro-batch that side is
+    small, so AQE broadcasts it and the warehouse keys are only scanned (pruned to the key
+    columns, and to the batch's `source` partitions), never shuffled; the anti join then runs
+    against the few colliding keys.
+    """
+    k = list(keys)
+    batch = first_wins(incoming, keys, order_col)
+    hits = existing_keys.select(*k).join(batch.select(*k), k, "left_semi")
+    return batch.join(hits, k, "left_anti")
 
 
 def insert_ignore(spark: SparkSession, incoming: DataFrame, table_path: str, schema: T.StructType,
@@ -113,7 +122,7 @@ def insert_ignore(spark: SparkSession, incoming: DataFrame, table_path: str, sch
     existing = read_or_empty(spark, table_path, schema)
     rows = new_rows(incoming.select(*schema.fieldNames()), existing, keys, order_col)
     obs = Observation(f"insert_{uuid.uuid4().hex[:8]}")
-    rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(table_path)
+    rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("source").parquet(table_path)
     return int(obs.get.get("n", 0))
 
 
@@ -132,6 +141,7 @@ def keyed_update(target: DataFrame, updates: DataFrame, keys=WAREHOUSE_KEYS, set
     join when `upsert`: unmatched updates become new rows). `flag` = (column, value) also set on
     matched rows (e.g. ai_processed = true)."""
     k = list(keys)
+    updates = updates.dropDuplicates(k)          # one update per key: a repeated key must not fan out rows
     upd = updates.select(*k, *[F.col(c).alias(f"_new_{c}") for c in set_cols], F.lit(True).alias("_hit"))
     if upsert:
         extra = [c for c in updates.columns if c not in k and c not in set_cols and c in target.columns]
@@ -173,11 +183,12 @@ def replace_table(df: DataFrame, base_path: str) -> str:
 
 
 def ensure_tables(spark: SparkSession, base: str) -> dict[str, str]:
-    """Create the two warehouse tables if missing (empty parquet with the fixed schemas)."""
+    """Create the two warehouse tables if missing (parquet partitioned by source, fixed schemas;
+    NOT NULL and uniqueness are enforced by the cleaner's rejects and the insert anti join)."""
     paths = {"contents": f"{base.rstrip('/')}/contents", "comments": f"{base.rstrip('/')}/comments"}
     for name, schema in (("contents", S.CONTENTS), ("comments", S.COMMENTS)):
         try:
             spark.read.schema(schema).parquet(paths[name]).limit(0).collect()
         except Exception:  # noqa: BLE001
-            spark.createDataFrame([], schema).write.mode("ignore").parquet(paths[name])
+            spark.createDataFrame([], schema).write.mode("ignore").partitionBy("source").parquet(paths[name])
     return paths
