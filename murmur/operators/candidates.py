@@ -100,15 +100,18 @@ def uncached(cands: DataFrame, cache: DataFrame, now_day: date, force: bool = Fa
     return keyed.join(live, "cache_key", "left_anti")
 
 
-def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: str) -> DataFrame:
-    """J3 (batch): accept a key's first event, then the first event at least `ttl_days` after the
-    last accepted one (greedy, as an expiring cache behaves: skipped events do not renew the TTL).
-
-    Time is cut into TTL-wide blocks from the earliest event. At most one event per key can be
-    accepted inside a block, and it is the first event of the block at or after the key's carried
-    threshold (last accepted + TTL). So each round is one join with the carried thresholds plus a
-    `min` aggregate (partial aggregation map-side) for all keys at once; no key's events are ever
-    gathered in one task. Rounds = blocks in the time span (span / TTL), not rows.
+def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: str,
+               force_col: str | None = None) -> DataFrame:
+    """J3 (batch): in (ts, tiebreak) order, accept an event when it is forced or at least
+    `ttl_days` after the key's last accepted event; every acceptance renews the TTL (greedy, as an
+    expiring cache with a `force` override behaves: skipped events do not renew it).
+
+    Time is cut into TTL-wide blocks from the earliest event. Inside one block a key can accept at
+    most one unforced event - the first at or after its carried threshold and before the block's
+    first forced event - while every forced event is accepted; the next threshold is (last forced
+    in the block, else that unforced event) + TTL. So each round is a join with the carried
+    thresholds and `min` aggregates (partial aggregation map-side) for all keys at once; no key's
+    events are ever gathered in one task. Rounds = blocks in the time span (span / TTL), not rows.
 
     IO stays linear: the events are written once, partitioned by block, to the shared checkpoint
     folder, and round b reads only partition b. Accepted rows are appended per round to an output
@@ -124,22 +127,30 @@ def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: st
     lo_lit = F.expr(f"TIMESTAMP_NTZ '{lo:%Y-%m-%d %H:%M:%S.%f}'")
     width_us = ttl_days * 86400 * 1_000_000
     base = scratch_path(spark, f"ttl_dedupe/{uuid.uuid4().hex[:12]}")
-    (events.select(key, ts, tiebreak,
+    forced = F.coalesce(F.col(force_col), F.lit(False)) if force_col else F.lit(False)
+    (events.select(key, ts, tiebreak, forced.alias("_force"),
                    F.floor(F.timestamp_diff("MICROSECOND", lo_lit, F.col(ts)) / F.lit(width_us)).cast("int").alias("_block"))
      .write.partitionBy("_block").parquet(f"{base}/events"))
     staged = spark.read.parquet(f"{base}/events")
     ttl = F.expr(f"INTERVAL {int(ttl_days)} DAYS")
-    carry = None            # key -> next acceptable time
+    order = lambda: F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("tb"))
+    carry = None            # key -> next acceptable time for an unforced event
     for b in range(n_blocks):
         eb = staged.where(F.col("_block") == b).drop("_block")           # partition pruning
+        fb = (eb.where("_force").groupBy(key)
+              .agg(F.min(order()).alias("_f1"), F.max(F.col(ts)).alias("_flast")))
+        free = eb.where(~F.col("_force")).join(fb.select(key, "_f1"), key, "left")
+        free = free.where(F.col("_f1").isNull() | (order() < F.col("_f1")))
         if carry is not None:
-            eb = (eb.join(carry, key, "left")
-                  .where(F.col("_thr").isNull() | (F.col(ts) >= F.col("_thr"))))
-        acc = (eb.groupBy(key).agg(F.min(F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("tb"))).alias("_a"))
-               .select(key, F.col("_a.t").alias(ts), F.col("_a.tb").alias(tiebreak)))
+            free = (free.join(carry, key, "left")
+                    .where(F.col("_thr").isNull() | (F.col(ts) >= F.col("_thr"))))
+        first_free = (free.groupBy(key).agg(F.min(order()).alias("_a"))
+                      .select(key, F.col("_a.t").alias(ts), F.col("_a.tb").alias(tiebreak)))
+        acc = first_free.unionByName(eb.where("_force").select(key, ts, tiebreak))
         acc.write.mode("overwrite").parquet(f"{base}/accepted/_round={b}")
-        nxt = spark.read.parquet(f"{base}/accepted/_round={b}").select(key, (F.col(ts) + ttl).alias("_new"))
-        carry = (nxt.withColumnRenamed("_new", "_thr") if carry is None else
-                 carry.join(nxt, key, "full").select(key, F.coalesce("_new", "_thr").alias("_thr")))
+        last = (spark.read.parquet(f"{base}/accepted/_round={b}")
+                .groupBy(key).agg((F.max(ts) + ttl).alias("_new")))
+        carry = (last.withColumnRenamed("_new", "_thr") if carry is None else
+                 carry.join(last, key, "full").select(key, F.coalesce("_new", "_thr").alias("_thr")))
         carry = carry.checkpoint(eager=True)
     return spark.read.parquet(f"{base}/accepted").drop("_round")

@@ -204,8 +204,9 @@ def q_uncached_candidates(spark, d):
 @register("ttl_dedupe")
 def q_ttl_dedupe(spark, d):
     from murmur.sources.tables import read_table
-    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts")
-    out = cd.ttl_dedupe(ev, key="user_id", ts="ts", ttl_days=7, tiebreak="event_id")
+    ev = read_table(spark, d, "events").select("event_id", "user_id", "ts",
+                                               (F.col("event_id") % 37 == 0).alias("force"))
+    out = cd.ttl_dedupe(ev, key="user_id", ts="ts", ttl_days=7, tiebreak="event_id", force_col="force")
     return out.select("user_id", "event_id", iso_ts("ts").alias("accepted_at"))
 
 
@@ -521,7 +522,7 @@ def q_stream_daily_sentiment(spark, d):
 @register("stream_ttl_dedupe")
 def q_stream_ttl_dedupe(spark, d):
     from murmur.streaming.dedupe import run_ttl_dedupe
-    out = run_ttl_dedupe(spark, d, ttl_days=7)
+    out = run_ttl_dedupe(spark, d, ttl_days=7, force=F.col("event_id") % 37 == 0)
     ts = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("ts").cast("timestamp_ntz"))
     return out.select("user_id", "event_id", iso_ts(ts).alias("accepted_at"))
 

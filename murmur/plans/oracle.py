@@ -228,7 +228,9 @@ ORACLE["ttl_dedupe"] = """WITH RECURSIVE acc(user_id, ts, event_id) AS (
   UNION ALL
   SELECT n.user_id, n.ts, n.event_id FROM acc,
     LATERAL (SELECT e.user_id, e.ts, e.event_id FROM events e
-             WHERE e.user_id = acc.user_id AND e.ts >= acc.ts + INTERVAL 7 DAY
+             WHERE e.user_id = acc.user_id
+               AND (e.ts > acc.ts OR (e.ts = acc.ts AND e.event_id > acc.event_id))
+               AND (e.event_id % 37 = 0 OR e.ts >= acc.ts + INTERVAL 7 DAY)
              ORDER BY e.ts, e.event_id LIMIT 1) n)
 SELECT user_id, event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS accepted_at FROM acc"""
 

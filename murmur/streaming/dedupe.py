@@ -6,12 +6,13 @@ State per key is one value (the last accepted time, epoch microseconds) kept by
 trigger size, `maxFilesPerTrigger`), sorts them and folds them against the state. With events
 arriving in event-time order the output equals the batch operator `ttl_dedupe`.
 A key's state is dropped once the watermark passes last accepted + TTL (event-time timeout).
+Forced events are always accepted and renew the TTL.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -32,9 +33,10 @@ def _greedy(ttl_us: int):
             return
         pdf = pd.concat(frames).sort_values(["ts", "event_id"], kind="mergesort")
         us = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+        forced = pdf["force"].fillna(False).to_numpy(dtype=bool)
         keep = []
         for i, t in enumerate(us):
-            if last is None or t >= last + ttl_us:
+            if forced[i] or last is None or t >= last + ttl_us:
                 keep.append(i)
                 last = int(t)
         state.update((last,))
@@ -43,17 +45,19 @@ def _greedy(ttl_us: int):
     return fn
 
 
-def ttl_dedupe_stream(events: DataFrame, ttl_days: int = 7) -> DataFrame:
+def ttl_dedupe_stream(events: DataFrame, ttl_days: int = 7, force: Column | None = None) -> DataFrame:
+    """`force` (a boolean column expression) marks events accepted regardless, renewing the TTL."""
     ttl_us = ttl_days * 86400 * 1_000_000
-    ev = events.select("user_id", "event_id", ntz_as_instant(F.col("ts")).alias("ts"))
+    ev = events.select("user_id", "event_id", ntz_as_instant(F.col("ts")).alias("ts"),
+                       (force if force is not None else F.lit(False)).alias("force"))
     return (ev.withWatermark("ts", f"{ttl_days} days")
             .groupBy("user_id")
             .applyInPandasWithState(_greedy(ttl_us), OUT_SCHEMA, STATE_SCHEMA, "append",
                                     GroupStateTimeout.EventTimeTimeout))
 
 
-def run_ttl_dedupe(spark: SparkSession, sf_dir: str, ttl_days: int = 7) -> DataFrame:
+def run_ttl_dedupe(spark: SparkSession, sf_dir: str, ttl_days: int = 7, force: Column | None = None) -> DataFrame:
     out = new_location(spark, "tables", "ttl_dedupe")
-    stream = ttl_dedupe_stream(table_stream(spark, sf_dir, "events"), ttl_days)
+    stream = ttl_dedupe_stream(table_stream(spark, sf_dir, "events"), ttl_days, force)
     run_available(stream, lambda b, i: write_batch(b, out, i), "ttl_dedupe")
     return read_batches(spark, out, OUT_SCHEMA).drop("batch_id")

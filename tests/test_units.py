@@ -201,3 +201,11 @@ def test_deep_find_depth_order(spark):
     out = X.json_deep_find(df, "id").collect()
     assert sorted((r.depth, r.value) for r in out) == [(1, "top"), (2, "deep"), (3, "arr")]
     assert [r.value for r in out if r.first] == ["top"]
+
+
+def test_ttl_force_renews(spark):
+    days = [0, 20, 40, 55, 71]
+    rows = [(1, i, datetime(2024, 1, 1) + pd.Timedelta(days=d), i == 1) for i, d in enumerate(days)]
+    df = spark.createDataFrame(rows, "k long, id long, ts timestamp_ntz, f boolean")
+    out = cd.ttl_dedupe(df, key="k", ts="ts", ttl_days=30, tiebreak="id", force_col="f").orderBy("ts").collect()
+    assert [(r.ts - datetime(2024, 1, 1)).days for r in out] == [0, 20, 55]   # forced 20 renews to 50
