@@ -117,26 +117,21 @@ class _Scoped(HTMLParser):
         return "\n".join(line for line in lines if line)
 
 
-def parse_selector(sel: str):
-    """'div[class="x"]' -> exact class on a tag; '.x' -> class token; comma = alternatives."""
-    out = []
-    for part in sel.split(","):
-        part = part.strip()
-        m = re.fullmatch(r'([a-z0-9]+)\[class="([^"]*)"\]', part)
-        if m:
-            out.append((m.group(1), None, m.group(2)))
-        elif part.startswith("."):
-            out.append((None, part[1:], None))
-        elif part:
-            out.append((part, None, None))
-    return out
-
-
-def scoped_text(html: str | None, selector: str) -> str:
+def by_class(*tokens: str):
+    """Elements having any of the class tokens (CSS `.a, .b`)."""
+    return [(None, t, None) for t in tokens]
+
+
+def by_exact_class(tag: str, value: str):
+    """`tag` elements whose class attribute is exactly `value` (CSS `tag[class="value"]`)."""
+    return [(tag, None, value)]
+
+
+def scoped_text(html: str | None, selector) -> str:
     """Text of the elements matched by `selector` ('' when none or when html is empty)."""
     if not html:
         return ""
-    p = _Scoped(parse_selector(selector))
+    p = _Scoped(selector)
     try:
         p.feed(html)
         p.close()
@@ -145,11 +140,11 @@ def scoped_text(html: str | None, selector: str) -> str:
     return p.text()
 
 
-def scoped_texts_and_metas(html: str | None, selectors: dict[str, str]):
+def scoped_texts_and_metas(html: str | None, selectors: dict):
     """One parse of the page: text per named selector, plus the page's <meta> name/property values."""
     if not html:
         return {k: "" for k in selectors}, {}
-    parsers = {k: _Scoped(parse_selector(v)) for k, v in selectors.items()}
+    parsers = {k: _Scoped(v) for k, v in selectors.items()}
     first = next(iter(parsers.values()))
     fan = _Fan(list(parsers.values()))
     try:

@@ -109,15 +109,15 @@ def json_contents(raw: DataFrame, source: str) -> DataFrame:
         F.col("ingest_seq").alias("raw_id"))
 
 
-# Per-source selectors of the news article layouts (CSS-style: exact class on a tag,
-# or class tokens, alternatives separated by commas).
+# Per-source element selectors of the news article layouts (class names as the sites
+# use them; by_exact_class = the whole class attribute must match, by_class = any listed token).
 ARTICLE_LAYOUT = {
-    "detik": {"author": 'div[class="detail__author"]', "body": ".detail__body-text"},
-    "cnn": {"author_meta": "author", "body": ".detail-text, .content-detail, .detail__body-text"},
+    "detik": {"author": H.by_exact_class("div", "detail__author"), "body": H.by_class("detail__body-text")},
+    "cnn": {"author_meta": "author", "body": H.by_class("detail-text", "content-detail", "detail__body-text")},
     "liputan6": {"title_meta": "og:title", "author_meta": "author",
-                 "body": ".article-content-body, .read-page--content"},
+                 "body": H.by_class("article-content-body", "read-page--content")},
     "merdeka": {"title_meta": "og:title", "author_meta": "author",
-                "body": ".article-body-content, .content-detail"},
+                "body": H.by_class("article-body-content", "content-detail")},
 }
 
 ARTICLE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CONTENT_OUT[:-1]]

@@ -101,21 +101,20 @@ def classify_cascade(model: PipelineModel, texts: DataFrame, text_col: str = "co
                      threshold: float = CONFIDENCE_THRESHOLD, fallback=lexicon_fallback) -> DataFrame:
     """K1: tier 1 for every row; tier 2 only for the rows under the threshold.
 
-    Output adds sentiment, engine, confidence (NULL sentiment = no answer, row stays unprocessed).
-    Tier 1 is cheap JVM work, so the two branches recompute it instead of caching; the Python tier
-    sees only the filtered remainder.
+    One pass: tier 1 is scored once in the JVM, and tier 2 is handed the text only where tier 1 is
+    under the threshold (NULL elsewhere), so the Python worker receives and parses just the
+    remainder. Output adds sentiment, engine, confidence (NULL sentiment = no answer; the row stays
+    unprocessed and is picked up again).
     """
     texts = spread(texts)
     scored = score_bulk(model, texts)
-    base = texts.columns
-    high = scored.where(F.col("bulk_confidence") >= threshold).select(
-        *base, F.col("bulk_label").alias("sentiment"), F.lit(BULK).alias("engine"),
-        F.col("bulk_confidence").alias("confidence"))
-    low = scored.where(~(F.col("bulk_confidence") >= threshold) | F.col("bulk_confidence").isNull())
-    low = low.withColumn("_t2", fallback(F.col(text_col))).select(
-        *base, F.col("_t2.label").alias("sentiment"), F.lit(FALLBACK).alias("engine"),
-        F.col("_t2.confidence").alias("confidence"))
-    return high.unionByName(low)
+    low = ~(F.col("bulk_confidence") >= threshold) | F.col("bulk_confidence").isNull()
+    scored = scored.withColumn("_t2", fallback(F.when(low, F.col(text_col))))
+    return scored.select(
+        *texts.columns,
+        F.when(low, F.col("_t2.label")).otherwise(F.col("bulk_label")).alias("sentiment"),
+        F.when(low, F.lit(FALLBACK)).otherwise(F.lit(BULK)).alias("engine"),
+        F.when(low, F.col("_t2.confidence")).otherwise(F.col("bulk_confidence")).alias("confidence"))
 
 
 def apply_labels(comments: DataFrame, labels: DataFrame, keys=("source", "source_id")) -> DataFrame:

@@ -133,8 +133,9 @@ def test_article_layouts(spark):
 
 
 def test_scoped_text_plain():
-    assert H.scoped_text("<div class='a b'>x <i>y</i></div>", ".b") == "x y"
-    assert H.scoped_text("", ".b") == ""
+    assert H.scoped_text("<div class='a b'>x <i>y</i></div>", H.by_class("b")) == "x y"
+    assert H.scoped_text("<div class='a b'>x</div>", H.by_exact_class("div", "b")) == ""
+    assert H.scoped_text("", H.by_class("b")) == ""
 
 
 def test_ttl_greedy_batch(spark):
