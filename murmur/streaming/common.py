@@ -1,5 +1,5 @@
 """Shared streaming plumbing: file-stream sources over the input folders, `availableNow` runs with
-checkpoints in the shared checkpoint folder, and append-only update logs for keyed results."""
+checkpoints in the shared checkpoint folder, and idempotent per-batch outputs."""
 
 from __future__ import annotations
 
@@ -49,12 +49,6 @@ def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
         raise
 
 
-def latest_per_key(log: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
-    """Read side of an update log: the value of the highest batch_id per key (an aggregate)."""
-    m = log.groupBy(*keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("_v"))
-    return m.select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values])
-
-
 def ntz_as_instant(c: Column) -> Column:
     """TIMESTAMP_NTZ (UTC wall time) -> TIMESTAMP instant, independent of the session zone
     (`withWatermark` needs TIMESTAMP)."""
