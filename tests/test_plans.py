@@ -76,12 +76,15 @@ def test_shares_sum_to_one(spark):
     assert all(abs(r.s - 1) < 1e-5 for r in sums)
 
 
-def test_ttl_accepted_are_ttl_apart(spark):
+def test_ttl_accepted_are_ttl_apart_unless_forced(spark):
     from pyspark.sql import Window, functions as F
     df = entry.queries()["ttl_dedupe"](spark, SF_SMALL)
-    w = Window.partitionBy("user_id").orderBy("accepted_at")
-    gaps = df.select(F.datediff(F.to_timestamp("accepted_at"), F.lag(F.to_timestamp("accepted_at")).over(w)).alias("g"))
-    assert gaps.where("g IS NOT NULL AND g < 7").count() == 0
+    w = Window.partitionBy("user_id").orderBy("accepted_at", "event_id")
+    ts = F.to_timestamp("accepted_at")
+    gaps = df.select((F.unix_seconds(ts) - F.unix_seconds(F.lag(ts).over(w))).alias("g"),
+                     (F.col("event_id") % 37 == 0).alias("forced"))
+    assert gaps.where(f"g IS NOT NULL AND g < {7 * 86400} AND NOT forced").count() == 0
+    assert gaps.where("forced").count() > 0
 
 
 def test_stream_daily_counts_late_rows_exactly(spark, tmp_path):
