@@ -80,6 +80,27 @@ def in_window(ts: Column | str, value: str | None, today: datetime) -> Column:
         (ts < ntz_literal(datetime(hi.year, hi.month, hi.day) + timedelta(days=1)))
 
 
+def window_start_col(interval: Column | str, now: datetime) -> Column:
+    """C14 per row (e.g. one window per job): the start of '30d' / '2w' / '1m' / '1y' / '24h' before
+    `now`, or the first date of 'a - b' / 'a to b'; anything else -> 30 days. Months and years
+    clamp at the month end (timestamp - year-month interval)."""
+    v = F.lower(F.trim(F.col(interval) if isinstance(interval, str) else interval))
+    n = F.regexp_extract(v, r"^(\d+)\s*(d|w|m|y|h)$", 1)
+    unit = F.regexp_extract(v, r"^(\d+)\s*(d|w|m|y|h)$", 2)
+    k = F.when(n != "", n).cast("int")
+    now_lit = ntz_literal(now)
+    first = F.trim(F.regexp_extract(v, r"^(.*?)\s+(?:-|to)\s+", 1))
+    explicit = F.coalesce(*[F.try_to_timestamp(first, F.lit(f)).cast("timestamp_ntz")
+                            for f in ("dd/MM/yyyy", "yyyy-MM-dd", "MM/dd/yyyy")])
+    return (F.when(v.contains(" - ") | v.contains(" to "), F.coalesce(explicit, now_lit))
+            .when(unit == "h", now_lit - F.make_dt_interval(hours=k))
+            .when(unit == "d", now_lit - F.make_dt_interval(days=k))
+            .when(unit == "w", now_lit - F.make_dt_interval(days=k * 7))
+            .when(unit == "m", now_lit - F.make_ym_interval(months=k))
+            .when(unit == "y", now_lit - F.make_ym_interval(years=k))
+            .otherwise(now_lit - F.make_dt_interval(days=F.lit(30))))
+
+
 def recency_bucket(days: Column) -> Column:
     """Coarse recency class of an age in days: <=1 today, <=7 week, <=30 month, else year."""
     return (F.when(days <= 1, "today").when(days <= 7, "week").when(days <= 30, "month").otherwise("year"))

@@ -22,18 +22,20 @@ MAX_PAGES = 50              # search pages per list (5 for video search)
 COMMENT_PAGES = 10          # comment pages per content
 
 
-def first_seen(cands: DataFrame, keys=LIST_KEYS, id_col: str = "content_id") -> DataFrame:
-    """F1/H4: keep each id's first occurrence in list order (min of (page, pos) per id).
+def first_seen(cands: DataFrame, keys=LIST_KEYS, id_col: str = "content_id", carry=()) -> DataFrame:
+    """F1/H4: keep each id's first occurrence in list order (min of (pos, page, *carry) per id).
 
     An aggregate, not a window: a repeated id collapses inside each task before the shuffle.
+    `carry` names further columns to keep from the first occurrence.
     """
     k = list(keys)
     first = (cands.groupBy(*k, id_col)
-             .agg(F.min(F.struct("pos", "page")).alias("f")))
-    return first.select(*k, id_col, F.col("f.page").alias("page"), F.col("f.pos").alias("pos"))
+             .agg(F.min(F.struct("pos", "page", *carry)).alias("f")))
+    return first.select(*k, id_col, F.col("f.page").alias("page"), F.col("f.pos").alias("pos"),
+                        *[F.col(f"f.{c}").alias(c) for c in carry])
 
 
-def limit_per_list(cands: DataFrame, limit: int = DEFAULT_LIMIT, keys=LIST_KEYS) -> DataFrame:
+def limit_per_list(cands: DataFrame, limit: int | str = DEFAULT_LIMIT, keys=LIST_KEYS) -> DataFrame:
     """the first `limit` candidates of each list, with their rank (0 = unlimited: rows unchanged,
     no rank, so no window over a whole list).
 
@@ -43,17 +45,22 @@ def limit_per_list(cands: DataFrame, limit: int = DEFAULT_LIMIT, keys=LIST_KEYS)
     if not limit:
         return cands
     w = Window.partitionBy(*keys).orderBy("pos")
+    if isinstance(limit, str):       # a per-list limit column; 0 or NULL = unlimited
+        cap = F.col(limit)
+        return (cands.withColumn("rank", F.row_number().over(w))
+                .where(F.coalesce(cap, F.lit(0)).isin(0) | (F.col("rank") <= cap)))
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
 
 
-def take_while_newer(cands: DataFrame, cutoff: datetime, keys=LIST_KEYS) -> DataFrame:
+def take_while_newer(cands: DataFrame, cutoff: datetime | str, keys=LIST_KEYS) -> DataFrame:
     """newest-first lists stop at the first dated item older than `cutoff`; undated items pass.
+    `cutoff` is one time for all lists or the name of a per-row column (e.g. each job's window).
 
     The stop position per list is `min(pos)` of the old items (an aggregate); rows before it are
     kept. Equivalent to `sum(is_old) over (rows unbounded preceding) = 0`, without a list-wide sort.
     """
     k = list(keys)
-    lit = F.expr(f"TIMESTAMP_NTZ '{cutoff:%Y-%m-%d %H:%M:%S}'")
+    lit = F.col(cutoff) if isinstance(cutoff, str) else F.expr(f"TIMESTAMP_NTZ '{cutoff:%Y-%m-%d %H:%M:%S}'")
     stops = (cands.where(F.col("published_ts") < lit)
              .groupBy(*k).agg(F.min("pos").alias("stop_pos")))
     return (cands.join(stops, k, "left")
@@ -86,18 +93,45 @@ def cap_per_content(comments: DataFrame, page_size: int = 10, pages: int = COMME
     return comments.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= pages * page_size)
 
 
-def uncached(cands: DataFrame, cache: DataFrame, now_day: date, force: bool = False,
+def uncached(cands: DataFrame, cache: DataFrame, now_day: date, force: bool | str = False,
              url_col: str = "url") -> DataFrame:
-    """Candidates whose md5(url) has no live cache entry (or all of them when `force`).
+    """Candidates whose md5(url) has no live cache entry, plus forced ones (`force` is a flag
+    for all rows or the name of a per-row boolean column, e.g. the job's force).
 
     Left anti join on the cache key; AQE turns it into a broadcast only when the measured live
     cache is under the broadcast threshold, otherwise it stays a sort-merge join.
     """
     keyed = cands.withColumn("cache_key", F.md5(F.col(url_col)))
-    if force:
+    if force is True:
         return keyed
     live = cache.where(F.col("expires_on") > F.lit(now_day)).select("cache_key")
-    return keyed.join(live, "cache_key", "left_anti")
+    if not force:
+        return keyed.join(live, "cache_key", "left_anti")
+    forced = F.coalesce(F.col(force), F.lit(False))
+    return keyed.where(~forced).join(live, "cache_key", "left_anti").unionByName(keyed.where(forced))
+
+
+def select_candidates(jobs: DataFrame, cands: DataFrame, cache: DataFrame, now: datetime,
+                      url_of=None, max_pages: int = MAX_PAGES) -> DataFrame:
+    """The keyword-job path as one plan: valid jobs x their sources -> each list's
+    repeat-page stop (F4) -> first occurrence per id (F1) -> take-while against the job's own
+    window (F3) -> the job's limit, 0 = none (F2) -> cache anti join unless the job is forced (D1).
+    The limit is applied before the cache check, as upstream (Q4): a rerun may select nothing.
+
+    `jobs` carry job_id, keyword, interval, force, limit and a `source` per requested source (the
+    fan-out); `cands` carry keyword, source, content_id, published_ts, pos, page.
+    """
+    from murmur.functions.times import window_start_col
+    k = ("job_id", "keyword", "source")
+    j = jobs.select(*k, "force", "limit", window_start_col("interval", now).alias("cutoff"))
+    lists = cands.join(j, ["keyword", "source"])
+    pages = stop_on_repeat_page(lists, max_pages, keys=k)
+    seen = first_seen(pages, keys=k, carry=("published_ts", "cutoff", "force", "limit"))
+    recent = take_while_newer(seen, "cutoff", keys=k)
+    capped = limit_per_list(recent, "limit", keys=k)
+    url = url_of(F.col("source"), F.col("content_id")) if url_of else \
+        F.concat(F.lit("https://"), F.col("source"), F.lit(".example/read/"), F.col("content_id"))
+    return uncached(capped.withColumn("url", url), cache, now.date(), force="force")
 
 
 def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: str,

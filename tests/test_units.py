@@ -210,3 +210,35 @@ def test_ttl_force_renews(spark):
     df = spark.createDataFrame(rows, "k long, id long, ts timestamp_ntz, f boolean")
     out = cd.ttl_dedupe(df, key="k", ts="ts", ttl_days=30, tiebreak="id", force_col="f").orderBy("ts").collect()
     assert [(r.ts - datetime(2024, 1, 1)).days for r in out] == [0, 20, 55]   # forced 20 renews to 50
+
+
+def test_job_windows_native(spark):
+    from murmur.functions.times import window_start_col
+    vals = ["30d", "1m", "2y", "2w", "24h", "bogus", "01/06/2026 - 30/06/2026", None]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    got = [r.s for r in df.select(window_start_col("v", TODAY).alias("s")).collect()]
+    assert got[:4] == [datetime(2026, 5, 24), datetime(2026, 5, 23), datetime(2024, 6, 23), datetime(2026, 6, 9)]
+    assert got[4] == datetime(2026, 6, 22) and got[5] == datetime(2026, 5, 24)
+    assert got[6] == datetime(2026, 6, 1) and got[7] == datetime(2026, 5, 24)
+
+
+def test_select_candidates_limit_then_cache(spark):
+    """Q4/Q5/Q8: limit first, then the cache; limit 0 = unlimited; force bypasses the cache."""
+    from murmur.operators.candidates import select_candidates
+    now = datetime(2024, 1, 30)
+    cands = spark.createDataFrame(
+        [("kw", "cnn", c, datetime(2024, 1, 29), i + 1, 1) for i, c in enumerate("abcd")],
+        "keyword string, source string, content_id string, published_ts timestamp_ntz, pos int, page int")
+    url = lambda c: f"https://cnn.example/read/{c}"
+    cache = spark.createDataFrame([(hashlib.md5(url(c).encode()).hexdigest(), datetime(2024, 2, 15).date())
+                                   for c in "ab"], "cache_key string, expires_on date")
+    jobs = spark.createDataFrame([(1, "kw", "cnn", "7d", False, 2), (2, "kw", "cnn", "7d", False, 0),
+                                  (3, "kw", "cnn", "7d", True, 2)],
+                                 "job_id long, keyword string, source string, interval string, force boolean, limit int")
+    out = select_candidates(jobs, cands, cache, now)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r.job_id, set()).add(r.content_id)
+    assert 1 not in got                          # the first 2 are cached: nothing to fetch
+    assert got[2] == {"c", "d"}                  # unlimited, cached ones dropped
+    assert got[3] == {"a", "b"}                  # forced: cache ignored
