@@ -15,15 +15,6 @@ from pyspark.sql import functions as F
 from murmur.functions.times import epoch_to_ntz
 from murmur.sources.tables import read_table
 
-NOW = "2024-01-30 00:00:00"
-NOW_DAY = "2024-01-30"
-
-
-def ts_ntz(text: str) -> Column:
-    """A TIMESTAMP_NTZ literal (events.ts is read as timestamp_ntz; comparisons stay zone-free)."""
-    return F.expr(f"TIMESTAMP_NTZ '{text}'")
-
-
 def opinions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """v_opinions: one row per event, mapped to an opinion (comment or post) with a sentiment label."""
     return opinions_from_events(read_table(spark, sf_dir, "events"))

@@ -21,8 +21,6 @@ from murmur.functions.text import first_nonblank
 from murmur.functions.times import epoch_to_ntz
 from murmur.session import spread
 
-COMMENT_OUT = ["source", "keyword", "content_id", "content_url", "raw_parent_id", "raw_id", "source_id",
-               "author", "content", "prokontra", "published_at"]
 CONTENT_OUT = ["source_id", "source", "keyword", "url", "content_id", "title", "author", "media", "content",
                "published_at", "raw_id"]
 

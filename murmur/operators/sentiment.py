@@ -26,7 +26,6 @@ from murmur.session import spread
 
 CONFIDENCE_THRESHOLD = 0.75
 BULK, FALLBACK = "bulk", "fallback"
-LABELS = ("negative", "neutral", "positive")
 
 
 def unprocessed(comments: DataFrame) -> DataFrame:

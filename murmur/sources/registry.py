@@ -9,8 +9,6 @@ Adding a source = decorating one class; nothing else changes. The live fetching
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 
 _REGISTRY: dict[str, type] = {}
@@ -53,5 +51,3 @@ def _load_builtin():
     # importing the module registers the built-in sources
     from murmur.sources import builtin  # noqa: F401
 
-
-ParseFn = Callable[[DataFrame], DataFrame]
