@@ -45,9 +45,9 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """v_candidates: ten search-result lists (keyword x source), 20 per page, newest block first.
 
     `pos` is the rank inside a list ordered by (block desc, event_id). Instead of one window over a
-    whole list (a single task per list), positions are built in two levels: a bounded window inside
-    each 500-event block, plus the running size of the preceding blocks computed over per-block
-    counts (500x fewer rows).
+    whole list (a single task per list), positions are built from bounded windows: row numbers
+    inside each 500-event block, plus the size of all preceding blocks, itself a two-level prefix
+    sum (blocks inside a superblock of 1,000 blocks, then superblocks) over per-block counts.
     """
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     base = ev.select(
@@ -59,9 +59,18 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id"),
     )
     lst = ["keyword", "source"]
-    sizes = base.groupBy(*lst, "block").agg(F.count(F.lit(1)).alias("block_n"))
-    w_blocks = Window.partitionBy(*lst).orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    offsets = sizes.select(*lst, "block", (F.sum("block_n").over(w_blocks) - F.col("block_n")).alias("offset"))
+    sizes = (base.groupBy(*lst, "block").agg(F.count(F.lit(1)).alias("block_n"))
+             .withColumn("sb", F.floor(F.col("block") / 1000)))
+    # blocks before this one inside its superblock (newest block first)
+    inner = sizes.withColumn("in_sb", F.sum("block_n").over(
+        Window.partitionBy(*lst, "sb").orderBy(F.col("block").desc()).rowsBetween(Window.unboundedPreceding, 0))
+        - F.col("block_n"))
+    # all rows of the superblocks before this one
+    sb = sizes.groupBy(*lst, "sb").agg(F.sum("block_n").alias("sb_n"))
+    sb = sb.withColumn("before_sb", F.sum("sb_n").over(
+        Window.partitionBy(*lst).orderBy(F.col("sb").desc()).rowsBetween(Window.unboundedPreceding, 0)) - F.col("sb_n"))
+    offsets = inner.join(sb.select(*lst, "sb", "before_sb"), lst + ["sb"]).select(
+        *lst, "block", (F.col("before_sb") + F.col("in_sb")).alias("offset"))
     w_in = Window.partitionBy(*lst, "block").orderBy("event_id")
     ranked = base.withColumn("rn", F.row_number().over(w_in))
     out = ranked.join(offsets, lst + ["block"]).select(
