@@ -113,3 +113,19 @@ def test_stream_daily_counts_late_rows_exactly(spark, tmp_path):
     assert {(r.day, r.n) for r in res.collect()} == {("2024-01-05", 5), ("2024-01-10", 5)}
     res = run_daily_sentiment(spark, "", events=stream(), out=out, checkpoint=ckpt)   # resume: nothing new
     assert {(r.day, r.n) for r in res.collect()} == {("2024-01-05", 5), ("2024-01-10", 5)}
+
+
+@pytest.mark.parametrize("key", ["normalise_timestamps", "flat_comments", "stream_daily_sentiment", "ttl_dedupe",
+                                 "trending_keywords"])
+def test_results_do_not_depend_on_session_zone(spark, duck, key):
+    from murmur.plans.verify import compare
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Jakarta")
+    try:
+        df = entry.queries()[key](spark, SF_SMALL)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    res = duck.execute(entry.oracle_sql()[key])
+    ok, msg = compare(df.columns, rows, [d[0] for d in res.description], res.fetchall())
+    assert ok, msg
