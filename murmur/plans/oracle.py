@@ -116,16 +116,17 @@ SELECT sentiment, rank, word, n, round(n / max(n) OVER (PARTITION BY sentiment),
 
 ORACLE["trending_keywords"] = f"""{W('v_opinions')},
 a AS (SELECT keyword,
-    count_if(published_ts >= TIMESTAMP '2024-01-23 00:00:00' AND published_ts < TIMESTAMP '2024-01-30 00:00:00') AS n_now,
-    count_if(NOT (published_ts >= TIMESTAMP '2024-01-23 00:00:00' AND published_ts < TIMESTAMP '2024-01-30 00:00:00')) AS n_before
+    CAST(count_if(published_ts >= TIMESTAMP '2024-01-23 00:00:00' AND published_ts < TIMESTAMP '2024-01-30 00:00:00') AS BIGINT) AS n_now,
+    CAST(count_if(NOT (published_ts >= TIMESTAMP '2024-01-23 00:00:00' AND published_ts < TIMESTAMP '2024-01-30 00:00:00')) AS BIGINT) AS n_before
   FROM v_opinions
   WHERE published_ts >= TIMESTAMP '2024-01-16 00:00:00' AND published_ts < TIMESTAMP '2024-01-30 00:00:00'
   GROUP BY keyword)
 SELECT keyword, n_now, n_before, round((n_now - n_before) / greatest(n_before, 1), 6) AS growth FROM a"""
 
 ORACLE["compare_keywords"] = f"""{W('v_opinions')},
-a AS (SELECT keyword, count_if(sentiment = 'positive') AS positive, count_if(sentiment = 'negative') AS negative,
-        count_if(sentiment = 'neutral') AS neutral FROM v_opinions GROUP BY keyword)
+a AS (SELECT keyword, CAST(count_if(sentiment = 'positive') AS BIGINT) AS positive,
+        CAST(count_if(sentiment = 'negative') AS BIGINT) AS negative,
+        CAST(count_if(sentiment = 'neutral') AS BIGINT) AS neutral FROM v_opinions GROUP BY keyword)
 SELECT keyword, positive, negative, neutral, positive + negative + neutral AS total,
   round(positive / (positive + negative + neutral), 6) AS share_positive,
   round(negative / (positive + negative + neutral), 6) AS share_negative,

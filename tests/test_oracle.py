@@ -10,6 +10,9 @@ ORACLE = entry.oracle_sql()
 QUERIES = entry.queries()
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 @pytest.mark.parametrize("key", sorted(ORACLE))
 def test_matches_oracle(spark, duck, key):
     df = QUERIES[key](spark, SF_SMALL)
@@ -17,6 +20,10 @@ def test_matches_oracle(spark, duck, key):
     res = duck.execute(ORACLE[key])
     ok, msg = compare(df.columns, rows, [d[0] for d in res.description], res.fetchall())
     assert ok, msg
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {d[0]: str(d[1]) for d in res.description}
+    assert spark_types == duck_types
 
 
 @pytest.mark.parametrize("key", sorted(set(QUERIES) - set(ORACLE)))
