@@ -151,11 +151,19 @@ def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: st
     folder, and round b reads only partition b. Accepted rows are appended per round to an output
     table; the per-key carry (one row per key) is checkpointed each round to cut lineage.
     """
+    accepted, _ = ttl_rounds(events, key, ts, ttl_days, tiebreak, force_col)
+    return accepted
+
+
+def ttl_rounds(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: str,
+               force_col: str | None = None, carry: DataFrame | None = None):
+    """The block rounds behind `ttl_dedupe`. `carry` = (key, _thr) thresholds from earlier input
+    (a stream's previous micro-batches). Returns (accepted rows, carried thresholds after the input)."""
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
     bounds = events.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
-        return events.select(key, ts, tiebreak).limit(0)
+        return events.select(key, ts, tiebreak).limit(0), carry
     lo, hi = bounds["lo"], bounds["hi"]
     n_blocks = int((hi - lo).total_seconds() // (ttl_days * 86400)) + 1
     lo_lit = F.expr(f"TIMESTAMP_NTZ '{lo:%Y-%m-%d %H:%M:%S.%f}'")
@@ -168,7 +176,6 @@ def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: st
     staged = spark.read.parquet(f"{base}/events")
     ttl = F.expr(f"INTERVAL {int(ttl_days)} DAYS")
     order = lambda: F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("tb"))
-    carry = None            # key -> next acceptable time for an unforced event
     for b in range(n_blocks):
         eb = staged.where(F.col("_block") == b).drop("_block")           # partition pruning
         fb = (eb.where("_force").groupBy(key)
@@ -187,4 +194,4 @@ def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: st
         carry = (last.withColumnRenamed("_new", "_thr") if carry is None else
                  carry.join(last, key, "full").select(key, F.coalesce("_new", "_thr").alias("_thr")))
         carry = carry.checkpoint(eager=True)
-    return spark.read.parquet(f"{base}/accepted").drop("_round")
+    return spark.read.parquet(f"{base}/accepted").drop("_round"), carry

@@ -1,63 +1,61 @@
-"""J3 (stream): keyed TTL suppression - accept a key's event only if it is at least TTL after the
-key's last accepted event (greedy, like an expiring cache; skipped events do not renew the TTL).
-
-State per key is one value (the last accepted time, epoch microseconds) kept by
-`applyInPandasWithState`. Each call sees only the key's rows of one micro-batch (bounded by the
-trigger size, `maxFilesPerTrigger`), sorts them and folds them against the state. With events
-arriving in event-time order the output equals the batch operator `ttl_dedupe`.
-A key's state is dropped once the watermark passes last accepted + TTL (event-time timeout).
-Forced events are always accepted and renew the TTL.
+"""J3 (stream): keyed TTL suppression - in event-time order, accept an event when it is forced or
+at least TTL after the key's last accepted event (greedy, like an expiring cache; skipped events do
+not renew the TTL, forced ones do).
+
+Each micro-batch runs the batch block rounds (`candidates.ttl_rounds`) seeded with the thresholds
+carried from earlier batches, so no key's events are gathered in one task however hot the key is.
+The carried state is a small table of (key, threshold), written as one version per batch (a replayed
+batch re-reads the version before it, so replays are idempotent). Thresholds at or before the
+batch's newest event can no longer reject anything that arrives in order, so they are dropped - the
+same point where an event-time timeout would expire them. Events are expected in event-time order
+across batches; a late event is judged against the key's current threshold.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-from murmur.streaming.common import new_location, ntz_as_instant, read_batches, run_available, table_stream, write_batch
-
-OUT_SCHEMA = "user_id long, event_id long, ts timestamp"
-STATE_SCHEMA = "last_us long"
-
-
-def _greedy(ttl_us: int):
-    def fn(key, pdfs, state):
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        frames = [p for p in pdfs if len(p)]
-        if not frames:
-            return
-        pdf = pd.concat(frames).sort_values(["ts", "event_id"], kind="mergesort")
-        us = pdf["ts"].astype("datetime64[us]").astype("int64").to_numpy()
-        forced = pdf["force"].fillna(False).to_numpy(dtype=bool)
-        keep = []
-        for i, t in enumerate(us):
-            if forced[i] or last is None or t >= last + ttl_us:
-                keep.append(i)
-                last = int(t)
-        state.update((last,))
-        state.setTimeoutTimestamp((last + ttl_us) // 1000)
-        yield pdf.iloc[keep][["user_id", "event_id", "ts"]]
-    return fn
-
 
-def ttl_dedupe_stream(events: DataFrame, ttl_days: int = 7, force: Column | None = None) -> DataFrame:
-    """`force` (a boolean column expression) marks events accepted regardless, renewing the TTL."""
-    ttl_us = ttl_days * 86400 * 1_000_000
-    ev = events.select("user_id", "event_id", ntz_as_instant(F.col("ts")).alias("ts"),
-                       (force if force is not None else F.lit(False)).alias("force"))
-    return (ev.withWatermark("ts", f"{ttl_days} days")
-            .groupBy("user_id")
-            .applyInPandasWithState(_greedy(ttl_us), OUT_SCHEMA, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+from murmur.operators.candidates import ttl_rounds
+from murmur.streaming.common import new_location, read_batches, run_available, table_stream, write_batch
+
+OUT_SCHEMA = "user_id long, ts timestamp_ntz, event_id long"
+
+
+def _state_before(spark: SparkSession, state: str, batch_id: int) -> DataFrame | None:
+    """The carried thresholds written by the latest batch before `batch_id` (None at the start)."""
+    try:
+        versions = spark.read.parquet(state).where(F.col("batch_id") < batch_id)
+    except Exception as ex:  # noqa: BLE001 - no state yet
+        if "PATH_NOT_FOUND" in str(ex) or "UNABLE_TO_INFER_SCHEMA" in str(ex):
+            return None
+        raise
+    last = versions.agg(F.max("batch_id")).first()[0]
+    if last is None:
+        return None
+    return versions.where((F.col("batch_id") == last) & F.col("user_id").isNotNull()).select("user_id", "_thr")
+
+
+def ttl_batch(state: str, out: str, ttl_days: int):
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        carry = _state_before(spark, state, batch_id)
+        accepted, carry = ttl_rounds(batch, "user_id", "ts", ttl_days, "event_id", "force", carry=carry)
+        write_batch(accepted.select("user_id", "ts", "event_id"), out, batch_id)
+        newest = batch.agg(F.max("ts")).first()[0]
+        keep = (carry.where(F.col("_thr") > F.lit(newest)) if carry is not None and newest is not None
+                else spark.createDataFrame([], "user_id long, _thr timestamp_ntz"))
+        # a sentinel row keeps every version non-empty, so an empty state is not mistaken for "none"
+        sentinel = spark.createDataFrame([(None, None)], "user_id long, _thr timestamp_ntz")
+        keep.unionByName(sentinel).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+    return fn
 
 
-def run_ttl_dedupe(spark: SparkSession, sf_dir: str, ttl_days: int = 7, force: Column | None = None) -> DataFrame:
+def run_ttl_dedupe(spark: SparkSession, sf_dir: str, ttl_days: int = 7, force: Column | None = None,
+                   events: DataFrame | None = None) -> DataFrame:
     out = new_location(spark, "tables", "ttl_dedupe")
-    stream = ttl_dedupe_stream(table_stream(spark, sf_dir, "events"), ttl_days, force)
-    run_available(stream, lambda b, i: write_batch(b, out, i), "ttl_dedupe")
+    state = new_location(spark, "state", "ttl_dedupe")
+    src = events if events is not None else table_stream(spark, sf_dir, "events")
+    src = src.select("user_id", "event_id", "ts", (force if force is not None else F.lit(False)).alias("force"))
+    run_available(src, ttl_batch(state, out, ttl_days), "ttl_dedupe")
     return read_batches(spark, out, OUT_SCHEMA).drop("batch_id")
