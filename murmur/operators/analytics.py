@@ -251,3 +251,12 @@ def scaled_volume(op: DataFrame) -> DataFrame:
     d = op.groupBy("keyword", "day").agg(_n().alias("n"))
     return d.select("keyword", "day", "n",
                     F.round(F.col("n") / F.max("n").over(Window.partitionBy("keyword")), 6).alias("scaled"))
+
+
+def write_daily_snapshot(op: DataFrame, path: str, days: list | None = None) -> None:
+    """E4 sink: the `keyword_sentiment_daily` table, partitioned by day. Only the days present in
+    the written rows are replaced (dynamic partition overwrite), so the daily job can recompute
+    yesterday or backfill a range without touching other days; a rerun is idempotent."""
+    src = op if not days else op.where(F.col("day").isin(days))
+    (keyword_sentiment_daily(src).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path))

@@ -242,3 +242,19 @@ def test_select_candidates_limit_then_cache(spark):
     assert 1 not in got                          # the first 2 are cached: nothing to fetch
     assert got[2] == {"c", "d"}                  # unlimited, cached ones dropped
     assert got[3] == {"a", "b"}                  # forced: cache ignored
+
+
+def test_daily_snapshot_overwrites_only_its_days(spark, tmp_path):
+    from datetime import date
+
+    from murmur.operators.analytics import write_daily_snapshot
+    rows = [("kw", "positive", 0.9, date(2024, 1, d)) for d in (1, 1, 2)]
+    op = spark.createDataFrame(rows, "keyword string, sentiment string, confidence double, day date")
+    path = str(tmp_path / "kwd")
+    write_daily_snapshot(op, path)
+    more = spark.createDataFrame([("kw", "negative", 0.5, date(2024, 1, 2))] * 3,
+                                 "keyword string, sentiment string, confidence double, day date")
+    write_daily_snapshot(more, path)                     # recompute day 2 only
+    write_daily_snapshot(more, path)                     # rerun: same result
+    got = sorted((str(r.day), r.sentiment, r.n) for r in spark.read.parquet(path).collect())
+    assert got == [("2024-01-01", "positive", 2), ("2024-01-02", "negative", 3)]
