@@ -10,6 +10,8 @@ which case the row stays unprocessed and is picked up again on the next pass.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
@@ -80,10 +82,7 @@ NEGATIVE_WORDS = ("bad worst hate angry sad wrong terrible disagree buruk jelek
                   "mal mauvais schlecht malo").split()
 
 
-@F.pandas_udf(T.StructType([T.StructField("label", T.StringType()), T.StructField("confidence", T.DoubleType())]))
-def lexicon_fallback(texts: pd.Series) -> pd.DataFrame:
-    """Default tier 2: lexicon polarity; no label when the text has no lexicon word at all."""
-    pos, neg = set(POSITIVE_WORDS), set(NEGATIVE_WORDS)
+def _lexicon_scores(texts: pd.Series, pos: frozenset, neg: frozenset) -> pd.DataFrame:
     toks = texts.fillna("").str.lower().str.findall(r"[^\W_]+")
     p = toks.map(lambda ws: sum(w in pos for w in ws))
     n = toks.map(lambda ws: sum(w in neg for w in ws))
@@ -96,6 +95,18 @@ def lexicon_fallback(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"label": label, "confidence": conf})
 
 
+@F.pandas_udf(T.StructType([T.StructField("label", T.StringType()), T.StructField("confidence", T.DoubleType())]))
+def lexicon_fallback(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """Default tier 2: lexicon polarity; no label when the text has no lexicon word at all.
+
+    Iterator form: whatever the scorer needs (here the word sets; for a real fallback model, its
+    weights or client) is set up once per task, then every Arrow batch is scored with it.
+    """
+    pos, neg = frozenset(POSITIVE_WORDS), frozenset(NEGATIVE_WORDS)
+    for texts in batches:
+        yield _lexicon_scores(texts, pos, neg)
+
+
 def classify_cascade(model: PipelineModel, texts: DataFrame, text_col: str = "content",
                      threshold: float = CONFIDENCE_THRESHOLD, fallback=lexicon_fallback) -> DataFrame:
     """K1: tier 1 for every row; tier 2 only for the rows under the threshold.
