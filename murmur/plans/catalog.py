@@ -8,14 +8,21 @@ doubles rounded to 6 places, and every computed column has an explicit name shar
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur import fixtures as fx
-from murmur.functions.times import iso_day, iso_ts, recency_bucket
+from murmur.functions.text import first_nonblank
+from murmur.functions.times import iso_day, iso_ts, parse_publish_time, recency_bucket
 from murmur.operators import analytics as an
+from murmur.operators import candidates as cd
+from murmur.operators import cleaner as cl
+from murmur.operators import extract as X
+from murmur.operators import jobs as jb
+from murmur.operators import sentiment as se
+from murmur.operators import warehouse as wh
 
 TODAY = datetime(2024, 1, 30)
 
@@ -161,7 +168,6 @@ def q_unified_feed(spark, d):
 
 # ============================================================ candidate selection (v_candidates)
 
-from murmur.operators import candidates as cd  # noqa: E402
 
 CUTOFF = datetime(2024, 1, 22, 12, 0, 0)
 
@@ -212,13 +218,6 @@ def q_ttl_dedupe(spark, d):
 
 # ============================================================ raw zone, warehouse, cleaner
 
-from datetime import date  # noqa: E402
-
-from murmur.functions.times import parse_publish_time  # noqa: E402
-from murmur.operators import cleaner as cl  # noqa: E402
-from murmur.operators import extract as X  # noqa: E402
-from murmur.operators import warehouse as wh  # noqa: E402
-from murmur.functions.text import first_nonblank  # noqa: E402
 
 HWM = 100   # the stored checkpoint of the incremental scan
 
@@ -424,7 +423,6 @@ def q_normalise_timestamps(spark, d):
 
 # ============================================================ sentiment, privacy
 
-from murmur.operators import sentiment as se  # noqa: E402
 
 SECRET = "murmur-pseudonym-key"   # a deployment reads this from its secret store
 
@@ -489,8 +487,6 @@ def q_classify_cascade(spark, d):
 
 # ============================================================ jobs
 
-from murmur.operators import jobs as jb  # noqa: E402
-
 
 def _valid_jobs(spark, d):
     return jb.validate(jb.decode(fx.job_messages(spark, d)))
