@@ -44,25 +44,29 @@ def cascade_routing(scored: DataFrame, threshold: float = CONFIDENCE_THRESHOLD)
 
 def train_bulk_model(labelled: DataFrame, text_col: str = "content", label_col: str = "sentiment",
                      num_features: int = 1 << 16, max_iter: int = 30) -> PipelineModel:
-    """K4: fit the tier-1 model on labelled texts (distributed: treeAggregate gradient steps)."""
-    indexer = StringIndexer(inputCol=label_col, outputCol="label", stringOrderType="alphabetAsc",
-                            handleInvalid="skip")
-    stages = [
-        indexer,
+    """K4: fit the tier-1 model on labelled texts (distributed: treeAggregate gradient steps).
+
+    Texts are tokenised and hashed once: the term-frequency vectors (not the texts) are persisted
+    (MEMORY_AND_DISK, recomputed from lineage if an executor is lost) for the IDF and regression
+    passes, and released after the fit.
+    """
+    prep = Pipeline(stages=[
+        StringIndexer(inputCol=label_col, outputCol="label", stringOrderType="alphabetAsc", handleInvalid="skip"),
         RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=WORD_SPLIT, gaps=True, toLowercase=True),
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
-        IDF(inputCol="_tf", outputCol="_features", minDocFreq=2),
-        LogisticRegression(featuresCol="_features", labelCol="label", family="multinomial",
-                           maxIter=max_iter, regParam=0.01, probabilityCol="_prob", predictionCol="_pred",
-                           rawPredictionCol="_raw"),
-    ]
-    # The indexer, IDF and LR each pass over the input: keep the projected training set for the fit
-    # (MEMORY_AND_DISK, recomputed from lineage if an executor is lost) and release it afterwards.
-    data = spread(labelled.select(text_col, label_col)).persist(StorageLevel.MEMORY_AND_DISK)
+    ]).fit(labelled.select(label_col))          # the indexer needs the labels only
+    feats = (prep.transform(spread(labelled.select(text_col, label_col))).select("label", "_tf")
+             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        return Pipeline(stages=stages).fit(data)
+        tail = Pipeline(stages=[
+            IDF(inputCol="_tf", outputCol="_features", minDocFreq=2),
+            LogisticRegression(featuresCol="_features", labelCol="label", family="multinomial",
+                               maxIter=max_iter, regParam=0.01, probabilityCol="_prob", predictionCol="_pred",
+                               rawPredictionCol="_raw"),
+        ]).fit(feats)
     finally:
-        data.unpersist()
+        feats.unpersist()
+    return PipelineModel(stages=prep.stages + tail.stages)
 
 
 def score_bulk(model: PipelineModel, texts: DataFrame) -> DataFrame:
