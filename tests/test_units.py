@@ -258,3 +258,27 @@ def test_daily_snapshot_overwrites_only_its_days(spark, tmp_path):
     write_daily_snapshot(more, path)                     # rerun: same result
     got = sorted((str(r.day), r.sentiment, r.n) for r in spark.read.parquet(path).collect())
     assert got == [("2024-01-01", "positive", 2), ("2024-01-02", "negative", 3)]
+
+
+def test_json_path_wildcard_and_default(spark):
+    from murmur.functions.json import json_path
+    df = spark.createDataFrame([('{"a": {"b": 1}, "c": [{"id": "x"}, {"id": "y"}]}',), ("bad",)], "j string")
+    got = df.select(json_path("j", "$.a.b", "0").alias("b"), json_path("j", "$.c[*].id").alias("ids")).collect()
+    assert (got[0].b, got[0].ids) == ("1", '["x","y"]')
+    assert (got[1].b, got[1].ids) == ("0", None)
+
+
+def test_spread_only_when_needed(spark):
+    from murmur.session import spread
+    wide = spark.range(0, 100, numPartitions=64)
+    assert spread(wide) is wide                                   # enough splits: unchanged, no shuffle
+    narrow = spark.range(0, 100, numPartitions=1)
+    assert spread(narrow, 4).rdd.getNumPartitions() == 4
+
+
+def test_comments_per_content_approx(spark):
+    from murmur.operators.analytics import comments_per_content
+    df = spark.createDataFrame([("s", "c1", str(i % 50)) for i in range(500)], "source string, content_id string, source_id string")
+    exact = comments_per_content(df).first().n_comments
+    approx = comments_per_content(df, approximate=True).first().n_comments
+    assert exact == 50 and abs(approx - 50) <= 3
