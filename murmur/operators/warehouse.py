@@ -163,6 +163,29 @@ def keyed_update(target: DataFrame, updates: DataFrame, keys=WAREHOUSE_KEYS, set
     return joined.select(*cols)
 
 
+def update_where(df: DataFrame, cond: Column, sets: dict[str, Column], now: datetime | None = None) -> DataFrame:
+    """B5 (update_many): `$set` the given columns on every row matching `cond` (NULL = no match).
+    `updated_at` is touched on updated rows whenever the table has it (Q23: always, both forms)."""
+    hit = F.coalesce(cond, F.lit(False))
+    out = df.withColumn("_hit", hit)
+    for c, v in sets.items():
+        out = out.withColumn(c, F.when(F.col("_hit"), v).otherwise(F.col(c)) if c in df.columns else
+                             F.when(F.col("_hit"), v))
+    if "updated_at" in df.columns and now is not None:
+        out = out.withColumn("updated_at", F.when(F.col("_hit"), F.expr(f"TIMESTAMP_NTZ '{now:%Y-%m-%d %H:%M:%S}'"))
+                             .otherwise(F.col("updated_at")))
+    return out.drop("_hit")
+
+
+def update_first(df: DataFrame, cond: Column, sets: dict[str, Column], order: list[Column | str],
+                 keys=WAREHOUSE_KEYS, now: datetime | None = None) -> DataFrame:
+    """B5 (update_one): `$set` only on the first matching row in `order` (a distributed top-1 picks
+    its key; the update is then a keyed match)."""
+    first = df.where(cond).orderBy(*order).limit(1).select(*keys).withColumn("_first", F.lit(True))
+    marked = df.join(first, list(keys), "left")
+    return update_where(marked, F.col("_first"), sets, now).drop("_first").select(*df.columns)
+
+
 def delete_where(df: DataFrame, cond: Column) -> DataFrame:
     """B6 (delete_many): keep rows where the predicate is not true (NULL counts as not matching)."""
     return df.where(~F.coalesce(cond, F.lit(False)))

@@ -282,3 +282,14 @@ def test_comments_per_content_approx(spark):
     exact = comments_per_content(df).first().n_comments
     approx = comments_per_content(df, approximate=True).first().n_comments
     assert exact == 50 and abs(approx - 50) <= 3
+
+
+def test_update_many_and_one(spark):
+    rows = [("s", "1", "a", None), ("s", "2", "a", None), ("s", "3", "b", None)]
+    df = spark.createDataFrame(rows, "source string, source_id string, k string, updated_at timestamp_ntz")
+    now = datetime(2024, 1, 30)
+    many = {r.source_id: (r.k, r.updated_at) for r in
+            wh.update_where(df, F.col("k") == "a", {"k": F.lit("z")}, now).collect()}
+    assert many == {"1": ("z", now), "2": ("z", now), "3": ("b", None)}
+    one = {r.source_id: r.k for r in wh.update_first(df, F.col("k") == "a", {"k": F.lit("z")}, ["source_id"]).collect()}
+    assert one == {"1": "z", "2": "a", "3": "b"}
