@@ -38,3 +38,20 @@ def make_id(*cols: Column | str, algo: str = "md5") -> Column:
     if algo == "sha1":
         return F.sha1(parts)
     return F.sha2(parts, 256)
+
+
+def privacy_projection(df, author_cols=("author",), secret: str | bytes | None = None, drop: bool = False):
+    """C11: the storage-side privacy rule as one projection. Author columns are replaced by their
+    keyed pseudonym (or dropped when `drop` or no secret), and fields whose name starts with '_'
+    (plugin-private values) are left out."""
+    cols = []
+    for c in df.columns:
+        if c.startswith("_"):
+            continue
+        if c in author_cols:
+            if drop or secret is None:
+                continue
+            cols.append(hmac_sha256(c, secret).alias(c))
+        else:
+            cols.append(F.col(c))
+    return df.select(*cols)

@@ -293,3 +293,12 @@ def test_update_many_and_one(spark):
     assert many == {"1": ("z", now), "2": ("z", now), "3": ("b", None)}
     one = {r.source_id: r.k for r in wh.update_first(df, F.col("k") == "a", {"k": F.lit("z")}, ["source_id"]).collect()}
     assert one == {"1": "z", "2": "a", "3": "b"}
+
+
+def test_privacy_projection(spark):
+    from murmur.functions.hashing import privacy_projection
+    df = spark.createDataFrame([("1", "alice", "x", 3.0)], "source_id string, author string, _author string, _created_ts double")
+    kept = privacy_projection(df, secret="k")
+    assert kept.columns == ["source_id", "author"]
+    assert kept.first().author == hmac.new(b"k", b"alice", hashlib.sha256).hexdigest()
+    assert privacy_projection(df, drop=True).columns == ["source_id"]
