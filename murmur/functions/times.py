@@ -138,6 +138,13 @@ def parse_publish_time(text: Column | str) -> Column:
     return F.coalesce(iso, plain, named, epoch)
 
 
+def window_recency_bucket(interval: Column | str, now: datetime) -> Column:
+    """C15 per job: the coarse upload-date filter for a job's window ('24h' -> today, '7d' -> week,
+    '1m' -> month, '1y' -> year), from the window's length in days."""
+    days = F.datediff(F.to_date(ntz_literal(now)), F.to_date(window_start_col(interval, now)))
+    return recency_bucket(days)
+
+
 def epoch_to_ntz(secs: Column) -> Column:
     """Epoch seconds -> TIMESTAMP_NTZ wall time in UTC, whatever the session time zone."""
     return F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.timestamp_seconds(secs).cast("timestamp_ntz"))

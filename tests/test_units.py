@@ -302,3 +302,10 @@ def test_privacy_projection(spark):
     assert kept.columns == ["source_id", "author"]
     assert kept.first().author == hmac.new(b"k", b"alice", hashlib.sha256).hexdigest()
     assert privacy_projection(df, drop=True).columns == ["source_id"]
+
+
+def test_window_recency_bucket(spark):
+    from murmur.functions.times import window_recency_bucket
+    df = spark.createDataFrame([(v,) for v in ["24h", "7d", "2w", "30d", "1y", "bogus"]], "v string")
+    got = [r.b for r in df.select(window_recency_bucket("v", TODAY).alias("b")).collect()]
+    assert got == ["today", "week", "month", "month", "year", "month"]
