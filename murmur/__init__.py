@@ -13,4 +13,16 @@ Layout:
     streaming/  Structured Streaming twins of the batch operators
 """
 
+import sys as _sys
+
 __all__ = ["session", "fixtures"]
+
+# Python workers need the few functions that run inside tasks (the HTML parser behind
+# `mapInPandas`, the tier-2 pandas UDF). Pickling this package by value ships them inside the task
+# closure, so executors do not need the package installed or on their path.
+try:
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: the package must then be shipped (--py-files)
+    pass

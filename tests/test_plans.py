@@ -156,3 +156,25 @@ def test_stream_ttl_carries_state_across_batches(spark, tmp_path):
     whole = spark.createDataFrame(rows, schema).withColumn("f", force)
     want = {(r.user_id, r.event_id) for r in ttl_dedupe(whole, "user_id", "ts", 3, "event_id", "f").collect()}
     assert got == want and len(want) > 10
+
+
+def test_python_stages_run_outside_the_repo(tmp_path):
+    """Workers must not need the package on their path: run the Python-stage keys from another
+    directory in a plain session (as a driver would) in a separate process."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        "for k in ('extract_articles', 'classify_cascade'):\n"
+        "    assert e.queries()[k](s, %r).count() > 0, k\n"
+        "print('PY-STAGES-OK')\n" % (root, SF_SMALL))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), env=env, capture_output=True,
+                         text=True, timeout=600)
+    assert "PY-STAGES-OK" in out.stdout, out.stderr[-2000:]
