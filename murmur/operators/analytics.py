@@ -132,12 +132,14 @@ def keyword_sentiment_daily(op: DataFrame) -> DataFrame:
 
 
 def daily_signal(op: DataFrame) -> DataFrame:
-    """E5: per keyword and day, the volume and the dominant sentiment (ties -> last label A-Z)."""
+    """E5: per keyword and day, the volume (all opinions) and the dominant sentiment among the
+    labelled ones (ties -> last label A-Z; not-yet-classified rows never dominate)."""
     per = op.groupBy("keyword", "day", "sentiment").agg(_n().alias("n"))
+    labelled = F.col("sentiment").isNotNull()
     return per.groupBy("keyword", "day").agg(
         F.sum("n").alias("volume"),
-        F.max_by("sentiment", F.struct("n", "sentiment")).alias("dominant_sentiment"),
-        F.max("n").alias("dominant_n"))
+        F.max_by("sentiment", F.when(labelled, F.struct("n", "sentiment"))).alias("dominant_sentiment"),
+        F.max(F.when(labelled, F.col("n"))).alias("dominant_n"))
 
 
 def source_counts(op: DataFrame, contents: DataFrame) -> DataFrame:

@@ -77,7 +77,8 @@ FROM v_opinions GROUP BY keyword, day, sentiment"""
 ORACLE["daily_signal"] = f"""{W('v_opinions')},
 per AS (SELECT keyword, day, sentiment, count(*) AS n FROM v_opinions GROUP BY keyword, day, sentiment)
 SELECT keyword, {_day()} AS day, CAST(sum(n) AS BIGINT) AS volume,
-  arg_max(sentiment, (n, sentiment)) AS dominant_sentiment, max(n) AS dominant_n
+  arg_max(sentiment, (n, sentiment)) FILTER (WHERE sentiment IS NOT NULL) AS dominant_sentiment,
+  max(n) FILTER (WHERE sentiment IS NOT NULL) AS dominant_n
 FROM per GROUP BY keyword, day"""
 
 ORACLE["opinions_filter"] = f"""{W('v_opinions', 'v_contents')},

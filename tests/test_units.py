@@ -309,3 +309,13 @@ def test_window_recency_bucket(spark):
     df = spark.createDataFrame([(v,) for v in ["24h", "7d", "2w", "30d", "1y", "bogus"]], "v string")
     got = [r.b for r in df.select(window_recency_bucket("v", TODAY).alias("b")).collect()]
     assert got == ["today", "week", "month", "month", "year", "month"]
+
+
+def test_daily_signal_ignores_unlabelled(spark):
+    from datetime import date
+
+    from murmur.operators.analytics import daily_signal
+    rows = [("kw", date(2024, 1, 1), s) for s in [None] * 5 + ["negative"] * 2 + ["positive"] * 2]
+    df = spark.createDataFrame(rows, "keyword string, day date, sentiment string")
+    r = daily_signal(df).first()
+    assert (r.volume, r.dominant_sentiment, r.dominant_n) == (9, "positive", 2)   # tie -> last label A-Z
