@@ -54,3 +54,28 @@ def test_list_rules_equal_page_loop(spark, cards, max_pages):
     kept = cd.take_while_newer(seen, CUTOFF)
     got = sorted((r.content_id, r.pos) for r in kept.collect())
     assert got == page_loop(cards, max_pages)
+
+
+def greedy(events, ttl):
+    """Sequential definition: in (ts, id) order, accept when forced or ts >= last accepted + ttl."""
+    last, out = {}, []
+    for ts, eid, key, forced in sorted(events, key=lambda e: (e[0], e[1])):
+        if forced or key not in last or ts >= last[key] + ttl:
+            last[key] = ts
+            out.append(eid)
+    return sorted(out)
+
+
+events_st = st.lists(
+    st.tuples(st.integers(0, 40), st.sampled_from([1, 2]), st.sampled_from([False, False, True])),
+    min_size=1, max_size=16)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(evs=events_st)
+def test_ttl_rounds_equal_greedy(spark, evs):
+    t0 = datetime(2024, 1, 1)
+    events = [(t0 + timedelta(days=d), i, k, f) for i, (d, k, f) in enumerate(evs)]
+    df = spark.createDataFrame(events, "ts timestamp_ntz, id long, k long, f boolean")
+    got = sorted(r.id for r in cd.ttl_dedupe(df, "k", "ts", 7, "id", "f").collect())
+    assert got == greedy(events, timedelta(days=7))
