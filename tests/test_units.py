@@ -319,3 +319,25 @@ def test_daily_signal_ignores_unlabelled(spark):
     df = spark.createDataFrame(rows, "keyword string, day date, sentiment string")
     r = daily_signal(df).first()
     assert (r.volume, r.dominant_sentiment, r.dominant_n) == (9, "positive", 2)   # tie -> last label A-Z
+
+
+def test_source_id_fallback_chain(spark):
+    """Q2/Q3: content_id, then (forum only) the payload id, then the url; '' falls through like NULL."""
+    rows = [(1, "reddit", "k", "", "u1", "", "", "", '{"id": "p1"}'),
+            (2, "reddit", "k", "", "u2", "", "", "", "{}"),
+            (3, "reddit", "k", "c3", "u3", "", "", "", '{"id": "p3"}'),
+            (4, "youtube", "k", "", "u4", "", "", "", '{"id": "p4"}')]
+    df = spark.createDataFrame(rows, "ingest_seq long, source string, keyword string, content_id string, url string,"
+                                     " title string, media string, published_at string, raw string")
+    got = {r.raw_id: r.source_id for r in
+           X.json_contents(df.where("source = 'reddit'"), "reddit").unionByName(
+               X.json_contents(df.where("source = 'youtube'"), "youtube")).collect()}
+    assert got == {1: "p1", 2: "u2", 3: "c3", 4: "u4"}
+
+
+def test_unprocessed_empty_vs_null(spark):
+    """Q17: empty content is still sent to the classifier, NULL content is not."""
+    from murmur.operators.sentiment import unprocessed
+    df = spark.createDataFrame([("a", "", False), ("b", None, False), ("c", "x", True)],
+                               "source_id string, content string, ai_processed boolean")
+    assert [r.source_id for r in unprocessed(df).collect()] == ["a"]
