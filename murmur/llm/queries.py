@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from murmur.llm.common import table
 from murmur.llm.decontam import decontaminate
 from murmur.llm.exact import exact_duplicates
 from murmur.llm.minhash import near_duplicates
+from murmur.llm.packing import pack
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +34,16 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans", "items")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_exact, op4_chat, op9_decontaminate)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_exact, op4_chat, op5_packing, op9_decontaminate)}
 
 ORACLE = {
     "op2_exact": """
