@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import chat
+from murmur.llm import chat, warc
 from murmur.llm.common import table
 from murmur.llm.decontam import decontaminate
 from murmur.llm.exact import exact_duplicates
+from murmur.llm.html import extract_pages
 from murmur.llm.minhash import near_duplicates
 from murmur.llm.packing import pack
+from murmur.session import scratch_path
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,11 +43,28 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC records into the shared folder, then the archives read back."""
+    warc.register(spark)
+    path = scratch_path(spark, f"warc-{uuid.uuid4().hex}")
+    warc.write_pages(table(spark, sf_dir, "pages"), path)
+    archive = spark.read.format("warc").load(path)
+    full = archive.where("record_type = 'response'").select("record_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"), "record_type", "refers_to")
+    again = spark.read.format("warc").option("payload", "false").load(path).where("record_type = 'revisit'").select(
+        "record_id", F.col("payload_length").alias("payload_bytes"), F.substring_index("payload_digest", ":", -1).alias("payload_digest"), "record_type", "refers_to")
+    page = lambda c: F.regexp_extract(c, r"^<urn:page:(-?\d+)>$", 1).try_cast("long")
+    return full.union(again).select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans", "items")
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_exact, op4_chat, op5_packing, op9_decontaminate)}
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_exact, op4_chat, op5_packing, op6_warc, op9_decontaminate, op10_html)}
 
 ORACLE = {
     "op2_exact": """
@@ -63,6 +84,12 @@ ORACLE = {
                sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
                CAST(sum(size) AS BIGINT) AS formatted_chars
         FROM l GROUP BY conv_id""",
+    "op6_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+             g AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+        SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest, CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+        FROM g""",
     "op9_decontaminate": """
         WITH dw AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
              bw AS (SELECT CAST(item_id AS VARCHAR) AS item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
