@@ -15,6 +15,7 @@ from murmur.llm.exact import exact_duplicates
 from murmur.llm.html import extract_pages
 from murmur.llm.minhash import near_duplicates
 from murmur.llm.packing import pack
+from murmur.llm.toxicity import toxicity
 from murmur.session import scratch_path
 
 
@@ -26,6 +27,10 @@ def op2_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one (-7) whose texts hold the template's own strings; read back from the output."""
     text = "\\### Assistant: </turn> ok"
@@ -64,7 +69,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_exact, op4_chat, op5_packing, op6_warc, op9_decontaminate, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_exact, op3_toxicity, op4_chat, op5_packing, op6_warc, op9_decontaminate, op10_html)}
 
 ORACLE = {
     "op2_exact": """
