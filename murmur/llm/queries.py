@@ -15,6 +15,7 @@ from murmur.llm.exact import exact_duplicates
 from murmur.llm.html import extract_pages
 from murmur.llm.minhash import near_duplicates
 from murmur.llm.packing import pack
+from murmur.llm.suffix import remove_repeats
 from murmur.llm.tokens import count_tokens, sentencepiece_vocabulary
 from murmur.llm.toxicity import toxicity
 from murmur.session import scratch_path
@@ -62,6 +63,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.union(again).select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
 
 
+def op7_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op8_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts under the pieces of piece_bpe_32k.model, their stored scores taken as a unigram model's."""
     return count_tokens(table(spark, sf_dir, "documents"), sentencepiece_vocabulary(public_tokenizers.path("piece_bpe_32k.model")))
@@ -75,7 +80,7 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_exact, op3_toxicity, op4_chat, op5_packing, op6_warc, op8_tokens, op9_decontaminate, op10_html)}
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_exact, op3_toxicity, op4_chat, op5_packing, op6_warc, op7_suffix, op8_tokens, op9_decontaminate, op10_html)}
 
 ORACLE = {
     "op2_exact": """
