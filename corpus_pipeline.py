@@ -1,41 +1,67 @@
-"""Cleaning and packing of a corpus: STAGES in order, each written as Parquet and reread by the next."""
+"""Cleaning and packing of a corpus: STAGES in order, each written as Parquet and reread by the next.
+
+Filtering stages drop rows by id, through an anti-join with the ids that go; rows with a null id are
+kept by all of them. Extra columns of the documents are not carried on.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm.common import stored, table
+from murmur.llm.common import small, stored, table
 from murmur.llm.decontam import decontaminate
-from murmur.llm.exact import exact_duplicates
+from murmur.llm.exact import BLANKS, exact_duplicates
 from murmur.llm.minhash import near_duplicates
+from murmur.llm.packing import pack
+from murmur.llm.toxicity import toxicity
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def keep(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id is in `ids`, with the columns of documents."""
-    return docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*COLUMNS)
+def without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """The rows of `docs` whose doc_id is not in `gone` (stored, and broadcast if few), with the columns of documents."""
+    ids = stored(gone.where("doc_id is not null").select("doc_id").distinct(), name)
+    return docs.join(small(ids), "doc_id", "left_anti").select(*COLUMNS)
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted toxic go."""
+    return without(docs, toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"), "toxic")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts (white space aside) stays."""
-    return keep(docs, exact_duplicates(docs).where("kept"))
+    """One row of each group of equal texts (white space aside) stays, repeated rows of one id included."""
+    kept = without(docs, exact_duplicates(docs).where("not kept"), "copies")
+    again = stored(docs.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
+    if not again.count():
+        return kept
+    plain = F.regexp_replace(F.coalesce("text", F.lit("")), BLANKS, "")
+    longest = F.max(F.struct(F.length("text").alias("n"), *[c for c in COLUMNS if c != "doc_id"]))
+    once = kept.join(again, "doc_id", "left_semi").groupBy("doc_id", plain.alias("plain")).agg(longest.alias("r")).select("doc_id", "r.*")
+    return kept.join(again, "doc_id", "left_anti").unionByName(once.select(*COLUMNS))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8 or more, the smallest id stays."""
-    return keep(docs, near_duplicates(docs, words=5, percent=80).where("kept"))
+    return without(docs, near_duplicates(docs, words=5, percent=80).where("not kept"), "near")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a twentieth or more of benchmark passages make up go."""
-    return keep(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")).where("not contaminated"))
+    """Documents of whose words a twentieth or more lie in benchmark windows go."""
+    return without(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"), "contaminated")
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of full training windows that the documents' tokens fill."""
+    pieces = pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-STAGES = [("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination)]
+STAGES = [("toxicity", reject_toxic), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("decontamination", decontamination), ("packing", packing)]
 
-#: The sketches, the classifier and the packing have no SQL form; tests compare with brute force.
+#: The classifier, the sketches and the packing have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
