@@ -257,7 +257,7 @@ def fit(docs: DataFrame, labels: DataFrame, model, id_col: str, text_col: str, s
     rows = rows.mapInArrow(_features(model), "doc_id long, toxic int, features array<binary>")
     rows = stored(rows.withColumn("same", F.xxhash64("features")).dropDuplicates(["same", "toxic"]), "features")
     total = {r[0]: r[1] for r in rows.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
-    rate = (total.get(1, 0) + 0.1) / (total.get(0, 0) + total.get(1, 0) + 0.2)
+    rate = (total.get(1, 0) + 0.1) / (total.get(0, 0) + total.get(1, 0) + 0.2) if total else 0.0
     only_bias = {"bias": float(-np.log(1 - rate)), "weights": {}}
     if not total.get(1) or not total.get(0):
         return only_bias
@@ -334,7 +334,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None
     text) mod 4 is not 2, and at most `sample_rows` of them. Labels, language, source and id are no
     inputs of a score. A null or empty text gets the score of a text without any feature. Labels with
     a null id or value are ignored; of several labels of one id the highest counts. Without labelled
-    rows of both kinds every score is the same. Repeated rows repeat; a null id has held_out = false.
+    rows of both kinds every score is the same, 0 without any labelled row. Repeated rows repeat; a null id has held_out = false.
     Other columns are ignored; an empty table gives an empty result.
     """
     spark = docs.sparkSession
