@@ -74,8 +74,8 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     w_in = Window.partitionBy(*lst, "block").orderBy("event_id")
     ranked = base.withColumn("rn", F.row_number().over(w_in))
     out = ranked.join(offsets, lst + ["block"]).select(
-        *lst, "content_id", "published_ts", (F.col("offset") + F.col("rn")).cast("int").alias("pos"))
-    return out.withColumn("page", (F.floor((F.col("pos") - 1) / F.lit(20.0)).cast("int") + 1))
+        *lst, "content_id", "published_ts", (F.col("offset") + F.col("rn")).cast("long").alias("pos"))
+    return out.withColumn("page", (F.floor((F.col("pos") - 1) / F.lit(20.0)).cast("long") + 1))
 
 
 def contents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +142,7 @@ def url_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---------------------------------------------------------------- raw zone (schema R)
 
+TURNS = 1 << 20   # raw ids set aside for the turns of one conversation
 CONTENT_SOURCES = ("detik", "cnn", "liputan6", "merdeka", "youtube", "reddit", "kompas")
 COMMENT_SOURCES = ("detik", "cnn", "youtube", "reddit", "kompas")
 NEWS_SOURCES = ("detik", "cnn", "liputan6", "merdeka")
@@ -174,7 +175,8 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
       every 13th has an empty payload, every 11th an empty content_id (url is the key).
     comments: news sources carry one threaded payload per conversation (turn 0 is the parent, later
       turns are `child`), video/forum carry one flat payload per turn.
-    ingest_seq: contents 2*doc_id, comments 2*(8*conv_id + turn) + 1 (the parent's turn for threads).
+    ingest_seq: contents 2*doc_id, comments 2*(2^20*conv_id + turn) + 1 (the parent's turn for threads).
+    parent_id: the raw id of the document with the conversation's number.
     """
     d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     src = _pick(CONTENT_SOURCES, F.col("doc_id"))
@@ -219,7 +221,7 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.parse_json(F.concat(F.lit('"'), it["role"], F.lit('"'))))
 
     flat = c.where(~csrc.isin(*NEWS_SOURCES)).select(
-        (2 * (8 * F.col("conv_id") + F.col("turn")) + 1).alias("ingest_seq"), csrc.alias("source"),
+        (2 * (TURNS * F.col("conv_id") + F.col("turn")) + 1).alias("ingest_seq"), csrc.alias("source"),
         F.col("conv_id"),
         F.to_json(F.struct(
             cid.alias("id"), cid.alias("commentId"), F.col("role").alias("author"),
@@ -232,7 +234,7 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                .agg(F.min_by(item, F.col("turn")).alias("parent"),
                     F.sort_array(F.collect_list(F.when(F.col("turn") > 0, item))).alias("kids")))
     threads = threads.select(
-        (2 * (8 * F.col("conv_id")) + 1).alias("ingest_seq"), _pick(COMMENT_SOURCES, F.col("conv_id")).alias("source"),
+        (2 * (TURNS * F.col("conv_id")) + 1).alias("ingest_seq"), _pick(COMMENT_SOURCES, F.col("conv_id")).alias("source"),
         "conv_id",
         F.to_json(F.struct(
             F.col("parent.id").alias("id"), author(F.col("parent")).alias("author"),
@@ -248,7 +250,7 @@ def raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("string").alias("desc"), F.lit(None).cast("string").alias("published_at"),
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example/read/c"), F.col("conv_id").cast("string"))
         .alias("content_url"),
-        F.concat(F.lit("c"), F.col("conv_id").cast("string")).alias("parent_id"), "raw")
+        (2 * F.col("conv_id")).cast("string").alias("parent_id"), "raw")
     return contents_r.unionByName(comments_r)
 
 
@@ -300,19 +302,54 @@ MONTHS_ID = ("Januari", "Februari", "Maret", "April", "Mei", "Juni", "Juli", "Ag
 
 
 def times(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """v_times: events.ts printed in one of four publish-time formats by event_id % 4: ISO,
-    'yyyy-MM-dd HH:mm:ss', 'd <Indonesian month> yyyy', epoch seconds (UTC)."""
+    """v_times: events.ts printed in one of nine publish-time formats by event_id % 9: ISO, with a
+    blank, 'd <Indonesian month> yyyy', epoch seconds, ISO with offset +07:00, with Z, to the minute,
+    a date alone, epoch milliseconds (all of UTC)."""
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts")
-    k = (F.col("event_id") % 4).cast("int")
+    k = (F.col("event_id") % 9).cast("int")
     month = F.element_at(F.array(*[F.lit(m) for m in MONTHS_ID]), F.month("ts"))
     epoch = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("ts"))
-    text = (F.when(k == 0, F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
-            .when(k == 1, F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    iso = lambda c, f="yyyy-MM-dd'T'HH:mm:ss": F.date_format(c, f)
+    text = (F.when(k == 0, iso("ts")).when(k == 1, iso("ts", "yyyy-MM-dd HH:mm:ss"))
             .when(k == 2, F.concat_ws(" ", F.dayofmonth("ts").cast("string"), month, F.year("ts").cast("string")))
-            .otherwise(epoch.cast("string")))
+            .when(k == 3, epoch.cast("string"))
+            .when(k == 4, F.concat(iso(F.col("ts") + F.expr("INTERVAL 7 HOURS")), F.lit("+07:00")))
+            .when(k == 5, F.concat(iso("ts"), F.lit("Z"))).when(k == 6, iso("ts", "yyyy-MM-dd'T'HH:mm"))
+            .when(k == 7, iso("ts", "yyyy-MM-dd")).otherwise((epoch * 1000).cast("string")))
     return ev.select("event_id", "ts", text.alias("published_at"))
 
 
+def result_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_result_pages: per page a search-result page as the sites write them: attributes in any order and
+    quoting, nested tags, relative and absolute links, a card without title, a repeated one and a link
+    that is no card; head metadata with its fallbacks by page_id."""
+    p = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    i, day = F.col("page_id").cast("string"), F.lpad((F.col("page_id") % 28 + 1).cast("string"), 2, "0")
+    of = lambda k: F.when(F.col("page_id") % k == 0, True).otherwise(False)
+    cat = F.concat
+    head = cat(F.lit("<!DOCTYPE html><html class=\"x\" lang='id'><head><meta charset=utf-8>"),
+               F.when(of(4), F.lit("")).otherwise(cat(F.lit("<meta content='Story &quot;"), i, F.lit("&quot;' property=\"og:title\">"))),
+               F.when(of(3), cat(F.lit('<meta property="article:author" content="Writer '), i, F.lit('">'))).otherwise(cat(F.lit('<meta content="Desk '), i, F.lit('" name=author>'))),
+               F.when(of(5), cat(F.lit("<meta name='date' content='2024-01-"), day, F.lit("'>")))
+               .otherwise(cat(F.lit('<meta property="article:published_time" content="2024-01-'), day, F.lit('T03:00:00+07:00">'))),
+               F.lit('<meta name="dtk:articleid" content="'), i, F.lit('" /><title data-x="1">Page '), i, F.lit("</title></head>"))
+    body = cat(F.lit("<body><div class=\"card\"><a data-a='1' href=\"/news/read/"), i, F.lit('0/x"><h3 class="t">Title <b>'), i,
+               F.lit("0</b></h3> <span class='timestamp small'>30 Januari 2024</span></a></div>"),
+               F.lit("<a href='https://s.example/sport/read/"), i, F.lit("1?a=1' class=c>Plain "), i, F.lit('1 &amp; more</a><time datetime="x">2024-01-05 10:00</time>'),
+               F.lit("<a href=/biz/read/"), i, F.lit("2> <img src=x> </a>"),
+               F.lit('<a href="/news/read/'), i, F.lit('0/x">Again</a><a href="/about">About</a></body></html>'))
+    return p.select(F.col("page_id").alias("ingest_seq"), F.lit("https://host.example/search?q=1").alias("url"), cat(head, body).alias("raw"))
+
+
+def read_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """v_read_cache: cached article urls of candidates (users that are multiples of 3), even ones still live."""
+    u = read_table(spark, sf_dir, "events").select("user_id").where(F.col("user_id") % 3 == 0).distinct()
+    sites = F.explode(F.array(F.lit("cnn"), F.lit("liputan6"))).alias("source")
+    return u.select("user_id", sites).select(
+        F.md5(F.concat(F.lit("https://"), "source", F.lit(".example/read/"), F.col("user_id").cast("string"))).alias("cache_key"),
+        F.when(F.col("user_id") % 2 == 0, F.to_date(F.lit("2024-02-15"))).otherwise(F.to_date(F.lit("2024-01-10"))).alias("expires_on"))
+
+
 def job_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyword job messages (JSON text) derived from events: every 50th keyword is blank and the
     next one missing; interval, platforms, news_sources, force and limit vary, some absent."""

@@ -27,17 +27,37 @@ def title_text(html: Column) -> Column:
     return unescape(F.regexp_extract(html, r"<title[^>]*>([^<]*)</title>", 1))
 
 
-def meta_content(html: Column, attr: str, value: str) -> Column:
-    """content="..." of <meta attr="value" content="..."> ('' when absent)."""
-    pat = rf'<meta\s+{attr}="{re.escape(value)}"\s+content="([^"]*)"'
-    return unescape(F.regexp_extract(html, pat, 1))
+def tags(html: Column, name: str) -> Column:
+    """All start tags of an element, as an array; attribute values may hold '>'."""
+    return F.regexp_extract_all(html, F.lit(rf"""(?is)<{name}\b(?:[^>"']|"[^"]*"|'[^']*')*>"""), F.lit(0))
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute of a start tag, quoted either way or bare; '' when absent."""
+    pattern = rf"""(?is)\s{re.escape(name)}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    found = [F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)]
+    return unescape(F.coalesce(*[F.nullif(f, F.lit("")) for f in found], F.lit("")))
+
+
+def meta_of(metas: Column, attr: str, value: str) -> Column:
+    """content of the first <meta> among `metas` whose `attr` is `value`, whatever the attributes' order ('' when absent)."""
+    hits = F.filter(metas, lambda t: F.lower(attribute(t, attr)) == value.lower())
+    return F.coalesce(attribute(F.get(hits, 0), "content"), F.lit(""))
+
+
+def text_of(fragment: Column) -> Column:
+    """The text of a piece of markup: tags out, character references decoded, white space as one blank."""
+    return F.trim(F.regexp_replace(unescape(F.regexp_replace(fragment, r"(?s)<[^>]*>", " ")), r"\s+", " "))
 
 
 def html_lang(html: Column) -> Column:
-    return F.regexp_extract(html, r'<html[^>]*\slang="([^"]*)"', 1)
+    return attribute(F.regexp_extract(html, r"(?is)<html\b[^>]*>", 0), "lang")
 
 
-ANCHOR = r'<a href="([^"]*)">([^<]*)</a>'
+# An anchor (1: its start tag, 2: what is inside), the same with all up to the next anchor, and a date in either.
+ANCHOR = r"(?is)(<a\b[^>]*>)(.*?)</a>"
+ANCHOR_AND_AFTER = r"(?is)<a\b[^>]*>.*?</a>(?:(?!<a\b).)*+"
+TIME = r"""(?is)<(?:time\b[^>]*|[a-z]+\b[^>]*\bclass\s*=\s*["']?[^"'>]*\btimestamp\b[^>]*)>(.*?)</"""
 
 # ---------------------------------------------------------------- class-scoped text (Python helper)
 
@@ -117,6 +137,10 @@ class _Scoped(HTMLParser):
         return "\n".join(line for line in lines if line)
 
 
+def by_tag(tag: str):
+    return [(tag, None, None)]
+
+
 def by_class(*tokens: str):
     """Elements having any of the class tokens (CSS `.a, .b`)."""
     return [(None, t, None) for t in tokens]
@@ -129,30 +153,19 @@ def by_exact_class(tag: str, value: str):
 
 def scoped_text(html: str | None, selector) -> str:
     """Text of the elements matched by `selector` ('' when none or when html is empty)."""
-    if not html:
-        return ""
-    p = _Scoped(selector)
-    try:
-        p.feed(html)
-        p.close()
-    except Exception:  # noqa: BLE001 - malformed markup yields what was read so far
-        pass
-    return p.text()
+    return scoped_texts_and_metas(html, {"": selector})[0][""]
 
 
 def scoped_texts_and_metas(html: str | None, selectors: dict):
-    """One parse of the page: text per named selector, plus the page's <meta> name/property values."""
+    """One parse of the page: text per named selector, plus the page's <meta> name/property values.
+    The parser reads any markup, however malformed, without raising."""
     if not html:
         return {k: "" for k in selectors}, {}
     parsers = {k: _Scoped(v) for k, v in selectors.items()}
-    first = next(iter(parsers.values()))
     fan = _Fan(list(parsers.values()))
-    try:
-        fan.feed(html)
-        fan.close()
-    except Exception:  # noqa: BLE001 - malformed markup yields what was read so far
-        pass
-    return {k: p.text() for k, p in parsers.items()}, first.metas
+    fan.feed(html)
+    fan.close()
+    return {k: p.text() for k, p in parsers.items()}, next(iter(parsers.values())).metas
 
 
 class _Fan(HTMLParser):

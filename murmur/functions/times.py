@@ -1,104 +1,70 @@
 """Time helpers: job windows (C14), recency buckets (C15), mixed publish-time parsing.
 
-Window strings are parsed once on the driver into two literal bounds; the per-row work is a plain
-column predicate that Catalyst pushes into the parquet scan.
+A window is one column expression for literals and per-row values alike; a literal window is folded
+into two literal bounds, and Catalyst pushes the predicate into the parquet scan.
 """
 
 from __future__ import annotations
 
-import calendar
 import re
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DEFAULT_WINDOW = "30d"
-_SHORTHAND = re.compile(r"^(\d+)\s*(d|w|m|y|h)$")
-_EXPLICIT_FORMATS = ("%d/%m/%Y", "%Y-%m-%d", "%m/%d/%Y")
-
-
-def _minus_months(dt: datetime, months: int) -> datetime:
-    """Calendar subtraction that clamps to the month end (31 Mar - 1 month = 29 Feb)."""
-    total = dt.year * 12 + (dt.month - 1) - months
-    year, month = divmod(total, 12)
-    day = min(dt.day, calendar.monthrange(year, month + 1)[1])
-    return dt.replace(year=year, month=month + 1, day=day)
-
-
-def window_bounds(value: str | None, today: datetime) -> tuple[datetime, datetime]:
-    """'30d' / '2w' / '1m' / '1y' / '24h' / 'a - b' / 'a to b' -> (start, end). Unknown -> 30 days."""
-    value = (value or "").strip()
-    if " - " in value or " to " in value:
-        sep = " - " if " - " in value else " to "
-        parts = [p.strip() for p in value.split(sep)]
-        if len(parts) == 2:
-            for fmt in _EXPLICIT_FORMATS:
-                try:
-                    return datetime.strptime(parts[0], fmt), datetime.strptime(parts[1], fmt)
-                except ValueError:
-                    continue
-        return today, today
-    m = _SHORTHAND.match(value.lower())
-    if not m:
-        return window_bounds(DEFAULT_WINDOW, today)
-    n, unit = int(m.group(1)), m.group(2)
-    if unit == "h":
-        start = today - timedelta(hours=n)
-    elif unit == "d":
-        start = today - timedelta(days=n)
-    elif unit == "w":
-        start = today - timedelta(weeks=n)
-    elif unit == "m":
-        start = _minus_months(today, n)
-    else:
-        start = _minus_months(today, 12 * n)
-    return start, today
-
-
-def window_days(value: str | None, today: datetime) -> int:
-    lo, hi = window_bounds(value, today)
-    return (hi - lo).days
+# The grammar of job windows (a number and a unit, or two dates) and its date patterns.
+INTERVAL = r"^(\d+)\s*(d|w|m|y|h)$"
+DATES = r"^(.*?)\s+(?:-|to)\s+(.*)$"
+DATE_PATTERNS = ("d/M/yyyy", "yyyy-M-d", "M/d/yyyy")
+DEFAULT_DAYS = 30
+
+# Length of one unit as (months, days, hours).
+UNITS = {"h": (0, 0, 1), "d": (0, 1, 0), "w": (0, 7, 0), "m": (1, 0, 0), "y": (12, 0, 0)}
 
 
 def ntz_literal(dt: datetime) -> Column:
     return F.expr(f"TIMESTAMP_NTZ '{dt:%Y-%m-%d %H:%M:%S}'")
 
 
-def in_window(ts: Column | str, value: str | None, today: datetime) -> Column:
-    """Window predicate on a timestamp column.
+def window_bounds_col(interval: Column | str, now: datetime) -> tuple[Column, Column]:
+    """C14: start and end of a job window ('30d', '24h', 'a - b', 'a to b'), per row or of a literal.
 
-    Day-based windows (d, w, m, y and explicit date ranges) compare whole days, both ends included;
-    hour windows compare timestamps. Bounds are literals, so the predicate is pushed to the scan.
+    Units are looked up in one table; months clamp at the month end. A pair of dates counts if both
+    read by the same pattern, else the window is empty (now, now). Anything else is 30 days back.
+    A literal window folds to two literals, so predicates on it reach the scan.
     """
+    text = F.lower(F.trim(F.col(interval) if isinstance(interval, str) else interval))
+    n = F.when(text.rlike(INTERVAL), F.regexp_extract(text, INTERVAL, 1)).cast("int")
+    unit = F.regexp_extract(text, INTERVAL, 2)
+
+    def length(part: int) -> Column:
+        sizes = F.create_map(*[x for u, v in UNITS.items() for x in (F.lit(u), F.lit(v[part]))])
+        return n * F.try_element_at(sizes, unit)
+    end = ntz_literal(now)
+    back = end - F.make_ym_interval(months=length(0)) - F.make_dt_interval(days=length(1), hours=length(2))
+    pair = [[F.try_to_timestamp(F.trim(F.regexp_extract(text, DATES, g)), F.lit(f)).cast("timestamp_ntz") for g in (1, 2)]
+            for f in DATE_PATTERNS]
+    whole = [(F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)) for a, b in pair]
+    dated = text.rlike(DATES)
+    start = F.when(dated, F.coalesce(*[a for a, _ in whole], end)) \
+        .otherwise(F.coalesce(back, end - F.make_dt_interval(days=F.lit(DEFAULT_DAYS))))
+    return start, F.when(dated, F.coalesce(*[b for _, b in whole], end)).otherwise(end)
+
+
+def in_window(ts: Column | str, value: str | None, today: datetime) -> Column:
+    """Window predicate on a timestamp column: hour windows compare timestamps, all others whole
+    days with both ends included."""
     ts = F.col(ts) if isinstance(ts, str) else ts
-    lo, hi = window_bounds(value, today)
-    m = _SHORTHAND.match((value or "").strip().lower())
-    if m and m.group(2) == "h":
-        return ts.between(ntz_literal(lo), ntz_literal(hi))
-    return (ts >= ntz_literal(datetime(lo.year, lo.month, lo.day))) & \
-        (ts < ntz_literal(datetime(hi.year, hi.month, hi.day) + timedelta(days=1)))
+    lo, hi = window_bounds_col(F.lit(value or ""), today)
+    if re.search(r"\d\s*h\s*$", value or "", re.I):
+        return ts.between(lo, hi)
+    day = lambda c, n: F.date_add(F.to_date(c), n).cast("timestamp_ntz")
+    return (ts >= day(lo, 0)) & (ts < day(hi, 1))
 
 
 def window_start_col(interval: Column | str, now: datetime) -> Column:
-    """C14 per row (e.g. one window per job): the start of '30d' / '2w' / '1m' / '1y' / '24h' before
-    `now`, or the first date of 'a - b' / 'a to b'; anything else -> 30 days. Months and years
-    clamp at the month end (timestamp - year-month interval)."""
-    v = F.lower(F.trim(F.col(interval) if isinstance(interval, str) else interval))
-    n = F.regexp_extract(v, r"^(\d+)\s*(d|w|m|y|h)$", 1)
-    unit = F.regexp_extract(v, r"^(\d+)\s*(d|w|m|y|h)$", 2)
-    k = F.when(n != "", n).cast("int")
-    now_lit = ntz_literal(now)
-    first = F.trim(F.regexp_extract(v, r"^(.*?)\s+(?:-|to)\s+", 1))
-    explicit = F.coalesce(*[F.try_to_timestamp(first, F.lit(f)).cast("timestamp_ntz")
-                            for f in ("dd/MM/yyyy", "yyyy-MM-dd", "MM/dd/yyyy")])
-    return (F.when(v.contains(" - ") | v.contains(" to "), F.coalesce(explicit, now_lit))
-            .when(unit == "h", now_lit - F.make_dt_interval(hours=k))
-            .when(unit == "d", now_lit - F.make_dt_interval(days=k))
-            .when(unit == "w", now_lit - F.make_dt_interval(days=k * 7))
-            .when(unit == "m", now_lit - F.make_ym_interval(months=k))
-            .when(unit == "y", now_lit - F.make_ym_interval(years=k))
-            .otherwise(now_lit - F.make_dt_interval(days=F.lit(30))))
+    """C14 per row (e.g. one window per job): the start of the window."""
+    return window_bounds_col(interval, now)[0]
 
 
 def recency_bucket(days: Column) -> Column:
@@ -119,23 +85,36 @@ def _month_number(prefix: Column) -> Column:
     return F.try_element_at(m, prefix)
 
 
+#: Epoch values from here on are milliseconds (as seconds they lie beyond the year 5138).
+MILLISECONDS = 100_000_000_000
+
+
 def parse_publish_time(text: Column | str) -> Column:
-    """Mixed publish-time text -> TIMESTAMP_NTZ (NULL when nothing matches).
+    """Mixed publish-time text -> TIMESTAMP_NTZ in UTC (NULL when nothing matches).
 
-    Accepted, in order: ISO-8601 (`2024-01-02T03:04:05[.ffffff]`), `yyyy-MM-dd HH:mm:ss`,
-    `d <month> yyyy` with an Indonesian or English month name, and epoch seconds (read as UTC).
-    Empty, zero and unparseable values give NULL (never 1970). ANSI mode is on, so only `try_*` forms.
+    ISO-8601 dates and times with `T` or a blank, minutes only, seconds or fractions, without zone
+    (read as UTC), with `Z` or an offset (turned to UTC); a date alone; `d <month> yyyy` with an
+    Indonesian or English month name; epoch seconds, or milliseconds from 10^11 on. Empty, zero and
+    unparseable values give NULL (never 1970). ANSI mode is on, so only `try_*` forms.
     """
     t = F.trim(F.col(text) if isinstance(text, str) else text)
-    iso = F.try_to_timestamp(t, F.lit("yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]")).cast("timestamp_ntz")
-    plain = F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz")
+    iso = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2})(?::(\d{2})(?:\.(\d+))?)?\s*(Z|z|[+-]\d{2}:?\d{2})?)?$"
+    part = lambda k, default: F.coalesce(F.nullif(F.regexp_extract(t, iso, k), F.lit("")), F.lit(default))
+    local = F.try_to_timestamp(
+        F.concat(part(1, ""), F.lit(" "), part(2, "00:00"), F.lit(":"), part(3, "00"), F.lit("."), F.substring(F.rpad(part(4, "0"), 6, "0"), 1, 6)),
+        F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")).cast("timestamp_ntz")
+    zone = F.replace(F.regexp_extract(t, iso, 5), F.lit(":"), F.lit(""))
+    minutes = F.when(zone.rlike(r"^[+-]\d{4}$"), F.when(zone.startswith("-"), -1).otherwise(1)
+                     * (F.substring(zone, 2, 2).cast("int") * 60 + F.substring(zone, 4, 2).cast("int"))).otherwise(0)
+    iso_time = F.when(t.rlike(iso), local - F.make_dt_interval(mins=minutes))
     dmy = r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})$"
     month = _month_number(F.lower(F.substring(F.regexp_extract(t, dmy, 2), 1, 3)))
     canon = F.concat_ws("-", F.regexp_extract(t, dmy, 3), month.cast("string"), F.regexp_extract(t, dmy, 1))
     named = F.when(t.rlike(dmy), F.try_to_timestamp(canon, F.lit("yyyy-M-d")).cast("timestamp_ntz"))
-    secs = F.when(t.rlike(r"^\d+(\.\d+)?$"), t.cast("double"))
+    number = F.when(t.rlike(r"^\d{1,15}(\.\d+)?$"), t.cast("double"))
+    secs = F.when(number >= MILLISECONDS, number / 1000).otherwise(number)
     epoch = F.when(secs > 0, epoch_to_ntz(secs))
-    return F.coalesce(iso, plain, named, epoch)
+    return F.coalesce(iso_time, named, epoch)
 
 
 def window_recency_bucket(interval: Column | str, now: datetime) -> Column:

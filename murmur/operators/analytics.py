@@ -69,29 +69,44 @@ def newest(op: DataFrame, k: int = 20) -> DataFrame:
     return op.orderBy(F.col("published_ts").desc(), F.col("source_id").desc()).limit(k)
 
 
+def opinions_from_warehouse(contents: DataFrame, comments: DataFrame) -> DataFrame:
+    """Q18: the opinions view over the two warehouse tables: every comment, and the forum's posts
+    (contents of `reddit`), which carry no label of their own. News and video bodies are context."""
+    shared = ["source_id", "source", "keyword", "content_id", "author", F.col("content").alias("raw"), "published_ts"]
+    labels = {"sentiment": "string", "engine": "string", "confidence": "double", "ai_processed": "boolean"}
+    said = comments.select(*shared, F.lit("comment").alias("kind"), "raw_parent_id", *labels)
+    posts = contents.where(F.col("source") == "reddit").select(
+        *shared, F.lit("post").alias("kind"), F.lit(None).cast("string").alias("raw_parent_id"),
+        *[F.lit(None).cast(t).alias(c) for c, t in labels.items()])
+    return said.unionByName(posts).withColumn("day", F.to_date("published_ts"))
+
+
 def feed_with_parent(op: DataFrame, contents: DataFrame) -> DataFrame:
-    """D3: each opinion with its parent article (left join on content_id; blank ids never match).
+    """D3: each opinion with its parent article: by the raw row it names (`raw_parent_id` = `raw_id`),
+    else by (source, content_id); blank ids never match.
 
-    Contents are deduplicated on the join key first, so a comment gets at most one parent. A viral
+    Contents are deduplicated on the join key first, so an opinion gets at most one parent. A viral
     article (hot content_id) is split by AQE's skew-join handling on the opinion side.
     """
-    parents = (contents.where(F.col("content_id") != "")
-               .groupBy("content_id")
-               .agg(F.min_by(F.struct("source", "url", "keyword"), F.col("source_id")).alias("p")))
-    return op.join(parents, "content_id", "left").select(
-        "source_id", "source", "content_id", "sentiment",
-        F.col("p.source").alias("parent_source"), F.col("p.url").alias("parent_url"),
-        F.col("p.keyword").alias("parent_keyword"))
+    parent = F.struct("source", "url", "keyword")
+    by_id = (contents.where(F.col("content_id") != "").groupBy("source", "content_id")
+             .agg(F.min_by(parent, F.col("source_id")).alias("p")))
+    out = op.join(by_id, ["source", "content_id"], "left")
+    if "raw_parent_id" in op.columns and "raw_id" in contents.columns:
+        by_raw = contents.groupBy(F.col("raw_id").cast("string").alias("raw_parent_id")).agg(F.min_by(parent, F.col("source_id")).alias("q"))
+        out = out.join(by_raw, "raw_parent_id", "left").withColumn("p", F.coalesce("q", "p"))
+    return out.select("source_id", "source", "content_id", "sentiment", F.col("p.source").alias("parent_source"),
+                      F.col("p.url").alias("parent_url"), F.col("p.keyword").alias("parent_keyword"))
 
 
 def contents_with_opinions(contents: DataFrame, op: DataFrame) -> DataFrame:
-    """Context articles that have at least one opinion (left semi join).
+    """Context articles that have at least one opinion of their source (left semi join).
 
-    The opinion side is reduced to distinct content ids first (partial aggregation map-side), so
-    a viral article's millions of comments become one row before the join's shuffle.
+    The opinion side is reduced to distinct ids first (partial aggregation map-side), so a viral
+    article's millions of comments become one row before the join's shuffle.
     """
-    ids = op.select("content_id").where(F.col("content_id") != "").distinct()
-    return contents.join(ids, "content_id", "left_semi")
+    ids = op.select("source", "content_id").where(F.col("content_id") != "").distinct()
+    return contents.join(ids, ["source", "content_id"], "left_semi")
 
 
 # ---------------------------------------------------------------- E: aggregates

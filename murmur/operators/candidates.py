@@ -18,8 +18,21 @@ from murmur.session import ensure_checkpoint_dir, scratch_path
 
 LIST_KEYS = ("keyword", "source")
 DEFAULT_LIMIT = 50          # contents per source per job
-MAX_PAGES = 50              # search pages per list (5 for video search)
-COMMENT_PAGES = 10          # comment pages per content
+# Search pages per list and source, comment pages per content, and comments per page and source; None
+# or 0 is no cap, the key None holds for all other sources.
+MAX_PAGES = {None: 50, "youtube": 5}
+COMMENT_PAGES = 10
+PAGE_SIZE = {None: 10, "reddit": 100}
+
+
+def per_source(value: int | dict | None, source_col: str = "source"):
+    """A cap that is one number, or one per source, as a column; NULL where there is none."""
+    sizes = value if isinstance(value, dict) else {None: value}
+    out = F.lit(sizes.get(None) or None).cast("long")
+    for name, size in sizes.items():
+        if name is not None:
+            out = F.when(F.col(source_col) == name, F.lit(size or None).cast("long")).otherwise(out)
+    return out
 
 
 def first_seen(cands: DataFrame, keys=LIST_KEYS, id_col: str = "content_id", carry=()) -> DataFrame:
@@ -68,15 +81,16 @@ def take_while_newer(cands: DataFrame, cutoff: datetime | str, keys=LIST_KEYS) -
             .drop("stop_pos"))
 
 
-def stop_on_repeat_page(cands: DataFrame, max_pages: int = MAX_PAGES, keys=LIST_KEYS,
+def stop_on_repeat_page(cands: DataFrame, max_pages: int | dict | None = MAX_PAGES, keys=LIST_KEYS,
                         id_col: str = "content_id") -> DataFrame:
-    """pagination ends before the first page that adds no new id, and after `max_pages`.
+    """pagination ends before the first page that adds no new id, and after `max_pages` (one
+    number, one per source, or None for no cap).
 
     first page per id (aggregate) -> pages that introduce an id -> first page of the list that
     introduces none (aggregate over the page set) -> keep rows on earlier pages.
     """
     k = list(keys)
-    capped = cands.where(F.col("page") <= max_pages)
+    capped = cands if not max_pages else cands.where(F.coalesce(F.col("page") <= per_source(max_pages), F.lit(True)))
     intro = capped.groupBy(*k, id_col).agg(F.min("page").alias("page")).select(*k, "page").distinct()
     pages = capped.select(*k, "page").distinct()
     stops = (pages.join(intro, k + ["page"], "left_anti")
@@ -86,11 +100,17 @@ def stop_on_repeat_page(cands: DataFrame, max_pages: int = MAX_PAGES, keys=LIST_
             .drop("stop_page"))
 
 
-def cap_per_content(comments: DataFrame, page_size: int = 10, pages: int = COMMENT_PAGES,
+def cap_per_content(comments: DataFrame, page_size: int | dict = 10, pages: int | None = COMMENT_PAGES,
                     keys=("source", "content_id"), order_col: str = "turn") -> DataFrame:
-    """at most `pages * page_size` comments per content, in fetch order (WindowGroupLimit)."""
+    """at most `pages * page_size` comments per content, in fetch order; `page_size` is one number
+    or one per source, `pages` None is no cap. The limit at the largest page is planned map-side
+    (WindowGroupLimit); smaller pages are cut from what it leaves."""
+    if not pages:
+        return comments
+    sizes = page_size if isinstance(page_size, dict) else {None: page_size}
     w = Window.partitionBy(*keys).orderBy(order_col)
-    return comments.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= pages * page_size)
+    top = comments.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= pages * max(sizes.values()))
+    return top.where(F.col("rank") <= pages * per_source(sizes)) if len(sizes) > 1 else top
 
 
 def uncached(cands: DataFrame, cache: DataFrame, now_day: date, force: bool | str = False,
@@ -112,26 +132,31 @@ def uncached(cands: DataFrame, cache: DataFrame, now_day: date, force: bool | st
 
 
 def select_candidates(jobs: DataFrame, cands: DataFrame, cache: DataFrame, now: datetime,
-                      url_of=None, max_pages: int = MAX_PAGES) -> DataFrame:
-    """The keyword-job path as one plan: valid jobs x their sources -> each list's
-    repeat-page stop (F4) -> first occurrence per id (F1) -> take-while against the job's own
-    window (F3) -> the job's limit, 0 = none (F2) -> cache anti join unless the job is forced (D1).
-    The limit is applied before the cache check, as upstream (Q4): a rerun may select nothing.
+                      url_of=None, max_pages: int | dict | None = MAX_PAGES) -> DataFrame:
+    """The keyword-job path as one plan: each list's repeat-page stop (F4) -> first
+    occurrence per id (F1) -> per job the items before the first one older than its window (F3), up to
+    its limit, 0 = none (F2) -> cache anti join unless the job is forced (D1). The limit is applied
+    before the cache check, as upstream (Q4): a rerun may select nothing.
 
     `jobs` carry job_id, keyword, interval, force, limit and a `source` per requested source (the
-    fan-out); `cands` carry keyword, source, content_id, published_ts, pos, page.
+    fan-out); `cands` carry keyword, source, content_id, published_ts, pos, page. F4 and F1 are worked
+    out per list, once, and each item gets its rank and the oldest time up to it; both job rules are
+    then conditions of the one join, which lets through only what is selected.
     """
     from murmur.functions.times import window_start_col
-    k = ("job_id", "keyword", "source")
-    j = jobs.select(*k, "force", "limit", window_start_col("interval", now).alias("cutoff"))
-    lists = cands.join(j, ["keyword", "source"])
-    pages = stop_on_repeat_page(lists, max_pages, keys=k)
-    seen = first_seen(pages, keys=k, carry=("published_ts", "cutoff", "force", "limit"))
-    recent = take_while_newer(seen, "cutoff", keys=k)
-    capped = limit_per_list(recent, "limit", keys=k)
+    j = jobs.select("job_id", *LIST_KEYS, F.coalesce("force", F.lit(False)).alias("force"), F.coalesce("limit", F.lit(0)).alias("limit"),
+                    window_start_col("interval", now).alias("cutoff"))
+    seen = first_seen(stop_on_repeat_page(cands, max_pages), carry=("published_ts",))
+    w = Window.partitionBy(*LIST_KEYS).orderBy("pos")
+    ranked = seen.withColumn("rank", F.row_number().over(w)).withColumn(
+        "oldest", F.min("published_ts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     url = url_of(F.col("source"), F.col("content_id")) if url_of else \
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example/read/"), F.col("content_id"))
-    return uncached(capped.withColumn("url", url), cache, now.date(), force="force")
+    r, a = ranked.withColumn("url", url).alias("r"), j.alias("a")
+    same = [F.col(f"r.{k}") == F.col(f"a.{k}") for k in LIST_KEYS]
+    wanted = ((F.col("limit") == 0) | (F.col("rank") <= F.col("limit"))) & (F.col("oldest").isNull() | (F.col("oldest") >= F.col("cutoff")))
+    picked = a.join(r, [*same, wanted]).select("a.job_id", "r.keyword", "r.source", "content_id", "pos", "page", "rank", "published_ts", "force", "url")
+    return uncached(picked, cache, now.date(), force="force")
 
 
 def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: str,
@@ -158,12 +183,13 @@ def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: st
 def ttl_rounds(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: str,
                force_col: str | None = None, carry: DataFrame | None = None):
     """The block rounds behind `ttl_dedupe`. `carry` = (key, _thr) thresholds from earlier input
-    (a stream's previous micro-batches). Returns (accepted rows, carried thresholds after the input)."""
+    (a stream's previous micro-batches). Returns (accepted rows, carried thresholds after the input):
+    those that can still reject an event after the input's last block."""
     spark = events.sparkSession
     ensure_checkpoint_dir(spark)
     bounds = events.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
     if bounds is None or bounds["lo"] is None:
-        return events.select(key, ts, tiebreak).limit(0), carry
+        return events.select(key, ts, tiebreak).limit(0), carry if carry is not None else events.select(key, F.col(ts).alias("_thr")).limit(0)
     lo, hi = bounds["lo"], bounds["hi"]
     n_blocks = int((hi - lo).total_seconds() // (ttl_days * 86400)) + 1
     lo_lit = F.expr(f"TIMESTAMP_NTZ '{lo:%Y-%m-%d %H:%M:%S.%f}'")
@@ -193,5 +219,7 @@ def ttl_rounds(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: st
                 .groupBy(key).agg((F.max(ts) + ttl).alias("_new")))
         carry = (last.withColumnRenamed("_new", "_thr") if carry is None else
                  carry.join(last, key, "full").select(key, F.coalesce("_new", "_thr").alias("_thr")))
-        carry = carry.checkpoint(eager=True)
+        # a threshold at or before the block's end (the input's, for the last) cannot reject a later event
+        end = lo_lit + F.expr(f"INTERVAL {int(ttl_days) * (b + 1)} DAYS") if b < n_blocks - 1 else F.lit(hi)
+        carry = carry.where(F.col("_thr") > end).checkpoint(eager=True)
     return spark.read.parquet(f"{base}/accepted").drop("_round"), carry

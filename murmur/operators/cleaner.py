@@ -11,7 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from murmur.functions.json import payload
+from murmur.functions.text import first_nonblank
 from murmur.functions.times import parse_publish_time
+from murmur.operators.extract import comment_ids
 from murmur.sources.registry import all_sources
 
 
@@ -42,11 +45,15 @@ def rejects(raw: DataFrame) -> DataFrame:
     payload_blank = F.coalesce(F.col("raw"), F.lit("")) == ""
     bad_json = F.try_parse_json(F.col("raw")).isNull()
     key_blank = (F.coalesce(F.col("content_id"), F.lit("")) == "") & (F.coalesce(F.col("url"), F.lit("")) == "")
+    no_id = F.lit(False)
+    for parser, ids in comment_ids(payload("raw")).items():
+        no_id = no_id | ((p == parser) & ~F.exists(ids, lambda c: F.coalesce(c, F.lit("")) != ""))
     reason = (F.when(~F.col("type").isin("content", "comment") | F.col("type").isNull(), "unknown type")
               .when(p == "none", "no parser")
               .when((F.col("type") == "content") & (p == "html_article") & payload_blank, "empty payload")
               .when((F.col("type") == "comment") & (payload_blank | bad_json), "bad payload")
               .when((F.col("type") == "content") & (p == "html_article") & key_blank, "missing key")
+              .when((F.col("type") == "comment") & no_id, "missing id")
               .when(F.col("keyword").isNull() | F.col("source").isNull(), "missing key"))
     return raw.select("ingest_seq", "type", "source", reason.alias("reason")).where(F.col("reason").isNotNull())
 
@@ -61,24 +68,31 @@ def _union(frames: list[DataFrame]) -> DataFrame | None:
     return out
 
 
-def parser_groups() -> dict[tuple[str, str], list[str]]:
-    """(type, parser) -> the sources sharing that parser (e.g. the four news layouts share one
-    parameterised HTML job), so the cleaner runs one branch per parser, not per source."""
-    groups: dict[tuple[str, str], list[str]] = {}
-    for (t, s), p in sorted(routing_table().items()):
-        groups.setdefault((t, p), []).append(s)
-    return groups
+def _branches(raw: DataFrame, kind: str) -> DataFrame | None:
+    """The outputs of all registered parsers of a row type; sources that share a parse function are
+    one branch, so the cleaner runs one job per function, not per source."""
+    groups: dict = {}
+    for name, plugin in sorted(all_sources().items()):
+        if getattr(plugin, f"{kind}_parser") != "none":
+            groups.setdefault(getattr(plugin, f"{kind}s"), []).append(name)
+    return _union([parse(raw.where((F.col("type") == kind) & F.col("source").isin(*names))) for parse, names in groups.items()])
 
 
 def clean(raw: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Raw rows -> (contents, comments, rejects). One branch per parser; each reads only its rows."""
-    plugins = all_sources()
-    contents, comments = [], []
-    for (t, _parser), sources in parser_groups().items():
-        branch = raw.where((F.col("type") == t) & F.col("source").isin(*sources))
-        plugin = plugins[sources[0]]
-        (contents if t == "content" else comments).append(
-            plugin.contents(branch) if t == "content" else plugin.comments(branch))
-    c = _union(contents).withColumn("published_ts", parse_publish_time(F.col("published_at")))
-    m = _union(comments).withColumn("published_ts", parse_publish_time(F.col("published_at")))
-    return c, m, rejects(raw)
+    """Raw rows -> (contents, comments, rejects). Each branch reads only its rows."""
+    timed = lambda df: df.withColumn("published_ts", parse_publish_time(F.col("published_at")))
+    return timed(_branches(raw, "content")), timed(_branches(raw, "comment")), rejects(raw)
+
+
+def fresh(raw: DataFrame, known: DataFrame) -> DataFrame:
+    """The raw rows still worth parsing: of article rows (their key stands in the envelope) the first per
+    (source, key) in ingest order, and only keys that the warehouse does not have (`known`: source,
+    source_id). Just keys are aggregated and joined; all other rows pass."""
+    article = (F.col("type") == "content") & (parser_of(F.col("type"), F.col("source")) == "html_article")
+    keyed = raw.withColumn("_key", F.when(article, first_nonblank("content_id", "url")))
+    rows = keyed.where(F.col("_key").isNotNull())
+    first = rows.groupBy("source", "_key").agg(F.min("ingest_seq").alias("ingest_seq"))
+    have = known.select("source", F.col("source_id").alias("_key")).join(first.select("source", "_key"), ["source", "_key"], "left_semi")
+    wanted = first.join(have, ["source", "_key"], "left_anti")
+    parsed = rows.join(wanted, ["source", "_key", "ingest_seq"], "left_semi")
+    return parsed.unionByName(keyed.where(F.col("_key").isNull())).drop("_key")

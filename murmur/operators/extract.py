@@ -2,15 +2,17 @@
 payload normalisation (C10), page metadata (C3), cards/anchors (C4), Atom feeds (C5), search JSON
 (C6), URL parts (C13), any-depth JSON search (C17), JSON paths (C18) and HTML articles (C2).
 
-Everything but C2 is native: JSON through VARIANT (`try_parse_json` + `try_variant_get`), XML through
+Everything but C2 and C17 is native: JSON through VARIANT (`try_parse_json` + `try_variant_get`), XML through
 `from_xml`, HTML head tags and anchors through regular expressions. C2 needs an HTML tokenizer and
-runs `mapInPandas` only over rows already filtered to the news sources (the filter is applied before
-the Python stage, where pushdown still reaches the scan).
+C17 a walk without depth bound; both run over the columns and rows they need, on the scan's partitions.
 """
 
 from __future__ import annotations
 
+import json
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,8 +20,7 @@ from pyspark.sql import types as T
 from murmur.functions import html as H
 from murmur.functions.json import name_or_text, payload, vget, vstr
 from murmur.functions.text import first_nonblank
-from murmur.functions.times import epoch_to_ntz
-from murmur.session import spread
+from murmur.functions.times import epoch_to_ntz, parse_publish_time
 
 CONTENT_OUT = ["source_id", "source", "keyword", "url", "content_id", "title", "author", "media", "content",
                "published_at", "raw_id"]
@@ -63,6 +64,13 @@ def flatten_comment_threads(raw: DataFrame) -> DataFrame:
     ).where(F.col("source_id") != "")
 
 
+def comment_ids(v: Column) -> dict[str, Column]:
+    """Per comment parser the ids a payload holds, as an array (a payload without any is a reject)."""
+    kids = F.coalesce(vget(v, "$.child", "array<variant>"), F.array().cast("array<variant>"))
+    return {"thread_json": F.transform(F.concat(F.array(v), kids), lambda it: vstr(it, "$.id")),
+            "video_comment": F.array(vstr(v, "$.commentId")), "forum_comment": F.array(vstr(v, "$.id"))}
+
+
 def flat_comments(raw: DataFrame, source: str) -> DataFrame:
     """One flat comment payload per row (video: commentId/commentText, forum: id/body/created_utc)."""
     v = payload("raw")
@@ -118,6 +126,9 @@ ARTICLE_LAYOUT = {
                 "body": H.by_class("article-body-content", "content-detail")},
 }
 
+#: For a registered source without a layout of its own: the article or main element, else the body.
+DEFAULT_LAYOUT = {"title_meta": "og:title", "author_meta": "author", "body": H.by_tag("article"), "body_else": H.by_tag("body")}
+
 ARTICLE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CONTENT_OUT[:-1]]
                               + [T.StructField("raw_id", T.LongType())])
 
@@ -126,32 +137,26 @@ def _articles_batch(batches):
     for pdf in batches:
         out = []
         for r in pdf.itertuples(index=False):
-            layout = ARTICLE_LAYOUT[r.source]
-            sel = {k: layout[k] for k in ("body", "author") if k in layout}
+            layout = ARTICLE_LAYOUT.get(r.source, DEFAULT_LAYOUT)
+            sel = {k: layout[k] for k in ("body", "author", "body_else") if k in layout}
             texts, metas = H.scoped_texts_and_metas(r.raw, sel)
-            body = texts["body"]
-            title = r.title or ""
-            if "title_meta" in layout:
-                title = metas.get(("property", layout["title_meta"])) or title
-            if "author" in layout:
-                author = texts["author"]
-            else:
-                author = ((r.author if "author" in pdf.columns else "") or "") if r.source != "cnn" else ""
-                author = author or metas.get(("name", layout["author_meta"])) or ""
+            body = texts["body"] or texts.get("body_else", "")
+            title = metas.get(("property", layout.get("title_meta"))) or r.title or ""
+            author = texts["author"] if "author" in layout else metas.get(("name", layout["author_meta"])) or ""
             out.append((r.content_id or r.url or "", r.source, r.keyword, r.url or "", r.content_id or "", title,
                         author, r.media or "", body, r.published_at or "", r.ingest_seq))
         yield pd.DataFrame(out, columns=CONTENT_OUT)
 
 
 def extract_articles(raw: DataFrame) -> DataFrame:
-    """News HTML -> contents rows (title, author, body by layout); empty payloads are skipped.
+    """Article HTML of the given rows -> contents rows (title, author, body by the source's layout,
+    or by the default one); empty payloads are skipped (the cleaner lists them as rejects).
 
-    The filter on source and non-empty payload runs before the Python stage; only the needed columns
-    cross into Arrow batches.
+    The filter runs before the Python stage; only the needed columns cross into Arrow batches, on
+    the partitions of the scan.
     """
     cols = ["ingest_seq", "source", "keyword", "url", "content_id", "title", "media", "published_at", "raw"]
-    news = raw.where(F.col("source").isin(*ARTICLE_LAYOUT) & (F.coalesce(F.col("raw"), F.lit("")) != "")).select(*cols)
-    return spread(news).mapInPandas(_articles_batch, ARTICLE_SCHEMA)
+    return raw.where(F.coalesce(F.col("raw"), F.lit("")) != "").select(*cols).mapInPandas(_articles_batch, ARTICLE_SCHEMA)
 
 
 def normalise_payload(raw: DataFrame) -> DataFrame:
@@ -164,25 +169,44 @@ def normalise_payload(raw: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- pages
 
 def page_meta(pages: DataFrame) -> DataFrame:
-    """Head metadata with ordered fallbacks: og:title, then <title>; author meta; html lang."""
-    h = F.col("raw")
+    """Head metadata, each with ordered fallbacks: title (og:title, <title>), author (author meta,
+    article:author), publish time (article:published_time, date), article id (dtk:articleid), language."""
+    metas = H.tags(F.col("raw"), "meta")
+    of = lambda attr, name: H.meta_of(metas, attr, name)
+    published = py_or(of("property", "article:published_time"), of("name", "date"))
     return pages.select(
         "ingest_seq",
-        py_or(H.meta_content(h, "property", "og:title"), H.title_text(h)).alias("title"),
-        H.meta_content(h, "name", "author").alias("author"),
-        H.html_lang(h).alias("lang"))
+        py_or(of("property", "og:title"), H.title_text(F.col("raw"))).alias("title"),
+        py_or(of("name", "author"), of("property", "article:author")).alias("author"),
+        published.alias("published_at"), parse_publish_time(published).alias("published_ts"),
+        of("name", "dtk:articleid").alias("article_id"),
+        H.html_lang(F.col("raw")).alias("lang"))
 
 
-def extract_cards(pages: DataFrame) -> DataFrame:
-    """C4: anchors (href, text) of result pages in document order, with the first path segment."""
-    links = pages.select(
-        "ingest_seq",
-        F.posexplode(F.arrays_zip(F.regexp_extract_all("raw", F.lit(H.ANCHOR), 1).alias("href"),
-                                  F.regexp_extract_all("raw", F.lit(H.ANCHOR), 2).alias("text"))).alias("pos0", "a"))
-    return links.select(
-        "ingest_seq", (F.col("pos0") + 1).alias("pos"), F.col("a.href").alias("href"),
-        H.unescape(F.col("a.text")).alias("text"),
-        F.split(F.regexp_replace(F.col("a.href"), r"^(https?://[^/]+)?/+", ""), "/").getItem(0).alias("category"))
+#: Article id in a card's link: the last number of its path (fixed value).
+CARD_ID = r"[/-]([0-9]+)(?:-mvk)?(?:\.html)?(?:[/?#][^/]*)?$"
+
+
+def extract_cards(pages: DataFrame, link: str = "/read/", base_col: str = "url", id_pattern: str = CARD_ID) -> DataFrame:
+    """C4: cards of result pages: every anchor whose link holds `link` and an id, in document order, the
+    first of each id per page, with absolute url, title (an inner h2/h3, else the anchor's text; cards
+    without one are left out), category (first path segment) and date (an inner `time` or `.timestamp`,
+    else the first one after the anchor and before the next).
+    """
+    base = F.regexp_extract(base_col, r"^(https?://[^/]+)", 1)
+    parts = F.regexp_extract_all("raw", F.lit(H.ANCHOR_AND_AFTER), 0)
+    a = pages.select("ingest_seq", base.alias("base"), F.posexplode(parts).alias("i", "a"))
+    anchor, inner = F.regexp_extract("a", H.ANCHOR, 1), F.regexp_extract("a", H.ANCHOR, 2)
+    href = H.attribute(anchor, "href")
+    heading = H.text_of(F.regexp_extract(inner, r"(?is)<h[23]\b[^>]*>(.*?)</h[23]>", 1))
+    a = a.select("ingest_seq", "i", "base", href.alias("href"), F.regexp_extract(href, id_pattern, 1).alias("content_id"),
+                 py_or(heading, H.text_of(inner)).alias("title"), H.text_of(F.regexp_extract("a", H.TIME, 1)).alias("date"))
+    a = a.where(F.col("href").contains(link) & (F.col("content_id") != "") & (F.col("title") != ""))
+    first = a.groupBy("ingest_seq", "content_id").agg(F.min(F.struct("i", "base", "href", "title", "date")).alias("c")).select("ingest_seq", "content_id", "c.*")
+    url = F.when(F.col("href").startswith("http"), F.col("href")).otherwise(F.concat("base", "href"))
+    segment = F.split(F.regexp_replace("href", r"^(https?://[^/]+)?/+", ""), "/").getItem(0)
+    return first.select("ingest_seq", F.col("i").cast("long").alias("pos"), "content_id", url.alias("url"), "title", segment.alias("category"),
+                        "date", parse_publish_time("date").alias("published_ts"))
 
 
 def url_parts(df: DataFrame, url_col: str = "url") -> DataFrame:
@@ -209,7 +233,7 @@ def extract_feed_entries(feeds: DataFrame) -> DataFrame:
     e = feeds.select("keyword", F.explode(F.from_xml("raw", FEED_SCHEMA)["entry"]).alias("e"))
     return e.where(F.col("e.id").startswith("t3_")).select(
         "keyword",
-        F.substring(F.col("e.id"), 4, 1 << 20).alias("content_id"),
+        F.regexp_replace("e.id", "^t3_", "").alias("content_id"),
         F.coalesce(F.col("e.link._href"), F.lit("")).alias("url"),
         F.coalesce(F.col("e.title"), F.lit("")).alias("title"),
         F.regexp_replace(F.coalesce(F.col("e.author.name"), F.lit("")), r"^/u/", "").alias("author"),
@@ -241,40 +265,63 @@ def extract_json_items(pages: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- JSON search
 
-def _children(v: Column, path: Column, depth: int) -> Column:
-    """Direct children of a VARIANT as array<struct<path, key, depth, v>> (empty for scalars).
-    Object members come in VARIANT's sorted-key order, array items in index order."""
-    node = lambda p, k, x: F.struct(p.alias("path"), k.alias("key"), F.lit(depth).alias("depth"), x.alias("v"))
-    pos = lambda i: F.concat(path, F.lit("/"), F.lpad(i.cast("string"), 6, "0"))
-    members = F.transform(F.map_entries(vget(v, "$", "map<string,variant>")),
-                          lambda e, i: node(pos(i), e["key"], e["value"]))
-    items = F.transform(vget(v, "$", "array<variant>"), lambda x, i: node(pos(i), F.lit(None).cast("string"), x))
-    empty = F.array().cast("array<struct<path:string,key:string,depth:int,v:variant>>")
-    return F.coalesce(members, items, empty)
-
-
-def _descendants(v: Column, path: Column, depth: int, max_depth: int) -> Column:
-    kids = _children(v, path, depth)
-    if depth == max_depth:
-        return kids
-    return F.concat(kids, F.flatten(F.transform(kids, lambda c: _descendants(c["v"], c["path"], depth + 1, max_depth))))
-
-
-def json_deep_find(df: DataFrame, key: str, id_col: str = "ingest_seq", max_depth: int = 6) -> DataFrame:
-    """C17: every non-empty value stored under `key` at any depth (<= max_depth) of a JSON payload.
-
-    One projection per row: the payload's nodes down to `max_depth` are listed by nested
-    higher-order functions over VARIANT (objects read as map<string, variant>, arrays as
-    array<variant>) and exploded once - no recursion limit, no join, no per-level re-reads. Each hit
-    carries its depth and a path of zero-padded positions; `first` marks the shallowest hit, ties
-    by path (VARIANT keeps object keys sorted, so among siblings the smallest key comes first).
+def _empty(value) -> bool:
+    return value is None or value == "" or value == [] or value == {}
+
+
+def _hits(data, keys: tuple[str, ...]):
+    """(places, names, value) of every non-empty value found under the keys, each at any depth below
+    the one before it; members come in key order, items in index order."""
+    stack, seen = [(data, 0, (), ())], set()
+    while stack:
+        node, k, places, names = stack.pop()
+        members = sorted(node.items()) if isinstance(node, dict) else list(enumerate(node)) if isinstance(node, list) else ()
+        for place, (name, value) in enumerate(members):
+            at, path = (*places, place), (*names, str(name))
+            if isinstance(node, dict) and name == keys[k]:
+                if k == len(keys) - 1:
+                    if not _empty(value) and at not in seen:
+                        seen.add(at)
+                        yield at, path, value
+                elif isinstance(value, (dict, list)):
+                    stack.append((value, k + 1, at, path))
+            if isinstance(value, (dict, list)):
+                stack.append((value, k, at, path))
+
+
+def _deep_find(paths: tuple[tuple[str, ...], ...]):
+    schema = pa.schema([("_id", pa.int64()), ("depth", pa.int32()), ("path", pa.string()), ("value", pa.string()), ("first", pa.bool_())])
+
+    def text(value):
+        return value if isinstance(value, str) else json.dumps(value, separators=(",", ":"), sort_keys=True, ensure_ascii=False)
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for i, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                try:
+                    data = json.loads(raw or "null")
+                except (ValueError, RecursionError):
+                    continue  # no JSON (or nested beyond any parser): nothing to find
+                for keys in paths:
+                    found = sorted((len(at), at, path, value) for at, path, value in ((a, p, text(v)) for a, p, v in _hits(data, keys)))
+                    if found:
+                        out += [(i, n, "/" + "/".join(path), value, k == 0) for k, (n, _, path, value) in enumerate(found)]
+                        break
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+    return run
+
+
+def json_deep_find(df: DataFrame, *paths: str, id_col: str = "ingest_seq") -> DataFrame:
+    """C17: the non-empty values found anywhere in a JSON payload under a key path, at any depth.
+
+    A path is a key or several joined by dots, each found at any depth below the one before it. With
+    several paths the first one that has a hit in a row counts for it. Per hit: depth, path, value
+    (text, or compact JSON), and whether it is the row's first: the shallowest, ties in key and
+    index order. JSON has no depth bound that built-in functions could unroll, so each payload is
+    walked in the task, without recursion.
     """
-    nodes = df.select(F.col(id_col).alias("_id"),
-                      F.explode(_descendants(payload("raw"), F.lit(""), 1, max_depth)).alias("n"))
-    text = F.coalesce(vget(F.col("n.v"), "$", "string"), F.to_json(F.col("n.v")))
-    hits = nodes.where(F.col("n.key") == key).select(
-        "_id", F.col("n.path").alias("path"), F.col("n.depth").alias("depth"), text.alias("value")).where(F.col("value") != "")
-    firsts = hits.groupBy("_id").agg(F.min(F.struct("depth", "path")).alias("m"))
-    return (hits.join(firsts, "_id")
-            .select(F.col("_id").alias(id_col), "depth", "path", "value",
-                    ((F.col("m.depth") == F.col("depth")) & (F.col("m.path") == F.col("path"))).alias("first")))
+    keys = tuple(tuple(p.split(".")) for p in paths)
+    found = df.select(F.col(id_col).cast("long"), "raw").mapInArrow(_deep_find(keys), "_id long, depth int, path string, value string, first boolean")
+    return found.withColumnRenamed("_id", id_col)

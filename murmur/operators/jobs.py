@@ -1,8 +1,8 @@
 """Keyword jobs: decode (A7), validate (C19), fan out to sources (D4), publish.
 
 A job is a JSON message {keyword, interval, platforms, news_sources, force, limit}. The fan-out
-pairs each job with the registered sources it asks for: the source list is a fixed literal array
-(its size is the number of registered sources), filtered per job and exploded - no join at all.
+pairs each job with the sources it asks for: the registry is a literal array, filtered per job and
+exploded - no join at all.
 """
 
 from __future__ import annotations
@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from murmur import schemas as S
+from murmur.sources.registry import all_sources
 
-NEWS = ("detik", "cnn", "liputan6", "merdeka")
-SOCMED = ("youtube", "reddit")
 DEFAULT_INTERVAL = "30d"
 DEFAULT_LIMIT = 50
 
@@ -40,8 +39,7 @@ def validate(jobs: DataFrame) -> DataFrame:
 def fan_out(jobs: DataFrame) -> DataFrame:
     """One row per (job, source) the job asks for (`all` = no filter; news_sources lists the
     news sites to use, comma separated)."""
-    registry = F.array(*[F.struct(F.lit(n).alias("name"), F.lit("news").alias("kind")) for n in NEWS],
-                       *[F.struct(F.lit(n).alias("name"), F.lit("socmed").alias("kind")) for n in SOCMED])
+    registry = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p.kind).alias("kind")) for n, p in sorted(all_sources().items())])
     wanted_sites = F.split(F.regexp_replace(F.lower(F.col("news_sources")), r"\s+", ""), ",")
 
     def keep(s):

@@ -23,8 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmur.functions.text import WORD_SPLIT
-from murmur.operators.warehouse import keyed_update
-from murmur.session import spread
+from murmur.operators.warehouse import keyed_update, replace_table
 
 CONFIDENCE_THRESHOLD = 0.75
 BULK, FALLBACK = "bulk", "fallback"
@@ -35,15 +34,19 @@ def unprocessed(comments: DataFrame) -> DataFrame:
     return comments.where(~F.col("ai_processed") & F.col("content").isNotNull())
 
 
+def under(confidence: str, threshold: float):
+    """Whether tier 2 answers: the confidence is missing or below the threshold."""
+    return F.coalesce(F.col(confidence) < threshold, F.lit(True))
+
+
 def cascade_routing(scored: DataFrame, threshold: float = CONFIDENCE_THRESHOLD) -> DataFrame:
     """K2: which tier answers a row, given its tier-1 confidence."""
-    low = F.col("confidence") < threshold
-    return scored.withColumn("engine", F.when(low, FALLBACK).otherwise(BULK)) \
-        .withColumn("needs_fallback", F.coalesce(low, F.lit(True)))
+    low = under("confidence", threshold)
+    return scored.withColumn("engine", F.when(low, FALLBACK).otherwise(BULK)).withColumn("needs_fallback", low)
 
 
 def train_bulk_model(labelled: DataFrame, text_col: str = "content", label_col: str = "sentiment",
-                     num_features: int = 1 << 16, max_iter: int = 30) -> PipelineModel:
+                     num_features: int = 1 << 16, max_iter: int = 30, min_doc_freq: int = 0) -> PipelineModel:
     """K4: fit the tier-1 model on labelled texts (distributed: treeAggregate gradient steps).
 
     Texts are tokenised and hashed once: the term-frequency vectors (not the texts) are persisted
@@ -55,11 +58,11 @@ def train_bulk_model(labelled: DataFrame, text_col: str = "content", label_col:
         RegexTokenizer(inputCol=text_col, outputCol="_tokens", pattern=WORD_SPLIT, gaps=True, toLowercase=True),
         HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=num_features),
     ]).fit(labelled.select(label_col))          # the indexer needs the labels only
-    feats = (prep.transform(spread(labelled.select(text_col, label_col))).select("label", "_tf")
+    feats = (prep.transform(labelled.select(text_col, label_col)).select("label", "_tf")
              .persist(StorageLevel.MEMORY_AND_DISK))
     try:
         tail = Pipeline(stages=[
-            IDF(inputCol="_tf", outputCol="_features", minDocFreq=2),
+            IDF(inputCol="_tf", outputCol="_features", minDocFreq=min_doc_freq),
             LogisticRegression(featuresCol="_features", labelCol="label", family="multinomial",
                                maxIter=max_iter, regParam=0.01, probabilityCol="_prob", predictionCol="_pred",
                                rawPredictionCol="_raw"),
@@ -115,14 +118,12 @@ def classify_cascade(model: PipelineModel, texts: DataFrame, text_col: str = "co
                      threshold: float = CONFIDENCE_THRESHOLD, fallback=lexicon_fallback) -> DataFrame:
     """K1: tier 1 for every row; tier 2 only for the rows under the threshold.
 
-    One pass: tier 1 is scored once in the JVM, and tier 2 is handed the text only where tier 1 is
-    under the threshold (NULL elsewhere), so the Python worker receives and parses just the
-    remainder. Output adds sentiment, engine, confidence (NULL sentiment = no answer; the row stays
+    One pass: tier 1 is scored once in the JVM; every row goes through the Python worker, but the text
+    only where tier 1 is under the threshold (NULL elsewhere). Output adds sentiment, engine, confidence (NULL sentiment = no answer; the row stays
     unprocessed and is picked up again).
     """
-    texts = spread(texts)
     scored = score_bulk(model, texts)
-    low = ~(F.col("bulk_confidence") >= threshold) | F.col("bulk_confidence").isNull()
+    low = under("bulk_confidence", threshold)
     scored = scored.withColumn("_t2", fallback(F.when(low, F.col(text_col))))
     return scored.select(
         *texts.columns,
@@ -141,3 +142,17 @@ def apply_labels(comments: DataFrame, labels: DataFrame, keys=("source", "source
             target = target.withColumn(c, F.lit(None).cast(t))
     return keyed_update(target, answered, keys=keys, set_cols=("sentiment", "engine", "confidence"),
                         flag=("ai_processed", True))
+
+
+def label_pass(comments: DataFrame, scorer, base_path: str) -> str:
+    """One labelling pass over the comments table: unprocessed rows -> `scorer(rows)` (the rows' keys with
+    sentiment, engine, confidence; the cascade or any other) -> labels written into a new version
+    of the table below `base_path`. Returns that version's path; the caller points readers to it.
+    Rows without an answer stay unprocessed and are met again by the next pass."""
+    labels = scorer(unprocessed(comments))
+    return replace_table(apply_labels(comments, labels), base_path)
+
+
+def cascade_scorer(model: PipelineModel, keys=("source", "source_id"), **options):
+    """A scorer for `label_pass` from the two-tier classifier."""
+    return lambda rows: classify_cascade(model, rows.select(*keys, "content"), **options).select(*keys, "sentiment", "engine", "confidence")

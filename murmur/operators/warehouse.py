@@ -13,6 +13,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,31 +89,43 @@ def append_raw(raw: DataFrame, path: str) -> None:
     raw.write.mode("append").partitionBy("type", "source").parquet(path)
 
 
-def first_wins(incoming: DataFrame, keys=WAREHOUSE_KEYS, order_col: str = "raw_id") -> DataFrame:
-    """Q1/B2: one row per key, the earliest by `order_col` (the first keyword that found it wins).
+def first_wins(incoming: DataFrame, keys=WAREHOUSE_KEYS, order_col: str = "raw_id", winners: DataFrame | None = None) -> DataFrame:
+    """Q1/B2: one row per key, the earliest by `order_col` (the first keyword that found it wins; ties by a
+    hash of the row).
 
-    `min_by` over a struct of all columns is an aggregate: duplicates of a hot key collapse in
-    each task before the shuffle instead of being sorted in one window partition.
+    Only keys, order and hash are aggregated (a hot key collapses in each task before the shuffle),
+    then the rows are semi-joined to the winners, so bodies are never sorted or buffered in an
+    aggregate. Rows equal in all of these are repeats of one row: just they are reduced by key.
     """
-    others = [c for c in incoming.columns if c not in keys]
-    agg = incoming.groupBy(*keys).agg(F.min_by(F.struct(*others), F.col(order_col)).alias("_r"))
-    return agg.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*incoming.columns)
+    ranked, first = _ranked(incoming, keys, order_col)
+    first = first if winners is None else winners
+    k = [*keys, "_order", "_hash"]
+    once = ranked.join(first.where("_n = 1"), k, "left_semi")
+    again = ranked.join(first.where("_n > 1"), k, "left_semi").dropDuplicates(list(keys))
+    return once.unionByName(again).select(*incoming.columns)
+
+
+def _ranked(incoming: DataFrame, keys, order_col: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with order and hash, and per key the first (order, hash) with its number of rows."""
+    ranked = incoming.withColumn("_order", F.col(order_col)).withColumn("_hash", F.xxhash64(*incoming.columns))
+    rows = ranked.groupBy(*keys, "_order", "_hash").agg(F.count(F.lit(1)).alias("_n"))
+    first = rows.groupBy(*keys).agg(F.min(F.struct("_order", "_hash", "_n")).alias("_f")).select(*keys, "_f.*")
+    return ranked, first
 
 
 def new_rows(incoming: DataFrame, existing_keys: DataFrame, keys=WAREHOUSE_KEYS,
              order_col: str = "raw_id") -> DataFrame:
-    """`INSERT ... ON CONFLICT (source, source_id) DO NOTHING` as a DataFrame:
-    first-wins dedupe of the batch, then a left anti join on the key against the target.
+    """`INSERT ... ON CONFLICT (source, source_id) DO NOTHING` as a DataFrame: the batch's
+    first rows per key without the keys that the target has.
 
-    The target's keys are first semi-joined with the batch's keys: for a micro-batch that side is
-    small, so AQE broadcasts it and the warehouse keys are only scanned (pruned to the key
-    columns, and to the batch's `source` partitions), never shuffled; the anti join then runs
-    against the few colliding keys.
+    Both steps run on keys alone. The target's keys are first semi-joined with the batch's: for a
+    micro-batch that side is small, so AQE broadcasts it and the warehouse is scanned for its key
+    columns (pruned to the batch's `source` partitions) without a shuffle.
     """
     k = list(keys)
-    batch = first_wins(incoming, keys, order_col)
-    hits = existing_keys.select(*k).join(batch.select(*k), k, "left_semi")
-    return batch.join(hits, k, "left_anti")
+    _, first = _ranked(incoming, keys, order_col)
+    hits = existing_keys.select(*k).join(first.select(*k), k, "left_semi")
+    return first_wins(incoming, keys, order_col, first.join(hits, k, "left_anti"))
 
 
 def insert_ignore(spark: SparkSession, incoming: DataFrame, table_path: str, schema: T.StructType,
@@ -126,22 +139,30 @@ def insert_ignore(spark: SparkSession, incoming: DataFrame, table_path: str, sch
     return int(obs.get.get("n", 0))
 
 
+def _missing(ex: AnalysisException) -> bool:
+    return ex.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at `path`, or an empty one if nothing is there yet; any other error is raised."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception as ex:  # noqa: BLE001 - a missing table reads as empty
-        if "PATH_NOT_FOUND" in str(ex) or "does not exist" in str(ex):
+    except AnalysisException as ex:
+        if _missing(ex):
             return spark.createDataFrame([], schema)
         raise
 
 
 def keyed_update(target: DataFrame, updates: DataFrame, keys=WAREHOUSE_KEYS, set_cols=(),
-                 flag: tuple[str, object] | None = None, upsert: bool = False) -> DataFrame:
+                 flag: tuple[str, object] | None = None, upsert: bool = False, order_col: str | None = None) -> DataFrame:
     """Set `set_cols` from `updates` on rows whose key matches (a left join, or a full
     join when `upsert`: unmatched updates become new rows). `flag` = (column, value) also set on
-    matched rows (e.g. ai_processed = true)."""
+    matched rows (e.g. ai_processed = true). Of several updates of a key the last by `order_col` counts,
+    ties (or all, without an order) by the greatest row, so that a rerun writes the same."""
     k = list(keys)
-    updates = updates.dropDuplicates(k)          # one update per key: a repeated key must not fan out rows
+    others = [c for c in updates.columns if c not in k]
+    last = F.max(F.struct(*([order_col] if order_col else []), *[c for c in others if c != order_col]))
+    updates = updates.groupBy(*k).agg(last.alias("_u")).select(*k, *[F.col(f"_u.{c}").alias(c) for c in others])
     upd = updates.select(*k, *[F.col(c).alias(f"_new_{c}") for c in set_cols], F.lit(True).alias("_hit"))
     if upsert:
         extra = [c for c in updates.columns if c not in k and c not in set_cols and c in target.columns]
@@ -200,7 +221,7 @@ def delete_first(df: DataFrame, cond: Column, order: list[Column | str], keys=WA
 def replace_table(df: DataFrame, base_path: str) -> str:
     """Write `df` as a new version directory under `base_path` and return it. Readers of the old
     version keep working; the caller swaps its pointer only after this returns (H4)."""
-    version = f"{base_path.rstrip('/')}/v={datetime.utcnow():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:6]}"
+    version = f"{base_path.rstrip('/')}/v={datetime.now():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:6]}"
     df.write.mode("errorifexists").parquet(version)
     return version
 
@@ -211,7 +232,9 @@ def ensure_tables(spark: SparkSession, base: str) -> dict[str, str]:
     paths = {"contents": f"{base.rstrip('/')}/contents", "comments": f"{base.rstrip('/')}/comments"}
     for name, schema in (("contents", S.CONTENTS), ("comments", S.COMMENTS)):
         try:
-            spark.read.schema(schema).parquet(paths[name]).limit(0).collect()
-        except Exception:  # noqa: BLE001
+            spark.read.schema(schema).parquet(paths[name])
+        except AnalysisException as ex:
+            if not _missing(ex):
+                raise
             spark.createDataFrame([], schema).write.mode("ignore").partitionBy("source").parquet(paths[name])
     return paths

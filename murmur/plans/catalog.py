@@ -25,6 +25,7 @@ from murmur.operators import sentiment as se
 from murmur.operators import warehouse as wh
 
 TODAY = datetime(2024, 1, 30)
+SECRET = "murmur-pseudonym-key"   # for the demonstration queries; a deployment passes its own
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -149,14 +150,22 @@ def q_recency_bucket(spark, d):
 
 # ============================================================ opinions + contents
 
+def _articles(spark, d):
+    """Contents of the opinions' four sources, three of them sharing each content id."""
+    doc = F.col("ingest_seq")
+    source = F.element_at(F.array(*[F.lit(x) for x in ("reddit", "youtube", "detik", "cnn")]), (doc % 4).cast("int") + 1)
+    shared = F.when(doc % 7 == 0, F.lit("")).otherwise(F.floor(doc / 3).cast("string"))
+    return fx.contents(spark, d).withColumn("source", source).withColumn("content_id", shared)
+
+
 @register("feed_with_parent")
 def q_feed_with_parent(spark, d):
-    return an.feed_with_parent(fx.opinions(spark, d), fx.contents(spark, d))
+    return an.feed_with_parent(fx.opinions(spark, d), _articles(spark, d))
 
 
 @register("contents_with_opinions")
 def q_contents_with_opinions(spark, d):
-    return an.contents_with_opinions(fx.contents(spark, d), fx.opinions(spark, d)).select(
+    return an.contents_with_opinions(_articles(spark, d), fx.opinions(spark, d)).select(
         "source_id", "source", "keyword", "content_id", "url")
 
 
@@ -316,8 +325,67 @@ def q_clean_rejects(spark, d):
 
 @register("source_registry_union")
 def q_source_registry_union(spark, d):
-    contents, _, _ = cl.clean(fx.raw_documents(spark, d))
-    return contents.select("source", "source_id", "keyword", "title")
+    return _clean_contents(cl.clean(fx.raw_documents(spark, d))[0])
+
+
+def _clean_contents(contents):
+    from murmur.functions.hashing import hmac_sha256
+    return contents.select("source", "source_id", "keyword", "title", hmac_sha256("author", SECRET).alias("author_hash"),
+                           F.md5("content").alias("body_md5"), iso_ts("published_ts").alias("published_ts"))
+
+
+@register("clean_contents")
+def q_clean_contents(spark, d):
+    """The cleaner over rows that the warehouse does not have (here: none yet), articles by key first."""
+    raw = fx.raw_documents(spark, d)
+    contents, _, _ = cl.clean(cl.fresh(raw, spark.createDataFrame([], "source string, source_id string")))
+    return _clean_contents(contents)
+
+
+@register("clean_comments")
+def q_clean_comments(spark, d):
+    from murmur.functions.hashing import hmac_sha256
+    _, comments, _ = cl.clean(fx.raw_documents(spark, d))
+    return comments.select("source", "source_id", "content_id", "raw_parent_id", hmac_sha256("author", SECRET).alias("author_hash"),
+                           F.md5("content").alias("body_md5"), iso_ts("published_ts").alias("published_ts"))
+
+
+def _opinions_from_raw(spark, d):
+    contents, comments, _ = cl.clean(fx.raw_documents(spark, d))
+    return contents, an.opinions_from_warehouse(contents, _unlabelled(comments))
+
+
+def _unlabelled(comments):
+    for c, t in (("sentiment", "string"), ("engine", "string"), ("confidence", "double")):
+        comments = comments.withColumn(c, F.lit(None).cast(t))
+    return comments.withColumn("ai_processed", F.lit(False))
+
+
+@register("opinions_view")
+def q_opinions_view(spark, d):
+    return _opinions_from_raw(spark, d)[1].select("source", "source_id", "kind", "keyword", "content_id", F.md5("raw").alias("body_md5"),
+                                                  iso_ts("published_ts").alias("published_ts"))
+
+
+@register("comments_with_parent")
+def q_comments_with_parent(spark, d):
+    contents, op = _opinions_from_raw(spark, d)
+    return an.feed_with_parent(op.where("kind = 'comment'"), contents).drop("sentiment")
+
+
+@register("label_pass")
+def q_label_pass(spark, d):
+    """Unprocessed comments -> labels (given as columns, by text length) -> a new version of the table."""
+    from murmur.streaming.common import new_location
+    n = F.length("content")
+
+    def scorer(rows):
+        label = F.when(n % 4 == 0, "positive").when(n % 4 == 1, "negative").when(n % 4 == 2, "neutral")
+        scored = rows.select("source", "source_id", label.alias("sentiment"), ((n % 100) / F.lit(100.0)).alias("confidence"))
+        return se.cascade_routing(scored).drop("needs_fallback")
+    _, comments, _ = cl.clean(fx.raw_documents(spark, d))
+    version = se.label_pass(_unlabelled(comments), scorer, new_location(spark, "warehouse", "labelled"))
+    return spark.read.parquet(version).select("source", "source_id", "sentiment", "engine", F.round("confidence", 6).alias("confidence"), "ai_processed")
 
 
 @register("run_totals")
@@ -328,7 +396,7 @@ def q_run_totals(spark, d):
 
 @register("extract_articles")
 def q_extract_articles(spark, d):
-    raw = fx.raw_documents(spark, d).where(F.col("type") == "content")
+    raw = fx.raw_documents(spark, d).where((F.col("type") == "content") & F.col("source").isin(*fx.NEWS_SOURCES))
     return X.extract_articles(raw).select("source_id", "source", "title", "author", "content", "published_at")
 
 
@@ -369,12 +437,12 @@ def q_normalise_payload(spark, d):
 
 @register("extract_page_meta")
 def q_extract_page_meta(spark, d):
-    return X.page_meta(fx.raw_pages(spark, d))
+    return X.page_meta(fx.result_pages(spark, d)).withColumn("published_ts", iso_ts("published_ts"))
 
 
 @register("extract_cards")
 def q_extract_cards(spark, d):
-    return X.extract_cards(fx.raw_pages(spark, d))
+    return X.extract_cards(fx.result_pages(spark, d)).withColumn("published_ts", iso_ts("published_ts"))
 
 
 @register("url_parts")
@@ -424,7 +492,6 @@ def q_normalise_timestamps(spark, d):
 # ============================================================ sentiment, privacy
 
 
-SECRET = "murmur-pseudonym-key"   # a deployment reads this from its secret store
 
 
 @register("cascade_routing")
@@ -507,6 +574,14 @@ def q_jobs_to_json(spark, d):
     return jb.to_messages(_valid_jobs(spark, d), key_col="job_id")
 
 
+@register("job_candidates")
+def q_job_candidates(spark, d):
+    jobs = jb.fan_out(_valid_jobs(spark, d))
+    picked = cd.select_candidates(jobs, fx.candidates(spark, d), fx.read_cache(spark, d), TODAY)
+    return picked.groupBy("job_id", "source").agg(F.count(F.lit(1)).alias("n"), F.min("pos").alias("first_pos"), F.max("pos").alias("last_pos"),
+                                                  F.max(F.col("rank").cast("long")).alias("last_rank"))
+
+
 # ============================================================ streaming (batch twins compared)
 
 @register("stream_daily_sentiment")
@@ -546,7 +621,8 @@ def q_stream_clean(spark, d):
     from murmur.streaming.common import new_location
     raw_path = new_location(spark, "raw", "raw_documents")
     wh.append_raw(fx.raw_documents(spark, d), raw_path)
-    paths = run_clean(spark, raw_path, new_location(spark, "warehouse", "wh"))
-    contents = spark.read.parquet(paths["contents"])
-    comments = spark.read.parquet(paths["comments"])
-    return an.run_totals({"contents": contents, "comments": comments})
+    paths = run_clean(spark, raw_path, new_location(spark, "warehouse", "wh"), secret=SECRET)
+    out = lambda name: spark.read.parquet(paths[name]).select(
+        F.lit(name).alias("table_name"), "source", "source_id", "keyword", F.col("author").alias("author_hash"), F.md5("content").alias("body_md5"),
+        iso_ts("published_ts").alias("published_ts"))
+    return out("contents").unionByName(out("comments"))

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from murmur.functions.text import STOP_WORDS
 
+SECRET = "murmur-pseudonym-key"   # the catalogue's demonstration key
+
 VIEWS = {
     "v_opinions": """
   SELECT CAST(event_id AS VARCHAR) AS source_id,
@@ -20,8 +22,8 @@ VIEWS = {
     (event_id % 100) / CAST(100 AS DOUBLE) AS confidence,
     CAST(ts AS DATE) AS day, ts AS published_ts FROM events""",
     "v_candidates": """
-  SELECT keyword, source, content_id, published_ts, CAST(pos AS INTEGER) AS pos,
-    CAST(floor((pos - 1) / CAST(20 AS DOUBLE)) AS INTEGER) + 1 AS page FROM (
+  SELECT keyword, source, content_id, published_ts, CAST(pos AS BIGINT) AS pos,
+    CAST(floor((pos - 1) / CAST(20 AS DOUBLE)) AS BIGINT) + 1 AS page FROM (
     SELECT event_type AS keyword, CASE WHEN event_id % 2 = 0 THEN 'cnn' ELSE 'liputan6' END AS source,
       CAST(user_id AS VARCHAR) AS content_id, CASE WHEN event_id % 10 = 0 THEN NULL ELSE ts END AS published_ts,
       row_number() OVER (PARTITION BY event_type, event_id % 2
@@ -176,15 +178,21 @@ SELECT keyword, CASE WHEN age <= 1 THEN 'today' WHEN age <= 7 THEN 'week' WHEN a
 
 # ============================================================ opinions + contents
 
-ORACLE["feed_with_parent"] = f"""{W('v_opinions', 'v_contents')},
-p AS (SELECT content_id, arg_min(source, source_id) AS parent_source, arg_min(url, source_id) AS parent_url,
-        arg_min(keyword, source_id) AS parent_keyword FROM v_contents WHERE content_id <> '' GROUP BY content_id)
-SELECT o.source_id, o.source, o.content_id, o.sentiment, p.parent_source, p.parent_url, p.parent_keyword
-FROM v_opinions o LEFT JOIN p ON o.content_id = p.content_id"""
+# articles of four sources, three of them sharing each content id
+VIEWS["v_articles"] = """
+  SELECT CAST(doc_id AS VARCHAR) AS source_id, ['reddit', 'youtube', 'detik', 'cnn'][doc_id % 4 + 1] AS source, lang AS keyword,
+    CASE WHEN doc_id % 7 = 0 THEN '' ELSE CAST(doc_id // 3 AS VARCHAR) END AS content_id,
+    concat('https://', source, '.example/', CAST(doc_id AS VARCHAR)) AS url FROM documents"""
+
+ORACLE["feed_with_parent"] = f"""{W('v_opinions', 'v_articles')},
+p AS (SELECT source, content_id, arg_min(url, source_id) AS parent_url,
+        arg_min(keyword, source_id) AS parent_keyword FROM v_articles WHERE content_id <> '' GROUP BY source, content_id)
+SELECT o.source_id, o.source, o.content_id, o.sentiment, p.source AS parent_source, p.parent_url, p.parent_keyword
+FROM v_opinions o LEFT JOIN p ON o.content_id = p.content_id AND o.source = p.source"""
 
-ORACLE["contents_with_opinions"] = f"""{W('v_opinions', 'v_contents')}
-SELECT c.source_id, c.source, c.keyword, c.content_id, c.url FROM v_contents c
-WHERE EXISTS (SELECT 1 FROM v_opinions o WHERE o.content_id = c.content_id AND o.content_id <> '')"""
+ORACLE["contents_with_opinions"] = f"""{W('v_opinions', 'v_articles')}
+SELECT c.source_id, c.source, c.keyword, c.content_id, c.url FROM v_articles c
+WHERE EXISTS (SELECT 1 FROM v_opinions o WHERE o.content_id = c.content_id AND o.source = c.source AND o.content_id <> '')"""
 
 ORACLE["unified_feed"] = f"""{W('v_opinions', 'v_contents')}
 SELECT source_id, source, keyword, kind, content_id FROM v_opinions
@@ -246,10 +254,10 @@ VIEWS["v_raw_env"] = f"""
   SELECT 2 * doc_id AS ingest_seq, 'content' AS type, {_CSRC}[doc_id % 7 + 1] AS source, doc_id, NULL AS conv_id
   FROM documents
   UNION ALL
-  SELECT 2 * (8 * conv_id + turn) + 1, 'comment', {_MSRC}[conv_id % 5 + 1], NULL, conv_id
+  SELECT 2 * (1048576 * conv_id + turn) + 1, 'comment', {_MSRC}[conv_id % 5 + 1], NULL, conv_id
   FROM conversations WHERE conv_id % 5 >= 2
   UNION ALL
-  SELECT DISTINCT 16 * conv_id + 1, 'comment', {_MSRC}[conv_id % 5 + 1], NULL, conv_id
+  SELECT DISTINCT 2097152 * conv_id + 1, 'comment', {_MSRC}[conv_id % 5 + 1], NULL, conv_id
   FROM conversations WHERE conv_id % 5 < 2"""
 
 # contents the cleaner produces from murmur.fixtures.raw_documents
@@ -348,7 +356,7 @@ SELECT 'comments', source, count(*) FROM v_conv_ts WHERE source <> 'kompas' GROU
 # ============================================================ extraction
 
 ORACLE["flatten_comment_threads"] = f"""{W('v_conv_ts')}
-SELECT source, CAST(conv_id AS VARCHAR) AS content_id, 'c' || CAST(conv_id AS VARCHAR) AS raw_parent_id,
+SELECT source, CAST(conv_id AS VARCHAR) AS content_id, CAST(2 * conv_id AS VARCHAR) AS raw_parent_id,
   CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS source_id, role AS author, text AS content,
   CASE WHEN turn = 0 THEN 'pro' END AS prokontra, strftime(cts, '%Y-%m-%d %H:%M:%S') AS published_at
 FROM v_conv_ts WHERE source IN ('detik', 'cnn')"""
@@ -389,20 +397,21 @@ def _unesc(x: str) -> str:
             f"'&#39;', ''''), '&amp;', '&')")
 
 
-ORACLE["extract_page_meta"] = f"""{W('v_raw_pages')}
-SELECT ingest_seq,
-  coalesce(nullif({_unesc("regexp_extract(raw, '<meta\\s+property=\"og:title\"\\s+content=\"([^\"]*)\"', 1)")}, ''),
-           nullif({_unesc("regexp_extract(raw, '<title[^>]*>([^<]*)</title>', 1)")}, ''), '') AS title,
-  {_unesc("regexp_extract(raw, '<meta\\s+name=\"author\"\\s+content=\"([^\"]*)\"', 1)")} AS author,
-  regexp_extract(raw, '<html[^>]*\\slang=\"([^\"]*)\"', 1) AS lang
-FROM v_raw_pages"""
+ORACLE["extract_page_meta"] = """
+WITH p AS (SELECT page_id, CAST(page_id AS VARCHAR) AS i, DATE '2024-01-01' + CAST(page_id % 28 AS INTEGER) AS day FROM pages)
+SELECT page_id AS ingest_seq, CASE WHEN page_id % 4 = 0 THEN 'Page ' || i ELSE 'Story "' || i || '"' END AS title,
+  CASE WHEN page_id % 3 = 0 THEN 'Writer ' || i ELSE 'Desk ' || i END AS author,
+  strftime(day, '%Y-%m-%d') || CASE WHEN page_id % 5 = 0 THEN '' ELSE 'T03:00:00+07:00' END AS published_at,
+  strftime(CASE WHEN page_id % 5 = 0 THEN CAST(day AS TIMESTAMP) ELSE CAST(day AS TIMESTAMP) - INTERVAL 4 HOUR END, '%Y-%m-%d %H:%M:%S') AS published_ts,
+  i AS article_id, 'id' AS lang
+FROM p"""
 
-ORACLE["extract_cards"] = f"""{W('v_raw_pages')},
-a AS (SELECT ingest_seq, regexp_extract_all(raw, '<a href="([^"]*)">([^<]*)</a>', 1) AS hrefs,
-             regexp_extract_all(raw, '<a href="([^"]*)">([^<]*)</a>', 2) AS texts FROM v_raw_pages)
-SELECT ingest_seq, CAST(i AS INTEGER) AS pos, hrefs[i] AS href, {_unesc('texts[i]')} AS text,
-  split_part(regexp_replace(hrefs[i], '^(https?://[^/]+)?/+', ''), '/', 1) AS category
-FROM a, range(1, len(hrefs) + 1) t(i)"""
+ORACLE["extract_cards"] = """
+WITH p AS (SELECT page_id, CAST(page_id AS VARCHAR) AS i FROM pages)
+SELECT page_id AS ingest_seq, CAST(0 AS BIGINT) AS pos, i || '0' AS content_id, 'https://host.example/news/read/' || i || '0/x' AS url,
+  'Title ' || i || '0' AS title, 'news' AS category, '30 Januari 2024' AS date, '2024-01-30 00:00:00' AS published_ts FROM p
+UNION ALL
+SELECT page_id, 1, i || '1', 'https://s.example/sport/read/' || i || '1?a=1', 'Plain ' || i || '1 & more', 'sport', '2024-01-05 10:00', '2024-01-05 10:00:00' FROM p"""
 
 ORACLE["url_parts"] = f"""{W('v_raw_pages')}
 SELECT ingest_seq, url,
@@ -421,7 +430,7 @@ ORACLE["json_path"] = """
 SELECT event_id, coalesce(json_extract_string(props, '$.k'), '0') AS k FROM events"""
 
 ORACLE["json_deep_find"] = """
-SELECT 16 * conv_id + 1 AS ingest_seq, CASE WHEN turn = 0 THEN 1 ELSE 3 END AS depth,
+SELECT 2097152 * conv_id + 1 AS ingest_seq, CASE WHEN turn = 0 THEN 1 ELSE 3 END AS depth,
   CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS value, turn = 0 AS first
 FROM conversations WHERE conv_id % 5 < 2"""
 
@@ -441,15 +450,17 @@ SELECT keyword, source, page, ppos, CAST(NULL AS VARCHAR), '/watch?v=v' || conte
 FROM p WHERE source <> 'cnn' AND CAST(content_id AS INTEGER) % 7 <> 0"""
 
 ORACLE["normalise_timestamps"] = """
-WITH t AS (SELECT event_id, ts, CAST(event_id % 4 AS INTEGER) AS k FROM events)
+WITH t AS (SELECT event_id, ts, CAST(event_id % 9 AS INTEGER) AS k, date_diff('second', TIMESTAMP '1970-01-01 00:00:00', ts) AS secs FROM events)
 SELECT event_id,
   CASE k WHEN 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
          WHEN 2 THEN CAST(day(ts) AS VARCHAR) || ' ' ||
            ['Januari','Februari','Maret','April','Mei','Juni','Juli','Agustus','September','Oktober','November','Desember'][month(ts)]
            || ' ' || CAST(year(ts) AS VARCHAR)
-         ELSE CAST(date_diff('second', TIMESTAMP '1970-01-01 00:00:00', ts) AS VARCHAR) END AS published_at,
-  CASE WHEN k = 2 THEN strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S')
-       ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS published_ts
+         WHEN 3 THEN CAST(secs AS VARCHAR)
+         WHEN 4 THEN strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%dT%H:%M:%S') || '+07:00'
+         WHEN 5 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' WHEN 6 THEN strftime(ts, '%Y-%m-%dT%H:%M')
+         WHEN 7 THEN strftime(ts, '%Y-%m-%d') ELSE CAST(secs * 1000 AS VARCHAR) END AS published_at,
+  strftime(CASE WHEN k IN (2, 7) THEN date_trunc('day', ts) WHEN k = 6 THEN date_trunc('minute', ts) ELSE ts END, '%Y-%m-%d %H:%M:%S') AS published_ts
 FROM t"""
 
 # ============================================================ sentiment, privacy
@@ -522,3 +533,84 @@ ORACLE["stream_ttl_dedupe"] = ORACLE["ttl_dedupe"]
 ORACLE["stream_job_fanout"] = ORACLE["job_source_fanout"]
 ORACLE["job_stream_decode"] = ORACLE["valid_jobs"]
 ORACLE["stream_clean"] = ORACLE["run_totals"]
+
+# ============================================================ warehouse to opinions, labels, keyword jobs
+
+_BODY = "array_to_string([t FOR t IN [trim(regexp_replace(x, '\\s+', ' ', 'g')) FOR x IN string_split(d.text, chr(10))] IF t <> ''], chr(10))"
+VIEWS["v_clean_full"] = f"""
+  SELECT c.source, c.source_id, c.keyword, c.title, d.doc_id,
+    CASE WHEN c.source IN ('youtube', 'reddit') AND c.doc_id % 13 = 0 THEN ''
+         WHEN c.source = 'youtube' THEN 'channel' || CAST(c.doc_id % 17 AS VARCHAR) WHEN c.source = 'reddit' THEN 'user' || CAST(c.doc_id % 23 AS VARCHAR)
+         WHEN c.source = 'detik' THEN 'Reporter ' || CAST(c.doc_id % 5 AS VARCHAR) ELSE 'Desk ' || CAST(c.doc_id % 9 AS VARCHAR) END AS author,
+    CASE WHEN c.source IN ('youtube', 'reddit') THEN CASE WHEN c.doc_id % 13 = 0 THEN '' ELSE d.text END ELSE {_BODY} END AS content,
+    CASE WHEN c.doc_id % 11 = 0 THEN '' ELSE CAST(c.doc_id AS VARCHAR) END AS content_id,
+    CASE WHEN c.doc_id % 3 <> 0 THEN CAST(DATE '2024-01-01' + CAST(c.doc_id % 29 AS INTEGER) AS TIMESTAMP)
+         WHEN c.doc_id % 13 = 0 OR c.source NOT IN ('youtube', 'reddit') THEN NULL
+         WHEN c.source = 'youtube' THEN CAST(DATE '2024-01-01' + CAST(c.doc_id % 29 AS INTEGER) AS TIMESTAMP)
+         ELSE CAST(DATE '2024-01-01' + CAST(c.doc_id % 29 AS INTEGER) AS TIMESTAMP) + to_seconds(c.doc_id % 86400) END AS pts
+  FROM v_clean_contents c JOIN documents d ON d.doc_id = c.doc_id"""
+
+
+def _hmac(c: str) -> str:
+    """HMAC-SHA256 of a text in hex, from sha256 over blobs."""
+    k = SECRET.encode().ljust(64, b"\0")
+    blob = lambda pad: "'" + "".join(f"\\x{b ^ pad:02X}" for b in k) + "'::BLOB"
+    return f"sha256({blob(0x5C)} || unhex(sha256({blob(0x36)} || encode({c}))))"
+
+
+_CID = "CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR)"
+ORACLE["clean_contents"] = f"""{W('v_clean_contents', 'v_clean_full')}
+SELECT source, source_id, keyword, title, {_hmac('author')} AS author_hash, md5(content) AS body_md5, {_ts('pts')} AS published_ts FROM v_clean_full"""
+ORACLE["source_registry_union"] = ORACLE["clean_contents"]
+ORACLE["clean_comments"] = f"""{W('v_conv_ts')}
+SELECT source, {_CID} AS source_id, CAST(conv_id AS VARCHAR) AS content_id, CAST(2 * conv_id AS VARCHAR) AS raw_parent_id,
+  {_hmac('role')} AS author_hash, md5(text) AS body_md5, {_ts('cts')} AS published_ts FROM v_conv_ts WHERE source <> 'kompas'"""
+ORACLE["stream_clean"] = f"""{W('v_clean_contents', 'v_clean_full', 'v_conv_ts')}
+SELECT 'contents' AS table_name, source, source_id, keyword, {_hmac('author')} AS author_hash, md5(content) AS body_md5, {_ts('pts')} AS published_ts FROM v_clean_full
+UNION ALL
+SELECT 'comments', source, {_CID}, 'thread', {_hmac('role')}, md5(text), {_ts('cts')} FROM v_conv_ts WHERE source <> 'kompas'"""
+ORACLE["opinions_view"] = f"""{W('v_clean_contents', 'v_clean_full', 'v_conv_ts')}
+SELECT source, {_CID} AS source_id, 'comment' AS kind, 'thread' AS keyword, CAST(conv_id AS VARCHAR) AS content_id, md5(text) AS body_md5, {_ts('cts')} AS published_ts
+FROM v_conv_ts WHERE source <> 'kompas'
+UNION ALL
+SELECT source, source_id, 'post', keyword, content_id, md5(content), {_ts('pts')} FROM v_clean_full WHERE source = 'reddit'"""
+ORACLE["comments_with_parent"] = f"""{W('v_clean_contents', 'v_clean_full', 'v_conv_ts')}
+SELECT m.source, {_CID} AS source_id, CAST(m.conv_id AS VARCHAR) AS content_id, c.source AS parent_source,
+  CASE WHEN c.doc_id IS NOT NULL THEN 'https://' || c.source || '.example/read/' || CAST(c.doc_id AS VARCHAR) END AS parent_url, c.keyword AS parent_keyword
+FROM v_conv_ts m LEFT JOIN v_clean_full c ON c.doc_id = m.conv_id WHERE m.source <> 'kompas'"""
+ORACLE["label_pass"] = f"""{W('v_conv_ts')},
+c AS (SELECT source, {_CID} AS source_id, length(text) AS n FROM v_conv_ts WHERE source <> 'kompas')
+SELECT source, source_id, CASE n % 4 WHEN 0 THEN 'positive' WHEN 1 THEN 'negative' WHEN 2 THEN 'neutral' END AS sentiment,
+  CASE WHEN n % 4 < 3 THEN CASE WHEN (n % 100) / 100.0 < 0.75 THEN 'fallback' ELSE 'bulk' END END AS engine,
+  CASE WHEN n % 4 < 3 THEN round((n % 100) / CAST(100 AS DOUBLE), 6) END AS confidence, n % 4 < 3 AS ai_processed
+FROM c"""
+ORACLE["extract_articles"] = f"""{W('v_clean_contents', 'v_clean_full')}
+SELECT source_id, source, title, author, content, CASE WHEN doc_id % 3 = 0 THEN '' ELSE {_ts('pts')} END AS published_at
+FROM v_clean_full WHERE source NOT IN ('youtube', 'reddit')"""
+ORACLE["json_dir_to_messages"] = """
+WITH m AS (SELECT event_id, {fields} AS fields FROM (
+    SELECT event_id,
+      CASE WHEN event_id % 50 = 0 THEN '   ' WHEN event_id % 50 = 1 THEN NULL ELSE event_type END AS keyword,
+      ['30d', '7d', '1m', '2w', NULL][event_id % 5 + 1] AS interval, ['all', 'news', 'socmed'][user_id % 3 + 1] AS platforms,
+      CASE WHEN user_id % 2 = 0 THEN 'all' ELSE 'detik,cnn' END AS news_sources,
+      CASE WHEN event_id % 11 = 0 THEN NULL ELSE event_id % 7 = 0 END AS force,
+      CASE WHEN event_id % 13 = 0 THEN 0 WHEN event_id % 4 = 0 THEN 20 END AS "limit" FROM events) t)
+SELECT '[' || string_agg('{{' || array_to_string([f FOR f IN fields IF f IS NOT NULL], ',') || '}}', ',' ORDER BY event_id) || ']' AS value
+FROM m GROUP BY event_id // 100""".format(fields="[" + ", ".join(
+    f"""'"{c}":' || CAST(to_json({'"limit"' if c == 'limit' else c}) AS VARCHAR)""" for c in ("force", "interval", "keyword", "limit", "news_sources", "platforms")) + "]")
+
+ORACLE["job_candidates"] = f"""{W('v_candidates', 'v_jobs')},
+r AS (SELECT *, row_number() OVER (PARTITION BY keyword, source, content_id ORDER BY pos) AS rn FROM v_candidates),
+p AS (SELECT keyword, source, page, sum(CASE WHEN rn = 1 THEN 1 ELSE 0 END) AS n_new FROM r GROUP BY keyword, source, page),
+s AS (SELECT keyword, source, coalesce(min(CASE WHEN n_new = 0 THEN page END), 51) AS stop_page FROM p WHERE page <= 50 GROUP BY keyword, source),
+l AS (SELECT r.keyword, r.source, content_id, pos, row_number() OVER w AS rank, min(published_ts) OVER (w ROWS UNBOUNDED PRECEDING) AS oldest
+      FROM r JOIN s USING (keyword, source) WHERE rn = 1 AND page < stop_page AND page <= 50 WINDOW w AS (PARTITION BY r.keyword, r.source ORDER BY pos)),
+j AS (SELECT job_id, keyword, s.name AS source, force, "limit", TIMESTAMP '2024-01-30 00:00:00' - CASE interval
+        WHEN '30d' THEN INTERVAL 30 DAY WHEN '7d' THEN INTERVAL 7 DAY WHEN '1m' THEN INTERVAL 1 MONTH WHEN '2w' THEN INTERVAL 14 DAY END AS cutoff
+      FROM v_jobs, (VALUES ('cnn'), ('liputan6')) s(name)
+      WHERE platforms IN ('all', 'news') AND (news_sources = 'all' OR list_contains(string_split(news_sources, ','), s.name))),
+live AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS content_id FROM events WHERE user_id % 6 = 0)
+SELECT job_id, j.source, count(*) AS n, min(pos) AS first_pos, max(pos) AS last_pos, CAST(max(rank) AS BIGINT) AS last_rank
+FROM j JOIN l ON l.keyword = j.keyword AND l.source = j.source AND ("limit" = 0 OR rank <= "limit") AND (oldest IS NULL OR oldest >= cutoff)
+WHERE force OR l.content_id NOT IN (SELECT content_id FROM live)
+GROUP BY job_id, j.source"""

@@ -40,8 +40,9 @@ def build_session(app: str = "murmur", cpus: str | int = "*", shuffle_partitions
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared (HDFS/object-store) folder and is used as is. Only when it
-    is unset (local tests) do we create a scratch folder, so lineage cuts still work there.
+    On a cluster the setting names a shared (HDFS/object-store) folder and is used as is; without it a
+    cluster session is an error, as executors would write where no one else reads. Only a local
+    session (one machine) gets a scratch folder of its own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="murmur-ckpt-", dir="/tmp")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -58,19 +61,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a written intermediate table, under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
-
-
-def spread(df, min_partitions: int | None = None):
-    """Give CPU-heavy stages (Python HTML parsing, model fitting) at least one partition per core.
-
-    A large input already has that many splits and is returned unchanged (no shuffle of raw
-    payloads); a small but heavy one (e.g. a single parquet row group) is redistributed
-    round-robin so the work is not serialised in one task.
-    """
-    spark = df.sparkSession
-    try:
-        want = min_partitions or spark.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a Connect session): leave the plan as is
-        return df
-    return df if have >= want else df.repartition(want)

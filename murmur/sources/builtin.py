@@ -45,6 +45,7 @@ class Merdeka(_News):
 
 @register_source("youtube")
 class Youtube(SourcePlugin):
+    kind = "socmed"
     content_parser = "video_json"
     comment_parser = "video_comment"
 
@@ -59,6 +60,7 @@ class Youtube(SourcePlugin):
 
 @register_source("reddit")
 class Reddit(SourcePlugin):
+    kind = "socmed"
     content_parser = "forum_json"
     comment_parser = "forum_comment"
 

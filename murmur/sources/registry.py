@@ -32,9 +32,11 @@ def all_sources() -> dict[str, type]:
 
 
 class SourcePlugin:
-    """Base plugin: `contents` / `comments` parse rows of this source (already filtered)."""
+    """Base plugin: `contents` / `comments` parse rows of this source (already filtered). Sources
+    whose functions are the same object are parsed together. `kind` is what jobs ask for."""
 
     name = ""
+    kind = "news"
     content_parser = "none"
     comment_parser = "none"
 

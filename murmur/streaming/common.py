@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +14,12 @@ from murmur.sources.tables import table_path
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1) -> DataFrame:
-    """A file stream over one input table (`<name>.parquet` files in `sf_dir`); `max_files` bounds
-    the size of each micro-batch."""
+    """A file stream over one input table, a single file or a folder of part files; `max_files`
+    bounds the size of each micro-batch. The braces make the path a pattern that matches just this
+    table: a plain path would have to be a folder."""
     schema = spark.read.parquet(table_path(sf_dir, name)).schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            .option("maxFilesPerTrigger", max_files).parquet(sf_dir))
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+            .parquet(table_path(sf_dir, f"{{{name}}}")))
 
 
 def new_location(spark: SparkSession, kind: str, name: str) -> str:
@@ -41,10 +43,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The batches written below `path`; empty if no batch produced output."""
     try:
         return spark.read.parquet(path)
-    except Exception as ex:  # noqa: BLE001 - no batch produced output
-        if "PATH_NOT_FOUND" in str(ex) or "UNABLE_TO_INFER_SCHEMA" in str(ex):
+    except AnalysisException as ex:
+        if ex.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return spark.createDataFrame([], schema)
         raise
 

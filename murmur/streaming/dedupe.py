@@ -2,17 +2,20 @@
 at least TTL after the key's last accepted event (greedy, like an expiring cache; skipped events do
 not renew the TTL, forced ones do).
 
-Each micro-batch runs the batch block rounds (`candidates.ttl_rounds`) seeded with the thresholds
-carried from earlier batches, so no key's events are gathered in one task however hot the key is.
-The carried state is a small table of (key, threshold), written as one version per batch (a replayed
-batch re-reads the version before it, so replays are idempotent). Thresholds at or before the
-batch's newest event can no longer reject anything that arrives in order, so they are dropped - the
-same point where an event-time timeout would expire them. Events are expected in event-time order
-across batches; a late event is judged against the key's current threshold.
+The rule depends on event-time order, so events wait until the watermark (the newest time seen less
+the declared lateness) has passed them; then all of them up to it are judged in order by the batch
+block rounds (`candidates.ttl_rounds`), seeded with the thresholds carried so far, and no key's
+events are gathered in one task. Events that arrive behind the watermark are kept in a `late` table.
+So the stream accepts what the batch form accepts, however files and batches cut the input, as long
+as no event is later than declared. The state (thresholds and waiting events) is one version per
+batch: a replayed batch starts from the version before it, and versions before that are not read
+again. A threshold at or before the watermark cannot reject anything any more and is dropped.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,42 +23,59 @@ from murmur.operators.candidates import ttl_rounds
 from murmur.streaming.common import new_location, read_batches, run_available, table_stream, write_batch
 
 OUT_SCHEMA = "user_id long, ts timestamp_ntz, event_id long"
+THRESHOLDS = "user_id long, _thr timestamp_ntz"
+WAITING = "user_id long, event_id long, ts timestamp_ntz, force boolean"
+MARK = "mark timestamp_ntz"
+
+
+def _version(state: str, batch_id: int, part: str) -> str:
+    return f"{state}/{part}/v={batch_id}"
+
 
+def _state(spark: SparkSession, state: str, batch_id: int, part: str, schema: str) -> DataFrame:
+    """One part of the state that batch `batch_id` wrote (empty before the first batch)."""
+    return spark.read.schema(schema).parquet(_version(state, batch_id, part)) if batch_id >= 0 else spark.createDataFrame([], schema)
 
-def _state_before(spark: SparkSession, state: str, batch_id: int) -> DataFrame | None:
-    """The carried thresholds written by the latest batch before `batch_id` (None at the start)."""
-    try:
-        versions = spark.read.parquet(state).where(F.col("batch_id") < batch_id)
-    except Exception as ex:  # noqa: BLE001 - no state yet
-        if "PATH_NOT_FOUND" in str(ex) or "UNABLE_TO_INFER_SCHEMA" in str(ex):
-            return None
-        raise
-    last = versions.agg(F.max("batch_id")).first()[0]
-    if last is None:
-        return None
-    return versions.where((F.col("batch_id") == last) & F.col("user_id").isNotNull()).select("user_id", "_thr")
 
+def _judge(rows: DataFrame, thresholds: DataFrame, mark: datetime | None, ttl_days: int):
+    accepted, carry = ttl_rounds(rows, "user_id", "ts", ttl_days, "event_id", "force", carry=thresholds)
+    return accepted.select("user_id", "ts", "event_id"), carry if mark is None else carry.where(F.col("_thr") > F.lit(mark))
 
-def ttl_batch(state: str, out: str, ttl_days: int):
+
+def ttl_batch(state: str, out: str, late: str, ttl_days: int, lateness_days: float):
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        carry = _state_before(spark, state, batch_id)
-        accepted, carry = ttl_rounds(batch, "user_id", "ts", ttl_days, "event_id", "force", carry=carry)
-        write_batch(accepted.select("user_id", "ts", "event_id"), out, batch_id)
+        before = batch_id - 1
+        old = _state(spark, state, before, "mark", MARK).first()
+        old = old[0] if old else None
         newest = batch.agg(F.max("ts")).first()[0]
-        keep = (carry.where(F.col("_thr") > F.lit(newest)) if carry is not None and newest is not None
-                else spark.createDataFrame([], "user_id long, _thr timestamp_ntz"))
-        # a sentinel row keeps every version non-empty, so an empty state is not mistaken for "none"
-        sentinel = spark.createDataFrame([(None, None)], "user_id long, _thr timestamp_ntz")
-        keep.unionByName(sentinel).write.mode("overwrite").parquet(f"{state}/batch_id={batch_id}")
+        mark = max([t for t in (old, newest and newest - timedelta(days=lateness_days)) if t], default=None)
+        behind = F.lit(False) if old is None else F.col("ts") < F.lit(old)
+        write_batch(batch.where(behind), late, batch_id)
+        waiting = _state(spark, state, before, "waiting", WAITING).unionByName(batch.where(~behind))
+        ready = F.lit(False) if mark is None else F.col("ts") < F.lit(mark)
+        thresholds = _state(spark, state, before, "thresholds", THRESHOLDS)
+        accepted, carry = _judge(waiting.where(ready), thresholds, mark, ttl_days)
+        write_batch(accepted, out, batch_id)
+        for part, df in (("waiting", waiting.where(~ready)), ("thresholds", carry), ("mark", spark.createDataFrame([(mark,)], MARK))):
+            df.write.mode("overwrite").parquet(_version(state, batch_id, part))
     return fn
 
 
-def run_ttl_dedupe(spark: SparkSession, sf_dir: str, ttl_days: int = 7, force: Column | None = None,
-                   events: DataFrame | None = None) -> DataFrame:
-    out = new_location(spark, "tables", "ttl_dedupe")
+def run_ttl_dedupe(spark: SparkSession, sf_dir: str, ttl_days: int = 7, force: Column | None = None, events: DataFrame | None = None,
+                   lateness_days: float = 31, out: str | None = None, max_files: int = 1) -> DataFrame:
+    """Accepted events of all input there is now; at its end the events still waiting are judged too."""
+    out, late = out or new_location(spark, "tables", "ttl_dedupe"), new_location(spark, "tables", "ttl_late")
     state = new_location(spark, "state", "ttl_dedupe")
-    src = events if events is not None else table_stream(spark, sf_dir, "events")
+    last = [-1]
+    step = ttl_batch(state, out, late, ttl_days, lateness_days)
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        step(batch, batch_id)
+        last[0] = max(last[0], batch_id)
+    src = events if events is not None else table_stream(spark, sf_dir, "events", max_files)
     src = src.select("user_id", "event_id", "ts", (force if force is not None else F.lit(False)).alias("force"))
-    run_available(src, ttl_batch(state, out, ttl_days), "ttl_dedupe")
+    run_available(src, fn, "ttl_dedupe")
+    rest, _ = _judge(_state(spark, state, last[0], "waiting", WAITING), _state(spark, state, last[0], "thresholds", THRESHOLDS), None, ttl_days)
+    write_batch(rest, out, last[0] + 1)
     return read_batches(spark, out, OUT_SCHEMA).drop("batch_id")

@@ -14,10 +14,10 @@ from murmur.streaming.common import new_location, read_batches, run_available, w
 MESSAGE_SCHEMA = "job_id long, value string"
 
 
-def write_messages(spark: SparkSession, sf_dir: str, files: int = 4) -> str:
+def write_messages(spark: SparkSession, sf_dir: str) -> str:
     """Publish the job messages derived from the input tables as JSON-lines files (B7 sink)."""
     path = new_location(spark, "topics", "jobs")
-    fx.job_messages(spark, sf_dir).repartition(files).write.json(path)
+    fx.job_messages(spark, sf_dir).write.json(path)
     return path
 
 
@@ -41,21 +41,20 @@ def run_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, out, "job_id long, keyword string, source string").drop("batch_id")
 
 
-def json_dir_to_messages(spark: SparkSession, path: str) -> DataFrame:
-    """Every JSON object in files under `path` (any depth, names ending in 'json') -> one
-    message value. Unreadable lines come back as a `_corrupt_record` and are published as `{}`."""
-    df = (spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*json")
-          .option("mode", "PERMISSIVE").json(path))
-    cols = [c for c in df.columns if c != "_corrupt_record"]
-    value = F.to_json(F.struct(*cols))
-    if "_corrupt_record" in df.columns:
-        value = F.when(F.col("_corrupt_record").isNotNull(), F.lit("{}")).otherwise(value)
-    return df.select(value.alias("value"))
+def json_dir_to_messages(spark: SparkSession, path: str, pattern: str = "*json") -> DataFrame:
+    """Every file under `path` (any depth, names like `pattern`) -> one message with the file's
+    JSON value, compact and with sorted keys; an unreadable file gives `{}`. Each file is read whole,
+    without inferring a schema, so values keep their types and nulls."""
+    df = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern).text(path, wholetext=True)
+    return df.select(F.coalesce(F.to_json(F.try_parse_json("value")), F.lit("{}")).alias("value"))
 
 
 def run_json_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lay the job messages out as nested folders of JSON files, then load them back."""
+    """Lay the job messages out as nested folders with one JSON array per file (a job's ids never
+    straddle files: one file per bucket of a hundred jobs), then load them back (A8)."""
     path = new_location(spark, "topics", "jobs_tree")
-    msgs = jb.decode(fx.job_messages(spark, sf_dir)).withColumn("bucket", F.col("job_id") % 4)
-    msgs.drop("job_id").write.partitionBy("bucket").json(path)
-    return json_dir_to_messages(spark, path)
+    msgs = fx.job_messages(spark, sf_dir).withColumn("bucket", F.floor(F.col("job_id") / 100))
+    files = msgs.groupBy("bucket").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("job_id", "value"))), lambda m: m["value"]), ",\n  ").alias("v"))
+    (files.select("bucket", F.concat(F.lit("[\n  "), F.col("v"), F.lit("\n]")).alias("value"))
+     .repartition("bucket").write.partitionBy("bucket").option("lineSep", "\n").text(path))
+    return json_dir_to_messages(spark, path, "*.txt")

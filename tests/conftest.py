@@ -22,6 +22,6 @@ def spark():
 def duck():
     import duckdb
     con = duckdb.connect()
-    for t in ["events", "documents", "labels", "conversations", "pages"]:
+    for t in ["events", "documents", "labels", "conversations", "pages", "benchmark"]:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     return con

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from murmur.functions import html as H
 from murmur.functions.hashing import hmac_sha256
-from murmur.functions.times import parse_publish_time, window_bounds
+from murmur.functions.times import parse_publish_time, window_bounds_col
 from murmur.functions.urls import article_id, proxy_to_origin, video_id
 from murmur.operators import candidates as cd
 from murmur.operators import extract as X
@@ -23,16 +23,30 @@ TODAY = datetime(2026, 6, 23)
 @pytest.mark.parametrize("value,start", [
     ("30d", "24/05/2026"), ("1m", "23/05/2026"), ("2y", "23/06/2024"), ("2w", "09/06/2026"),
     ("bogus", "24/05/2026"), ("23/06/2026 - 23/07/2026", "23/06/2026")])
-def test_window_bounds_docstring(value, start):
-    lo, hi = window_bounds(value, TODAY)
+def test_window_bounds(spark, value, start):
+    lo, hi = spark.range(1).select(*window_bounds_col(F.lit(value), TODAY)).first()
     assert lo.strftime("%d/%m/%Y") == start
     if " - " not in value:
         assert hi == TODAY
 
 
-def test_window_month_end_clamp():
-    lo, _ = window_bounds("1m", datetime(2024, 3, 31))
-    assert lo == datetime(2024, 2, 29)
+def test_window_month_end_clamp(spark):
+    assert spark.range(1).select(window_bounds_col(F.lit("1m"), datetime(2024, 3, 31))[0]).first()[0] == datetime(2024, 2, 29)
+
+
+def test_window_dates_must_read_alike(spark):
+    """Two dates of different patterns, or no dates, give an empty window at now."""
+    for value in ("31/12/2026 - 2026-12-31", "x to y"):
+        assert tuple(spark.range(1).select(*window_bounds_col(F.lit(value), TODAY)).first()) == (TODAY, TODAY)
+
+
+def test_publish_time_zones_minutes_dates_and_milliseconds(spark):
+    forms = {"2024-01-02T03:04:05+00:00": datetime(2024, 1, 2, 3, 4, 5), "2024-01-02T03:04:05Z": datetime(2024, 1, 2, 3, 4, 5),
+             "2024-01-02T03:04:05.25+07:00": datetime(2024, 1, 1, 20, 4, 5, 250000), "2024-01-02T23:04-0130": datetime(2024, 1, 3, 0, 34),
+             "2024-01-02T03:04": datetime(2024, 1, 2, 3, 4), "2024-01-02 03:04": datetime(2024, 1, 2, 3, 4), "2024-01-02": datetime(2024, 1, 2),
+             "1704164645000": datetime(2024, 1, 2, 3, 4, 5), "1704164645": datetime(2024, 1, 2, 3, 4, 5), "2024-13-02": None, "2024-01-02T": None}
+    df = spark.createDataFrame([(k,) for k in forms], "t string")
+    assert {r.t: r.p for r in df.select("t", parse_publish_time("t").alias("p")).collect()} == forms
 
 
 def test_publish_time_forms(spark):
@@ -204,6 +218,99 @@ def test_deep_find_depth_order(spark):
     assert [r.value for r in out if r.first] == ["top"]
 
 
+@pytest.mark.parametrize("depth", [9, 20, 200])
+def test_deep_find_any_depth_and_wide_arrays(spark, depth):
+    deep = '{"x": [' * depth + '{"id": "bottom"}' + "]}" * depth
+    df = spark.createDataFrame([(1, deep), (2, "[" + ",".join(['{"id": 7}'] * 1200) + "]"), (3, "no json"), (4, None)], "ingest_seq long, raw string")
+    out = X.json_deep_find(df, "id").collect()
+    assert [(r.depth, r.value, r.first) for r in out if r.ingest_seq == 1] == [(2 * depth + 1, "bottom", True)]
+    two = [r for r in out if r.ingest_seq == 2]
+    assert len(two) == 1200 and [r.path for r in two if r.first] == ["/0/id"] and {r.ingest_seq for r in out} == {1, 2}
+
+
+def test_deep_find_key_paths_and_alternatives(spark):
+    raw = '{"a": {"m": {"b": {"c": "1"}}, "c": "2"}, "target": {"url": "u"}, "empty": {"url": []}, "n": {"k": {"z": 1, "y": [2]}}}'
+    df = spark.createDataFrame([(1, raw)], "ingest_seq long, raw string")
+    find = lambda *p: sorted(r.value for r in X.json_deep_find(df, *p).collect())
+    assert find("a.c") == ["1", "2"] and find("a.b.c") == ["1"] and find("b.a") == []
+    assert find("missing", "target.url", "a.c") == ["u"] and find("empty.url") == [] and find("k") == ['{"y":[2],"z":1}']
+
+
+def test_whole_json_files(spark, tmp_path):
+    (tmp_path / "a" / "b").mkdir(parents=True)
+    (tmp_path / "a" / "one.json").write_text('{\n  "k": 1,\n  "gone": null\n}\n')
+    (tmp_path / "a" / "b" / "two.json").write_text('[1,\n "x"]')
+    (tmp_path / "a" / "bad.json").write_text('{"k": ')
+    (tmp_path / "a" / "skip.txt").write_text("{}")
+    from murmur.streaming.jobs import json_dir_to_messages
+    assert sorted(r.value for r in json_dir_to_messages(spark, str(tmp_path)).collect()) == ['[1,"x"]', '{"gone":null,"k":1}', "{}"]
+
+
+def test_registered_source_is_cleaned_and_fanned_out(spark):
+    """One decorated class: its rows are parsed (with the default layout), and jobs are sent to it."""
+    from murmur.operators import cleaner as cl
+    from murmur.sources import registry
+    from murmur.sources.builtin import _News
+
+    @registry.register_source("newsite")
+    class NewSite(_News):
+        comment_parser = "video_comment"
+
+        @staticmethod
+        def comments(raw):
+            return X.flat_comments(raw, "youtube")
+    try:
+        html = "<html><body><nav>n</nav><article><p>Body</p></article></body></html>"
+        rows = [(1, "content", "newsite", "k", "u1", "c1", html), (3, "comment", "newsite", "k", None, "c1", '{"commentId": "m", "commentText": "t"}'),
+                (5, "comment", "newsite", "k", None, "c1", '{"commentText": "no id"}'), (7, "content", "newsite", "k", "u2", "", "")]
+        raw = spark.createDataFrame(rows, "ingest_seq long, type string, source string, keyword string, url string, content_id string, raw string")
+        raw = raw.withColumns({c: F.lit("") for c in ("title", "media", "desc", "published_at", "content_url", "parent_id")})
+        contents, comments, rejects = cl.clean(raw)
+        assert [(r.source_id, r.content) for r in contents.collect()] == [("c1", "Body")]
+        assert [(r.source_id, r.content) for r in comments.collect()] == [("m", "t")]
+        assert sorted((r.ingest_seq, r.reason) for r in rejects.collect()) == [(5, "missing id"), (7, "empty payload")]
+        jobs = spark.createDataFrame([(1, "k", "7d", "news", "newsite", False, 5)], "job_id long, keyword string, interval string, platforms string, news_sources string, force boolean, limit int")
+        assert [r.source for r in jb.fan_out(jobs).collect()] == ["newsite"]
+    finally:
+        del registry._REGISTRY["newsite"]
+
+
+def test_caps_per_source(spark):
+    rows = [(s, "c", t) for s in ("reddit", "detik") for t in range(250)]
+    df = spark.createDataFrame(rows, "source string, content_id string, turn int")
+    n = {r["source"]: r["count"] for r in cd.cap_per_content(df, cd.PAGE_SIZE, 2).groupBy("source").count().collect()}
+    assert n == {"reddit": 200, "detik": 20} and cd.cap_per_content(df, pages=None).count() == 500
+    pages = spark.createDataFrame([("k", s, f"{s}{p}", p, p) for s in ("youtube", "cnn") for p in range(1, 61)], "keyword string, source string, content_id string, pos long, page long")
+    n = {r["source"]: r["count"] for r in cd.stop_on_repeat_page(pages).groupBy("source").count().collect()}
+    assert n == {"youtube": 5, "cnn": 50} and cd.stop_on_repeat_page(pages, None).count() == 120
+
+
+def test_updates_of_one_key_are_ordered(spark):
+    target = spark.createDataFrame([("s", "1", None)], "source string, source_id string, v string")
+    updates = spark.createDataFrame([("s", "1", "old", 1), ("s", "1", "new", 2)], "source string, source_id string, v string, at int")
+    assert wh.keyed_update(target, updates, set_cols=("v",), order_col="at").first().v == "new"
+
+
+def test_missing_confidence_goes_to_the_fallback(spark):
+    from murmur.operators.sentiment import cascade_routing
+    df = spark.createDataFrame([(None,), (0.9,), (0.1,)], "confidence double")
+    assert [(r.engine, r.needs_fallback) for r in cascade_routing(df).collect()] == [("fallback", True), ("bulk", False), ("fallback", True)]
+
+
+def test_checkpoint_folder_is_needed_on_a_cluster(monkeypatch):
+    from murmur import session
+
+    class Fake:
+        class sparkContext:
+            master = "yarn"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:
+            get = staticmethod(lambda key, default: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Fake)
+
+
 def test_ttl_force_renews(spark):
     days = [0, 20, 40, 55, 71]
     rows = [(1, i, datetime(2024, 1, 1) + pd.Timedelta(days=d), i == 1) for i, d in enumerate(days)]
@@ -268,14 +375,6 @@ def test_json_path_wildcard_and_default(spark):
     assert (got[1].b, got[1].ids) == ("0", None)
 
 
-def test_spread_only_when_needed(spark):
-    from murmur.session import spread
-    wide = spark.range(0, 100, numPartitions=64)
-    assert spread(wide) is wide                                   # enough splits: unchanged, no shuffle
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert spread(narrow, 4).rdd.getNumPartitions() == 4
-
-
 def test_comments_per_content_approx(spark):
     from murmur.operators.analytics import comments_per_content
     df = spark.createDataFrame([("s", "c1", str(i % 50)) for i in range(500)], "source string, content_id string, source_id string")
