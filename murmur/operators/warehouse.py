@@ -38,9 +38,17 @@ def late_rows(batch: DataFrame, high_water_mark: int, seq_col: str = "ingest_seq
 
 
 def find_page(df: DataFrame, cond: Column | None, columns: list[str], order: list[Column | str],
-              skip: int = 0, limit: int | None = None) -> DataFrame:
-    """Filtered, projected, sorted, paged read (skip + limit)."""
+              skip: int = 0, limit: int | None = None, after: tuple | None = None) -> DataFrame:
+    """Filtered, projected, sorted, paged read (skip + limit).
+
+    `after` holds the `order` columns' values (ascending, named) of the last row of the page before:
+    rows up to it are left out by a predicate, which reaches the scan, where `skip` has to sort and
+    pass over them; deep or open-ended pages should use it.
+    """
     out = df if cond is None else df.where(cond)
+    if after is not None:
+        last = [F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, after)]
+        out = out.where(F.struct(*order) > F.struct(*last) if len(order) > 1 else F.col(order[0]) > last[0])
     out = out.select(*columns).orderBy(*order)
     if skip:
         out = out.offset(skip)

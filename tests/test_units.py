@@ -275,6 +275,13 @@ def test_registered_source_is_cleaned_and_fanned_out(spark):
         del registry._REGISTRY["newsite"]
 
 
+def test_find_page_after(spark):
+    df = spark.range(10).selectExpr("id % 3 AS a", "id AS b")
+    whole = [tuple(r) for r in wh.find_page(df, None, ["a", "b"], ["a", "b"]).collect()]
+    assert [tuple(r) for r in wh.find_page(df, None, ["a", "b"], ["a", "b"], limit=4, after=whole[3]).collect()] == whole[4:8]
+    assert [r.b for r in wh.find_page(df, None, ["b"], ["b"], after=(7,)).collect()] == [8, 9]
+
+
 def test_caps_per_source(spark):
     rows = [(s, "c", t) for s in ("reddit", "detik") for t in range(250)]
     df = spark.createDataFrame(rows, "source string, content_id string, turn int")
