@@ -21,6 +21,7 @@ from murmur.functions import html as H
 from murmur.functions.json import name_or_text, payload, vget, vstr
 from murmur.functions.text import first_nonblank
 from murmur.functions.times import epoch_to_ntz, parse_publish_time
+from murmur.functions.urls import absolute, first_segment, video_id
 
 CONTENT_OUT = ["source_id", "source", "keyword", "url", "content_id", "title", "author", "media", "content",
                "published_at", "raw_id"]
@@ -203,9 +204,7 @@ def extract_cards(pages: DataFrame, link: str = "/read/", base_col: str = "url",
                  py_or(heading, H.text_of(inner)).alias("title"), H.text_of(F.regexp_extract("a", H.TIME, 1)).alias("date"))
     a = a.where(F.col("href").contains(link) & (F.col("content_id") != "") & (F.col("title") != ""))
     first = a.groupBy("ingest_seq", "content_id").agg(F.min(F.struct("i", "base", "href", "title", "date")).alias("c")).select("ingest_seq", "content_id", "c.*")
-    url = F.when(F.col("href").startswith("http"), F.col("href")).otherwise(F.concat("base", "href"))
-    segment = F.split(F.regexp_replace("href", r"^(https?://[^/]+)?/+", ""), "/").getItem(0)
-    return first.select("ingest_seq", F.col("i").cast("long").alias("pos"), "content_id", url.alias("url"), "title", segment.alias("category"),
+    return first.select("ingest_seq", F.col("i").cast("long").alias("pos"), "content_id", absolute("href", "base").alias("url"), "title", first_segment("href").alias("category"),
                         "date", parse_publish_time("date").alias("published_ts"))
 
 
@@ -258,8 +257,7 @@ def extract_json_items(pages: DataFrame) -> DataFrame:
             .select("keyword", "source", "page", (F.col("pos0") + 1).alias("pos"),
                     F.lit(None).cast("string").alias("item_id"),
                     F.col("it.url").alias("url"),
-                    F.try_parse_url(F.concat(F.lit("https://www.youtube.com"), F.col("it.url")),
-                                    F.lit("QUERY"), F.lit("v")).alias("video_id")))
+                    video_id(absolute("it.url", F.lit("https://www.youtube.com"))).alias("video_id")))
     return news.unionByName(vids)
 
 
