@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch that operators ask for where the session has no setting of its own.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def in_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
+    """`mapInArrow` with batches of bounded bytes, so that long rows do not add up; for
+    `DataFrame.transform`."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH) == "67108864b":  # the default
+        conf.set(BATCH, str(BATCH_BYTES))
+
+    def run(batches):
+        yield from fn(batches)
+        pa.default_memory_pool().release_unused()  # the worker waits for its next task without it
+    return df.mapInArrow(run, schema)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` under the shared checkpoint folder and read it back: a lineage cut that outlives
     executors. A new folder each time, so that a retry or a second call never meets an old one."""

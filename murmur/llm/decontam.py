@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from murmur.llm.common import in_arrow
 from murmur.llm.textbytes import ALNUM, LOWER, U64, chunks, mix, sequence_hashes, spans, word_hashes
 
 #: Words of benchmark text that one pass over the documents searches for (its broadcast is bounded
@@ -175,10 +176,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 13, share: int
         counts = np.zeros(len(known), np.int64)
         if len(known):
             shared = spark.sparkContext.broadcast(known)
-            for word, n in docs.select("text").mapInArrow(_counter(shared), "word long, n long").groupBy("word").agg(F.sum("n")).collect():
+            for word, n in docs.select("text").transform(in_arrow, _counter(shared), "word long, n long").groupBy("word").agg(F.sum("n")).collect():
                 counts[np.searchsorted(known, U64(word % 2**64))] = n
         data = spark.sparkContext.broadcast((win.ids, win.texts, win.ordered(known, counts)))
-        passes.append(docs.mapInArrow(_search(data, len(blocks) > 1), "doc_id long, row binary, n_words long, spans array<struct<a long, b long>>, items array<string>"))
+        passes.append(docs.transform(in_arrow, _search(data, len(blocks) > 1), "doc_id long, row binary, n_words long, spans array<struct<a long, b long>>, items array<string>"))
     out = passes[0]
     if len(passes) > 1:
         for more in passes[1:]:

@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from murmur.llm.common import in_arrow
+
 TAG = re.compile(r"<(?:!--(?:.*?--!?>|.*\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|(/?)([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z))", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
@@ -224,4 +226,4 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     as far as they go. Repeated rows repeat; other columns are ignored.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return rows.mapInArrow(_extract, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))
+    return rows.transform(in_arrow, _extract, "page_id long, url string, text string").withColumn("n_chars", F.length("text").cast("long"))

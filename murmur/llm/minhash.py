@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import components, small, smallest_member, stored
+from murmur.llm.common import components, in_arrow, small, smallest_member, stored
 from murmur.llm.textbytes import BLANKS, LOWER, U64, chunks, mix, spans, word_hashes
 
 ROWS, BANDS = 5, 36
@@ -189,7 +189,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     columns are ignored; an empty table gives an empty result.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    feats = stored(docs.mapInArrow(_features(words, rows, bands), "doc_id long, n_shingles long, same binary, bands array<long>"), "sketch")
+    feats = stored(docs.transform(in_arrow, _features(words, rows, bands), "doc_id long, n_shingles long, same binary, bands array<long>"), "sketch")
     linked = feats.where("n_shingles > 0 and doc_id is not null")
     classes = stored(linked.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
 
@@ -199,7 +199,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
 
     wanted = small(stored(members.select("id").distinct(), "wanted"))
     sets = stored(docs.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-                  .mapInArrow(_sets(words), "id long, elements array<long>").dropDuplicates(["id"]), "sets")
+                  .transform(in_arrow, _sets(words), "id long, elements array<long>").dropDuplicates(["id"]), "sets")
 
     sizes = members.select("id", "n").distinct()
     pairs = (members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb")).distinct()
@@ -225,7 +225,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     found = (visit.unionByName(stay).join(sets, "id")
              .select("unit", "vb", "rb", "visits", "id", "comp", "elements")
              .repartition("unit", "vb", "rb").sortWithinPartitions("unit", "vb", "rb")
-             .mapInArrow(_block_links(percent), "a long, b long"))
+             .transform(in_arrow, _block_links(percent), "a long, b long"))
 
     final = smallest_member(components(star.unionByName(found)))
     reps = classes.select("same", "id").join(final.withColumnRenamed("node", "id"), "id", "left") \

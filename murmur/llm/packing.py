@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from murmur.llm.common import in_arrow
+
 UNITS, DEPTH = 32, 3
 BLOCK_TOKENS = 2_000_000
 CACHE_WORDS = 1_200_000
@@ -266,4 +268,4 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096, i
     sees the same rows in the same order.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_pack(tokenizer, end_id, window), "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
+    return rows.transform(in_arrow, _pack(tokenizer, end_id, window), "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")

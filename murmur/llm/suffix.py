@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import BROADCAST_ROWS, stored
+from murmur.llm.common import BROADCAST_ROWS, in_arrow, stored
 from murmur.llm.textbytes import U64, chunks, hashes, mix, prefix_sums
 
 SPAN, GRAM = 200, 100
@@ -275,7 +275,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("id"), F.xxhash64("doc_id", "text").alias("h"), "text")
     key = ["id", "h"]
-    found = stored(docs.where(F.octet_length("text") >= span).select(*key, "text").mapInArrow(_anchors(span, gram), "id long, h long, place long, gram long, context long, after int"), "anchors")
+    found = stored(docs.where(F.octet_length("text") >= span).select(*key, "text").transform(in_arrow, _anchors(span, gram), "id long, h long, place long, gram long, context long, after int"), "anchors")
     again = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi")).where("n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("several"))
     again = stored(again, "grams")
     many = 4 * BROADCAST_ROWS
@@ -291,16 +291,16 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
         F.col("at.place").alias("place"), "gram", "context", F.coalesce("parts", F.lit(1)).alias("parts"))).alias("anchors"))
     listed = stored(listed, "listed")
     joined = docs.join(F.broadcast(listed) if several.count() <= many else listed, key).select("text", "anchors")
-    parts = joined.mapInArrow(_contexts(span, gram), "part long, kind int, gram long, context long, left int, right int, data binary")
-    extended = parts.repartition("part", "kind").sortWithinPartitions("part", "kind").mapInArrow(_extend(span, gram), "gram long, context long, before long, after long")
+    parts = joined.transform(in_arrow, _contexts(span, gram), "part long, kind int, gram long, context long, left int, right int, data binary")
+    extended = parts.repartition("part", "kind").sortWithinPartitions("part", "kind").transform(in_arrow, _extend(span, gram), "gram long, context long, before long, after long")
 
     # a context that occurs again covers all it has
     before = F.least(F.col("at.place"), F.lit(span - gram))
     twice = contexts.where("n > 1").select("gram", "context", before.alias("before"), "after").where(F.col("before") + F.col("after") >= span)
     reach = stored(twice.union(extended).groupBy("gram", "context").agg(F.max("before").alias("before"), F.max("after").alias("reach")), "reach")
     covered = repeated.join(reach, ["gram", "context"]).select(*key, F.struct((F.col("place") - F.col("before")).alias("s"), (F.col("place") + F.col("reach")).alias("e")).alias("span"))
-    runs = covered.groupBy(*key).agg(F.collect_list("span").alias("spans")).mapInArrow(_unite, "id long, h long, removed array<struct<start:bigint,end:bigint>>")
+    runs = covered.groupBy(*key).agg(F.collect_list("span").alias("spans")).transform(in_arrow, _unite, "id long, h long, removed array<struct<start:bigint,end:bigint>>")
     runs = stored(runs, "runs")
     size = runs.agg(F.sum(F.size("removed"))).first()[0] or 0
     out = docs.join(F.broadcast(runs) if size <= many else runs, key, "left").select("doc_id", "text", "removed")
-    return out.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:bigint,end:bigint>>")
+    return out.transform(in_arrow, _cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<struct<start:bigint,end:bigint>>")

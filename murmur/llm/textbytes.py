@@ -76,6 +76,9 @@ class Powers:
     def __init__(self):
         self.up = self.down = np.ones(1, U64)
 
+    def __reduce__(self):  # tasks grow their own
+        return Powers, ()
+
     def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, 2 * len(self.up), 1 << 16)

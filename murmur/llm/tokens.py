@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from murmur.llm.common import in_arrow
+
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHE_WORDS = 1_000_000
@@ -105,4 +107,4 @@ def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], byte_fall
     """
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_count(shared, byte_fallback), "doc_id long, n_tokens long, score double")
+    return rows.transform(in_arrow, _count(shared, byte_fallback), "doc_id long, n_tokens long, score double")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import stored
+from murmur.llm.common import in_arrow, stored
 from murmur.llm.textbytes import LOWER, U64, chunks, hashes, prefix_sums, spans
 
 SYMBOLS = 28  # 0: anything but a letter, 1-26: a-z, 27: a byte of a letter beyond ASCII
@@ -65,7 +65,7 @@ def _count(batches):
 def character_model(docs: DataFrame, text_col: str = "text") -> np.ndarray:
     """-log P(symbol | the three before) as a table of SYMBOLS ** ORDER, from all of `docs`; each order
     backs off to the next lower one. What is collected is bounded by the table."""
-    counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    counted = docs.select(F.col(text_col).cast("string").alias("text")).transform(in_arrow, _count, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SYMBOLS ** ORDER)
     counts[counted.column("code").to_numpy()] = counted.column("n").to_numpy()
     lower = np.full(SYMBOLS, 1 / SYMBOLS)
@@ -254,7 +254,7 @@ def fit(docs: DataFrame, labels: DataFrame, model, id_col: str, text_col: str, s
     spark = docs.sparkSession
     sample = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(stored(sample, "sample")), "doc_id").select("doc_id", "toxic", "text")
-    rows = rows.mapInArrow(_features(model), "doc_id long, toxic int, features array<binary>")
+    rows = rows.transform(in_arrow, _features(model), "doc_id long, toxic int, features array<binary>")
     rows = stored(rows.withColumn("same", F.xxhash64("features")).dropDuplicates(["same", "toxic"]), "features")
     total = {r[0]: r[1] for r in rows.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).count().collect()}
     rate = (total.get(1, 0) + 0.1) / (total.get(0, 0) + total.get(1, 0) + 0.2) if total else 0.0
@@ -344,5 +344,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, corpus: DataFrame | None = None
     fitted = fit(corpus, marked, shared, id_col, text_col, sample_rows)
     both = spark.sparkContext.broadcast((shared.value, fitted))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(_score(both), "doc_id long, score double")
+    out = rows.transform(in_arrow, _score(both), "doc_id long, score double")
     return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
