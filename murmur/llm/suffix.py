@@ -278,7 +278,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
     found = stored(docs.where(F.octet_length("text") >= span).select(*key, "text").transform(in_arrow, _anchors(span, gram), "id long, h long, place long, gram long, context long, after int"), "anchors")
     again = found.groupBy("gram").agg(F.count("*").alias("n"), F.min("context").alias("lo"), F.max("context").alias("hi")).where("n > 1").select("gram", (F.col("lo") != F.col("hi")).alias("several"))
     again = stored(again, "grams")
-    many = 4 * BROADCAST_ROWS
+    many = 2 * BROADCAST_ROWS
     repeated = stored(found.join(F.broadcast(again) if again.count() <= many else again, "gram"), "repeated")
 
     # every distinct context once, with the place of one of its anchors
