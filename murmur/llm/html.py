@@ -39,9 +39,9 @@ CLOSED_BY = {
 SCOPES = frozenset(["table", "ul", "ol", "dl", "article", "section", "main", "body", "div", "td", "th", "blockquote"])
 
 # Words in a class or id, and roles, of parts that are not the article's text.
-PARTS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w*|"
+PARTS = re.compile(r"(?:^|[\s_-])(?<!has[_-])(?<!with[_-])(?<!no[_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w*|"
                    r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|toolbar|sidebar|side|widget|aside|share|sharing|social|related|recommend\w*|"
-                   r"comments?|commentlist|replies|reply|respond|discussion|disqus|footer|masthead|site-header|page-header|topbar|login|signup|search|skip|hidden)(?=$|[\s_-])", re.I)
+                   r"comments?|commentlist|replies|reply|respond|discussion|disqus|footer|masthead|site-header|page-header|topbar|login|signup|search|skip|hidden|disclaimer|copyright|paywall)(?=$|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 
 
