@@ -380,6 +380,7 @@ PAGES = [
     ("<body><main><header><a href=/>Home</a></header><section><p>Part one is written here.</p></section><section><p>Part two is written here.</p></section><form><label>Name</label></form></main></body>", "Home\nPart one is written here.\nPart two is written here."),
     ("<body><article><p>Text</p><script>if (a</p>b) x()</script><style>p{}</style><!-- <p>no</p> --><aside>Ad</aside><p>end &lt;b&gt; &#233;&nbsp;x</article></body>", "Text\nend <b> é x"),
     ("<body><div class=cookie-notice>We use cookies</div><article><p>a\n\n  b\tc</p><ul><li>i</li><li>j</ul></article><p>cut <b", "a b c\ni\nj\ncut"),
+    ("<body><div class='page with-sidebar'><div class='text'><p>Kept, as the page has a sidebar.</p><p>And more.</p></div><div class='sidebar'>Not kept</div></div></body>", "Kept, as the page has a sidebar.\nAnd more."),
     ("<p>Only a paragraph", "Only a paragraph"), ("plain text", "plain text"), ("", ""), (None, ""), ("<body><nav>m</nav></body>", ""), ("<article><p>" + "word " * 50_000 + "</p></article>", ("word " * 50_000).strip()),
     ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
 ]
