@@ -18,10 +18,11 @@ position in `span`/4 is one, and only suffixes at anchors that occur again are c
    members at once, not just for neighbours in the suffix array.
 4. The covered pieces of each document are united and cut out.
 
-K-grams with very many contexts are split: a passage around an anchor begins at most `span` - k
-bytes before it, so its possible beginnings are dealt into ranges, and for each range contexts are
-grouped by the bytes that all passages beginning there share; with the most ranges that is the whole
-passage, and groups need not be kept together at all.
+K-grams with many contexts are split: a passage around an anchor begins at most `span` - k bytes
+before it, so its possible beginnings are dealt into ranges, and for each range contexts are grouped
+by the bytes that all passages beginning there share. Beyond a bound on what one task may hold, each
+beginning is its own range; what is shared is then the whole passage, and its hash is just counted
+(with partial aggregation) and joined back, without groups.
 """
 
 from __future__ import annotations
@@ -38,8 +39,9 @@ from murmur.llm.textbytes import U64, chunks, hashes, mix, prefix_sums
 
 SPAN, GRAM = 200, 100
 SEGMENT = 1 << 20
-#: Distinct contexts of a k-gram above which its beginnings are dealt into ranges, and how many.
-SPLIT = ((4096, 8), (1 << 18, None))
+#: Distinct contexts of a k-gram above which its beginnings are dealt into so many ranges, and above which
+#: each of them is counted on its own: no task holds more contexts of a group than the second bound.
+SPLIT = ((4096, 8), (1 << 18, 0))
 _LOW = U64((1 << 24) - 1)
 
 
@@ -91,13 +93,31 @@ def _anchors(span: int, gram: int):
     return run
 
 
-def ranges(span: int, gram: int, parts: int | None) -> list[tuple[int, int]]:
+def ranges(span: int, gram: int, parts: int) -> list[tuple[int, int]]:
     """The numbers of bytes before the anchor at which a passage may begin, as (least, most) ranges."""
-    reach = span - gram
-    edges = np.linspace(0, reach + 1, (parts or reach + 1) + 1).astype(int)
+    edges = np.linspace(0, span - gram + 1, parts + 1).astype(int)
     return [(int(a), int(b) - 1) for a, b in zip(edges, edges[1:]) if b > a]
 
 
+def _passages(span: int, gram: int):
+    """Documents with their listed anchors -> every passage around each, as a hash, with its beginning."""
+    schema = pa.schema([("one", pa.int64()), ("two", pa.int64()), ("gram", pa.int64()), ("context", pa.int64()), ("before", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(0).cast(pa.binary())
+            for r in range(batch.num_rows):
+                text = texts[r].as_py()
+                for e in batch.column(1)[r].as_py():
+                    a, out = e["place"], []
+                    for k in range(max(0, a + span - len(text)), min(a, span - gram) + 1):
+                        h = hashlib.blake2b(text[a - k:a - k + span], digest_size=16, salt=k.to_bytes(8, "little")).digest()
+                        out.append((int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True), e["gram"], e["context"], k))
+                    if out:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+    return run
+
+
 def _contexts(span: int, gram: int):
     """Documents with their listed anchors -> contexts, by group."""
     schema = pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("gram", pa.int64()), ("context", pa.int64()), ("left", pa.int32()), ("right", pa.int32()), ("data", pa.binary())])
@@ -115,7 +135,7 @@ def _contexts(span: int, gram: int):
                     if parts == 1:
                         out.append((e["gram"], 1, e["gram"], e["context"], left, right, data))
                         continue
-                    for least, most in ranges(span, gram, parts or None):
+                    for least, most in ranges(span, gram, parts):
                         if left >= least and right >= span - most:  # what passages beginning in the range share
                             shared = text[a - least:a + span - most]
                             key = int.from_bytes(hashlib.blake2b(shared, digest_size=8, salt=least.to_bytes(8, "little")).digest(), "little", signed=True)
@@ -211,13 +231,11 @@ def _extend(span: int, gram: int, rows_at_once: int = 8192):
                 size += part.num_rows
                 if size < rows_at_once:
                     continue
-                # all whole groups; the last one may go on, unless any two of its rows share a passage
+                # all whole groups; the last one may go on
                 key, kind = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-                if kind[-1] == 0 and key[0] == key[-1] and size >= 4 * rows_at_once:
-                    cut = size - 2
-                else:
-                    cut = int(np.flatnonzero((key != key[-1]) | (kind != kind[-1]))[-1]) + 1 if (key[0], kind[0]) != (key[-1], kind[-1]) else 0
-                if cut:
+                others = np.flatnonzero((key != key[-1]) | (kind != kind[-1]))
+                if len(others):
+                    cut = int(others[-1]) + 1
                     whole = [np.concatenate([h[k] for h in held]) for k in range(7)]
                     yield from done([tuple(c[:cut] for c in whole)])
                     held, size = [tuple(c[cut:] for c in whole)], size - cut
@@ -286,13 +304,21 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
                                                               F.min(F.struct("id", "h", "place")).alias("at")), "contexts")
     several = contexts.where("several")
     crowd = several.groupBy("gram").agg(F.count("*").alias("c")).where(F.col("c") > SPLIT[0][0])
-    crowd = crowd.select("gram", F.when(F.col("c") > SPLIT[1][0], 0).otherwise(SPLIT[0][1]).alias("parts"))
-    listed = several.join(crowd, "gram", "left").groupBy("at.id", "at.h").agg(F.collect_list(F.struct(
-        F.col("at.place").alias("place"), "gram", "context", F.coalesce("parts", F.lit(1)).alias("parts"))).alias("anchors"))
-    listed = stored(listed, "listed")
-    joined = docs.join(F.broadcast(listed) if several.count() <= many else listed, key).select("text", "anchors")
-    parts = joined.transform(in_arrow, _contexts(span, gram), "part long, kind int, gram long, context long, left int, right int, data binary")
+    crowd = stored(crowd.select("gram", F.when(F.col("c") > SPLIT[1][0], SPLIT[1][1]).otherwise(SPLIT[0][1]).alias("parts")), "crowd")
+    several = several.join(crowd, "gram", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+
+    def placed(rows: DataFrame, few: bool) -> DataFrame:
+        """Texts with the anchors of `rows` in them."""
+        listed = rows.groupBy("at.id", "at.h").agg(F.collect_list(F.struct(F.col("at.place").alias("place"), "gram", "context", "parts")).alias("anchors"))
+        listed = stored(listed, "listed")
+        return docs.join(F.broadcast(listed) if few else listed, key).select("text", "anchors")
+    parts = placed(several.where("parts > 0"), contexts.where("several").count() <= many) \
+        .transform(in_arrow, _contexts(span, gram), "part long, kind int, gram long, context long, left int, right int, data binary")
     extended = parts.repartition("part", "kind").sortWithinPartitions("part", "kind").transform(in_arrow, _extend(span, gram), "gram long, context long, before long, after long")
+    if crowd.where("parts = 0").limit(1).count():
+        passages = stored(placed(several.where("parts = 0"), False).transform(in_arrow, _passages(span, gram), "one long, two long, gram long, context long, before long"), "passages")
+        again = passages.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
+        extended = extended.union(passages.join(again, ["one", "two"], "left_semi").select("gram", "context", "before", (span - F.col("before")).alias("after")))
 
     # a context that occurs again covers all it has
     before = F.least(F.col("at.place"), F.lit(span - gram))
