@@ -55,3 +55,9 @@ def to_messages(jobs: DataFrame, key_col: str | None = None) -> DataFrame:
     """Jobs -> JSON message values (for a Kafka or file sink)."""
     value = F.to_json(F.struct("keyword", "interval", "platforms", "news_sources", "force", "limit")).alias("value")
     return jobs.select(*([key_col] if key_col else []), value)
+
+
+def publish(messages: DataFrame, path: str) -> None:
+    """Append messages to a topic folder as JSON lines, which `streaming.jobs.job_stream` reads (a
+    broker would be `messages.write.format("kafka")`)."""
+    messages.write.mode("append").json(path)

@@ -92,9 +92,11 @@ def with_ingest_timestamps(raw: DataFrame, now: datetime) -> DataFrame:
     return out
 
 
-def append_raw(raw: DataFrame, path: str) -> None:
-    """B1: append to the raw zone, partitioned by (type, source) so routing filters prune files."""
-    raw.write.mode("append").partitionBy("type", "source").parquet(path)
+def append_raw(raw: DataFrame, path: str, now: datetime | None = None) -> None:
+    """B1: append to the raw zone, partitioned by (type, source) so routing filters prune files; with
+    `now`, rows without ingest timestamps get it."""
+    rows = raw if now is None else with_ingest_timestamps(raw, now)
+    rows.write.mode("append").partitionBy("type", "source").parquet(path)
 
 
 def first_wins(incoming: DataFrame, keys=WAREHOUSE_KEYS, order_col: str = "raw_id", winners: DataFrame | None = None) -> DataFrame:

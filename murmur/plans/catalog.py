@@ -620,7 +620,7 @@ def q_stream_clean(spark, d):
     from murmur.streaming.clean import run_clean
     from murmur.streaming.common import new_location
     raw_path = new_location(spark, "raw", "raw_documents")
-    wh.append_raw(fx.raw_documents(spark, d), raw_path)
+    wh.append_raw(fx.raw_documents(spark, d), raw_path, now=TODAY)
     paths = run_clean(spark, raw_path, new_location(spark, "warehouse", "wh"), secret=SECRET)
     out = lambda name: spark.read.parquet(paths[name]).select(
         F.lit(name).alias("table_name"), "source", "source_id", "keyword", F.col("author").alias("author_hash"), F.md5("content").alias("body_md5"),

@@ -17,7 +17,7 @@ MESSAGE_SCHEMA = "job_id long, value string"
 def write_messages(spark: SparkSession, sf_dir: str) -> str:
     """Publish the job messages derived from the input tables as JSON-lines files (B7 sink)."""
     path = new_location(spark, "topics", "jobs")
-    fx.job_messages(spark, sf_dir).write.json(path)
+    jb.publish(fx.job_messages(spark, sf_dir), path)
     return path
 
 
