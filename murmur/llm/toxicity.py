@@ -2,9 +2,12 @@
 
 Character model: four-letter counts over all documents, summed by Spark (each task sends its own
 table). Channel: a spelling is a lattice over characters: look-alike symbols may stand for letters,
-a run of one letter for one or two of it, and marks or blanks between single letters for nothing. The
-Viterbi algorithm finds the cheapest reading under the character model. Only spans that have such an
-alternative are decoded (any other text has one reading, itself), and each distinct one once a task.
+a run of one letter for one or two of it, and marks or blanks between letters for nothing. The
+Viterbi algorithm finds the cheapest reading under the character model. Only spans where such an
+alternative can be the cheapest are decoded, and each distinct one once a task: a doubled letter or a
+gap is passed over only if its plain reading costs no more next to any reading of its neighbours.
+Scoring needs restored words that have a mark only; every spelling of a mark has the same outline
+(gaps dropped, look-alikes as letters, repeats once), so texts without such an outline are passed over.
 
 Classifier: words and word beginnings of the restored texts of a bounded sample of labelled rows
 (equal texts once) are counted by Spark; those that each mark many toxic rows are taken, and then a
@@ -28,7 +31,7 @@ SYMBOLS = 28  # 0: anything but a letter, 1-26: a-z, 27: a byte of a letter beyo
 ORDER = 4
 #: Letters that symbols stand for in disguised spelling (fixed values).
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
-MARKS = ".-_*~'"
+MARKS = ".-_*~'/,"
 COST = {"look": 1.0, "run": 0.5, "pair": 2.5, "skip": 0.5, "symbol": 4.0}
 
 SAMPLE_ROWS = 20_000
@@ -123,45 +126,161 @@ _LOOK = np.zeros(256, bool)
 _LOOK[[ord(c) for c in LOOKALIKES if ord(c) < 128]] = True
 _DIGITLIKE = _LOOK.copy()
 _DIGITLIKE[[ord(c) for c in "!|+("]] = False
-_MARK = np.zeros(256, bool)
-_MARK[[ord(c) for c in MARKS + " "]] = True
 _SPACE = np.zeros(256, bool)
-_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F]] = True
+_SOFT = _SPACE.copy()
+_SOFT[[ord(c) for c in MARKS]] = True
+_EURO = 0x01  # stands for the sign in a buffer of one byte a character
+_LOOK[_EURO] = _DIGITLIKE[_EURO] = True
+_HARD = 0x02  # signs beyond ASCII
 _TRIM = re.compile(r"^[\"'(\[{<.,;:*#%&-]+|(?:[.,;:!?|)\]}>\"'*#%&-]|([$@+])\1\1+)+$")
 
 
-def disguised(low: np.ndarray) -> list[tuple[int, int]]:
-    """Byte spans of a lower-cased buffer that have a second reading: tokens with a look-alike beside a
-    letter or a letter three times running, and runs of single letters with a mark or blank between."""
+def _characters(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One byte a character (letters beyond ASCII keep their first byte), and where each one starts;
+    the last place is the length of `low`."""
+    if not (low >= 0x80).any():
+        return low, np.arange(len(low) + 1)
+    at = np.flatnonzero((low & 0xC0) != 0x80)
+    one = low[at].copy()
+    one[(one == _EURO) | (one == _HARD)] = ord(";")
+    two, three = (low[np.minimum(at + k, len(low) - 1)] for k in (1, 2))
+    general = one == 0xE2
+    euro, blank = general & (two == 0x82) & (three == 0xAC), ((one == 0xC2) & (two == 0xA0)) | (general & (two == 0x80) & (three <= 0x8A))
+    one[general | ((one == 0xC2) & ~np.isin(two, [0xAA, 0xB5, 0xBA])) | (one >= 0xF0)] = _HARD
+    one[euro], one[blank] = _EURO, 0x20
+    return one, np.append(at, len(low))
+
+
+def _steps(low: np.ndarray, gap: np.ndarray, far: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each character, and for a blank before each (offset by the length), what may stand before it
+    when a text is read: its plain neighbour, and the one if a gap or a repeated letter goes."""
+    n = len(low)
+    letter = _LETTER[low]
+    here = np.arange(n)
+    prior = np.maximum(here - 1, 0)
+    plain = np.where(letter[prior] & (here > 0), prior, here + n)
+    other = np.where(plain < n, np.where(low[prior] == low, far, plain), np.where(gap, back, plain))
+    blank = np.where(gap, back, here + n)
+    return np.concatenate((plain, blank)), np.concatenate((other, here + n))
+
+
+def _contexts(at: np.ndarray, steps: tuple, symbols: np.ndarray, count: int):
+    """Symbols of `count` characters from `at` on, in every reading: tuples of arrays."""
+    if count == 1:
+        yield (symbols[at],)
+        return
+    for way in steps:
+        for rest in _contexts(way[at], steps, symbols, count - 1):
+            yield symbols[at], *rest
+
+
+def _better(model: np.ndarray, lefts: list, rights: list, delta) -> np.ndarray:
+    """Where `delta` (alternative less plain reading) is negative for any pair of contexts."""
+    out = np.zeros(len(lefts[0][0]), bool)
+
+    def cost(a, b, c, d):
+        return model[((a * SYMBOLS + b) * SYMBOLS + c) * SYMBOLS + d]
+    seen = []
+    for left in lefts:
+        for right in rights:
+            todo = ~out
+            for x, y in seen:
+                todo &= (sum(p != q for p, q in zip(left + right, x + y)) > 0)
+            i = np.flatnonzero(todo)
+            if len(i):
+                out[i[delta(cost, [c[i] for c in left], [c[i] for c in right], i) < 1e-3]] = True
+            seen.append((left, right))
+    return out
+
+
+def _alternatives(low: np.ndarray, model: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of doubled letters, and first and last place around gaps, that a cheapest reading may
+    join. `edges`: places where documents end, which no gap reaches across."""
+    n, letter, soft = len(low), _LETTER[low], _SOFT[low]
+    before, after = spans(np.append(soft, False))
+    ok = (before > 0) & (after < n)  # a gap has letters on both sides
+    before, after = before[ok], after[ok]
+    ok = letter[before - 1] & letter[after] & (np.searchsorted(edges, before) == np.searchsorted(edges, after))
+    before, after = before[ok] - 1, after[ok]
+    here = np.arange(n)
+    change = np.flatnonzero(np.concatenate(([True], low[1:] != low[:-1])))
+    ends = np.append(change[1:], n)
+    which = np.repeat(np.arange(len(change)), ends - change)
+    first, last = change[which], ends[which] - 1  # of the run of equal characters
+    gap, back = np.zeros(n, bool), np.zeros(n, np.int64)
+    gap[after], back[after] = True, before
+    up = np.maximum(first - 1, 0)  # before the run
+    lefts = _steps(low, gap, np.where(letter[up] & (first > 0), up, first + n), back)
+    gap, back = np.zeros(n, bool), np.zeros(n, np.int64)
+    gap[n - 1 - before], back[n - 1 - before] = True, n - 1 - after
+    down = np.minimum(last + 1, n - 1)
+    far = np.where(letter[down] & (last < n - 1), n - 1 - down, n - 1 - last + n)
+    rights = _steps(low[::-1], gap, far[::-1], back)
+    symbols = np.concatenate((_CLASS[low], np.zeros(n, np.int64)))
+    mirror = np.concatenate((_CLASS[low[::-1]], np.zeros(n, np.int64)))
+
+    def joined(cost, left, right, i):
+        (c, b, a), (x, y, z), k, o = left, right, (after - before - 1)[i], np.zeros(len(i), np.int64)
+        one = cost(a, b, c, o) + cost(b, c, o, x) + cost(c, o, x, y) + cost(o, x, y, z)
+        all_ = cost(a, b, c, o) + cost(b, c, o, o) + np.where(k > 2, cost(c, o, o, o) + (k - 3) * model[0] + cost(o, o, o, x), cost(c, o, o, x)) + cost(o, o, x, y) + cost(o, x, y, z)
+        apart = np.where(k == 1, one, np.minimum(one + COST["skip"] * (k - 1), all_))
+        return COST["skip"] * k + cost(a, b, c, x) + cost(b, c, x, y) + cost(c, x, y, z) - apart
+
+    def single(cost, left, right, i):
+        (m, c, b), (l, x, y) = left, right
+        return COST["pair"] + cost(b, c, l, x) + cost(c, l, x, y) - cost(b, c, l, l) - cost(c, l, l, x) - cost(l, l, x, y)
+    wide = np.zeros(0, bool)
+    if len(before):
+        wide = _better(model, list(_contexts(before, lefts, symbols, 3)), list(_contexts(n - 1 - after, rights, mirror, 3)), joined)
+    # a look-alike has readings of its own
+    near = np.concatenate(([0], np.cumsum(_LOOK[low])))
+    wide |= (near[before + 1] > near[np.maximum(before - 2, 0)]) | (near[np.minimum(after + 3, n)] > near[after])
+    pair = np.flatnonzero(letter & (here == first) & (last == first + 1))
+    if len(pair):
+        pair = pair[_better(model, list(_contexts(pair, lefts, symbols, 3)), list(_contexts(n - 2 - pair, rights, mirror, 3)), single)]
+    return pair, before[wide], after[wide]
+
+
+def disguised(buf: np.ndarray, model: np.ndarray, starts: np.ndarray) -> list[tuple[int, int]]:
+    """Byte spans of a lower-cased buffer whose cheapest reading may be another than what stands there:
+    tokens with a look-alike beside a letter, a letter three times running or a doubled letter that may
+    be one; tokens with gaps between that may be none; and runs of single letters with gaps between."""
+    low, place = _characters(buf)
+    edges = np.searchsorted(place, starts[1:] - 1)
     letter, look = _LETTER[low], _LOOK[low]
     flag = np.zeros(len(low), bool)
     flag[:-1] |= look[:-1] & letter[1:]
     flag[1:] |= _DIGITLIKE[low][1:] & letter[:-1]
     same = (low[1:] == low[:-1]) & letter[1:]
     flag[2:] |= same[1:] & same[:-1]
+    pair, before, after = _alternatives(low, model, edges)
+    flag[pair] = True
     a, b = spans(~_SPACE[low])
     hit = np.unique(np.searchsorted(a, np.flatnonzero(flag), "right") - 1)
-    out = [(int(a[i]), int(b[i])) for i in hit if i >= 0]
-    # x.y.z: characters at every second place, marks between, nothing else around
-    unit, mark = letter | look, _MARK[low]
-    step = np.zeros(len(low), bool)
-    step[:-2] = unit[:-2] & mark[1:-1] & unit[2:]
-    solo = step.copy()
-    solo[1:] &= ~unit[:-1]
-    for first in np.flatnonzero(solo).tolist():
-        last, letters = first, int(letter[first])
-        while last + 2 < len(low) and step[last]:
-            last += 2
-            letters += int(letter[last])
-        if last - first >= 4 and letters >= 2 and (last + 1 == len(low) or not unit[last + 1]):
-            out.append((first, last + 1))
-        elif last - first >= 6 and letters >= 2:
-            out.append((first, last - 1))
+    out = [(int(place[a[i]]), int(place[b[i]])) for i in hit if i >= 0]
+    # tokens that gaps join
+    one, two = np.searchsorted(a, before, "right") - 1, np.searchsorted(a, after, "right") - 1
+    if len(one):
+        new = np.concatenate(([True], one[1:] > two[:-1]))
+        out += zip(place[a[one[new]]].tolist(), place[b[two[np.append(new[1:], True)]]].tolist())
+    # x.y.z: single characters, runs of marks or blanks between, nothing else around
+    unit, soft = letter | look, _SOFT[low]
+    solo = unit & ~np.concatenate(([False], unit[:-1])) & ~np.concatenate((unit[1:], [False]))
+    x, y = spans(unit | ~soft)
+    single = solo[x] & (y - x == 1)
+    own = np.searchsorted(edges, x)
+    linked = single[1:] & single[:-1] & (own[1:] == own[:-1])
+    if len(linked):
+        p, q = spans(np.append(linked, False))
+        count = np.concatenate(([0], np.cumsum(letter[x] & single)))
+        out += [(int(place[x[i]]), int(place[x[j] + 1])) for i, j in zip(p.tolist(), q.tolist()) if j - i >= 2 and count[j + 1] - count[i] >= 2]
     return out
 
 
 def _restorer(model: np.ndarray):
     known: dict[bytes, list[bytes]] = {}
+    model = model.tolist()  # single values of a list are read faster
 
     def words(raw: bytes) -> list[bytes]:
         """Words of the reading of a span, if it differs from what stands there."""
@@ -169,33 +288,89 @@ def _restorer(model: np.ndarray):
         if out is None:
             text = _TRIM.sub("", raw.decode("utf-8", "replace"))
             plain = re.findall(r"[^\W\d_]+", text)
-            found = re.findall(r"[^\W\d_]+", "".join(_pieces(text, model))) if text else []
+            found = [w for piece in _pieces(text, model) for w in re.findall(r"[^\W\d_]+", piece)] if text else []
             if len(known) > 200_000:
                 known.clear()
-            out = known[raw] = [w.encode() for w in found if w not in plain]
+            out = known[raw] = [w.encode() for w in dict.fromkeys(found) if w not in plain]
         return out
     return words
 
 
 def _pieces(text: str, model: np.ndarray, most: int = 64):
-    """Readings of consecutive pieces: a very long span (an address, a key, a row of one letter) is
-    decoded from separator to separator where it has one."""
+    """Readings of pieces: a very long span (an address, a key, a row of one letter) is decoded from
+    separator to separator where it has one. Half of a piece is read again with the next one, so that
+    a word at a cut is whole in one of them."""
     while len(text) > most:
         cut = max((m.end() for m in re.finditer(r"[^\w@$!|+]", text[:most])), default=most)
         yield decode(text[:cut], model)
-        text = text[cut:]
+        again = max((m.end() for m in re.finditer(r"[^\w@$!|+]", text[:max(cut - most // 2, 1)])), default=max(cut - most // 2, 1))
+        text = text[again:]
     yield decode(text, model)
 
 
-def _words(low: np.ndarray, starts: np.ndarray, restore) -> tuple:
-    """Word starts and ends, first word of each document, and the restored words as (document, word)."""
-    a, b = spans(_LETTER[low])
-    raw = low.tobytes()
-    extra = []
-    for x, y in disguised(low):
-        for w in restore(raw[x:y]):
-            extra.append((int(np.searchsorted(starts, x, "right")) - 1, w))
-    return a, b, np.searchsorted(a, starts), extra, raw
+_CANON = np.arange(256, dtype=np.uint8)
+for _sign, _letters in {**LOOKALIKES, "l": "i"}.items():
+    _CANON[_EURO if _sign == "€" else ord(_sign)] = ord(_letters[0])
+
+
+def _outline(low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What all spellings of a word share: letters without gaps, look-alikes as letters (i and l as one),
+    repeats once; and the bytes where each letter's run starts and ends."""
+    one, place = _characters(low)
+    at = np.flatnonzero(~_SOFT[one])
+    out = _CANON[one[at]]
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(out), 1), bool), out[1:] != out[:-1])))
+    last = np.append(first[1:], len(out))[:len(first)] - 1
+    return out[first], place[at[first]], place[at[last] + 1]
+
+
+_GAPS = b"(?:[" + b"".join(b"\\x%02x" % c for c in np.flatnonzero(_SOFT)) + rb"]|\xc2\xa0|\xe2\x80[\x80-\x8a])*"
+
+
+def _spellings(word: bytes) -> re.Pattern:
+    """All spellings of a word: as many signs for each letter at least, gaps between."""
+    out = b""
+    for m in re.finditer(rb"([\x00-\x7f]|[\xc0-\xff][\x80-\xbf]*)\1*", word):
+        c = m[1]
+        signs = [c] if c[0] < 0x80 else [c if len(c.decode("utf-8", "ignore")) else c + rb"[\x80-\xbf]+"]
+        signs += [re.escape(k.encode()) for k, v in LOOKALIKES.items() if c.decode("utf-8", "ignore") in list(v)]
+        out += b"(?:(?:" + b"|".join(signs) + b")" + _GAPS + b"){%d,}" % (len(m[0]) // len(c))
+    return re.compile(out)
+
+
+def _suspects(low: np.ndarray, starts: np.ndarray, spellings: dict[bytes, re.Pattern]) -> dict[int, list[tuple[int, int]]]:
+    """Documents and places in them where a feature is spelled otherwise than as it is."""
+    outline, lo, hi = _outline(low)
+    text, raw = outline.tobytes(), low.tobytes()
+    out: dict[int, list[tuple[int, int]]] = {}
+    for f, spelled in spellings.items():
+        word = f.removeprefix(b"=")
+        key = _outline(np.frombuffer(word, np.uint8))[0].tobytes()
+        at = text.find(key)
+        while at >= 0:
+            x, y = int(lo[at]), int(hi[at + len(key) - 1])
+            # as it is: no reading takes a letter from it, and only a beginning can grow by what follows
+            if (raw[x:y] != word or (f[:1] != b"=" and not _LETTER[low[y]])) and spelled.match(raw, x, y):
+                i = int(np.searchsorted(starts, x, "right")) - 1
+                out.setdefault(i, []).append((x - int(starts[i]), y - int(starts[i])))
+            at = text.find(key, at + 1)
+    return out
+
+
+def _restored(low: np.ndarray, starts: np.ndarray, restore, model: np.ndarray, places: dict | None = None) -> list[tuple[int, bytes]]:
+    """Words of other readings as (document, word); with `places`, of spans that meet one of them."""
+    which = np.arange(len(starts) - 1) if places is None else np.array(sorted(places), np.int64)
+    if not len(which):
+        return []
+    if places is not None:
+        low = np.concatenate([low[starts[i]:starts[i + 1]] for i in which])
+        starts = np.concatenate(([0], np.cumsum(starts[which + 1] - starts[which])))
+    raw, out = low.tobytes(), []
+    for x, y in disguised(low, model, starts):
+        i = int(np.searchsorted(starts, x, "right")) - 1
+        if places is None or any(x - starts[i] < q and p < y - starts[i] for p, q in places[int(which[i])]):
+            out += [(int(which[i]), w) for w in restore(raw[x:y])]
+    return out
 
 
 def _features(shared):
@@ -211,8 +386,11 @@ def _features(shared):
     def run(batches):
         restore = _restorer(shared.value)
         for batch in batches:
-            for at, n, buf, starts in chunks(batch.column(2)):
-                a, b, first, extra, raw = _words(LOWER[buf], starts, restore)
+            for at, n, buf, starts in chunks(batch.column(2), 1 << 18):
+                low = LOWER[buf]
+                raw = low.tobytes()
+                a, b = spans(_LETTER[low])
+                first, extra = np.searchsorted(a, starts), _restored(low, starts, restore, shared.value)
                 words = [{raw[x:y] for x, y in zip(a[first[i]:first[i + 1]].tolist(), b[first[i]:first[i + 1]].tolist())} for i in range(n)]
                 for i, w in extra:
                     words[i].add(w)
@@ -284,6 +462,7 @@ def _score(shared):
         model, fitted = shared.value
         restore = _restorer(model)
         names = sorted(fitted["weights"])
+        spellings = {f: _spellings(f.removeprefix(b"=")) for f in names}
         weights = np.array([fitted["weights"][f] for f in names])
         lengths = sorted({len(f) for f in names if f[:1] != b"="})
 
@@ -303,7 +482,8 @@ def _score(shared):
         for batch in batches:
             for at, n, buf, starts in chunks(batch.column(1)):
                 low = LOWER[buf]
-                a, b, first, extra, _ = _words(low, starts, restore)
+                a, b = spans(_LETTER[low])
+                first, extra = np.searchsorted(a, starts), _restored(low, starts, restore, model, _suspects(low, starts, spellings))
                 has = np.zeros((n, len(names)), bool)
                 doc = np.repeat(np.arange(n), np.diff(first))
                 for lo in range(0, len(a), 1 << 18):

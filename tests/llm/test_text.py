@@ -111,6 +111,68 @@ def _all(span):
     return out
 
 
+HIDDEN = {"doubled": "iddiot stuupid morron", "run": "iiidiot scuuuum", "marks": "i--d--i--o--t i.-d.-i.-o.-t", "blanks around": "i . d . i . o . t s - c - u - m",
+          "split by a mark": "id.iot stu-pid", "split by a blank": "stu pid mo ron", "slash, comma": "i/d/i/o/t s,c,u,m", "euro": "l0s€r", "look-alike": "1d10t m0r0n", "both": "st u p1d iddi0t"}
+
+
+def _restored(text, model):
+    low = np.frombuffer(text.encode() + b" ", np.uint8)
+    return {w.decode() for _, w in toxicity._restored(low, np.array([0, len(low)]), toxicity._restorer(model), model)}
+
+
+@pytest.mark.parametrize("kind", HIDDEN)
+def test_every_disguise_reaches_the_lattice(model, kind):
+    spans = HIDDEN[kind].split(" ") if kind not in ("blanks around", "split by a blank", "both") else {
+        "blanks around": ["i . d . i . o . t", "s - c - u - m"], "split by a blank": ["stu pid", "mo ron"], "both": ["st u p1d", "iddi0t"]}[kind]
+    for span in spans:
+        best, total = brute_decode(span, model)
+        reading = toxicity.decode(span, model)
+        assert min(total(t, c) for t, c in _all(span) if t == reading) == pytest.approx(best, abs=1e-3)
+        want = set(re.findall(r"[^\W\d_]+", reading)) - set(re.findall(r"[^\W\d_]+", span))
+        assert want and want <= _restored(f"the and of {span} the thing", model), span
+
+
+def test_gate_passes_over_only_plain_readings(model):
+    rng = random.Random(5)
+    words = ["the", "and", "a", "of", "will", "letter", "see", "i", "to", "it", "é", "stu", "pid"]
+    changed = 0
+    for _ in range(400):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", ".", ", ", " - ", "/"]) for _ in range(3)).rstrip(" .,-/")
+        reading = toxicity.decode(text, model)
+        more = set(re.findall(r"[^\W\d_]+", reading)) - set(re.findall(r"[^\W\d_]+", text))
+        changed += bool(more)
+        assert not more or _restored(text, model), text
+    assert changed
+
+
+def test_scores_read_every_spelling_of_a_mark():
+    def hit(text, feature):
+        low = np.frombuffer(text.encode() + b" ", np.uint8)
+        return bool(toxicity._suspects(low, np.array([0, len(low)]), {feature: toxicity._spellings(feature.removeprefix(b"="))}))
+    for spans in HIDDEN.values():
+        for word in ("idiot", "stupid", "moron", "scum", "loser"):
+            spelled = re.sub(r"(.)\1*", r"\1", spans.translate(str.maketrans("10€", "ioe", " .-/,")))
+            assert hit(spans, b"=" + word.encode()) == (word in spelled), (spans, word)
+    assert not hit("an idiot idiotic", b"=idiot") and hit("idio t", b"idio") and not hit("god", b"good") and hit("g o o d", b"good")
+
+
+def test_toxicity_reads_disguises_of_every_kind(spark):
+    rng = random.Random(1)
+    table = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    clean = [r.text[:600] for r in table.join(spark.read.parquet(f"{SF_MID}/labels.parquet").where("toxic = 0"), "doc_id").select("text").collect()]
+    texts, marks = [], []
+    for i, t in enumerate(clean):
+        w = t.split(" ")
+        if i % 4 == 0:
+            w.insert(rng.randrange(len(w)), rng.choice(["idiot", "stupid"]))
+        texts.append(" ".join(w))
+        marks.append(int(i % 4 == 0))
+    hidden = ["iddiot", "stuupid", "i--d--i--o--t", "i . d . i . o . t", "id.iot", "stu pid", "i/d/i/o/t", "i,d,i,o,t", "stu-pid"]
+    labels = spark.createDataFrame(list(enumerate(marks)), "doc_id long, toxic int")
+    by = {r.doc_id: r.predicted for r in toxicity.toxicity(docs(spark, texts + [f"the and of {h} the thing" for h in hidden]), labels).collect()}
+    assert [h for k, h in enumerate(hidden) if not by[len(texts) + k]] == []
+
+
 def test_toxicity_held_out_and_disguised(spark):
     rng = random.Random(1)
     table = spark.read.parquet(f"{SF_MID}/documents.parquet")
