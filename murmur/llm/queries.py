@@ -12,9 +12,12 @@ from murmur.llm import chat, warc
 from murmur.llm.common import table
 from murmur.llm.decontam import decontaminate
 from murmur.llm.exact import exact_duplicates
+from murmur.llm.fim import fill_in_middle, restored
 from murmur.llm.html import extract_pages
 from murmur.llm.minhash import near_duplicates
 from murmur.llm.packing import pack
+from murmur.llm.phrases import collocations
+from murmur.llm.setjoin import jaccard_components
 from murmur.llm.suffix import remove_repeats
 from murmur.llm.tokens import count_tokens, sentencepiece_vocabulary
 from murmur.llm.toxicity import toxicity
@@ -80,7 +83,22 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash, op2_exact, op3_toxicity, op4_chat, op5_packing, op6_warc, op7_suffix, op8_tokens, op9_decontaminate, op10_html)}
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_setjoin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+QUERIES = {f.__name__: f for f in (op1_minhash, op2_exact, op3_toxicity, op4_chat, op5_packing, op6_warc, op7_suffix, op8_tokens, op9_decontaminate, op10_html,
+                                   op11_fim, op12_phrases, op13_setjoin)}
 
 ORACLE = {
     "op2_exact": """
@@ -119,4 +137,34 @@ ORACLE = {
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
                coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
         FROM dw LEFT JOIN words USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op11_fim": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+             u AS (SELECT *, regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS u,
+                          CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+             c AS (SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS lo, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS hi,
+                          CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 50 THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+             p AS (SELECT *, array_to_string(u[1:lo], '') AS pre, array_to_string(u[lo + 1:hi], '') AS mid, array_to_string(u[hi + 1:], '') AS suf FROM c)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+               sha256(CASE form WHEN 'plain' THEN text WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE '<P>' || pre || '<S>' || suf || '<M>' || mid END) AS output_sha256,
+               sha256(text) AS restored_sha256
+        FROM p""",
+    "op12_phrases": """
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\\x0A-\\x0D]+')) AS piece FROM documents),
+             w AS MATERIALIZED (SELECT row_number() OVER () AS id, lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+             total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+             x AS (SELECT id, lang, unnest(w) AS a, unnest(range(len(w))) AS i FROM w),
+             y AS (SELECT lang, a, lead(a, 1) OVER o AS b, lead(a, 2) OVER o AS c, lead(a, 3) OVER o AS d FROM x WINDOW o AS (PARTITION BY id ORDER BY i)),
+             f AS MATERIALIZED (SELECT lang, k, g, count(*) AS f
+                   FROM (SELECT lang, 1 AS k, a AS g FROM y UNION ALL SELECT lang, 2, a || ' ' || b FROM y UNION ALL SELECT lang, 3, a || ' ' || b || ' ' || c FROM y
+                         UNION ALL SELECT lang, 4, a || ' ' || b || ' ' || c || ' ' || d FROM y) WHERE g IS NOT NULL GROUP BY lang, k, g HAVING count(*) >= 30),
+             cand AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM f WHERE k > 1),
+             cut AS MATERIALIZED (SELECT c.lang, c.g, c.a, s.cut, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS BIGINT) AS score
+                     FROM cand c JOIN (VALUES (1), (2), (3)) AS s(cut) ON s.cut < c.k
+                     JOIN f x ON x.lang = c.lang AND x.g = array_to_string(c.w[1:s.cut], ' ') JOIN f y ON y.lang = c.lang AND y.g = array_to_string(c.w[s.cut + 1:], ' ')),
+             best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+             part AS (SELECT c.lang, array_to_string(c.w[i:i + m - 1], ' ') AS g, max(c.a) AS longer FROM cand c, (VALUES (2), (3)) AS s(m), (VALUES (1), (2), (3)) AS t(i)
+                      WHERE m < c.k AND i + m - 1 <= c.k GROUP BY ALL),
+             stay AS (SELECT b.* FROM best b LEFT JOIN part USING (lang, g) WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)),
+             ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM stay)
+        SELECT lang, rank, g AS phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""",
 }
