@@ -158,9 +158,9 @@ ORACLE = {
                    FROM (SELECT lang, 1 AS k, a AS g FROM y UNION ALL SELECT lang, 2, a || ' ' || b FROM y UNION ALL SELECT lang, 3, a || ' ' || b || ' ' || c FROM y
                          UNION ALL SELECT lang, 4, a || ' ' || b || ' ' || c || ' ' || d FROM y) WHERE g IS NOT NULL GROUP BY lang, k, g HAVING count(*) >= 30),
              cand AS (SELECT lang, k, g, f AS a, string_split(g, ' ') AS w FROM f WHERE k > 1),
-             cut AS MATERIALIZED (SELECT c.lang, c.g, c.a, s.cut, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * c.a) // (x.f + y.f) AS BIGINT) AS score
-                     FROM cand c JOIN (VALUES (1), (2), (3)) AS s(cut) ON s.cut < c.k
-                     JOIN f x ON x.lang = c.lang AND x.g = array_to_string(c.w[1:s.cut], ' ') JOIN f y ON y.lang = c.lang AND y.g = array_to_string(c.w[s.cut + 1:], ' ')),
+             two AS MATERIALIZED (SELECT lang, g, a, cut, array_to_string(w[1:cut], ' ') AS first, array_to_string(w[cut + 1:], ' ') AS rest FROM cand, (VALUES (1), (2), (3)) AS s(cut) WHERE cut < k),
+             cut AS (SELECT t.lang, t.g, t.a, t.cut, x.f AS l, y.f AS r, CAST((CAST(2000000 AS HUGEINT) * t.a) // (x.f + y.f) AS BIGINT) AS score
+                     FROM two t JOIN f x ON x.lang = t.lang AND x.g = t.first JOIN f y ON y.lang = t.lang AND y.g = t.rest),
              best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
              part AS (SELECT c.lang, array_to_string(c.w[i:i + m - 1], ' ') AS g, max(c.a) AS longer FROM cand c, (VALUES (2), (3)) AS s(m), (VALUES (1), (2), (3)) AS t(i)
                       WHERE m < c.k AND i + m - 1 <= c.k GROUP BY ALL),
