@@ -272,6 +272,6 @@ def collocations(docs: DataFrame, threshold: int = 30, percent: int = 80, top: i
     left = worst.join(inside, ["lang", "phrase"], "left").where(F.col("longer").isNull() | (_wide(F.col("longer")) * 100 < _wide(F.col("a")) * percent))
 
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase"))
-    best = left.select("lang", "phrase", "a", "l", "r", "score", rank.cast("long").alias("rank")).where(F.col("rank") <= top)
+    best = left.select("lang", "phrase", "a", "l", "r", "score", rank.alias("rank")).where(F.col("rank") <= top)
     total = counts.where("words = 0").select("lang", F.col("f").alias("n"))
-    return best.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return best.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
