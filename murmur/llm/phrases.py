@@ -161,23 +161,28 @@ def _summary(threshold: int, floor: int):
     return run
 
 
-def survivors(texts: DataFrame, sizes: tuple[int, ...], threshold: int, kept: dict[int, np.ndarray], parts: int, floor: int = FLOOR) -> np.ndarray:
-    """The bitmap of the n-grams of these sizes that may occur `threshold` times."""
-    spark = texts.sparkSession
-    shared = spark.sparkContext.broadcast(kept) if kept else None
-    left = stored(texts.transform(in_arrow, _hash_counts(sizes, shared), "h long, c long").repartition(parts, "h")
-                  .transform(in_arrow, _summary(threshold, floor), "h long"), "survivors")
-    bits = BITS[0]
-    while bits < min(16 * left.count(), BITS[1]):
+def bitmap(hashes: DataFrame) -> np.ndarray:
+    """The bitmap (bytes) of a stored table's column h, with 16 bits for each of its rows as far as BITS allows."""
+    bits, rows = BITS[0], hashes.count()
+    while bits < min(16 * rows, BITS[1]):
         bits *= 2
     place = F.col("h").bitwiseAND(F.lit(bits - 1)) + 1
-    blocks = left.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+    blocks = hashes.groupBy(F.bitmap_bucket_number(place).alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     out = np.zeros(bits // 8, np.uint8)
     for r in blocks.collect():  # at most 8,192 blocks of 4 KB
         out[4096 * (r.block - 1):4096 * r.block] = np.frombuffer(r.bits, np.uint8)
     return out
 
 
+def survivors(texts: DataFrame, sizes: tuple[int, ...], threshold: int, kept: dict[int, np.ndarray], parts: int, floor: int = FLOOR) -> np.ndarray:
+    """The bitmap of the n-grams of these sizes that may occur `threshold` times."""
+    spark = texts.sparkSession
+    shared = spark.sparkContext.broadcast(kept) if kept else None
+    left = stored(texts.transform(in_arrow, _hash_counts(sizes, shared), "h long, c long").repartition(parts, "h")
+                  .transform(in_arrow, _summary(threshold, floor), "h long"), "survivors")
+    return bitmap(left)
+
+
 def _joined(buf: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The words with one space between them: buffer, starts, ends."""
     size = b - a

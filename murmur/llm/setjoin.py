@@ -8,8 +8,8 @@ Skipping in lists: a list is cut into blocks by set size, each as wide as sizes
 visits its own block and, if its position in the list still allows an overlap large enough, the next
 one; a position deep in the prefix rules out all larger partners at once.
 
-Skipping by answers: each block's first set answers for those linked with it, which keep only what
-they lack and what they add (`minus`, `plus`). An overlap with such a set is the overlap with its
+Skipping by answers: each set is compared with the first set of most of its blocks. If they are linked,
+that one answers for it, and it keeps only what it lacks and what it adds (`minus`, `plus`). An overlap with such a set is the overlap with its
 leader, less that with `minus`, plus that with `plus`; where the leader's answer already shows that
 the bound is out of reach, nothing more is compared. Lists whose sets are all in one component by then
 are done; in the others, sets outside the main component meet all others, in blocks of bounded size.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from murmur.llm.common import components, in_arrow, small, stored
 from murmur.llm.minhash import overlaps, shingle_sets
+from murmur.llm.phrases import bitmap, has
 from murmur.llm.textbytes import U64, chunks
 
 #: Hash slots in which elements are counted for the order (2 MB, broadcast).
@@ -77,6 +78,29 @@ def _features(words: int, percent: int, shared):
     return run
 
 
+def _shared_elements(shared):
+    """Of each prefix the elements that other prefixes hold too (as far as the bitmap tells) and how much of
+    the set lies from each of them on."""
+    schema = pa.schema([("same", pa.binary()), ("elements", pa.list_(pa.int64())), ("reach", pa.list_(pa.int64()))])
+
+    def run(batches):
+        bits = shared.value
+        for batch in batches:
+            prefix = batch.column(2).combine_chunks() if isinstance(batch.column(2), pa.ChunkedArray) else batch.column(2)
+            flat = prefix.flatten().to_numpy().view(U64)
+            held = np.diff(prefix.offsets.to_numpy())
+            n = batch.column(1).to_numpy()
+            place = np.arange(len(flat)) - np.repeat(np.cumsum(held) - held, held)
+            ok = has(bits, flat)
+            row = np.repeat(np.arange(len(held)), held)[ok]
+            count = np.bincount(row, minlength=len(held))
+            some = np.flatnonzero(count)
+            offsets = np.concatenate(([0], np.cumsum(count[some]))).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(some)), pa.ListArray.from_arrays(offsets, flat[ok].view(np.int64)),
+                                              pa.ListArray.from_arrays(offsets, n[row] - place[ok])], schema=schema)
+    return run
+
+
 def _sets(words: int):
     schema = pa.schema([("same", pa.binary()), ("elements", pa.list_(pa.int64()))])
 
@@ -161,19 +185,21 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
         counts[r.slot] = r.c
     feats = stored(docs.transform(in_arrow, _features(words, percent, spark.sparkContext.broadcast(counts)), "doc_id long, n long, same binary, prefix array<long>"), "prefixes")
     linked = feats.where("n > 0 and doc_id is not null")
-    classes = stored(linked.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-                     .withColumn("id", F.monotonically_increasing_id()), "classes")
+    classes = stored(linked.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "classes")
     rows = stored(linked.select("doc_id", "same").distinct().join(classes.select("same", "id"), "same").select("doc_id", "id"), "rows")
     shared = rows.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("doc_id", "a")
     one_node = rows.join(shared, "doc_id").select("a", F.col("id").alias("b"))
 
     # inverted lists of elements that several prefixes hold, cut into blocks by size
-    entries = classes.select("id", "n", F.posexplode("prefix").alias("pos", "element")).select("id", "n", "element", (F.col("n") - F.col("pos")).alias("reach"))
-    several = entries.groupBy("element").agg(F.count("*").alias("c")).where("c > 1").select("element")
+    several = linked.select(F.explode("prefix").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
+    bits = spark.sparkContext.broadcast(bitmap(stored(several, "several")))
+    held = linked.select("same", "n", "prefix").transform(in_arrow, _shared_elements(bits), "same binary, elements array<long>, reach array<long>")
+    held = held.groupBy("same").agg(F.first(F.struct("elements", "reach")).alias("p")).join(classes, "same")
+    entries = held.select("id", "n", F.explode(F.arrays_zip("p.elements", "p.reach")).alias("e")).select("id", "n", F.col("e.elements").alias("element"), F.col("e.reach").alias("reach"))
     width = max(math.log(100 / percent), 1e-6) * (1 + 1e-9)  # partners' sizes lie in neighbouring bands
     band: Column = lambda c: F.floor(F.log(c) / F.lit(width)).cast("int")
     largest = F.floor((100 + percent) * F.col("reach") / percent).cast("long") - F.col("n")  # size of a partner that the position allows
-    lists = entries.join(several, "element").withColumn("band", band(F.col("n")))
+    lists = entries.withColumn("band", band(F.col("n")))
     lists = lists.select("element", "id", "n", "reach", F.explode(
         F.when((largest > 0) & (band(F.greatest(largest, F.lit(1))) > F.col("band")), F.array("band", F.col("band") + 1)).otherwise(F.array("band"))).alias("band"))
     lists = stored(lists, "lists")
@@ -183,14 +209,20 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
 
     wanted = stored(members.select("id").distinct().join(classes.select("id", "same", "doc_id"), "id"), "wanted")
     sets = docs.join(small(wanted.select("doc_id").distinct()), "doc_id", "left_semi").select("text").transform(in_arrow, _sets(words), "same binary, elements array<long>")
-    sets = stored(sets.join(small(wanted.select("same", "id")), "same").select("id", "elements").dropDuplicates(["id"]), "sets")
+    sets = stored(sets.join(small(wanted.select("same", "id")), "same").select("id", "elements"), "sets")
+    if sets.count() > wanted.count():  # rows repeated with one id
+        sets = stored(sets.dropDuplicates(["id"]), "sets")
 
+    # each set is compared with the first set of most of its blocks
     fits = (100 * F.least("na", "n") >= percent * F.greatest("na", "n")) & (percent * (F.col("na") + F.col("n")) <= (100 + percent) * F.least("ra", "reach"))
-    pairs = members.where((F.col("id") != F.col("a")) & fits).select("a", "na", F.col("id").alias("b"), F.col("n").alias("nb")).distinct()
-    pairs = pairs.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("eb")), "b").join(sets.select(F.col("id").alias("a"), F.col("elements").alias("ea")), "a")
+    pairs = members.where((F.col("id") != F.col("a")) & fits).groupBy("id", "n", "a", "na").agg(F.count("*").alias("c")).groupBy("id", "n").agg(F.max(F.struct("c", (-F.col("a")).alias("a"), "na")).alias("m"))
+    pairs = stored(pairs.select((-F.col("m.a")).alias("a"), "m.na", F.col("id").alias("b"), F.col("n").alias("nb")), "pairs")
+    leaders = stored(pairs.select("a").distinct(), "leaders")
+    pairs = sets.select(F.col("id").alias("b"), F.col("elements").alias("eb")).join(small(pairs), "b") \
+        .join(sets.select(F.col("id").alias("a"), F.col("elements").alias("ea")).join(small(leaders), "a", "left_semi"), "a")
     inter = F.col("na") - F.size("minus")
     star = stored(pairs.withColumn("minus", F.array_except("ea", "eb")).where(100 * inter >= percent * (F.col("na") + F.col("nb") - inter))
-                  .select("a", "b", "nb", "minus", F.array_except("eb", "ea").alias("plus")), "links")
+                  .select("a", "b", "minus", F.array_except("eb", "ea").alias("plus")), "links")
     known = star.select("a", "b").union(one_node)
 
     nodes = components(known)
@@ -204,8 +236,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     met = met.join(size, "unit")
     of = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    answers = star.groupBy("b").agg(F.min(F.struct(F.size("minus") + F.size("plus"), "a", "minus", "plus")).alias("m")) \
-        .select(F.col("b").alias("id"), F.col("m.a").alias("leader"), "m.minus", "m.plus")
+    answers = star.select(F.col("b").alias("id"), F.col("a").alias("leader"), "minus", "plus")
     none = F.array().cast("array<long>")
     stay = met.join(answers, "id", "left").withColumn("leader", F.coalesce("leader", "id")).withColumn("minus", F.coalesce("minus", none)).withColumn("plus", F.coalesce("plus", none)) \
         .select("unit", every("nv").alias("vb"), of("nr").alias("rb"), F.lit(RESIDENT).alias("kind"), "id", "comp", "n", "leader", "minus", "plus")
