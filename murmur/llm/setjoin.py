@@ -12,7 +12,8 @@ Skipping by answers: each set is compared with the first set of most of its bloc
 that one answers for it, and it keeps only what it lacks and what it adds (`minus`, `plus`). An overlap with such a set is the overlap with its
 leader, less that with `minus`, plus that with `plus`; where the leader's answer already shows that
 the bound is out of reach, nothing more is compared. Lists whose sets are all in one component by then
-are done; in the others, sets outside the main component meet all others, in blocks of bounded size.
+are done; in the others, sets outside the main component meet all others, in blocks of bounded size,
+first with parity bitmaps, whose difference bounds that of the sets, then in full where these allow it.
 No pair list is written, only confirmed links.
 """
 
@@ -34,6 +35,8 @@ from murmur.llm.textbytes import U64, chunks
 #: Hash slots in which elements are counted for the order (2 MB, broadcast).
 SLOTS = 1 << 18
 BLOCK = 256
+#: Bits of a set's parity bitmap: two bitmaps differ in at most as many bits as the sets in elements.
+PARITY = 4096
 
 
 def _slot(elements: np.ndarray, slots: int) -> np.ndarray:
@@ -101,25 +104,78 @@ def _shared_elements(shared):
     return run
 
 
+def _parity(elements: np.ndarray) -> np.ndarray:
+    odd = np.bincount(((elements >> U64(20)) & U64(PARITY - 1)).astype(np.int64), minlength=PARITY) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets(words: int):
-    schema = pa.schema([("same", pa.binary()), ("elements", pa.list_(pa.int64()))])
+    schema = pa.schema([("same", pa.binary()), ("elements", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
             for _, _, buf, starts in chunks(batch.column(0)):
                 sets = shingle_sets(buf, starts, words)
-                yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                                                  pa.array([_parity(s) for s in sets], pa.list_(pa.int64()))], schema=schema)
     return run
 
 
 VISITOR, RESIDENT, LEADER = 0, 1, 2
 
 
-def _block_links(percent: int):
-    """Rows sorted by unit and blocks (visitors, residents, the residents' leaders) -> links, one for
-    each visitor and component that it is linked with."""
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _grouped(batches, plain: tuple[str, ...], arrays: tuple[str, ...]):
+    """Lists of row dicts with equal (unit, vb, rb) of sorted batches; `arrays` as numpy."""
+    key, group = None, []
+    for batch in batches:
+        names = batch.schema.names
+        values = {c: batch.column(names.index(c)).to_pylist() for c in ("unit", "vb", "rb", *plain)}
+        lists = {c: batch.column(names.index(c)) for c in arrays}
+        for i in range(batch.num_rows):
+            row = {c: v[i] for c, v in values.items()}
+            k = row["unit"], row["vb"], row["rb"]
+            if k != key:
+                if group:
+                    yield group
+                key, group = k, []
+            group.append(row | {c: v[i].values.to_numpy(zero_copy_only=False) for c, v in lists.items()})
+    if group:
+        yield group
+
+
+def _batches(pairs, schema: pa.Schema, size: int = 1 << 14):
+    held = []
+    for pair in pairs:
+        held.append(pair)
+        if len(held) == size:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*held)], schema=schema)
+            held = []
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*held)], schema=schema)
+
+
+def _possible(percent: int):
+    """Blocks of visitors and residents with parity bitmaps -> (unit, id) of those with a partner that the bitmaps allow."""
+    def alive(group):
+        visit, stay = ([r for r in group if r["kind"] == k] for k in (VISITOR, RESIDENT))
+        if not visit or not stay:
+            return
+        x, y = (np.unpackbits(np.stack([r["bits"] for r in rows]).view(np.uint8), axis=1).astype(np.float32) * 2 - 1 for rows in (visit, stay))
+        (na, ca), (nb, cb) = ((np.array([r["n"] for r in rows]), np.array([r["comp"] for r in rows])) for rows in (visit, stay))
+        apart = (PARITY - (x @ y.T).astype(np.int64)) // 2
+        ok = (apart * (100 + percent) <= (100 - percent) * (na[:, None] + nb[None, :])) & (ca[:, None] != cb[None, :])
+        ids = {visit[i]["id"] for i in np.flatnonzero(ok.any(1))} | {stay[j]["id"] for j in np.flatnonzero(ok.any(0))}
+        yield from ((group[0]["unit"], i) for i in ids)
 
+    def run(batches):
+        groups = _grouped(batches, ("kind", "id", "comp", "n"), ("bits",))
+        yield from _batches((p for g in groups for p in alive(g)), pa.schema([("unit", pa.int64()), ("id", pa.int64())]))
+    return run
+
+
+def _block_links(percent: int):
+    """Blocks of visitors, residents and the residents' leaders -> links, one for each visitor and
+    component that it is linked with."""
     def enough(inter, na, nb):
         return 100 * inter >= percent * (na[:, None] + nb[None, :] - inter)
 
@@ -144,26 +200,22 @@ def _block_links(percent: int):
             yield visit[i[x]]["id"], stay[open_[j[x]]]["id"]
 
     def run(batches):
-        key, group = None, []
-        for batch in batches:
-            found = []
-            names = batch.schema.names
-            plain = {c: batch.column(names.index(c)).to_pylist() for c in ("unit", "vb", "rb", "kind", "id", "comp", "n", "leader")}
-            lists = {c: batch.column(names.index(c)) for c in ("minus", "plus")}
-            for i in range(batch.num_rows):
-                row = {c: v[i] for c, v in plain.items()}
-                k = row["unit"], row["vb"], row["rb"]
-                if k != key:
-                    found += links(group)
-                    key, group = k, []
-                group.append(row | {c: v[i].values.to_numpy(zero_copy_only=False) for c, v in lists.items()})
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
-        if found := list(links(group)):
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], schema=schema)
+        groups = _grouped(batches, ("kind", "id", "comp", "n", "leader"), ("minus", "plus"))
+        yield from _batches((p for g in groups for p in links(g)), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
     return run
 
 
+def _in_blocks(met: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Visitors (members outside their unit's main component) and residents (all members), each with the blocks it is in."""
+    away = F.col("comp") != F.col("unit")
+    size = met.groupBy("unit").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nr"), F.ceil(F.sum(away.cast("int")) / BLOCK).cast("int").alias("nv"))
+    met = met.join(size, "unit")
+    of = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    return (met.where(away).select("unit", of("nv").alias("vb"), every("nr").alias("rb"), F.lit(VISITOR).alias("kind"), "id", "comp", "n"),
+            met.select("unit", every("nv").alias("vb"), of("nr").alias("rb"), F.lit(RESIDENT).alias("kind"), "id", "comp", "n"))
+
+
 def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
     """Per row of `docs`: doc_id, n_shingles, component_id.
 
@@ -208,8 +260,8 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     members = stored(lists.join(first, ["element", "band"]), "members")
 
     wanted = stored(members.select("id").distinct().join(classes.select("id", "same", "doc_id"), "id"), "wanted")
-    sets = docs.join(small(wanted.select("doc_id").distinct()), "doc_id", "left_semi").select("text").transform(in_arrow, _sets(words), "same binary, elements array<long>")
-    sets = stored(sets.join(small(wanted.select("same", "id")), "same").select("id", "elements"), "sets")
+    sets = docs.join(small(wanted.select("doc_id").distinct()), "doc_id", "left_semi").select("text").transform(in_arrow, _sets(words), "same binary, elements array<long>, bits array<long>")
+    sets = stored(sets.join(small(wanted.select("same", "id")), "same").select("id", "elements", "bits"), "sets")
     if sets.count() > wanted.count():  # rows repeated with one id
         sets = stored(sets.dropDuplicates(["id"]), "sets")
 
@@ -217,6 +269,9 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     fits = (100 * F.least("na", "n") >= percent * F.greatest("na", "n")) & (percent * (F.col("na") + F.col("n")) <= (100 + percent) * F.least("ra", "reach"))
     pairs = members.where((F.col("id") != F.col("a")) & fits).groupBy("id", "n", "a", "na").agg(F.count("*").alias("c")).groupBy("id", "n").agg(F.max(F.struct("c", (-F.col("a")).alias("a"), "na")).alias("m"))
     pairs = stored(pairs.select((-F.col("m.a")).alias("a"), "m.na", F.col("id").alias("b"), F.col("n").alias("nb")), "pairs")
+    bits = lambda c: sets.select(F.col("id").alias(c), F.col("bits").alias(f"{c}_bits"))
+    apart = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    pairs = stored(pairs.join(bits("b"), "b").join(bits("a"), "a").where(apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "na", "b", "nb"), "pairs")
     leaders = stored(pairs.select("a").distinct(), "leaders")
     pairs = sets.select(F.col("id").alias("b"), F.col("elements").alias("eb")).join(small(pairs), "b") \
         .join(sets.select(F.col("id").alias("a"), F.col("elements").alias("ea")).join(small(leaders), "a", "left_semi"), "a")
@@ -231,19 +286,15 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     rest = stored(named.join(live, ["element", "band"], "left_semi"), "live")
     main = rest.groupBy("element", "band", "comp").agg(F.count("*").alias("c")).groupBy("element", "band").agg(F.max(F.struct("c", "comp"))["comp"].alias("unit"))
     met = stored(rest.join(main, ["element", "band"]).select("unit", "id", "n", "comp").distinct(), "met")
-    away = F.col("comp") != F.col("unit")
-    size = met.groupBy("unit").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nr"), F.ceil(F.sum(away.cast("int")) / BLOCK).cast("int").alias("nv"))
-    met = met.join(size, "unit")
-    of = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    answers = star.select(F.col("b").alias("id"), F.col("a").alias("leader"), "minus", "plus")
+    visit, stay = _in_blocks(met)
+    alive = stored(visit.unionByName(stay).join(sets.select("id", "bits"), "id").repartition("unit", "vb", "rb").sortWithinPartitions("unit", "vb", "rb")
+                   .transform(in_arrow, _possible(percent), "unit long, id long").distinct(), "alive")
+    visit, stay = _in_blocks(met.join(alive, ["unit", "id"], "left_semi"))
     none = F.array().cast("array<long>")
-    stay = met.join(answers, "id", "left").withColumn("leader", F.coalesce("leader", "id")).withColumn("minus", F.coalesce("minus", none)).withColumn("plus", F.coalesce("plus", none)) \
-        .select("unit", every("nv").alias("vb"), of("nr").alias("rb"), F.lit(RESIDENT).alias("kind"), "id", "comp", "n", "leader", "minus", "plus")
-    visit = met.where(away).select("unit", of("nv").alias("vb"), every("nr").alias("rb"), F.lit(VISITOR).alias("kind"), "id", "comp", "n", F.col("id").alias("leader"))
-    lead = stay.select("unit", "vb", "rb", F.lit(LEADER).alias("kind"), F.col("leader").alias("id")).distinct() \
-        .select("*", F.lit(0).cast("long").alias("comp"), F.lit(0).cast("long").alias("n"), F.col("id").alias("leader"))
-    full = visit.unionByName(lead).join(sets, "id").withColumn("minus", none).withColumnRenamed("elements", "plus")
+    answers = star.select(F.col("b").alias("id"), F.col("a").alias("leader"), "minus", "plus")
+    stay = stay.join(answers, "id", "left").withColumn("leader", F.coalesce("leader", "id")).withColumn("minus", F.coalesce("minus", none)).withColumn("plus", F.coalesce("plus", none))
+    lead = stay.select("unit", "vb", "rb", F.lit(LEADER).alias("kind"), F.col("leader").alias("id")).distinct().select("*", F.lit(0).cast("long").alias("comp"), F.lit(0).cast("long").alias("n"))
+    full = visit.unionByName(lead).join(sets.select("id", F.col("elements").alias("plus")), "id").withColumn("leader", F.col("id")).withColumn("minus", none)
     found = stay.unionByName(full).repartition("unit", "vb", "rb").sortWithinPartitions("unit", "vb", "rb").transform(in_arrow, _block_links(percent), "a long, b long")
 
     final = classes.select("id", "same", "doc_id").join(components(known.union(found)).withColumnRenamed("node", "id"), "id", "left") \
