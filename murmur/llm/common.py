@@ -79,7 +79,9 @@ def components(links: DataFrame, name: str = "cc") -> DataFrame:
     return nodes
 
 
-def smallest_member(nodes: DataFrame) -> DataFrame:
-    """(node, root) with each root replaced by the smallest node of its component."""
-    least = nodes.groupBy("root").agg(F.min("node").alias("first"))
-    return nodes.join(least, "root").select("node", F.col("first").alias("root"))
+def links_of_shared_ids(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes (same, id) of `rows` (doc_id, same) that hold one doc_id: a class
+    holds rows of equal texts, and rows of one id are one node."""
+    rows = stored(rows.select("doc_id", "same").distinct().join(classes.select("same", "id"), "same").select("doc_id", "id"), "rows")
+    shared = rows.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("doc_id", "a")
+    return rows.join(shared, "doc_id").select("a", F.col("id").alias("b"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import components, in_arrow, small, smallest_member, stored
+from murmur.llm.common import components, in_arrow, links_of_shared_ids, small, stored
 from murmur.llm.textbytes import BLANKS, LOWER, U64, chunks, mix, spans, word_hashes
 
 ROWS, BANDS = 5, 36
@@ -86,6 +86,10 @@ def band_keys(sketch: np.ndarray, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _digest(elements: np.ndarray) -> bytes:
+    return hashlib.blake2b(elements.tobytes(), digest_size=16).digest()
+
+
 def _features(words: int, rows: int, bands: int):
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("same", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
@@ -97,19 +101,19 @@ def _features(words: int, rows: int, bands: int):
                 keys = band_keys(sketches(sets, rows * bands), rows)
                 yield pa.RecordBatch.from_arrays([
                     ids.slice(at, n), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+                    pa.array([_digest(s) for s in sets], pa.binary()),
                     pa.ListArray.from_arrays(np.arange(0, n * bands + 1, bands, dtype=np.int32), keys.ravel())], schema=schema)
     return run
 
 
 def _sets(words: int):
-    schema = pa.schema([("id", pa.int64()), ("elements", pa.list_(pa.int64()))])
+    schema = pa.schema([("same", pa.binary()), ("elements", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
-            for at, n, buf, starts in chunks(batch.column(1)):
-                sets = [s.view(np.int64) for s in shingle_sets(buf, starts, words)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array(sets, pa.list_(pa.int64()))], schema=schema)
+            for _, _, buf, starts in chunks(batch.column(0)):
+                sets = shingle_sets(buf, starts, words)
+                yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], schema=schema)
     return run
 
 
@@ -185,21 +189,23 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     blanks, or the whole sequence if it has fewer words. Documents are linked when the sets'
     intersection is at least `percent` per cent of their union; component_id is the smallest id
     reachable. Null, empty and wordless texts have an empty set and are linked with nothing. Rows
-    with the same id are one node. A null id keeps a null component and kept = false. Other
+    with the same id are one node, whatever their texts: each of these is compared. A null id keeps a null component and kept = false. Other
     columns are ignored; an empty table gives an empty result.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     feats = stored(docs.transform(in_arrow, _features(words, rows, bands), "doc_id long, n_shingles long, same binary, bands array<long>"), "sketch")
     linked = feats.where("n_shingles > 0 and doc_id is not null")
-    classes = stored(linked.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+    classes = stored(linked.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+                     .withColumn("id", F.monotonically_increasing_id()), "classes")
+    one_node = links_of_shared_ids(linked, classes)
 
     rows_of = classes.select("id", "n", F.explode("bands").alias("key"))
     many = rows_of.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("pivot")).where("c > 1").select("key", "pivot")
     members = stored(rows_of.join(many, "key"), "buckets")
 
-    wanted = small(stored(members.select("id").distinct(), "wanted"))
-    sets = stored(docs.join(wanted.withColumnRenamed("id", "doc_id"), "doc_id", "left_semi")
-                  .transform(in_arrow, _sets(words), "id long, elements array<long>").dropDuplicates(["id"]), "sets")
+    wanted = stored(members.select("id").distinct().join(classes.select("id", "same", "doc_id"), "id"), "wanted")
+    sets = docs.join(small(wanted.select("doc_id").distinct()), "doc_id", "left_semi").select("text").transform(in_arrow, _sets(words), "same binary, elements array<long>")
+    sets = stored(sets.join(small(wanted.select("same", "id")), "same").select("id", "elements").dropDuplicates(["id"]), "sets")
 
     sizes = members.select("id", "n").distinct()
     pairs = (members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"), F.col("n").alias("nb")).distinct()
@@ -209,7 +215,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     inter = F.size(F.array_intersect("ea", "eb"))
     star = stored(pairs.join(two, "b").join(one, "a").where(100 * inter >= percent * (F.col("na") + F.col("nb") - inter)).select("a", "b"), "links")
 
-    nodes = components(star)
+    known = star.union(one_node)
+    nodes = components(known)
     named = members.join(nodes.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("root", "id").alias("comp"))
     live = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     rest = stored(named.join(live, "key", "left_semi"), "live")
@@ -227,9 +234,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
              .repartition("unit", "vb", "rb").sortWithinPartitions("unit", "vb", "rb")
              .transform(in_arrow, _block_links(percent), "a long, b long"))
 
-    final = smallest_member(components(star.unionByName(found)))
-    reps = classes.select("same", "id").join(final.withColumnRenamed("node", "id"), "id", "left") \
-        .select("same", F.coalesce("root", "id").alias("component_id"))
+    final = classes.select("id", "same", "doc_id").join(components(known.union(found)).withColumnRenamed("node", "id"), "id", "left").select("same", "doc_id", F.coalesce("root", "id").alias("root"))
+    reps = final.join(final.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("same", "component_id")
     out = feats.select("doc_id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("same")).alias("same")) \
         .join(reps, "same", "left")
     component = F.coalesce("component_id", "doc_id")

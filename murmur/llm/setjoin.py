@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import components, in_arrow, small, stored
+from murmur.llm.common import components, in_arrow, links_of_shared_ids, small, stored
 from murmur.llm.minhash import overlaps, shingle_sets
 from murmur.llm.phrases import bitmap, has
 from murmur.llm.textbytes import U64, chunks
@@ -238,9 +238,7 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     feats = stored(docs.transform(in_arrow, _features(words, percent, spark.sparkContext.broadcast(counts)), "doc_id long, n long, same binary, prefix array<long>"), "prefixes")
     linked = feats.where("n > 0 and doc_id is not null")
     classes = stored(linked.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "classes")
-    rows = stored(linked.select("doc_id", "same").distinct().join(classes.select("same", "id"), "same").select("doc_id", "id"), "rows")
-    shared = rows.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a <> z").select("doc_id", "a")
-    one_node = rows.join(shared, "doc_id").select("a", F.col("id").alias("b"))
+    one_node = links_of_shared_ids(linked, classes)
 
     # inverted lists of elements that several prefixes hold, cut into blocks by size
     several = linked.select(F.explode("prefix").alias("h")).groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
