@@ -31,7 +31,7 @@ from murmur.llm.common import small, stored
 HEADERS = {"record_type": "WARC-Type", "record_id": "WARC-Record-ID", "target_uri": "WARC-Target-URI", "date": "WARC-Date", "refers_to": "WARC-Refers-To",
            "payload_digest": "WARC-Payload-Digest", "content_type": "Content-Type"}
 SCHEMA = ", ".join(f"{c} string" for c in HEADERS) + ", payload_length long, payload binary"
-COMMITTED = "_committed.json"
+COMMITTED = "_committed"
 PIECE = 1 << 16
 
 
@@ -104,52 +104,73 @@ def read_archive(file, wanted, payloads: bool):
         file.seek(at)
         lead = file.read(2)
         file.seek(at)
-        if lead == b"\x1f\x8b":
+        zipped = lead == b"\x1f\x8b"
+        if zipped:
             length = _member_length(file.read(24))
             file.seek(at)
             source = Inflated(file, at)
             data = source.more(first=True)
         else:
             length, source, data = None, Plain(file), file.read(PIECE)
-        while b"\r\n\r\n" not in data:
-            more = source.more()
-            if not more:
-                return
-            data += more
-        head, _, data = data.partition(b"\r\n\r\n")
-        fields = {}
-        for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
-            key, _, value = line.partition(":")
-            fields[key.strip().lower()] = value.strip()
-        row = {c: fields.get(h.lower()) for c, h in HEADERS.items()}
-        n = int(fields.get("content-length", 0))
-        if wanted(row):
-            http = (row["content_type"] or "").startswith("application/http")
-            take = n if payloads and row["record_type"] != "revisit" else None
-            parts, got = [data], len(data)
-            while got < n and (take is not None or http and b"\r\n\r\n" not in b"".join(parts)):
+        first = True
+        while True:  # the records of a member, or one record of a plain archive
+            while not data.strip(b"\r\n") and (data := source.more()):
+                pass
+            data = data.lstrip(b"\r\n") if zipped else data
+            if not data.strip(b"\r\n"):
+                if not zipped and first:
+                    return
+                break
+            first = False
+            while b"\r\n\r\n" not in data:
                 more = source.more()
                 if not more:
-                    break
-                parts.append(more)
-                got += len(more)
-            block = b"".join(parts)[:n]
-            row["payload_length"], row["payload"] = n, None
-            if http:
-                front, _, body = block.partition(b"\r\n\r\n")
-                said = re.search(rb"(?im)^content-length:\s*(\d+)", front)
-                row["payload_length"] = int(said[1]) if said else n - len(front) - 4
-                block = body
-            if take is not None:
-                row["payload"] = block
-            yield row
-        if lead != b"\x1f\x8b":
+                    raise ValueError(f"truncated record header after byte {at}")
+                data += more
+            head, _, data = data.partition(b"\r\n\r\n")
+            fields = {}
+            for line in head.decode("utf-8", "replace").split("\r\n")[1:]:
+                key, _, value = line.partition(":")
+                fields[key.strip().lower()] = value.strip()
+            row = {c: fields.get(h.lower()) for c, h in HEADERS.items()}
+            n = int(fields.get("content-length", 0))
+            if wanted(row):
+                http = (row["content_type"] or "").startswith("application/http")
+                take = payloads and row["record_type"] != "revisit"
+                parts, got = [data], len(data)
+                while got < n and (take or http and b"\r\n\r\n" not in b"".join(parts)):
+                    more = source.more()
+                    if not more:
+                        raise ValueError(f"truncated record block after byte {at}")
+                    parts.append(more)
+                    got += len(more)
+                data = b"".join(parts)
+                block = data[:n]
+                row["payload_length"], row["payload"] = n, None
+                if http:
+                    front, _, body = block.partition(b"\r\n\r\n")
+                    said = re.search(rb"(?im)^content-length:\s*(\d+)", front)
+                    row["payload_length"] = int(said[1]) if said else n - len(front) - 4
+                    block = body
+                if take:
+                    row["payload"] = block
+                yield row
+            if not zipped or length:
+                break
+            left = n  # bytes of the block that are still ahead
+            while left > len(data):
+                left -= len(data)
+                data = source.more()
+                if not data:
+                    raise ValueError(f"truncated record block after byte {at}")
+            data = data[left:]
+        if not zipped:
             at += len(head) + 4 + n + 4
         elif length:
             at += length
-        else:  # no length given: inflate to the member's end
-            while not source.z.eof and (source.more() or source.z.unconsumed_tail):
-                pass
+        elif not source.z.eof:
+            raise ValueError(f"truncated member at byte {at}")
+        else:
             at = file.tell() - len(source.z.unused_data)
 
 
@@ -184,12 +205,13 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         fs, root = filesystem(self.path)
-        listed = fs.get_file_info(f"{root}/{COMMITTED}")
-        if listed.type == pafs.FileType.File:
-            with fs.open_input_stream(listed.path) as f:
-                names = json.loads(f.read())
-        else:
-            names = sorted(i.base_name for i in fs.get_file_info(pafs.FileSelector(root)) if re.search(r"\.warc(\.gz)?$", i.base_name))
+        files = fs.get_file_info(pafs.FileSelector(root))
+        lists = [i.path for i in files if i.base_name.startswith(COMMITTED)]
+        names = [] if lists else [i.base_name for i in files if re.search(r"\.warc(\.gz)?$", i.base_name)]
+        for path in lists:  # one of each append
+            with fs.open_input_stream(path) as f:
+                names += json.loads(f.read())
+        names = sorted(names)
         return [Archive(f"{self.path}/{n}") for n in names]
 
     def wanted(self, row: dict) -> bool:
@@ -237,7 +259,7 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages):
         fs, root = filesystem(self.path)
         fs.create_dir(root, recursive=True)
-        with fs.open_output_stream(f"{root}/{COMMITTED}") as f:
+        with fs.open_output_stream(f"{root}/{COMMITTED}-{uuid.uuid4().hex}.json") as f:
             f.write(json.dumps(sorted(n for m in messages if m for n in m.names)).encode())
 
     def abort(self, messages):
