@@ -5,7 +5,9 @@ forms, navigation, and elements whose class, id or role names a menu, advert, no
 reader comments) are left out. For every other node the characters per tag are computed and adjusted
 by the share of link text; a node's density sum adds up its children's densities. The node with the
 largest sum is the heart of the article; the smallest density on its path up to the body is the
-threshold, and from every node that reaches it, the subtree with the largest sum is content.
+threshold, and from every node that reaches it, the subtree with the largest sum is content. Where the
+heart lies in an `article` or `main`, the path ends there, and such an element is content as a whole if
+it reaches the threshold.
 """
 
 from __future__ import annotations
@@ -36,27 +38,54 @@ CLOSED_BY = {
     "tr": frozenset(["tr", "tbody", "tfoot"]), "td": frozenset(["td", "th", "tr", "tbody", "tfoot"]), "th": frozenset(["td", "th", "tr", "tbody", "tfoot"]),
     "thead": frozenset(["tbody", "tfoot"]), "tbody": frozenset(["tbody", "tfoot"]), "head": frozenset(["body"]),
 }
+CLOSES = {name: [below for below, closers in CLOSED_BY.items() if name in closers] for name in frozenset().union(*CLOSED_BY.values())}
 SCOPES = frozenset(["table", "ul", "ol", "dl", "article", "section", "main", "body", "div", "td", "th", "blockquote"])
 
 # Words in a class or id, and roles, of parts that are not the article's text.
-PARTS = re.compile(r"(?:^|[\s_-])(?<!has[_-])(?<!with[_-])(?<!no[_-])(?:ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w*|"
-                   r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|toolbar|sidebar|side|widget|aside|share|sharing|social|related|recommend\w*|"
-                   r"comments?|commentlist|replies|reply|respond|discussion|disqus|footer|masthead|site-header|page-header|topbar|login|signup|search|skip|hidden|disclaimer|copyright|paywall)(?=$|[\s_-])", re.I)
+PART = re.compile(r"ads?|advert\w*|adbox|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notice|notification|alert|popup|modal|overlay|newsletter|subscri\w*|"
+                  r"nav|navbar|navigation|menu|breadcrumbs?|pagination|pager|toolbar|sidebar|side|widget|aside|share|sharing|social|related|recommend\w*|"
+                  r"comments?|commentlist|replies|reply|respond|discussion|disqus|footer|masthead|site-header|page-header|topbar|login|signup|search|skip|hidden|disclaimer|copyright|paywall", re.I)
+#: Words that say nothing about the kind of a part: the word before them counts.
+PLAIN_WORDS = frozenset("area bar block body bottom box container content form group header holder inner item items left link links list main outer panel right row section slot title top wrap wrapper".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
+KEPT, NAMED, GONE = 0, 1, 2
 
 
-def _is_part(name: str, attributes: str, in_article: bool) -> bool:
+def _class_part(value: str) -> int:
+    """GONE where a class or id names a part, NAMED where a part's word is only one word of a compound
+    such as `social-policy`: the densities decide on those."""
+    found = KEPT
+    for token in value.split():
+        if PART.fullmatch(token):
+            return GONE
+        words = [w for w in re.split("[-_]+", token) if w]
+        if not words or words[0].lower() in ("has", "with", "no"):
+            continue
+        kind = [w for w in words if w.lower() not in PLAIN_WORDS] or words
+        if PART.fullmatch(kind[-1]):
+            return GONE
+        if any(PART.fullmatch(w) for w in words):
+            found = NAMED
+    return found
+
+
+def _is_part(name: str, attributes: str, in_article: bool) -> int:
     if name in DROPPED or name == "header" and not in_article:
-        return True
+        return GONE
     if not attributes or attributes.isspace() or name in ("html", "body"):
-        return False
+        return KEPT
+    found = KEPT
     for key, a, b, c in ATTRIBUTE.findall(attributes):
         key, value = key.lower(), a or b or c
-        if key in ("class", "id") and name not in LANDMARKS and PARTS.search(value) or key == "role" and value.lower() in ROLES or key == "hidden" \
-                or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) \
+        if key == "role" and value.lower() in ROLES or key == "hidden" or key == "aria-hidden" and value == "true" \
+                or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I) \
                 or key in ("class", "id") and name in LANDMARKS and re.search(r"comment|related|promo|advert", value, re.I):
-            return True
-    return False
+            return GONE
+        if key in ("class", "id") and name not in LANDMARKS:
+            found = max(found, _class_part(value))
+            if found == GONE:
+                return GONE
+    return found
 
 
 class Page:
@@ -64,8 +93,11 @@ class Page:
 
     def __init__(self, html: str):
         self.names, self.parents, self.dropped = ["#root"], [-1], [False]
+        self.named, self.in_landmark = [False], [False]
         self.pieces: list[tuple[int, str]] = []  # (node, decoded text)
         self.stack = [0]
+        self.places: dict[str, list[int]] = {}  # of each name the places in the stack
+        self.scopes = [0]
         at, find = 0, TAG.search
         while m := find(html, at):
             if m.start() > at:
@@ -86,7 +118,7 @@ class Page:
                     stop = end.start() if end else len(html)
                     at = stop
                     if not end:
-                        self.stack.pop()
+                        self.cut(len(self.stack) - 1)
         if at < len(html):
             self.text(html[at:])
 
@@ -98,38 +130,60 @@ class Page:
         if not self.dropped[node]:
             self.pieces.append((node, unescape(raw) if "&" in raw else raw))
 
+    def cut(self, place: int) -> None:
+        """Close the elements from this place in the stack on."""
+        while len(self.stack) > place:
+            name = self.names[self.stack.pop()]
+            self.places[name].pop()
+            if name in SCOPES:
+                self.scopes.pop()
+
     def open(self, name: str, attributes: str) -> None:
         names, stack = self.names, self.stack
-        while len(stack) > 1:  # elements that this one closes
-            for k in range(len(stack) - 1, 0, -1):
-                below = names[stack[k]]
-                if name in CLOSED_BY.get(below, ()):
-                    del stack[k:]
-                    break
-                if below in SCOPES:
-                    k = 0
-                    break
-            else:
-                k = 0
-            if not k:
+        while True:  # elements that this one closes, up to the innermost scope
+            place = max((self.places[c][-1] for c in CLOSES.get(name, ()) if self.places.get(c)), default=0)
+            if not place or place < self.scopes[-1]:
                 break
+            self.cut(place)
         parent = stack[-1]
+        kind = _is_part(name, attributes, self.in_landmark[parent])
         names.append(name)
         self.parents.append(parent)
-        self.dropped.append(self.dropped[parent] or _is_part(name, attributes, any(names[i] in LANDMARKS for i in stack)))
+        self.in_landmark.append(self.in_landmark[parent] or name in LANDMARKS)
+        self.named.append(kind == NAMED)
+        self.dropped.append(self.dropped[parent] or kind == GONE)
         if name not in VOID and not attributes.endswith("/") or name not in VOID and name in INLINE | RAW:
+            self.places.setdefault(name, []).append(len(stack))
+            if name in SCOPES:
+                self.scopes.append(len(stack))
             stack.append(len(names) - 1)
         elif name in VOID:
             self.pieces.append((len(names) - 1, " " if name == "br" else ""))
 
     def close(self, name: str) -> None:
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.names[self.stack[k]] == name:
-                del self.stack[k:]
-                return
+        if self.places.get(name):
+            self.cut(self.places[name][-1])
+
+    def judge_named(self) -> None:
+        """Subtrees that a compound class names go, but for those with most of the page's text outside links."""
+        if not any(self.named):
+            return
+        plain = [0] * len(self.names)
+        in_link = [False] * len(self.names)
+        for i in range(1, len(self.names)):
+            in_link[i] = self.names[i] == "a" or in_link[self.parents[i]]
+        for i, text in self.pieces:
+            if not in_link[i]:
+                plain[i] += len("".join(text.split()))
+        for i in range(len(self.names) - 1, 0, -1):
+            plain[self.parents[i]] += plain[i]
+        for i in range(1, len(self.names)):
+            self.dropped[i] = self.dropped[i] or self.dropped[self.parents[i]] or self.named[i] and 2 * plain[i] <= plain[0]
+        self.pieces = [(i, text) for i, text in self.pieces if not self.dropped[i] or self.names[i] in VOID]
 
     def content(self) -> list[bool]:
         """For each node whether it belongs to the article."""
+        self.judge_named()
         n, names, parents = len(self.names), self.names, self.parents
         chars, links, tags, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         in_link = [False] * n
@@ -165,22 +219,16 @@ class Page:
             if sums[best[i]] > sums[best[p]] or best[p] != p and sums[best[i]] >= sums[best[p]]:
                 best[p] = best[i]
         heart = best[body] if sums[best[body]] > 0 else body
-        threshold, i, landmark = density[heart], heart, None
+        threshold, i = density[heart], heart
         while i > 0:
             threshold = min(threshold, density[i])
-            if names[i] in LANDMARKS and landmark is None:
-                landmark = i
-            i = parents[i]
-            if i == body:
-                threshold = min(threshold, density[i])
+            if names[i] in LANDMARKS or i == body:  # the page itself may say where the article begins and ends
                 break
+            i = parents[i]
         content = [False] * n
-        if landmark is not None:  # the page itself says where the article begins and ends
-            content[landmark] = True
-        else:
-            for i in range(n):
-                if not self.dropped[i] and density[i] >= threshold and chars[i]:
-                    content[best[i] if sums[best[i]] > 0 else i] = True
+        for i in range(n):
+            if not self.dropped[i] and density[i] >= threshold and chars[i]:
+                content[i if names[i] in LANDMARKS or sums[best[i]] <= 0 else best[i]] = True
         for i in range(1, n):
             content[i] = (content[i] or content[parents[i]]) and not self.dropped[i]
         return content
