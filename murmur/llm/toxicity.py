@@ -35,6 +35,8 @@ MARKS = ".-_*~'/,"
 COST = {"look": 1.0, "run": 0.5, "pair": 2.5, "skip": 0.5, "symbol": 4.0}
 
 SAMPLE_ROWS = 20_000
+#: Features of the labelled sample, by their unconditional gain, among which the marks are chosen; with the sample it bounds what the fit holds in the driver.
+CANDIDATES = 2000
 PREFIXES = range(4, 8)
 MIN_SUPPORT = 3
 
@@ -441,7 +443,7 @@ def fit(docs: DataFrame, labels: DataFrame, model, id_col: str, text_col: str, s
         return only_bias
     counted = rows.select((F.col("toxic") > 0).cast("int").alias("toxic"), F.explode("features").alias("f")).groupBy("f").agg(F.sum("toxic").alias("a"), F.count("*").alias("n"))
     counted = counted.where((F.col("a") >= MIN_SUPPORT) & (F.col("a") > (F.col("n") - F.col("a")))).withColumn("gain", F.col("a") * F.log(F.col("a") / F.col("n") / rate))
-    top = [bytes(r["f"]) for r in counted.orderBy(F.desc("gain"), F.length("f"), "f").limit(2000).collect()]
+    top = [bytes(r["f"]) for r in counted.orderBy(F.desc("gain"), F.length("f"), "f").limit(CANDIDATES).collect()]
     if not top:
         return only_bias
     top.sort(key=lambda f: (len(f), f))

@@ -1,8 +1,10 @@
 """Fill-in-the-middle, collocations and the exact Jaccard join against brute force."""
 
+import gzip
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -11,7 +13,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from murmur.llm import phrases, setjoin
+from murmur.llm import warc
 from murmur.llm.fim import SkipList, fill_in_middle, restored, token_widths
+from murmur.llm.html import main_text
+from murmur.llm.minhash import near_duplicates
 from murmur.llm.phrases import MisraGries, collocations
 from murmur.llm.queries import ORACLE, QUERIES
 from murmur.llm.setjoin import jaccard_components
@@ -220,3 +225,73 @@ def test_queries_equal_their_sql(spark, duck, name):
     cols = sorted(got.columns)
     want = duck.execute(f"SELECT {', '.join(cols)} FROM ({ORACLE[name]})").fetchall()
     assert rows(got, *cols) == sorted(want, key=repr)
+
+
+# ---- cases that lost rows, links or text -----------------------------------------------------
+
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    rng = random.Random(8)
+    a, b = ([f"{c}{i}" for i in range(80)] for c in "ab")
+    texts = [" ".join(a), " ".join(b), edited(a, 0.005, rng), edited(b, 0.005, rng), " ".join(a), "lonely text of no other one"]
+    got = rows(near_duplicates(docs(spark, texts, [1, 1, 2, 3, None, 9]), 2, 80), "doc_id", "component_id")
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (None, None), (9, 9)], key=repr)
+
+
+def test_pipeline_judges_rows_not_ids(spark, tmp_path):
+    import corpus_pipeline
+    from murmur.llm.common import stored
+    item = " ".join(f"item{i}" for i in range(20))
+    copy = " ".join(f"near{i}" for i in range(200))
+    given = [(3, "alpha beta gamma"), (5, "alpha beta gamma"), (5, "unique other text"), (None, "alpha  beta gamma delta"), (None, "alpha beta gamma  delta"), (6, "x " + item), (6, "clean words"),
+             (None, "y " + item), (7, copy), (7, "kept words of seven"), (2, copy + " end"), (None, copy + " stop"), (8, "z"), (8, "z")]
+    df = docs(spark, [t for _, t in given], [i for i, _ in given])
+    for name, part in (("labels", spark.createDataFrame([], "doc_id long, quality int, toxic int")), ("benchmark", spark.createDataFrame([("b", item)], "item_id string, text string"))):
+        part.write.parquet(str(tmp_path / f"{name}.parquet"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        df = stored(stage(spark, df, str(tmp_path)), name)
+    assert sorted((r.text, r.doc_id) for r in df.collect() if not r.text.startswith("alpha  beta") and not r.text.startswith("alpha beta gamma  ")) == sorted(
+        [("alpha beta gamma", 3), ("unique other text", 5), ("clean words", 6), ("kept words of seven", 7), (copy + " end", 2), ("z", 8)])
+    assert df.where("doc_id is null").count() == 1
+
+
+def test_archives_of_several_appends_and_of_one_member(spark, tmp_path):
+    warc.register(spark)
+    page = lambda a, b: spark.createDataFrame([(i, f"u{i}", f"<p>{i}</p>") for i in range(a, b)], "page_id long, url string, html string")
+    path = str(tmp_path / "two")
+    warc.write_pages(page(0, 5), path)
+    warc.write_pages(page(5, 8), path)
+    assert spark.read.format("warc").load(path).count() == 8
+    one = tmp_path / "one"
+    one.mkdir()
+    records = [f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\nContent-Length: {n}\r\n\r\n".encode() + b"x" * n + b"\r\n\r\n" for i, n in enumerate((0, 10, 70_000, 3))]
+    (one / "a.warc.gz").write_bytes(gzip.compress(b"".join(records)) + gzip.compress(records[1]))
+    (one / "b.warc").write_bytes(b"".join(records))
+    for payload in ("true", "false"):
+        got = rows(spark.read.format("warc").option("payload", payload).load(str(one)), "record_id", "payload_length")
+        assert got == sorted([(f"<urn:page:{i}>", n) for i, n in enumerate((0, 10, 70_000, 3))] * 2 + [("<urn:page:1>", 10)], key=repr)
+    cut = tmp_path / "cut"
+    cut.mkdir()
+    (cut / "a.warc.gz").write_bytes(gzip.compress(b"".join(records)[:-100]))
+    with pytest.raises(Exception, match="truncated"):
+        spark.read.format("warc").load(str(cut)).count()
+
+
+STORY = "<p>" + "words of the story go on and on here, " * 8 + "</p>"
+
+
+@pytest.mark.parametrize("name", ["social-policy content", "search-engine-article", "post side-story", "notice-board entry", "alert-news body", "article related-work"])
+def test_class_words_inside_compounds_do_not_drop_the_article(name):
+    text = main_text(f"<body><div class='main-menu'><a href=x>menu</a></div><div class='{name}'>{STORY * 3}</div><div class='user-comments'>{STORY}</div></body>")
+    assert len(text.split("\n")) == 3 and "menu" not in text
+
+
+def test_all_parts_of_an_article_stay():
+    for html, parts in ((f"<main><article>{STORY}</article><article>{STORY}</article></main>", 2), (f"<article>{STORY}</article><div>{STORY}</div><nav>m</nav>", 2)):
+        assert len(main_text(html).split("\n")) == parts
+
+
+def test_deep_and_unclosed_elements_are_read_in_linear_time():
+    for tag in ("b", "div", "p", "thead", "li"):
+        start = time.time()
+        assert main_text(f"<{tag}>" * 20_000 + "end" + "</i>" * 20_000) == "end"
+        assert time.time() - start < 10
