@@ -1,7 +1,8 @@
 """Cleaning and packing of a corpus: STAGES in order, each written as Parquet and reread by the next.
 
-Filtering stages drop rows by id, through an anti-join with the ids that go; rows with a null id are
-kept by all of them. Extra columns of the documents are not carried on.
+Filtering stages judge row by row: where an id is null or repeated, rows are numbered in the order of
+their ids (then texts), so a row never goes for another one's text. Extra columns of the documents are
+not carried on.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from murmur.llm.common import small, stored, table
 from murmur.llm.decontam import decontaminate
-from murmur.llm.exact import BLANKS, exact_duplicates
+from murmur.llm.exact import exact_duplicates
 from murmur.llm.minhash import near_duplicates
 from murmur.llm.packing import pack
 from murmur.llm.toxicity import toxicity
@@ -20,37 +21,46 @@ from murmur.llm.toxicity import toxicity
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def without(docs: DataFrame, gone: DataFrame, name: str) -> DataFrame:
-    """The rows of `docs` whose doc_id is not in `gone` (stored, and broadcast if few), with the columns of documents."""
-    ids = stored(gone.where("doc_id is not null").select("doc_id").distinct(), name)
-    return docs.join(small(ids), "doc_id", "left_anti").select(*COLUMNS)
+def numbered(docs: DataFrame) -> DataFrame:
+    """The columns of documents and `row`, a long of its own for each row in the order of doc_id (null last):
+    the id itself if all are set and different, else numbers of a stored copy sorted by id and text."""
+    clash = docs.groupBy("doc_id").count().where("count > 1 or doc_id is null").limit(1)
+    if not clash.count():
+        return docs.select(*COLUMNS, F.col("doc_id").cast("long").alias("row"))
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc()]
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return stored(docs.select(*COLUMNS).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("row", F.monotonically_increasing_id()), "numbered")
+
+
+def without(rows: DataFrame, gone: DataFrame, name: str) -> DataFrame:
+    """The rows whose number is not in `gone` (stored, and broadcast if few), with the columns of documents."""
+    return rows.join(small(stored(gone.distinct(), name)), "row", "left_anti").select(*COLUMNS)
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go."""
-    return without(docs, toxicity(docs, table(spark, sf_dir, "labels")).where("predicted = 1"), "toxic")
+    rows = numbered(docs)
+    labels = table(spark, sf_dir, "labels").where("crc32(CAST(CAST(doc_id AS BIGINT) AS STRING)) % 4 <> 2")
+    labels = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "row").join(labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic"), "doc_id").select(F.col("row").alias("doc_id"), "toxic")
+    return without(rows, toxicity(rows, labels, id_col="row").where("predicted = 1").select(F.col("doc_id").alias("row")), "toxic")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts (white space aside) stays, repeated rows of one id included."""
-    kept = without(docs, exact_duplicates(docs).where("not kept"), "copies")
-    again = stored(docs.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    if not again.count():
-        return kept
-    plain = F.regexp_replace(F.coalesce("text", F.lit("")), BLANKS, "")
-    longest = F.max(F.struct(F.length("text").alias("n"), *[c for c in COLUMNS if c != "doc_id"]))
-    once = kept.join(again, "doc_id", "left_semi").groupBy("doc_id", plain.alias("plain")).agg(longest.alias("r")).select("doc_id", "r.*")
-    return kept.join(again, "doc_id", "left_anti").unionByName(once.select(*COLUMNS))
+    """One row of each group of equal texts (white space aside) stays, of repeated rows of one id too."""
+    rows = numbered(docs)
+    return without(rows, exact_duplicates(rows, id_col="row").where("not kept").select(F.col("doc_id").alias("row")), "copies")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at a similarity of 0.8 or more, the smallest id stays."""
-    return without(docs, near_duplicates(docs, words=5, percent=80).where("not kept"), "near")
+    rows = numbered(docs)
+    return without(rows, near_duplicates(rows, words=5, percent=80, id_col="row").where("not kept").select(F.col("doc_id").alias("row")), "near")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of whose words a twentieth or more lie in benchmark windows go."""
-    return without(docs, decontaminate(docs, table(spark, sf_dir, "benchmark")).where("contaminated"), "contaminated")
+    rows = numbered(docs)
+    return without(rows, decontaminate(rows, table(spark, sf_dir, "benchmark"), id_col="row").where("contaminated").select(F.col("doc_id").alias("row")), "contaminated")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
