@@ -34,15 +34,18 @@ def tags(html: Column, name: str) -> Column:
 
 def attribute(tag: Column, name: str) -> Column:
     """The value of an attribute of a start tag, quoted either way or bare; '' when absent."""
-    pattern = rf"""(?is)\s{re.escape(name)}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    found = [F.regexp_extract(tag, pattern, g) for g in (1, 2, 3)]
-    return unescape(F.coalesce(*[F.nullif(f, F.lit("")) for f in found], F.lit("")))
+    found = F.regexp_extract(tag, rf"""(?is)\s{re.escape(name)}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return unescape(F.regexp_replace(found, r"""(?s)^(["'])(.*)\1$""", "$2"))
 
 
-def meta_of(metas: Column, attr: str, value: str) -> Column:
-    """content of the first <meta> among `metas` whose `attr` is `value`, whatever the attributes' order ('' when absent)."""
-    hits = F.filter(metas, lambda t: F.lower(attribute(t, attr)) == value.lower())
-    return F.coalesce(attribute(F.get(hits, 0), "content"), F.lit(""))
+def meta_fields(html: Column, *attrs: str) -> Column:
+    """Per <meta> tag a struct of the lower-cased values of `attrs` and its content: each tag is read once."""
+    return F.transform(tags(html, "meta"), lambda t: F.struct(*[F.lower(attribute(t, a)).alias(a) for a in attrs], attribute(t, "content").alias("content")))
+
+
+def meta_of(metas: str, attr: str, value: str) -> Column:
+    """content of the first of the column `metas` (made by `meta_fields`) whose `attr` is `value` ('' when absent)."""
+    return F.coalesce(F.get(F.filter(metas, lambda t: t[attr] == value.lower()), 0)["content"], F.lit(""))
 
 
 def text_of(fragment: Column) -> Column:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from murmur.session import ensure_checkpoint_dir, scratch_path
 
 LIST_KEYS = ("keyword", "source")
+#: Positions of a list that make a block of the two-level rank.
+BLOCK = 4096
 DEFAULT_LIMIT = 50          # contents per source per job
 # Search pages per list and source, comment pages per content, and comments per page and source; None
 # or 0 is no cap, the key None holds for all other sources.
@@ -59,9 +61,11 @@ def limit_per_list(cands: DataFrame, limit: int | str = DEFAULT_LIMIT, keys=LIST
         return cands
     w = Window.partitionBy(*keys).orderBy("pos")
     if isinstance(limit, str):       # a per-list limit column; 0 or NULL = unlimited
-        cap = F.col(limit)
-        return (cands.withColumn("rank", F.row_number().over(w))
-                .where(F.coalesce(cap, F.lit(0)).isin(0) | (F.col("rank") <= cap)))
+        cap = F.coalesce(F.col(limit), F.lit(0))
+        largest = cands.agg(F.max(cap)).first()[0] or 0
+        ranked = lambda df: df.withColumn("rank", F.row_number().over(w))
+        top = ranked(cands.where(cap != 0)).where(F.col("rank") <= largest).where(F.col("rank") <= F.col(limit))
+        return top.unionByName(ranked(cands.where(cap == 0)))
     return cands.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= limit)
 
 
@@ -131,6 +135,23 @@ def uncached(cands: DataFrame, cache: DataFrame, now_day: date, force: bool | st
     return keyed.where(~forced).join(live, "cache_key", "left_anti").unionByName(keyed.where(forced))
 
 
+def ranked_in_blocks(items: DataFrame, keys=LIST_KEYS, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Rank and running oldest `published_ts` of each list's items in `pos` order, as a prefix scan of two
+    levels: blocks of positions are counted and their oldest times taken (aggregates), offsets run over
+    blocks only, and each block is ranked on its own. Returns (items with `block`, `rank`, `oldest`; per
+    block its number of items, the items `before` it and their oldest time `low`)."""
+    k = list(keys)
+    items = items.withColumn("block", F.coalesce(F.floor(F.col("pos") / block).cast("long"), F.lit(-1)))
+    w = Window.partitionBy(*k).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = items.groupBy(*k, "block").agg(F.count(F.lit(1)).alias("n"), F.min("published_ts").alias("least")) \
+        .select(*k, "block", "n", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"), F.min("least").over(w).alias("low"))
+    inner = Window.partitionBy(*k, "block").orderBy("pos")
+    running = F.min("published_ts").over(inner.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = items.withColumn("_rank", F.row_number().over(inner)).withColumn("_oldest", running).join(blocks.drop("n"), [*k, "block"]) \
+        .withColumn("rank", F.col("_rank") + F.col("before")).withColumn("oldest", F.least("_oldest", "low"))
+    return ranked.drop("_rank", "_oldest", "before", "low"), blocks
+
+
 def select_candidates(jobs: DataFrame, cands: DataFrame, cache: DataFrame, now: datetime,
                       url_of=None, max_pages: int | dict | None = MAX_PAGES) -> DataFrame:
     """The keyword-job path as one plan: each list's repeat-page stop (F4) -> first
@@ -140,21 +161,22 @@ def select_candidates(jobs: DataFrame, cands: DataFrame, cache: DataFrame, now:
 
     `jobs` carry job_id, keyword, interval, force, limit and a `source` per requested source (the
     fan-out); `cands` carry keyword, source, content_id, published_ts, pos, page. F4 and F1 are worked
-    out per list, once, and each item gets its rank and the oldest time up to it; both job rules are
-    then conditions of the one join, which lets through only what is selected.
+    out per list, once, and each item gets its rank and the oldest time up to it, without a window over
+    a whole list. A job first meets the blocks of its lists that its rules reach, then the items of
+    these blocks, with both rules as conditions of the join.
     """
     from murmur.functions.times import window_start_col
     j = jobs.select("job_id", *LIST_KEYS, F.coalesce("force", F.lit(False)).alias("force"), F.coalesce("limit", F.lit(0)).alias("limit"),
                     window_start_col("interval", now).alias("cutoff"))
     seen = first_seen(stop_on_repeat_page(cands, max_pages), carry=("published_ts",))
-    w = Window.partitionBy(*LIST_KEYS).orderBy("pos")
-    ranked = seen.withColumn("rank", F.row_number().over(w)).withColumn(
-        "oldest", F.min("published_ts").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    ranked, blocks = ranked_in_blocks(seen)
+    cut = lambda before, low: ((F.col("limit") == 0) | (before < F.col("limit"))) & (low.isNull() | (low >= F.col("cutoff")))
+    j = j.join(blocks, list(LIST_KEYS)).where(cut(F.col("before"), F.col("low"))).drop("n", "before", "low")
     url = url_of(F.col("source"), F.col("content_id")) if url_of else \
         F.concat(F.lit("https://"), F.col("source"), F.lit(".example/read/"), F.col("content_id"))
     r, a = ranked.withColumn("url", url).alias("r"), j.alias("a")
-    same = [F.col(f"r.{k}") == F.col(f"a.{k}") for k in LIST_KEYS]
-    wanted = ((F.col("limit") == 0) | (F.col("rank") <= F.col("limit"))) & (F.col("oldest").isNull() | (F.col("oldest") >= F.col("cutoff")))
+    same = [F.col(f"r.{k}") == F.col(f"a.{k}") for k in (*LIST_KEYS, "block")]
+    wanted = cut(F.col("rank") - 1, F.col("oldest"))
     picked = a.join(r, [*same, wanted]).select("a.job_id", "r.keyword", "r.source", "content_id", "pos", "page", "rank", "published_ts", "force", "url")
     return uncached(picked, cache, now.date(), force="force")
 

@@ -172,16 +172,16 @@ def normalise_payload(raw: DataFrame) -> DataFrame:
 def page_meta(pages: DataFrame) -> DataFrame:
     """Head metadata, each with ordered fallbacks: title (og:title, <title>), author (author meta,
     article:author), publish time (article:published_time, date), article id (dtk:articleid), language."""
-    metas = H.tags(F.col("raw"), "meta")
-    of = lambda attr, name: H.meta_of(metas, attr, name)
-    published = py_or(of("property", "article:published_time"), of("name", "date"))
-    return pages.select(
+    of = lambda attr, name: H.meta_of("metas", attr, name)
+    read = pages.select("ingest_seq", "raw", H.meta_fields(F.col("raw"), "property", "name").alias("metas"))
+    read = read.select(
         "ingest_seq",
         py_or(of("property", "og:title"), H.title_text(F.col("raw"))).alias("title"),
         py_or(of("name", "author"), of("property", "article:author")).alias("author"),
-        published.alias("published_at"), parse_publish_time(published).alias("published_ts"),
+        py_or(of("property", "article:published_time"), of("name", "date")).alias("published_at"),
         of("name", "dtk:articleid").alias("article_id"),
         H.html_lang(F.col("raw")).alias("lang"))
+    return read.select("ingest_seq", "title", "author", "published_at", parse_publish_time(F.col("published_at")).alias("published_ts"), "article_id", "lang")
 
 
 #: Article id in a card's link: the last number of its path (fixed value).

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from murmur import schemas as S
+from murmur.session import scratch_path
 
 WAREHOUSE_KEYS = ("source", "source_id")
 
@@ -138,12 +139,20 @@ def new_rows(incoming: DataFrame, existing_keys: DataFrame, keys=WAREHOUSE_KEYS,
     return first_wins(incoming, keys, order_col, first.join(hits, k, "left_anti"))
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once under the shared checkpoint folder and read back, where a plan refers to it several times."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def insert_ignore(spark: SparkSession, incoming: DataFrame, table_path: str, schema: T.StructType,
                   keys=WAREHOUSE_KEYS, order_col: str = "raw_id") -> int:
     """Append the new rows to the table at `table_path`; returns the inserted count
-    (an `observe` metric of the write itself, no second pass). Running it twice inserts 0."""
+    (an `observe` metric of the write itself, no second pass). Running it twice inserts 0. The batch is
+    staged first, as finding its new rows reads it several times: pages are parsed once."""
     existing = read_or_empty(spark, table_path, schema)
-    rows = new_rows(incoming.select(*schema.fieldNames()), existing, keys, order_col)
+    rows = new_rows(staged(incoming.select(*schema.fieldNames()), "batch"), existing, keys, order_col)
     obs = Observation(f"insert_{uuid.uuid4().hex[:8]}")
     rows.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").partitionBy("source").parquet(table_path)
     return int(obs.get.get("n", 0))
