@@ -109,18 +109,22 @@ def _parity(elements: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _sets(words: int):
-    schema = pa.schema([("same", pa.binary()), ("elements", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+def _sets(words: int, of):
+    """(same, values): of each text's set the digest and what `of` makes of it."""
+    schema = pa.schema([("same", pa.binary()), ("values", pa.list_(pa.int64()))])
 
     def run(batches):
         for batch in batches:
             for _, _, buf, starts in chunks(batch.column(0)):
                 sets = shingle_sets(buf, starts, words)
-                yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
-                                                  pa.array([_parity(s) for s in sets], pa.list_(pa.int64()))], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array([_digest(s) for s in sets], pa.binary()), pa.array([of(s) for s in sets], pa.list_(pa.int64()))], schema=schema)
     return run
 
 
+def _signed(elements: np.ndarray) -> np.ndarray:
+    return elements.view(np.int64)
+
+
 VISITOR, RESIDENT, LEADER = 0, 1, 2
 
 
@@ -257,20 +261,23 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
         .select("element", "band", F.col("p.id").alias("a"), F.col("p.n").alias("na"), F.col("p.reach").alias("ra"))
     members = stored(lists.join(first, ["element", "band"]), "members")
 
-    wanted = stored(members.select("id").distinct().join(classes.select("id", "same", "doc_id"), "id"), "wanted")
-    sets = docs.join(small(wanted.select("doc_id").distinct()), "doc_id", "left_semi").select("text").transform(in_arrow, _sets(words), "same binary, elements array<long>, bits array<long>")
-    sets = stored(sets.join(small(wanted.select("same", "id")), "same").select("id", "elements", "bits"), "sets")
-    if sets.count() > wanted.count():  # rows repeated with one id
-        sets = stored(sets.dropDuplicates(["id"]), "sets")
+    def made(ids: DataFrame, of, name: str) -> DataFrame:
+        """(id, values) of these classes, made from the text of one of each class's rows."""
+        wanted = stored(ids.select("id").distinct().join(classes.select("id", "same", "doc_id"), "id"), "wanted")
+        out = docs.join(small(wanted.select("doc_id").distinct()), "doc_id", "left_semi").select("text").transform(in_arrow, _sets(words, of), "same binary, values array<long>")
+        out = stored(out.join(small(wanted.select("same", "id")), "same").select("id", F.col("values").alias(name)), name)
+        return stored(out.dropDuplicates(["id"]), name) if out.count() > wanted.count() else out  # rows repeated with one id
 
+    parity = made(members, _parity, "bits")
     # each set is compared with the first set of most of its blocks
     fits = (100 * F.least("na", "n") >= percent * F.greatest("na", "n")) & (percent * (F.col("na") + F.col("n")) <= (100 + percent) * F.least("ra", "reach"))
     pairs = members.where((F.col("id") != F.col("a")) & fits).groupBy("id", "n", "a", "na").agg(F.count("*").alias("c")).groupBy("id", "n").agg(F.max(F.struct("c", (-F.col("a")).alias("a"), "na")).alias("m"))
     pairs = stored(pairs.select((-F.col("m.a")).alias("a"), "m.na", F.col("id").alias("b"), F.col("n").alias("nb")), "pairs")
-    bits = lambda c: sets.select(F.col("id").alias(c), F.col("bits").alias(f"{c}_bits"))
+    bits = lambda c: parity.select(F.col("id").alias(c), F.col("bits").alias(f"{c}_bits"))
     apart = F.aggregate(F.zip_with("a_bits", "b_bits", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     pairs = stored(pairs.join(bits("b"), "b").join(bits("a"), "a").where(apart * (100 + percent) <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "na", "b", "nb"), "pairs")
     leaders = stored(pairs.select("a").distinct(), "leaders")
+    sets = made(pairs.select(F.col("a").alias("id")).union(pairs.select("b")), _signed, "elements")
     pairs = sets.select(F.col("id").alias("b"), F.col("elements").alias("eb")).join(small(pairs), "b") \
         .join(sets.select(F.col("id").alias("a"), F.col("elements").alias("ea")).join(small(leaders), "a", "left_semi"), "a")
     inter = F.col("na") - F.size("minus")
@@ -285,13 +292,14 @@ def jaccard_components(docs: DataFrame, words: int = 4, percent: int = 85, id_co
     main = rest.groupBy("element", "band", "comp").agg(F.count("*").alias("c")).groupBy("element", "band").agg(F.max(F.struct("c", "comp"))["comp"].alias("unit"))
     met = stored(rest.join(main, ["element", "band"]).select("unit", "id", "n", "comp").distinct(), "met")
     visit, stay = _in_blocks(met)
-    alive = stored(visit.unionByName(stay).join(sets.select("id", "bits"), "id").repartition("unit", "vb", "rb").sortWithinPartitions("unit", "vb", "rb")
+    alive = stored(visit.unionByName(stay).join(parity, "id").repartition("unit", "vb", "rb").sortWithinPartitions("unit", "vb", "rb")
                    .transform(in_arrow, _possible(percent), "unit long, id long").distinct(), "alive")
     visit, stay = _in_blocks(met.join(alive, ["unit", "id"], "left_semi"))
     none = F.array().cast("array<long>")
     answers = star.select(F.col("b").alias("id"), F.col("a").alias("leader"), "minus", "plus")
     stay = stay.join(answers, "id", "left").withColumn("leader", F.coalesce("leader", "id")).withColumn("minus", F.coalesce("minus", none)).withColumn("plus", F.coalesce("plus", none))
     lead = stay.select("unit", "vb", "rb", F.lit(LEADER).alias("kind"), F.col("leader").alias("id")).distinct().select("*", F.lit(0).cast("long").alias("comp"), F.lit(0).cast("long").alias("n"))
+    sets = made(visit.select("id").union(lead.select("id")), _signed, "elements")
     full = visit.unionByName(lead).join(sets.select("id", F.col("elements").alias("plus")), "id").withColumn("leader", F.col("id")).withColumn("minus", none)
     found = stay.unionByName(full).repartition("unit", "vb", "rb").sortWithinPartitions("unit", "vb", "rb").transform(in_arrow, _block_links(percent), "a long, b long")
 
