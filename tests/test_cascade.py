@@ -47,3 +47,12 @@ def test_calibration_is_monotone_and_bounded(spark):
     got = [r.p for r in ca.with_chance(points, model, "c", "p").orderBy("c").collect()]
     assert got == sorted(got) and abs(got[16] - 0.64) < 0.1
     assert ca.calibrate(rows.limit(0), "c", "right") is None
+
+
+def test_a_pandas_scorer_may_be_the_second_tier(spark, fitted):
+    """The word list answers where tier 1 is under the threshold (here always); without a listed word it does not."""
+    from murmur.operators.sentiment import classify_cascade, lexicon_fallback
+    model, _ = fitted
+    rows = spark.createDataFrame([(1, "good great bad"), (2, "nothing listed"), (3, "bad")], "id int, content string")
+    out = {r.id: (r.sentiment, r.engine) for r in classify_cascade(model.bulk, rows, threshold=1.1, fallback=lexicon_fallback).collect()}
+    assert out == {1: ("positive", "fallback"), 2: (None, "fallback"), 3: ("negative", "fallback")}

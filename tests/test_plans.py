@@ -8,9 +8,8 @@ from murmur.plans.catalog import QUERIES
 from tests.conftest import SF_SMALL
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "PythonUDF")
-# Python workers are expected only where HTML text, JSON without depth bound or a model needs them (C2, C17, K1), and in streams.
-PYTHON_OK = {"extract_articles", "source_registry_union", "clean_contents", "comments_with_parent", "opinions_view", "run_totals", "json_deep_find",
-             "classify_cascade", "train_bulk_model"}
+# Python workers are expected only where HTML text or JSON without depth bound needs them (C2, C17), and in streams.
+PYTHON_OK = {"extract_articles", "source_registry_union", "clean_contents", "comments_with_parent", "opinions_view", "run_totals", "json_deep_find"}
 RUNS_STREAM = {k for k in QUERIES if k.startswith("stream_")} | {"job_stream_decode", "json_dir_to_messages",
                                                                         "ttl_dedupe"}
 
