@@ -25,7 +25,8 @@ BATCH_BYTES = 8 << 20
 
 def in_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
     """`mapInArrow` with batches of bounded bytes, so that long rows do not add up; for
-    `DataFrame.transform`."""
+    `DataFrame.transform`. Where the session has the default it is set to `BATCH_BYTES` and stays so, as
+    the plan reads it when it runs; a session's own value is kept."""
     conf = df.sparkSession.conf
     if conf.get(BATCH) == "67108864b":  # the default
         conf.set(BATCH, str(BATCH_BYTES))
