@@ -1,5 +1,5 @@
 """Candidate selection: first-seen dedupe (F1), per-job cap (F2), take-while cutoff (F3),
-repeat-page stop (F4), comment cap (F5), cache anti-join (D1) and greedy TTL suppression (J3).
+repeat-page stop (F4), comment cap (F5), cache anti-join (D1); greedy TTL suppression (J3) is in `ttl`.
 
 A candidate list is identified by (keyword, source) and ordered by `pos` (page, position on page).
 The list-level rules are built from aggregates plus joins rather than windows over whole lists, so
@@ -8,13 +8,12 @@ a hot list is reduced map-side (partial aggregation) instead of being sorted ins
 
 from __future__ import annotations
 
-import uuid
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.session import ensure_checkpoint_dir, scratch_path
+from murmur.operators.ttl import ttl_dedupe  # noqa: F401
 
 LIST_KEYS = ("keyword", "source")
 #: Positions of a list that make a block of the two-level rank.
@@ -179,69 +178,3 @@ def select_candidates(jobs: DataFrame, cands: DataFrame, cache: DataFrame, now:
     wanted = cut(F.col("rank") - 1, F.col("oldest"))
     picked = a.join(r, [*same, wanted]).select("a.job_id", "r.keyword", "r.source", "content_id", "pos", "page", "rank", "published_ts", "force", "url")
     return uncached(picked, cache, now.date(), force="force")
-
-
-def ttl_dedupe(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: str,
-               force_col: str | None = None) -> DataFrame:
-    """J3 (batch): in (ts, tiebreak) order, accept an event when it is forced or at least
-    `ttl_days` after the key's last accepted event; every acceptance renews the TTL (greedy, as an
-    expiring cache with a `force` override behaves: skipped events do not renew it).
-
-    Time is cut into TTL-wide blocks from the earliest event. Inside one block a key can accept at
-    most one unforced event - the first at or after its carried threshold and before the block's
-    first forced event - while every forced event is accepted; the next threshold is (last forced
-    in the block, else that unforced event) + TTL. So each round is a join with the carried
-    thresholds and `min` aggregates (partial aggregation map-side) for all keys at once; no key's
-    events are ever gathered in one task. Rounds = blocks in the time span (span / TTL), not rows.
-
-    IO stays linear: the events are written once, partitioned by block, to the shared checkpoint
-    folder, and round b reads only partition b. Accepted rows are appended per round to an output
-    table; the per-key carry (one row per key) is checkpointed each round to cut lineage.
-    """
-    accepted, _ = ttl_rounds(events, key, ts, ttl_days, tiebreak, force_col)
-    return accepted
-
-
-def ttl_rounds(events: DataFrame, key: str, ts: str, ttl_days: int, tiebreak: str,
-               force_col: str | None = None, carry: DataFrame | None = None):
-    """The block rounds behind `ttl_dedupe`. `carry` = (key, _thr) thresholds from earlier input
-    (a stream's previous micro-batches). Returns (accepted rows, carried thresholds after the input):
-    those that can still reject an event after the input's last block."""
-    spark = events.sparkSession
-    ensure_checkpoint_dir(spark)
-    bounds = events.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    if bounds is None or bounds["lo"] is None:
-        return events.select(key, ts, tiebreak).limit(0), carry if carry is not None else events.select(key, F.col(ts).alias("_thr")).limit(0)
-    lo, hi = bounds["lo"], bounds["hi"]
-    n_blocks = int((hi - lo).total_seconds() // (ttl_days * 86400)) + 1
-    lo_lit = F.expr(f"TIMESTAMP_NTZ '{lo:%Y-%m-%d %H:%M:%S.%f}'")
-    width_us = ttl_days * 86400 * 1_000_000
-    base = scratch_path(spark, f"ttl_dedupe/{uuid.uuid4().hex[:12]}")
-    forced = F.coalesce(F.col(force_col), F.lit(False)) if force_col else F.lit(False)
-    (events.select(key, ts, tiebreak, forced.alias("_force"),
-                   F.floor(F.timestamp_diff("MICROSECOND", lo_lit, F.col(ts)) / F.lit(width_us)).cast("int").alias("_block"))
-     .write.partitionBy("_block").parquet(f"{base}/events"))
-    staged = spark.read.parquet(f"{base}/events")
-    ttl = F.expr(f"INTERVAL {int(ttl_days)} DAYS")
-    order = lambda: F.struct(F.col(ts).alias("t"), F.col(tiebreak).alias("tb"))
-    for b in range(n_blocks):
-        eb = staged.where(F.col("_block") == b).drop("_block")           # partition pruning
-        fb = (eb.where("_force").groupBy(key)
-              .agg(F.min(order()).alias("_f1"), F.max(F.col(ts)).alias("_flast")))
-        free = eb.where(~F.col("_force")).join(fb.select(key, "_f1"), key, "left")
-        free = free.where(F.col("_f1").isNull() | (order() < F.col("_f1")))
-        if carry is not None:
-            free = (free.join(carry, key, "left")
-                    .where(F.col("_thr").isNull() | (F.col(ts) >= F.col("_thr"))))
-        first_free = (free.groupBy(key).agg(F.min(order()).alias("_a"))
-                      .select(key, F.col("_a.t").alias(ts), F.col("_a.tb").alias(tiebreak)))
-        acc = first_free.unionByName(eb.where("_force").select(key, ts, tiebreak))
-        acc.write.mode("overwrite").parquet(f"{base}/accepted/_round={b}")
-        last = (spark.read.parquet(f"{base}/accepted/_round={b}")
-                .groupBy(key).agg((F.max(ts) + ttl).alias("_new")))
-        carry = (last.withColumnRenamed("_new", "_thr") if carry is None else
-                 carry.join(last, key, "full").select(key, F.coalesce("_new", "_thr").alias("_thr")))
-        # a threshold at or before the block's end (the input's, for the last) cannot reject a later event
-        end = lo_lit + F.expr(f"INTERVAL {int(ttl_days) * (b + 1)} DAYS") if b < n_blocks - 1 else F.lit(hi)
-        carry = carry.where(F.col("_thr") > end).checkpoint(eager=True)
-    return spark.read.parquet(f"{base}/accepted").drop("_round"), carry

@@ -1,81 +1,153 @@
-"""J3 (stream): keyed TTL suppression - in event-time order, accept an event when it is forced or
-at least TTL after the key's last accepted event (greedy, like an expiring cache; skipped events do
-not renew the TTL, forced ones do).
-
-The rule depends on event-time order, so events wait until the watermark (the newest time seen less
-the declared lateness) has passed them; then all of them up to it are judged in order by the batch
-block rounds (`candidates.ttl_rounds`), seeded with the thresholds carried so far, and no key's
-events are gathered in one task. Events that arrive behind the watermark are kept in a `late` table.
-So the stream accepts what the batch form accepts, however files and batches cut the input, as long
-as no event is later than declared. The state (thresholds and waiting events) is one version per
-batch: a replayed batch starts from the version before it, and versions before that are not read
-again. A threshold at or before the watermark cannot reject anything any more and is dropped.
+"""J3 (stream): keyed TTL suppression with one state per key - in event-time order, accept an event
+when it is forced or at least TTL after the key's last accepted event (greedy, like an expiring cache;
+skipped events do not renew the TTL, forced ones do).
+
+The rule depends on event-time order, so a key's events wait in its state until the watermark (the
+newest time seen less the declared lateness) has passed them. A timer at the earliest of them then
+judges, in order, all that the watermark has passed. The state is that of `transformWithState`: the
+waiting events (those of the last `lateness` of one key) and one threshold, which is cleared by a timer
+once it cannot reject anything any more, so keys that are gone leave nothing behind.
+Each judged event is written with its decision.
+
+Events behind the watermark are dropped by the state operator, and those newer than it still wait when
+the input ends. `reconcile` judges both in batch, from the archive of all events: per key from its
+earliest unjudged event on, seeded with what was accepted before. So the result is what the batch form
+gives, however late events come and however files and batches cut the input; lateness decides only
+how much the stream has judged by itself.
 """
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-from murmur.operators.candidates import ttl_rounds
-from murmur.streaming.common import new_location, read_batches, run_available, table_stream, write_batch
-
-OUT_SCHEMA = "user_id long, ts timestamp_ntz, event_id long"
-THRESHOLDS = "user_id long, _thr timestamp_ntz"
-WAITING = "user_id long, event_id long, ts timestamp_ntz, force boolean"
-MARK = "mark timestamp_ntz"
-
-
-def _version(state: str, batch_id: int, part: str) -> str:
-    return f"{state}/{part}/v={batch_id}"
-
-
-def _state(spark: SparkSession, state: str, batch_id: int, part: str, schema: str) -> DataFrame:
-    """One part of the state that batch `batch_id` wrote (empty before the first batch)."""
-    return spark.read.schema(schema).parquet(_version(state, batch_id, part)) if batch_id >= 0 else spark.createDataFrame([], schema)
-
-
-def _judge(rows: DataFrame, thresholds: DataFrame, mark: datetime | None, ttl_days: int):
-    accepted, carry = ttl_rounds(rows, "user_id", "ts", ttl_days, "event_id", "force", carry=thresholds)
-    return accepted.select("user_id", "ts", "event_id"), carry if mark is None else carry.where(F.col("_thr") > F.lit(mark))
-
-
-def ttl_batch(state: str, out: str, late: str, ttl_days: int, lateness_days: float):
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = batch_id - 1
-        old = _state(spark, state, before, "mark", MARK).first()
-        old = old[0] if old else None
-        newest = batch.agg(F.max("ts")).first()[0]
-        mark = max([t for t in (old, newest and newest - timedelta(days=lateness_days)) if t], default=None)
-        behind = F.lit(False) if old is None else F.col("ts") < F.lit(old)
-        write_batch(batch.where(behind), late, batch_id)
-        waiting = _state(spark, state, before, "waiting", WAITING).unionByName(batch.where(~behind))
-        ready = F.lit(False) if mark is None else F.col("ts") < F.lit(mark)
-        thresholds = _state(spark, state, before, "thresholds", THRESHOLDS)
-        accepted, carry = _judge(waiting.where(ready), thresholds, mark, ttl_days)
-        write_batch(accepted, out, batch_id)
-        for part, df in (("waiting", waiting.where(~ready)), ("thresholds", carry), ("mark", spark.createDataFrame([(mark,)], MARK))):
-            df.write.mode("overwrite").parquet(_version(state, batch_id, part))
-    return fn
-
-
-def run_ttl_dedupe(spark: SparkSession, sf_dir: str, ttl_days: int = 7, force: Column | None = None, events: DataFrame | None = None,
-                   lateness_days: float = 31, out: str | None = None, max_files: int = 1) -> DataFrame:
-    """Accepted events of all input there is now; at its end the events still waiting are judged too."""
-    out, late = out or new_location(spark, "tables", "ttl_dedupe"), new_location(spark, "tables", "ttl_late")
-    state = new_location(spark, "state", "ttl_dedupe")
-    last = [-1]
-    step = ttl_batch(state, out, late, ttl_days, lateness_days)
-
-    def fn(batch: DataFrame, batch_id: int) -> None:
-        step(batch, batch_id)
-        last[0] = max(last[0], batch_id)
-    src = events if events is not None else table_stream(spark, sf_dir, "events", max_files)
-    src = src.select("user_id", "event_id", "ts", (force if force is not None else F.lit(False)).alias("force"))
-    run_available(src, fn, "ttl_dedupe")
-    rest, _ = _judge(_state(spark, state, last[0], "waiting", WAITING), _state(spark, state, last[0], "thresholds", THRESHOLDS), None, ttl_days)
-    write_batch(rest, out, last[0] + 1)
-    return read_batches(spark, out, OUT_SCHEMA).drop("batch_id")
+from pyspark.sql.streaming import StatefulProcessor
+
+from murmur.operators.ttl import ttl_dedupe
+from murmur.sources.tables import read_table
+from murmur.streaming.common import new_location, ntz_as_instant, read_batches, run_available, write_batch
+
+JUDGED = "user_id long, event_id long, at long, accepted boolean"
+ID = ("user_id", "event_id", "ts")
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class Expiry(StatefulProcessor):
+    """State of a key: its threshold and the events the watermark has not passed (times in microseconds)."""
+
+    def __init__(self, ttl: int):
+        self.ttl = ttl
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.threshold = handle.getValueState("threshold", "at long")
+        self.waiting = handle.getListState("waiting", "at long, event_id long, force boolean")
+
+    def handleInputRows(self, key, rows, timerValues):
+        first = None
+        for pdf in rows:
+            self.waiting.appendList(list(pdf[["at", "event_id", "force"]].itertuples(index=False, name=None)))
+            first = min(x for x in (first, int(pdf["at"].min())) if x is not None)
+        if first is not None:
+            self.handle.registerTimer(_ms(first))
+        yield pd.DataFrame({"user_id": [], "event_id": [], "at": [], "accepted": []})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        events = sorted((int(at), int(event_id), bool(force)) for at, event_id, force in self.waiting.get())
+        due = [e for e in events if e[0] <= passed]
+        held = self.threshold.get()
+        threshold = int(held[0]) if held else None
+        accepted = []
+        for at, _, force in due:
+            accepted.append(force or threshold is None or at >= threshold)
+            if accepted[-1]:
+                threshold = at + self.ttl
+        if due:
+            rest = events[len(due):]
+            if rest:
+                self.waiting.put(rest)
+                self.handle.registerTimer(_ms(rest[0][0]))
+            else:
+                self.waiting.clear()
+        if threshold is not None and threshold <= passed:
+            self.threshold.clear()
+        elif any(accepted):
+            self.threshold.update((threshold,))
+            if len(due) == len(events):  # else the timer of the waiting events comes
+                self.handle.registerTimer(_ms(threshold))
+        yield pd.DataFrame({"user_id": [key[0]] * len(due), "event_id": [e[1] for e in due], "at": [e[0] for e in due], "accepted": accepted})
+
+    def close(self) -> None:
+        pass
+
+
+def _ms(micros: int) -> int:
+    """The first millisecond by which this time has passed."""
+    return -(-micros // 1000)
+
+
+def judge_stream(events: DataFrame, out: str, ttl_days: float, lateness_days: float, checkpoint: str | None = None) -> DataFrame:
+    """Judge a stream of (user_id, event_id, ts, force) as far as its watermark goes: (user_id, event_id, ts,
+    accepted), one folder of `out` for each micro-batch. Rows without a key or time are left to `reconcile`."""
+    spark = events.sparkSession
+    rows = events.where("user_id is not null and ts is not null").select(
+        "user_id", "event_id", F.coalesce("force", F.lit(False)).alias("force"),
+        F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("ts")).alias("at"))
+    rows = rows.withColumn("seen", F.timestamp_micros("at")).withWatermark("seen", f"{round(lateness_days * 86400)} seconds")
+    judged = rows.groupBy("user_id").transformWithStateInPandas(Expiry(round(ttl_days * 86_400_000_000)), JUDGED, "Append", "EventTime")
+    old = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)  # keyed state with timers needs it; a query keeps what it started with
+    try:
+        run_available(judged, lambda batch, batch_id: write_batch(batch, out, batch_id), "ttl_dedupe", checkpoint)
+    finally:
+        spark.conf.set(PROVIDER, old) if old else spark.conf.unset(PROVIDER)
+    at = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, CAST(at AS DECIMAL(20, 0)) / 1000000)")
+    return read_batches(spark, out, JUDGED).select("user_id", "event_id", at.alias("ts"), "accepted")
+
+
+def reconcile(archive: DataFrame, judged: DataFrame, ttl_days: float) -> DataFrame:
+    """Accepted events (user_id, ts, event_id) of `archive` (user_id, event_id, ts, force), of which the
+    stream has judged some in time order. Rows are compared as a bag, so repeated rows count."""
+    both = archive.select(*ID, F.lit(1).alias("n")).unionByName(judged.select(*ID, F.lit(-1).alias("n")))
+    open_ = both.where("ts is not null").groupBy(*ID).agg(F.sum("n").alias("n")).where("n > 0")
+    start = open_.groupBy(F.col("user_id").alias("_key")).agg(F.min("ts").alias("_start"))
+    same = F.col("user_id").eqNullSafe(F.col("_key"))
+    kept = judged.where("accepted").join(start, same, "left").where("_start is null or ts < _start")
+    rest = archive.join(start, same).where("ts >= _start").drop("_key", "_start")
+    carry = kept.where("_start is not null").groupBy("user_id").agg((F.max("ts") + F.expr(f"INTERVAL '{round(ttl_days * 86400)}' SECOND")).alias("_thr"))
+    return kept.select("user_id", "ts", "event_id").unionByName(ttl_dedupe(rest, "user_id", "ts", ttl_days, "event_id", "force", carry))
+
+
+def arriving(events: DataFrame, days: int) -> DataFrame:
+    """A file stream of the events as they would arrive: a folder of files for every `days` days, written one
+    after the other (a stream reads files in the order of their times). Rows without a time come first."""
+    spark = events.sparkSession
+    path = new_location(spark, "tables", "arriving")
+    span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
+    cuts = [] if span.lo is None else [span.lo + timedelta(days=k) for k in range(days, (span.hi - span.lo).days + 1, days)]
+    lit = lambda t: F.lit(t).cast("timestamp_ntz")
+    low = [None, *cuts]
+    for k, (a, b) in enumerate(zip(low, [*cuts, None])):
+        part = events.where(F.lit(True) if a is None else F.col("ts") >= lit(a)).where(F.lit(True) if b is None else F.col("ts").isNull() | (F.col("ts") < lit(b)))
+        part.write.parquet(f"{path}/part={k:05d}")
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/part=*")
+
+
+def run_ttl_dedupe(spark: SparkSession, sf_dir: str, ttl_days: float = 7, force: Column | None = None, events: DataFrame | None = None,
+                   archive: DataFrame | None = None, lateness_days: float = 5, out: str | None = None, chunk_days: int = 10) -> DataFrame:
+    """Accepted events of all input there is now. Without `events`, the events table arrives `chunk_days` days at
+    a time. `archive` is the batch form of the stream's rows; without it a second run of the source keeps them."""
+    flag = (force if force is not None else F.lit(False)).alias("force")
+    if events is None:
+        archive = read_table(spark, sf_dir, "events")
+        events = arriving(archive.select("user_id", "event_id", "ts"), chunk_days)
+    elif archive is None:
+        kept = new_location(spark, "tables", "ttl_archive")
+        run_available(events.select(*ID), lambda batch, batch_id: write_batch(batch, kept, batch_id), "ttl_archive")
+        archive = read_batches(spark, kept, "user_id long, event_id long, ts timestamp_ntz")
+    judged = judge_stream(events.select(*ID, flag), out or new_location(spark, "tables", "ttl_dedupe"), ttl_days, lateness_days)
+    return reconcile(archive.select(*ID, flag), judged, ttl_days)

@@ -2,6 +2,7 @@
 pruned, per-group top-k is limited map-side; stream replays are idempotent."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from murmur.plans.catalog import QUERIES
@@ -113,13 +114,13 @@ def test_streams_over_directory_tables_equal_their_oracle(spark, duck, tmp_path)
 
 
 def test_ttl_stream_out_of_order_and_late(spark, tmp_path):
-    """Files out of time order give what the batch form gives; behind the watermark a row is late."""
+    """Files out of time order give what the batch form gives; a row behind the watermark is reconciled."""
     import time
     from datetime import datetime
 
     from murmur.operators import candidates as cd
     from murmur.streaming.common import read_batches
-    from murmur.streaming.dedupe import OUT_SCHEMA, run_ttl_dedupe
+    from murmur.streaming.dedupe import JUDGED, run_ttl_dedupe
     schema = "user_id long, event_id long, ts timestamp_ntz"
     day = lambda d: datetime(2024, 1, d)
     files = [[(1, 1, day(1)), (2, 2, day(12))], [(1, 3, day(4))], [(1, 4, day(9)), (2, 5, day(13))]]
@@ -131,9 +132,60 @@ def test_ttl_stream_out_of_order_and_late(spark, tmp_path):
         src = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(*[str(tmp_path / "f[0-9]")])
         return sorted(r.event_id for r in run_ttl_dedupe(spark, "", 7, events=src, lateness_days=lateness, out=out).collect())
     rows = spark.createDataFrame(sum(files, []), schema)
+    judged = lambda out: sorted((r.event_id, r.accepted) for r in read_batches(spark, str(tmp_path / out), JUDGED).collect())
     assert run(31, str(tmp_path / "a")) == sorted(r.event_id for r in cd.ttl_dedupe(rows, "user_id", "ts", 7, "event_id").collect()) == [1, 2, 4]
-    assert run(2, str(tmp_path / "b")) == [1, 2]     # days 4 and 9 come behind the watermark: late
-    assert read_batches(spark, str(tmp_path / "b"), OUT_SCHEMA).count() == 2
+    assert judged("a") == []                         # the watermark passes nothing: all is judged at the end
+    assert run(2, str(tmp_path / "b")) == [1, 2, 4]  # day 9 comes behind the watermark and is reconciled
+    assert judged("b") == [(1, True), (3, False)]
+
+
+def test_ttl_stream_judges_most_events_in_micro_batches(spark, tmp_path):
+    """The registered query: most events are judged by the stream, with the decisions of the batch form."""
+    from murmur.sources.tables import read_table
+    from murmur.streaming.common import read_batches
+    from murmur.streaming.dedupe import JUDGED, run_ttl_dedupe
+    out = str(tmp_path / "judged")
+    got = {r.event_id for r in run_ttl_dedupe(spark, SF_SMALL, 7, out=out).collect()}
+    judged = read_batches(spark, out, JUDGED).collect()
+    n = read_table(spark, SF_SMALL, "events").count()
+    assert n * 0.7 < len(judged) < n and len({r.event_id for r in judged}) == len(judged)
+    assert {r.event_id for r in judged if r.accepted} <= got
+    assert not {r.event_id for r in judged if not r.accepted} & got
+
+
+def test_ttl_reconcile_bags_null_keys_and_late_rows(spark):
+    """Rows without a key, repeated rows and rows between judged ones are judged from the archive."""
+    from datetime import datetime
+
+    from murmur.streaming.dedupe import reconcile
+    day = lambda d: datetime(2024, 1, d)
+    archive = spark.createDataFrame([(1, 1, day(1), False), (1, 2, day(5), False), (1, 3, day(9), False), (1, 9, day(20), False), (None, 4, day(1), False),
+                                     (None, 5, day(3), False), (2, 6, day(2), True), (2, 6, day(2), True), (2, 7, None, False)],
+                                    "user_id long, event_id long, ts timestamp_ntz, force boolean")
+    judged = spark.createDataFrame([(1, 1, day(1), True), (1, 3, day(9), True), (2, 6, day(2), True)],
+                                   "user_id long, event_id long, ts timestamp_ntz, accepted boolean")
+    rows = lambda df, ttl: sorted((r.user_id or 0, r.event_id) for r in reconcile(archive, df, ttl).collect())
+    assert rows(judged, 4) == rows(judged.limit(0), 4) == [(0, 4), (1, 1), (1, 2), (1, 3), (1, 9), (2, 6), (2, 6)]
+    assert rows(judged, 7) == rows(judged.limit(0), 7) == [(0, 4), (1, 1), (1, 3), (1, 9), (2, 6), (2, 6)]
+
+
+def test_ttl_pointer_jumping_rounds(spark):
+    """A TTL of an hour over a month takes at most twelve rounds, hot key and forced events included."""
+    import random
+    from datetime import datetime, timedelta
+
+    from murmur.operators.ttl import ttl_chain
+    from tests.test_properties import greedy
+    rnd = random.Random(5)
+    t0 = datetime(2024, 1, 1)
+    events = [(t0 + timedelta(seconds=rnd.randrange(0, 30 * 86400, 600)), i, rnd.choice([None, 1, 1, 2]), rnd.random() < 0.002) for i in range(4000)]
+    df = spark.createDataFrame(events, "ts timestamp_ntz, id long, k long, f boolean")
+    out, rounds = ttl_chain(df.withColumn("key", F.lit("x")).withColumn("block", F.lit(1)), "k", "ts", 1 / 24, "id", "f")
+    assert sorted(r.id for r in out.collect()) == greedy(events, timedelta(hours=1)) and rounds <= 12
+    assert out.columns == ["k", "ts", "id"]
+    assert ttl_chain(df.limit(0), "k", "ts", 1, "id", "f")[0].count() == 0
+    with pytest.raises(ValueError):
+        ttl_chain(df, "k", "ts", 0, "id")
 
 
 def test_jobs_meet_reduced_lists(spark):
