@@ -112,6 +112,36 @@ def q_opinion_rollup(spark, d):
     return an.opinion_rollup(fx.opinions(spark, d))
 
 
+def _kept(spark, d):
+    """The opinions' daily aggregates, kept half by half; days in the middle are kept again."""
+    from murmur.operators import kept as kp
+    from murmur.streaming.common import new_location
+    op, base = fx.opinions(spark, d), new_location(spark, "tables", "kept")
+    middle = date(2024, 1, 15)
+    kp.keep(op.where(F.col("day") <= F.lit(middle)), base)
+    kp.keep(op.where(F.col("day") >= F.lit(middle)), base)
+    return kp.kept(spark, base)
+
+
+@register("kept_headline")
+def q_kept_headline(spark, d):
+    from murmur.operators import kept as kp
+    return kp.headline(_kept(spark, d), window="30d", today=TODAY)
+
+
+@register("kept_compare")
+def q_kept_compare(spark, d):
+    from murmur.operators import kept as kp
+    return kp.compare(_kept(spark, d))
+
+
+@register("kept_serving")
+def q_kept_serving(spark, d):
+    from murmur.operators import kept as kp
+    rows = kp.serving(_kept(spark, d), "keyword", "source", "day", "sentiment", since=date(2024, 1, 8), until=date(2024, 1, 21))
+    return _fmt_day(rows.drop("opinions", "contents"))
+
+
 @register("sentiment_shift_alert")
 def q_sentiment_shift_alert(spark, d):
     return _fmt_day(an.sentiment_shift_alert(fx.opinions(spark, d), label="negative", threshold=0.20, min_n=10))

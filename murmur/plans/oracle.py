@@ -142,6 +142,12 @@ ORACLE["opinion_rollup"] = f"""{W('v_opinions')}
 SELECT keyword, source, count(*) AS n, CAST(GROUPING(keyword, source) AS BIGINT) AS level
 FROM v_opinions GROUP BY ROLLUP (keyword, source)"""
 
+ORACLE["kept_headline"] = ORACLE["sentiment_headline"]
+ORACLE["kept_compare"] = ORACLE["compare_keywords"]
+ORACLE["kept_serving"] = f"""{W('v_opinions')}
+SELECT keyword, source, {_day()} AS day, sentiment, count(*) AS n, round(avg(confidence), 6) AS avg_confidence FROM v_opinions
+WHERE day BETWEEN DATE '2024-01-08' AND DATE '2024-01-21' GROUP BY keyword, source, day, sentiment"""
+
 ORACLE["sentiment_shift_alert"] = f"""{W('v_opinions')},
 d AS (SELECT keyword, day, count(*) AS n, count_if(sentiment = 'negative') AS n_label FROM v_opinions GROUP BY keyword, day),
 s AS (SELECT keyword, day, n, n_label / n AS share,
