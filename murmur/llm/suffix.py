@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import BROADCAST_ROWS, in_arrow, stored
+from murmur.llm.common import BROADCAST_ROWS, in_arrow, small, stored
 from murmur.llm.textbytes import U64, chunks, hashes, mix, prefix_sums
 
 SPAN, GRAM = 200, 100
@@ -307,11 +307,18 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
     crowd = stored(crowd.select("gram", F.when(F.col("c") > SPLIT[1][0], SPLIT[1][1]).otherwise(SPLIT[0][1]).alias("parts")), "crowd")
     several = several.join(crowd, "gram", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
 
+    # of rows repeated with one id, one stands for all: their contexts are the same
+    copies = stored(docs.groupBy(*key).count().where("count > 1").select(*key), "copies")
+    single = docs
+    if not copies.isEmpty():
+        copies = small(copies)
+        single = docs.join(copies, key, "left_anti").unionByName(docs.join(copies, key, "left_semi").dropDuplicates(key))
+
     def placed(rows: DataFrame, few: bool) -> DataFrame:
         """Texts with the anchors of `rows` in them."""
         listed = rows.groupBy("at.id", "at.h").agg(F.collect_list(F.struct(F.col("at.place").alias("place"), "gram", "context", "parts")).alias("anchors"))
         listed = stored(listed, "listed")
-        return docs.join(F.broadcast(listed) if few else listed, key).select("text", "anchors")
+        return single.join(F.broadcast(listed) if few else listed, key).select("text", "anchors")
     parts = placed(several.where("parts > 0"), contexts.where("several").count() <= many) \
         .transform(in_arrow, _contexts(span, gram), "part long, kind int, gram long, context long, left int, right int, data binary")
     extended = parts.repartition("part", "kind").sortWithinPartitions("part", "kind").transform(in_arrow, _extend(span, gram), "gram long, context long, before long, after long")
@@ -325,7 +332,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, id_col:
     twice = contexts.where("n > 1").select("gram", "context", before.alias("before"), "after").where(F.col("before") + F.col("after") >= span)
     reach = stored(twice.union(extended).groupBy("gram", "context").agg(F.max("before").alias("before"), F.max("after").alias("reach")), "reach")
     covered = repeated.join(reach, ["gram", "context"]).select(*key, F.struct((F.col("place") - F.col("before")).alias("s"), (F.col("place") + F.col("reach")).alias("e")).alias("span"))
-    runs = covered.groupBy(*key).agg(F.collect_list("span").alias("spans")).transform(in_arrow, _unite, "id long, h long, removed array<struct<start:bigint,end:bigint>>")
+    runs = covered.groupBy(*key).agg(F.collect_set("span").alias("spans")).transform(in_arrow, _unite, "id long, h long, removed array<struct<start:bigint,end:bigint>>")
     runs = stored(runs, "runs")
     size = runs.agg(F.sum(F.size("removed"))).first()[0] or 0
     out = docs.join(F.broadcast(runs) if size <= many else runs, key, "left").select("doc_id", "text", "removed")

@@ -189,6 +189,27 @@ def test_remove_repeats_repeated_rows_and_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], DOC)).collect() == []
 
 
+def test_remove_repeats_many_copies_of_one_row(spark, monkeypatch):
+    """Rows repeated with one id (or none) reach the later stages once, and a text's spans are collected once."""
+    unite = suffix._unite
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh ") for _ in range(400))
+    shared = word()
+    texts = [shared + word()] * 40 + [word() + shared[20:]] + [word()] * 30
+    ids = [7] * 40 + [8] + [None] * 30
+    sizes = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        batches = list(batches)
+        sizes.add(sum(len(x) for b in batches for x in b.column(2)))
+        yield from unite(iter(batches))
+    monkeypatch.setattr(suffix, "_unite", counted)
+    got = remove_repeats(docs(spark, texts, ids)).collect()
+    want = brute_removed(texts, 200)
+    assert sorted(((r.doc_id or 0, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got)) == sorted((i or 0, *w) for i, w in zip(ids, want))
+    assert 0 < sizes.value <= 3 * 800  # not 40 times as many
+
+
 def test_intervals_of_a_small_suffix_array():
     # suffixes with common prefixes 3, 1, 2, 0: the tree of "longer inside shorter"
     assert sorted(suffix.intervals([0, 3, 1, 2, 0], 1)) == [(1, 0, 3), (2, 2, 3), (3, 0, 1)]
