@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.session import scratch_path
+from murmur.session import bound_batches, scratch_path
 
 #: Rows (of a few longs each) up to which a counted side is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
@@ -18,18 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Bytes of an Arrow batch that operators ask for where the session has no setting of its own.
-BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-BATCH_BYTES = 8 << 20
-
-
 def in_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
-    """`mapInArrow` with batches of bounded bytes, so that long rows do not add up; for
-    `DataFrame.transform`. Where the session has the default it is set to `BATCH_BYTES` and stays so, as
-    the plan reads it when it runs; a session's own value is kept."""
-    conf = df.sparkSession.conf
-    if conf.get(BATCH) == "67108864b":  # the default
-        conf.set(BATCH, str(BATCH_BYTES))
+    """`mapInArrow` with batches of bounded bytes (`bound_batches`); for `DataFrame.transform`."""
+    bound_batches(df.sparkSession)
 
     def run(batches):
         yield from fn(batches)

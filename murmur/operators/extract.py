@@ -22,6 +22,7 @@ from murmur.functions.json import name_or_text, payload, vget, vstr
 from murmur.functions.text import first_nonblank
 from murmur.functions.times import epoch_to_ntz, parse_publish_time
 from murmur.functions.urls import absolute, first_segment, video_id
+from murmur.session import bound_batches
 
 CONTENT_OUT = ["source_id", "source", "keyword", "url", "content_id", "title", "author", "media", "content",
                "published_at", "raw_id"]
@@ -134,28 +135,40 @@ ARTICLE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in CONTENT
                               + [T.StructField("raw_id", T.LongType())])
 
 
+#: Pages parsed between two outputs of the Python stage.
+PAGES = 64
+
+
 def _articles_batch(batches):
     for pdf in batches:
-        out = []
-        for r in pdf.itertuples(index=False):
-            layout = ARTICLE_LAYOUT.get(r.source, DEFAULT_LAYOUT)
-            sel = {k: layout[k] for k in ("body", "author", "body_else") if k in layout}
-            texts, metas = H.scoped_texts_and_metas(r.raw, sel)
-            body = texts["body"] or texts.get("body_else", "")
-            title = metas.get(("property", layout.get("title_meta"))) or r.title or ""
-            author = texts["author"] if "author" in layout else metas.get(("name", layout["author_meta"])) or ""
-            out.append((r.content_id or r.url or "", r.source, r.keyword, r.url or "", r.content_id or "", title,
-                        author, r.media or "", body, r.published_at or "", r.ingest_seq))
-        yield pd.DataFrame(out, columns=CONTENT_OUT)
+        for k in range(0, len(pdf), PAGES):
+            yield _articles(pdf.iloc[k:k + PAGES])
+    pa.default_memory_pool().release_unused()  # the worker waits for its next task without it
+
+
+def _articles(pdf: pd.DataFrame) -> pd.DataFrame:
+    out = []
+    for r in pdf.itertuples(index=False):
+        layout = ARTICLE_LAYOUT.get(r.source, DEFAULT_LAYOUT)
+        sel = {k: layout[k] for k in ("body", "author", "body_else") if k in layout}
+        texts, metas = H.scoped_texts_and_metas(r.raw, sel)
+        body = texts["body"] or texts.get("body_else", "")
+        title = metas.get(("property", layout.get("title_meta"))) or r.title or ""
+        author = texts["author"] if "author" in layout else metas.get(("name", layout["author_meta"])) or ""
+        out.append((r.content_id or r.url or "", r.source, r.keyword, r.url or "", r.content_id or "", title,
+                    author, r.media or "", body, r.published_at or "", r.ingest_seq))
+    return pd.DataFrame(out, columns=CONTENT_OUT)
 
 
 def extract_articles(raw: DataFrame) -> DataFrame:
     """Article HTML of the given rows -> contents rows (title, author, body by the source's layout,
     or by the default one); empty payloads are skipped (the cleaner lists them as rejects).
 
-    The filter runs before the Python stage; only the needed columns cross into Arrow batches, on
-    the partitions of the scan.
+    The filter runs before the Python stage; only the needed columns cross into Arrow batches of bounded
+    bytes, on the partitions of the scan, and results leave every few pages: a worker holds one small
+    batch, however many rows its partition has.
     """
+    bound_batches(raw.sparkSession)
     cols = ["ingest_seq", "source", "keyword", "url", "content_id", "title", "media", "published_at", "raw"]
     return raw.where(F.coalesce(F.col("raw"), F.lit("")) != "").select(*cols).mapInPandas(_articles_batch, ARTICLE_SCHEMA)
 

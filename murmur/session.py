@@ -61,3 +61,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for a written intermediate table, under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/tables/{name}"
+
+
+#: Bytes of an Arrow batch that Python stages over long texts ask for where the session has no setting of its own.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 8 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of bounded bytes for Python stages, so that long rows do not add up. Where the session has
+    the default it is set to `BATCH_BYTES` and stays so, as a plan reads it when it runs; a session's own value is kept."""
+    if spark.conf.get(BATCH) == "67108864b":  # the default
+        spark.conf.set(BATCH, str(BATCH_BYTES))

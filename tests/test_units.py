@@ -146,6 +146,25 @@ def test_article_layouts(spark):
     assert out["merdeka"].title == "card" and out["merdeka"].content == "Isi"
 
 
+def test_article_stage_holds_few_pages(spark):
+    """However many pages a task has, they come in batches of bounded bytes and leave every few pages."""
+    from murmur.session import BATCH, BATCH_BYTES
+    n = 3 * X.PAGES + 1
+    rows = [(i, "cnn", "kw", f"https://c/{i}", str(i), "card", None, None, GOLDEN["cnn"]) for i in range(n)]
+    df = spark.createDataFrame(rows, "ingest_seq long, source string, keyword string, url string, content_id string,"
+                                     " title string, media string, published_at string, raw string")
+    old = spark.conf.get(BATCH)
+    try:
+        spark.conf.set(BATCH, "67108864b")
+        out = X.extract_articles(df.coalesce(1)).collect()
+        assert int(spark.conf.get(BATCH)) == BATCH_BYTES
+    finally:
+        spark.conf.set(BATCH, old)
+    assert [(r.raw_id, r.source_id, r.media, r.content) for r in out] == [(i, str(i), "", "Body A\nBody B") for i in range(n)]
+    parts = list(X._articles_batch(iter([df.toPandas()])))
+    assert [len(p) for p in parts] == [X.PAGES] * 3 + [1]
+
+
 def test_scoped_text_plain():
     assert H.scoped_text("<div class='a b'>x <i>y</i></div>", H.by_class("b")) == "x y"
     assert H.scoped_text("<div class='a b'>x</div>", H.by_exact_class("div", "b")) == ""
