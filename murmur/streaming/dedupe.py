@@ -1,13 +1,14 @@
-"""J3 (stream): keyed TTL suppression with one state per key - in event-time order, accept an event
-when it is forced or at least TTL after the key's last accepted event (greedy, like an expiring cache;
-skipped events do not renew the TTL, forced ones do).
-
-The rule depends on event-time order, so a key's events wait in its state until the watermark (the
-newest time seen less the declared lateness) has passed them. A timer at the earliest of them then
-judges, in order, all that the watermark has passed. The state is that of `transformWithState`: the
-waiting events (those of the last `lateness` of one key) and one threshold, which is cleared by a timer
-once it cannot reject anything any more, so keys that are gone leave nothing behind.
-Each judged event is written with its decision.
+"""J3 (stream): keyed TTL suppression - in event-time order, accept an event when it is forced or at
+least TTL after the key's last accepted event (greedy, like an expiring cache; skipped events do not
+renew the TTL, forced ones do).
+
+The rule depends on event-time order, so a key's events wait in state until the watermark (the newest
+time seen less the declared lateness) has passed them. The state is that of `transformWithState`, for
+buckets of keys: a call, a timer and a read of the state cost the same for one key as for many, so their
+number is that of the buckets and does not grow with the keys. A bucket holds its waiting events (those of
+the last `lateness`) and per key one threshold, both packed. A timer at the earliest waiting event judges,
+in order, all that the watermark has passed; thresholds go by a timer once they cannot reject anything any
+more, so keys that are gone leave nothing behind. Each judged event is written with its decision.
 
 Events behind the watermark are dropped by the state operator, and those newer than it still wait when
 the input ends. `reconcile` judges both in batch, from the archive of all events: per key from its
@@ -18,8 +19,10 @@ how much the stream has judged by itself.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,58 +36,77 @@ JUDGED = "user_id long, event_id long, at long, accepted boolean"
 ID = ("user_id", "event_id", "ts")
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: What a bucket holds, packed into binary values of at most `CHUNK` of them (times in microseconds).
+EVENT = np.dtype([("user_id", "<i8"), ("at", "<i8"), ("event_id", "<i8"), ("force", "?")])
+THRESHOLD = np.dtype([("user_id", "<i8"), ("at", "<i8")])
+CHUNK = 10_000
+BUCKETS = 4096
 
 
 class Expiry(StatefulProcessor):
-    """State of a key: its threshold and the events the watermark has not passed (times in microseconds)."""
+    """State of a bucket of keys: their thresholds and the events the watermark has not passed."""
 
     def __init__(self, ttl: int):
         self.ttl = ttl
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.threshold = handle.getValueState("threshold", "at long")
-        self.waiting = handle.getListState("waiting", "at long, event_id long, force boolean")
+        self.thresholds = handle.getListState("thresholds", "packed binary")
+        self.waiting = handle.getListState("waiting", "packed binary")
 
     def handleInputRows(self, key, rows, timerValues):
         first = None
         for pdf in rows:
-            self.waiting.appendList(list(pdf[["at", "event_id", "force"]].itertuples(index=False, name=None)))
-            first = min(x for x in (first, int(pdf["at"].min())) if x is not None)
+            events = np.empty(len(pdf), EVENT)
+            for c in EVENT.names:
+                events[c] = pdf[c].to_numpy()
+            self.waiting.appendList(_packed(events))
+            first = min(x for x in (first, int(events["at"].min())) if x is not None)
         if first is not None:
             self.handle.registerTimer(_ms(first))
-        yield pd.DataFrame({"user_id": [], "event_id": [], "at": [], "accepted": []})
+        yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        events = sorted((int(at), int(event_id), bool(force)) for at, event_id, force in self.waiting.get())
-        due = [e for e in events if e[0] <= passed]
-        held = self.threshold.get()
-        threshold = int(held[0]) if held else None
-        accepted = []
-        for at, _, force in due:
-            accepted.append(force or threshold is None or at >= threshold)
-            if accepted[-1]:
-                threshold = at + self.ttl
-        if due:
-            rest = events[len(due):]
-            if rest:
-                self.waiting.put(rest)
-                self.handle.registerTimer(_ms(rest[0][0]))
-            else:
-                self.waiting.clear()
-        if threshold is not None and threshold <= passed:
-            self.threshold.clear()
-        elif any(accepted):
-            self.threshold.update((threshold,))
-            if len(due) == len(events):  # else the timer of the waiting events comes
-                self.handle.registerTimer(_ms(threshold))
-        yield pd.DataFrame({"user_id": [key[0]] * len(due), "event_id": [e[1] for e in due], "at": [e[0] for e in due], "accepted": accepted})
+        events = _unpacked(self.waiting, EVENT)
+        events = events[np.lexsort((events["force"], events["event_id"], events["at"]))]
+        n = int(np.searchsorted(events["at"], passed, "right"))
+        due, rest = events[:n], events[n:]
+        held = dict(_unpacked(self.thresholds, THRESHOLD).tolist())
+        accepted = np.zeros(n, bool)
+        for k, (user, at, _, force) in enumerate(due.tolist()):
+            if force or at >= held.get(user, at):
+                accepted[k] = True
+                held[user] = at + self.ttl
+        held = np.array([x for x in held.items() if x[1] > passed], THRESHOLD)
+        if n:
+            _put(self.waiting, rest)
+        _put(self.thresholds, held)
+        later = [int(x["at"].min()) for x in (rest, held) if len(x)]
+        if later:
+            self.handle.registerTimer(_ms(min(later)))
+        if n:
+            yield pd.DataFrame({"user_id": due["user_id"], "event_id": due["event_id"], "at": due["at"], "accepted": accepted})
 
     def close(self) -> None:
         pass
 
 
+def _packed(rows: np.ndarray) -> list[tuple[bytes]]:
+    return [(rows[k:k + CHUNK].tobytes(),) for k in range(0, len(rows), CHUNK)]
+
+
+def _unpacked(state, dtype: np.dtype) -> np.ndarray:
+    return np.frombuffer(b"".join(bytes(x) for x, in state.get()), dtype)
+
+
+def _put(state, rows: np.ndarray) -> None:
+    if len(rows):
+        state.put(_packed(rows))
+    else:
+        state.clear()
+
+
 def _ms(micros: int) -> int:
     """The first millisecond by which this time has passed."""
     return -(-micros // 1000)
@@ -92,13 +114,13 @@ def _ms(micros: int) -> int:
 
 def judge_stream(events: DataFrame, out: str, ttl_days: float, lateness_days: float, checkpoint: str | None = None) -> DataFrame:
     """Judge a stream of (user_id, event_id, ts, force) as far as its watermark goes: (user_id, event_id, ts,
-    accepted), one folder of `out` for each micro-batch. Rows without a key or time are left to `reconcile`."""
+    accepted), one folder of `out` for each micro-batch. Rows without a key, id or time are left to `reconcile`."""
     spark = events.sparkSession
-    rows = events.where("user_id is not null and ts is not null").select(
-        "user_id", "event_id", F.coalesce("force", F.lit(False)).alias("force"),
+    rows = events.where("user_id is not null and event_id is not null and ts is not null").select(
+        F.pmod(F.xxhash64("user_id"), F.lit(BUCKETS)).alias("bucket"), "user_id", "event_id", F.coalesce("force", F.lit(False)).alias("force"),
         F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("ts")).alias("at"))
     rows = rows.withColumn("seen", F.timestamp_micros("at")).withWatermark("seen", f"{round(lateness_days * 86400)} seconds")
-    judged = rows.groupBy("user_id").transformWithStateInPandas(Expiry(round(ttl_days * 86_400_000_000)), JUDGED, "Append", "EventTime")
+    judged = rows.groupBy("bucket").transformWithStateInPandas(Expiry(round(ttl_days * 86_400_000_000)), JUDGED, "Append", "EventTime")
     old = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, ROCKSDB)  # keyed state with timers needs it; a query keeps what it started with
     try:
@@ -122,9 +144,9 @@ def reconcile(archive: DataFrame, judged: DataFrame, ttl_days: float) -> DataFra
     return kept.select("user_id", "ts", "event_id").unionByName(ttl_dedupe(rest, "user_id", "ts", ttl_days, "event_id", "force", carry))
 
 
-def arriving(events: DataFrame, days: int) -> DataFrame:
-    """A file stream of the events as they would arrive: a folder of files for every `days` days, written one
-    after the other (a stream reads files in the order of their times). Rows without a time come first."""
+def arriving(events: DataFrame, days: int) -> Iterator[DataFrame]:
+    """The events as they would arrive: a folder of files for every `days` days, written one after the
+    other, and after each a stream of the files there are now. Rows without a time come first."""
     spark = events.sparkSession
     path = new_location(spark, "tables", "arriving")
     span = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
@@ -134,20 +156,25 @@ def arriving(events: DataFrame, days: int) -> DataFrame:
     for k, (a, b) in enumerate(zip(low, [*cuts, None])):
         part = events.where(F.lit(True) if a is None else F.col("ts") >= lit(a)).where(F.lit(True) if b is None else F.col("ts").isNull() | (F.col("ts") < lit(b)))
         part.write.parquet(f"{path}/part={k:05d}")
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/part=*")
+        yield spark.readStream.schema(events.schema).parquet(f"{path}/part=*")
 
 
 def run_ttl_dedupe(spark: SparkSession, sf_dir: str, ttl_days: float = 7, force: Column | None = None, events: DataFrame | None = None,
                    archive: DataFrame | None = None, lateness_days: float = 5, out: str | None = None, chunk_days: int = 10) -> DataFrame:
     """Accepted events of all input there is now. Without `events`, the events table arrives `chunk_days` days at
-    a time. `archive` is the batch form of the stream's rows; without it a second run of the source keeps them."""
+    a time, and each arrival is judged by a run that goes on from the state of the one before, in one micro-batch
+    whatever its number of files. `archive` is the batch form of the stream's rows; without it a second run of the
+    source keeps them."""
     flag = (force if force is not None else F.lit(False)).alias("force")
+    arrivals = [events]
     if events is None:
         archive = read_table(spark, sf_dir, "events")
-        events = arriving(archive.select("user_id", "event_id", "ts"), chunk_days)
+        arrivals = arriving(archive.select("user_id", "event_id", "ts"), chunk_days)
     elif archive is None:
         kept = new_location(spark, "tables", "ttl_archive")
         run_available(events.select(*ID), lambda batch, batch_id: write_batch(batch, kept, batch_id), "ttl_archive")
         archive = read_batches(spark, kept, "user_id long, event_id long, ts timestamp_ntz")
-    judged = judge_stream(events.select(*ID, flag), out or new_location(spark, "tables", "ttl_dedupe"), ttl_days, lateness_days)
+    out, checkpoint = out or new_location(spark, "tables", "ttl_dedupe"), new_location(spark, "checkpoints", "ttl_dedupe")
+    for stream in arrivals:
+        judged = judge_stream(stream.select(*ID, flag), out, ttl_days, lateness_days, checkpoint)
     return reconcile(archive.select(*ID, flag), judged, ttl_days)

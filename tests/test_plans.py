@@ -284,6 +284,29 @@ def test_stream_ttl_carries_state_across_batches(spark, tmp_path):
     assert got == want and len(want) > 10
 
 
+def test_ttl_stream_judges_an_arrival_in_one_batch(spark, tmp_path, monkeypatch):
+    """A table of several files: each arrival is one micro-batch (and one that moves the watermark), so no row comes
+    behind the watermark, and the stream judges all it has passed. Keys share a bucket, whose state takes many values."""
+    from datetime import datetime, timedelta
+
+    from murmur.operators.candidates import ttl_dedupe
+    from murmur.streaming import dedupe as D
+    from murmur.streaming.common import read_batches
+    t0 = datetime(2024, 1, 1)
+    rows = [(i, t0 + timedelta(minutes=61 * i), i % 7) for i in range(700)] + [(700, t0, None), (None, t0, 3), (701, None, 3)]
+    whole = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long")
+    _parts(spark, str(tmp_path / "events.parquet"), *[whole.where(f"coalesce(event_id, 0) % 4 = {k}") for k in range(4)])
+    monkeypatch.setattr(D, "BUCKETS", 2, raising=False)
+    monkeypatch.setattr(D, "CHUNK", 3, raising=False)  # as arrays of more than 100 values take another way to the state
+    out, force = str(tmp_path / "out"), F.col("event_id") % 11 == 0
+    got = sorted((r.user_id or -1, r.event_id or -1) for r in D.run_ttl_dedupe(spark, str(tmp_path), 3, force=force, out=out).collect())
+    want = ttl_dedupe(whole.withColumn("f", force), "user_id", "ts", 3, "event_id", "f").collect()
+    assert got == sorted((r.user_id or -1, r.event_id or -1) for r in want)
+    assert len(list((tmp_path / "out").glob("batch_id=*"))) <= 6
+    passed = t0 + timedelta(minutes=61 * 699) - timedelta(days=5)
+    assert {r.event_id for r in read_batches(spark, out, D.JUDGED).collect()} == {i for i, ts, user in rows if None not in (i, ts, user) and ts <= passed}
+
+
 def test_python_stages_run_outside_the_repo(tmp_path):
     """Workers must not need the package on their path: run the Python-stage keys from another
     directory in a plain session (as a driver would) in a separate process."""
