@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import pyarrow as pa
@@ -24,10 +25,19 @@ def in_arrow(df: DataFrame, fn, schema: str) -> DataFrame:
 
     def run(batches):
         yield from fn(batches)
-        pa.default_memory_pool().release_unused()  # the worker waits for its next task without it
+        give_back()  # the worker waits for its next task without it
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Arrow's pool and the C library (what numpy freed) keep it otherwise, and
+    an executor's idle workers would hold the peaks of all their tasks beside a grown heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write `df` under the shared checkpoint folder and read it back: a lineage cut that outlives
     executors. A new folder each time, so that a retry or a second call never meets an old one."""

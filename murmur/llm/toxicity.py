@@ -34,6 +34,9 @@ LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6":
 MARKS = ".-_*~'/,"
 COST = {"look": 1.0, "run": 0.5, "pair": 2.5, "skip": 0.5, "symbol": 4.0}
 
+#: Bytes of text read at a time (a longer document is read whole), and readings of spans that a task remembers: both bound a worker's memory only.
+PART = 1 << 17
+READINGS = 1 << 16
 SAMPLE_ROWS = 20_000
 #: Features of the labelled sample, by their unconditional gain, among which the marks are chosen; with the sample it bounds what the fit holds in the driver.
 CANDIDATES = 2000
@@ -291,7 +294,7 @@ def _restorer(model: np.ndarray):
             text = _TRIM.sub("", raw.decode("utf-8", "replace"))
             plain = re.findall(r"[^\W\d_]+", text)
             found = [w for piece in _pieces(text, model) for w in re.findall(r"[^\W\d_]+", piece)] if text else []
-            if len(known) > 200_000:
+            if len(known) >= READINGS:
                 known.clear()
             out = known[raw] = [w.encode() for w in dict.fromkeys(found) if w not in plain]
         return out
@@ -388,7 +391,7 @@ def _features(shared):
     def run(batches):
         restore = _restorer(shared.value)
         for batch in batches:
-            for at, n, buf, starts in chunks(batch.column(2), 1 << 18):
+            for at, n, buf, starts in chunks(batch.column(2), PART):
                 low = LOWER[buf]
                 raw = low.tobytes()
                 a, b = spans(_LETTER[low])
@@ -482,7 +485,7 @@ def _score(shared):
                 ok = known[at] == h
                 has[doc[ok], which[at[ok]]] = True
         for batch in batches:
-            for at, n, buf, starts in chunks(batch.column(1)):
+            for at, n, buf, starts in chunks(batch.column(1), PART):
                 low = LOWER[buf]
                 a, b = spans(_LETTER[low])
                 first, extra = np.searchsorted(a, starts), _restored(low, starts, restore, model, _suspects(low, starts, spellings))
